@@ -13,8 +13,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from .operators import hotspots
+from .operators import hotspots, rollups
+from .plans import dashboard
 from .sources import testdata as td
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -33,7 +35,7 @@ HOT_AFTER_YEAR = 1997
 TEST_YEARS = (1998, 1999, 2000)
 TEST_DISTRICT = 2
 TEST_BLOCKS = ("household 3", "machinery 7", "building 11")
-TEST_EXCLUDE = (("nation_2", "building 4"),)
+TEST_EXCLUDE = (("nation_14", "household 7"),)
 
 _INC = td.with_ctes(td.INCIDENTS_SQL, td.DISTRICTS_SQL)
 
@@ -51,3 +53,200 @@ WHERE total_crime = (SELECT max(total_crime) FROM c c2 WHERE c2.district = c.dis
 def q_district_year_hot_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hotspots.district_year_hot_blocks(td.incidents(spark, sf_dir), td.district_dim(spark, sf_dir),
                                              after_year=HOT_AFTER_YEAR)
+
+
+_LOOSE = "(i.x_neighbourhood <> 0 OR i.y_neighbourhood <> 0)"
+_YEARS_IN = ", ".join(str(y) for y in TEST_YEARS)
+
+
+@register("district_year_counts", _INC + f"""
+SELECT d.district,
+       count(*) FILTER (WHERE i.year = {TEST_YEARS[0]}) AS "{TEST_YEARS[0]}",
+       count(*) FILTER (WHERE i.year = {TEST_YEARS[1]}) AS "{TEST_YEARS[1]}",
+       count(*) FILTER (WHERE i.year = {TEST_YEARS[2]}) AS "{TEST_YEARS[2]}"
+FROM incidents i JOIN districts d ON i.neighbourhood = d.neighbourhood
+WHERE i.year IN ({_YEARS_IN})
+GROUP BY d.district
+HAVING count(*) FILTER (WHERE i.year = {TEST_YEARS[0]}) > 0
+   AND count(*) FILTER (WHERE i.year = {TEST_YEARS[1]}) > 0
+   AND count(*) FILTER (WHERE i.year = {TEST_YEARS[2]}) > 0
+""")
+def q_district_year_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hotspots.district_year_counts(td.incidents(spark, sf_dir), td.district_dim(spark, sf_dir), TEST_YEARS)
+
+
+@register("district_year_counts_long", _INC + f"""
+SELECT d.district, i.year, count(*) AS count
+FROM incidents i JOIN districts d ON i.neighbourhood = d.neighbourhood
+WHERE i.year IN ({_YEARS_IN})
+  AND d.district IN (SELECT d2.district FROM incidents i2 JOIN districts d2 ON i2.neighbourhood = d2.neighbourhood
+                     WHERE i2.year IN ({_YEARS_IN}) GROUP BY d2.district HAVING count(DISTINCT i2.year) = {len(TEST_YEARS)})
+GROUP BY d.district, i.year
+""")
+def q_district_year_counts_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    wide = hotspots.district_year_counts(td.incidents(spark, sf_dir), td.district_dim(spark, sf_dir), TEST_YEARS)
+    return dashboard.district_series(wide)
+
+
+_TITLE_SQL = ("array_to_string(list_transform(string_split(neighbourhood, '-'), lambda p: "
+              "array_to_string(list_transform(string_split(lower(p), ' '), lambda w: upper(w[1:1]) || w[2:]), ' ')), '-')")
+
+
+@register("least_district_top_blocks", _INC + f"""
+, per AS (
+  SELECT d.district, i.neighbourhood, i.hundred_block, i.year, count(*) AS n
+  FROM incidents i JOIN districts d ON i.neighbourhood = d.neighbourhood
+  WHERE {_LOOSE} AND i.year IN ({_YEARS_IN})
+  GROUP BY d.district, i.neighbourhood, i.hundred_block, i.year)
+, tot AS (SELECT district, sum(n) AS total FROM per GROUP BY district HAVING count(DISTINCT year) = {len(TEST_YEARS)})
+, least AS (SELECT district FROM tot ORDER BY total, district LIMIT 1)
+, blk AS (
+  SELECT p.district, p.neighbourhood, p.hundred_block, sum(p.n) AS crime_count
+  FROM per p JOIN least l ON p.district = l.district
+  WHERE NOT (p.neighbourhood = '{TEST_EXCLUDE[0][0]}' AND p.hundred_block = '{TEST_EXCLUDE[0][1]}')
+  GROUP BY p.district, p.neighbourhood, p.hundred_block)
+, r AS (SELECT *, row_number() OVER (PARTITION BY neighbourhood ORDER BY crime_count DESC, hundred_block) AS rn FROM blk)
+SELECT district, {_TITLE_SQL} AS neighbourhood, hundred_block, CAST(crime_count AS BIGINT) AS crime_count
+FROM r WHERE rn = 1
+""")
+def q_least_district_top_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hotspots.least_district_top_blocks(td.incidents(spark, sf_dir), td.district_dim(spark, sf_dir),
+                                              TEST_YEARS, exclude=TEST_EXCLUDE)
+
+
+@register("district_points", _INC + f"""
+SELECT i.x, i.y FROM incidents i JOIN districts d ON i.neighbourhood = d.neighbourhood
+WHERE d.district = {TEST_DISTRICT} AND i.year IN ({_YEARS_IN}) AND {_LOOSE}
+""")
+def q_district_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hotspots.district_points(td.incidents(spark, sf_dir), td.district_dim(spark, sf_dir),
+                                    TEST_DISTRICT, TEST_YEARS)
+
+
+_BLOCKS_IN = ", ".join(f"'{b}'" for b in TEST_BLOCKS)
+
+
+@register("hot_block_points", _INC + f"""
+SELECT i.x, i.y FROM incidents i JOIN districts d ON i.neighbourhood = d.neighbourhood
+WHERE d.district = {TEST_DISTRICT} AND i.year IN ({_YEARS_IN}) AND {_LOOSE}
+  AND i.hundred_block IN ({_BLOCKS_IN})
+""")
+def q_hot_block_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hotspots.hot_block_points(td.incidents(spark, sf_dir), td.district_dim(spark, sf_dir),
+                                     TEST_DISTRICT, TEST_BLOCKS, TEST_YEARS)
+
+
+# ----------------------------------------------------------------- rollups
+def _rollup_sql(cols: str, source: str = "incidents") -> str:
+    return f"SELECT {cols}, count(*) AS count FROM {source} GROUP BY {cols}"
+
+
+for _grain in ("type", "neighbourhood", "month", "type_neighbourhood"):
+    def _make(grain: str) -> QueryFn:
+        def fn(spark: SparkSession, sf_dir: str) -> DataFrame:
+            return rollups.rollup(td.incidents(spark, sf_dir), grain)
+        fn.__name__ = f"q_rollup_{grain}"
+        return fn
+    register(f"rollup_{_grain}", _INC + _rollup_sql(", ".join(rollups.ROLLUP_GRAINS[_grain])))(_make(_grain))
+
+
+@register("rollup_hour", td.with_ctes(td.HOURLY_SQL) + _rollup_sql("year, hour", "hourly"))
+def q_rollup_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rollups.rollup(td.hourly_incidents(spark, sf_dir), "hour")
+
+
+def _gs_branch(grain: str) -> str:
+    cols = rollups.ROLLUP_GRAINS[grain]
+    sel = ", ".join(c if c in cols else f"NULL AS {c}" for c in ("year", "type", "neighbourhood", "month", "hour"))
+    return f"SELECT '{grain}' AS grain, {sel}, count(*) AS count FROM incidents GROUP BY {', '.join(cols)}"
+
+
+@register("rollup_grouping_sets", _INC + "\nUNION ALL\n".join(_gs_branch(g) for g in rollups.ROLLUP_GRAINS))
+def q_rollup_grouping_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rollups.rollup_grouping_sets(td.incidents(spark, sf_dir))
+
+
+@register("rollups_from_base", _INC + """
+SELECT year, type, neighbourhood, count(*) AS count FROM incidents GROUP BY year, type, neighbourhood
+""")
+def q_rollups_from_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The type x neighbourhood table derived from the single base aggregate."""
+    return rollups.rollups(td.incidents(spark, sf_dir))["type_neighbourhood"]
+
+
+@register("distinct_counts", _INC + """
+SELECT count(DISTINCT type) AS n_distinct_type, count(DISTINCT neighbourhood) AS n_distinct_neighbourhood,
+       count(DISTINCT hundred_block) AS n_distinct_hundred_block FROM incidents
+""")
+def q_distinct_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rollups.distinct_counts(td.incidents(spark, sf_dir), ["type", "neighbourhood", "hundred_block"])
+
+
+@register("value_counts", _INC + "SELECT type AS value, count(*) AS count FROM incidents GROUP BY type")
+def q_value_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rollups.value_counts(td.incidents(spark, sf_dir), "type")
+
+
+_SUMMARY_TYPES = (("id", "string"), ("type", "string"), ("timestamp", "timestamp_ntz"), ("year", "int"),
+                  ("month", "int"), ("day", "int"), ("hour", "int"), ("minute", "int"),
+                  ("neighbourhood", "string"), ("x_neighbourhood", "double"), ("y_neighbourhood", "double"),
+                  ("hundred_block", "string"), ("x", "double"), ("y", "double"))
+
+
+@register("table_summary", _INC + "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS column_name, count(\"{c}\") AS non_null, '{t}' AS data_type FROM incidents"
+    for c, t in _SUMMARY_TYPES))
+def q_table_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rollups.table_summary(td.incidents(spark, sf_dir))
+
+
+@register("any_zero_coordinate", _INC + """
+SELECT coalesce(bool_or(x = 0), false) AS any_zero_x, coalesce(bool_or(y = 0), false) AS any_zero_y FROM incidents
+""")
+def q_any_zero_coordinate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rollups.any_zero(td.incidents(spark, sf_dir), ["x", "y"])
+
+
+# --------------------------------------------------------------- dashboard
+DASH_YEAR = 1998
+
+
+@register("dashboard_type_totals", _INC + f"""
+SELECT type, count(*) AS total FROM incidents WHERE year = {DASH_YEAR} GROUP BY type
+""")
+def q_dashboard_type_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dashboard.type_totals(rollups.rollup(td.incidents(spark, sf_dir), "type"), DASH_YEAR)
+
+
+@register("dashboard_neighbourhood_totals", _INC + f"""
+SELECT neighbourhood, count(*) AS total FROM incidents WHERE year = {DASH_YEAR} GROUP BY neighbourhood
+""")
+def q_dashboard_neighbourhood_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dashboard.neighbourhood_totals(rollups.rollup(td.incidents(spark, sf_dir), "neighbourhood"), DASH_YEAR)
+
+
+@register("dashboard_stacked", _INC + f"""
+SELECT neighbourhood, type, count(*) AS count FROM incidents WHERE year = {DASH_YEAR} GROUP BY neighbourhood, type
+""")
+def q_dashboard_stacked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dashboard.stacked(rollups.rollup(td.incidents(spark, sf_dir), "type_neighbourhood"), DASH_YEAR)
+
+
+@register("dashboard_month_line", _INC + f"""
+SELECT month, count(*) AS count FROM incidents WHERE year = {DASH_YEAR} GROUP BY month
+""")
+def q_dashboard_month_line(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dashboard.line(rollups.rollup(td.incidents(spark, sf_dir), "month"), DASH_YEAR, "month")
+
+
+@register("dashboard_hour_line", td.with_ctes(td.HOURLY_SQL) + """
+SELECT hour, count(*) AS count FROM hourly WHERE year = 2024 GROUP BY hour
+""")
+def q_dashboard_hour_line(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hourly = td.hourly_incidents(spark, sf_dir)
+    return dashboard.line(rollups.rollup(hourly, "hour"), 2024, "hour")
+
+
+@register("dashboard_years", _INC + "SELECT DISTINCT year FROM incidents")
+def q_dashboard_years(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dashboard.years(rollups.rollup(td.incidents(spark, sf_dir), "type"))
