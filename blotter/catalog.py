@@ -15,7 +15,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .operators import hotspots, rollups
+from .operators import holidays, hotspots, rollups
 from .plans import dashboard
 from .sources import testdata as td
 
@@ -250,3 +250,88 @@ def q_dashboard_hour_line(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("dashboard_years", _INC + "SELECT DISTINCT year FROM incidents")
 def q_dashboard_years(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dashboard.years(rollups.rollup(td.incidents(spark, sf_dir), "type"))
+
+
+# ---------------------------------------------------------------- holidays
+def _nth_monday_sql(month: int, n: str) -> str:
+    d1 = f"make_date(year, {month}, 1)"
+    return f"({d1} + CAST((8 - isodow({d1})) % 7 + 7 * ({n} - 1) AS INTEGER))"
+
+
+_EASTER_SQL = """
+easter AS (
+  SELECT year, make_date(year, CAST(((h + l - 7 * m + 114) // 31) AS INTEGER),
+                         CAST(((h + l - 7 * m + 114) % 31) + 1 AS INTEGER)) AS sunday
+  FROM (SELECT year, h, l, (a + 11 * h + 22 * l) // 451 AS m
+        FROM (SELECT year, a, h, (32 + 2 * e + 2 * i - h - k) % 7 AS l
+              FROM (SELECT year, a, e, i, k, (19 * a + b - d - g + 15) % 30 AS h
+                    FROM (SELECT year, year % 19 AS a, year // 100 AS b, year % 100 AS c,
+                                 (year // 100) // 4 AS d, (year // 100) % 4 AS e,
+                                 ((year // 100) - ((year // 100) + 8) // 25 + 1) // 3 AS g,
+                                 (year % 100) // 4 AS i, (year % 100) % 4 AS k
+                          FROM yrs)))))"""
+
+CALENDAR_SQL = f"""
+yrs AS (SELECT DISTINCT year FROM incidents WHERE year IS NOT NULL),
+{_EASTER_SQL},
+cal AS (
+  SELECT make_date(year, 1, 1) AS date, 'New Year''s Day' AS holiday FROM yrs
+  UNION ALL SELECT {_nth_monday_sql(2, "CASE WHEN year >= 2019 THEN 3 ELSE 2 END")}, 'Family Day' FROM yrs
+  UNION ALL SELECT CAST(sunday - 2 AS DATE), 'Good Friday' FROM easter
+  UNION ALL SELECT CAST(make_date(year, 5, 24) - CAST((isodow(make_date(year, 5, 24)) - 1) % 7 AS INTEGER) AS DATE),
+                   'Victoria Day' FROM yrs
+  UNION ALL SELECT make_date(year, 7, 1), 'Canada Day' FROM yrs
+  UNION ALL SELECT {_nth_monday_sql(8, "1")}, 'Civic Holiday' FROM yrs
+  UNION ALL SELECT {_nth_monday_sql(9, "1")}, 'Labour Day' FROM yrs
+  UNION ALL SELECT make_date(year, 9, 30), 'National Day for Truth and Reconciliation' FROM yrs
+  UNION ALL SELECT {_nth_monday_sql(10, "2")}, 'Thanksgiving' FROM yrs
+  UNION ALL SELECT make_date(year, 11, 11), 'Remembrance Day' FROM yrs
+  UNION ALL SELECT make_date(year, 12, 25), 'Christmas Day' FROM yrs
+),
+hd AS (
+  SELECT i.year, c.holiday FROM incidents i
+  JOIN cal c ON i.year = year(c.date) AND i.month = month(c.date) AND i.day = day(c.date)
+)"""
+
+RECENT_SINCE = 1999
+
+
+def _calendar_for(incidents: DataFrame) -> DataFrame:
+    return holidays.statutory_calendar(incidents)
+
+
+@register("holiday_calendar", _INC + "," + CALENDAR_SQL + "\nSELECT CAST(date AS DATE) AS date, holiday FROM cal")
+def q_holiday_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _calendar_for(td.incidents(spark, sf_dir))
+
+
+@register("holiday_top3_by_year", _INC + "," + CALENDAR_SQL + """
+, per AS (SELECT holiday, year, count(*) AS count FROM hd GROUP BY holiday, year)
+, top AS (SELECT holiday FROM per GROUP BY holiday ORDER BY sum(count) DESC, holiday LIMIT 3)
+SELECT year, count, holiday FROM per WHERE holiday IN (SELECT holiday FROM top)
+""")
+def q_holiday_top3_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
+    inc = td.incidents(spark, sf_dir)
+    return holidays.holiday_top_by_year(inc, _calendar_for(inc), k=3)
+
+
+@register("holiday_top3_recent", _INC + "," + CALENDAR_SQL + f"""
+SELECT holiday, count(*) AS count FROM hd WHERE year >= {RECENT_SINCE}
+GROUP BY holiday ORDER BY count DESC, holiday LIMIT 3
+""")
+def q_holiday_top3_recent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    inc = td.incidents(spark, sf_dir)
+    return holidays.holiday_ranking(inc, _calendar_for(inc), k=3, since_year=RECENT_SINCE)
+
+
+@register("holiday_share", _INC + "," + CALENDAR_SQL + """
+SELECT count(*) AS incidents,
+       count(*) FILTER (WHERE EXISTS (SELECT 1 FROM cal c WHERE year(c.date) = i.year AND month(c.date) = i.month
+                                      AND day(c.date) = i.day)) AS on_holidays,
+       (count(*) FILTER (WHERE EXISTS (SELECT 1 FROM cal c WHERE year(c.date) = i.year AND month(c.date) = i.month
+                                       AND day(c.date) = i.day)))::DOUBLE / count(*) AS share
+FROM incidents i
+""")
+def q_holiday_share(spark: SparkSession, sf_dir: str) -> DataFrame:
+    inc = td.incidents(spark, sf_dir)
+    return holidays.holiday_share(inc, _calendar_for(inc))

@@ -25,7 +25,7 @@ def incident_timestamp(year, month, day, hour, minute) -> Column:
 
 def parse_us_date(c: str | Column) -> Column:
     """``MM/dd/yyyy`` text -> date; null when it does not parse."""
-    return F.try_to_date(_col(c), F.lit("MM/dd/yyyy"))
+    return F.try_to_date(_col(c), "MM/dd/yyyy")
 
 
 def date_parts(c: str | Column) -> list[Column]:
