@@ -15,7 +15,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .operators import holidays, hotspots, rollups
+from .functions import geo, text, timefn
+from .operators import cleaning, holidays, hotspots, rollups
 from .plans import dashboard
 from .sources import testdata as td
 
@@ -335,3 +336,117 @@ FROM incidents i
 def q_holiday_share(spark: SparkSession, sf_dir: str) -> DataFrame:
     inc = td.incidents(spark, sf_dir)
     return holidays.holiday_share(inc, _calendar_for(inc))
+
+
+# ---------------------------------------------------------------- cleaning
+def _clean_block_sql(b: str) -> str:
+    """Block-name cleaning chain in DuckDB SQL (independent formulation)."""
+    unq = f"(CASE WHEN starts_with({b}, '\"') THEN split_part(substr({b}, 2), '\"', 1) ELSE {b} END)"
+    unmask = (f"array_to_string(list_filter(string_split({unq}, ' '), lambda w: NOT ((regexp_matches(w, '^[0-9]') "
+              f"AND contains(w, 'x')) OR w = 'x')), ' ')")
+    alias = f"split_part({unmask}, '/', 1)"
+    digits = "(CASE WHEN ltrim(w, '0') = '' THEN '0' ELSE ltrim(w, '0') END)"
+    t = f"CAST(right({digits}, 2) AS INTEGER)"
+    suffix = (f"(CASE WHEN {t} % 100 BETWEEN 11 AND 13 THEN 'th' WHEN {t} % 10 = 1 THEN 'st' "
+              f"WHEN {t} % 10 = 2 THEN 'nd' WHEN {t} % 10 = 3 THEN 'rd' ELSE 'th' END)")
+    norm = (f"array_to_string(list_transform(string_split({alias}, ' '), lambda w: CASE WHEN w = 'av' THEN 'ave' "
+            f"WHEN regexp_matches(w, '^[0-9]+$') THEN {digits} || {suffix} ELSE w END), ' ')")
+    return f"array_to_string(list_filter(string_split({norm}, ' '), lambda w: w <> 'xxxx'), ' ')"
+
+
+def _utm_sql(e: str, n: str) -> tuple[str, str]:
+    """Inverse transverse Mercator (zone 10 north) in DuckDB SQL."""
+    import math
+    from .functions import geo
+    k0a = geo.UTM_K0 * geo._A
+    xi = f"(({n}) / {k0a!r})"
+    eta = f"((({e}) - 500000.0) / {k0a!r})"
+
+    def sinh(x: str) -> str:
+        return f"((exp({x}) - exp(-({x}))) / 2)"
+
+    def cosh(x: str) -> str:
+        return f"((exp({x}) + exp(-({x}))) / 2)"
+    xi_p = xi + "".join(f" - {b!r} * sin({2 * j} * {xi}) * {cosh(f'{2 * j} * {eta}')}"
+                        for j, b in enumerate(geo._BETA, start=1))
+    eta_p = eta + "".join(f" - {b!r} * cos({2 * j} * {xi}) * {sinh(f'{2 * j} * {eta}')}"
+                          for j, b in enumerate(geo._BETA, start=1))
+    chi = f"asin(sin({xi_p}) / {cosh(eta_p)})"
+    phi = chi + "".join(f" + {d!r} * sin({2 * j} * {chi})" for j, d in enumerate(geo._DELTA, start=1))
+    lam = f"({math.radians(10 * 6 - 183)!r} + atan2({sinh(eta_p)}, cos({xi_p})))"
+    ok = f"(({e}) BETWEEN 100000 AND 1000000 AND ({n}) BETWEEN 0 AND 10000000)"
+    return (f"CASE WHEN {ok} THEN degrees({phi}) END", f"CASE WHEN {ok} THEN degrees({lam}) END")
+
+
+def _dec6(c):
+    return F.round(c, 6).cast("decimal(12,6)")
+
+
+_LAT_SQL, _LON_SQL = _utm_sql("e", "n")
+
+CLEAN_SQL = td.with_ctes(td.RAW_SQL, td.POINTS_SQL) + f"""
+, d AS (
+  SELECT DISTINCT * FROM raw
+  WHERE type IS NOT NULL AND year IS NOT NULL AND month IS NOT NULL AND day IS NOT NULL AND hour IS NOT NULL
+    AND minute IS NOT NULL AND hundred_block IS NOT NULL AND neighbourhood IS NOT NULL
+    AND x IS NOT NULL AND y IS NOT NULL AND NOT isnan(x) AND NOT isnan(y))
+, l AS (
+  SELECT sha256(concat_ws('|', type, CAST(year AS VARCHAR), CAST(month AS VARCHAR), CAST(day AS VARCHAR),
+                CAST(hour AS VARCHAR), CAST(minute AS VARCHAR), hundred_block, neighbourhood,
+                CAST(CAST(floor(x * 1e6) AS BIGINT) AS VARCHAR), CAST(CAST(floor(y * 1e6) AS BIGINT) AS VARCHAR))) AS id,
+         lower(type) AS type, year, month, day, hour, minute, lower(hundred_block) AS hb,
+         lower(neighbourhood) AS neighbourhood, x AS e, y AS n
+  FROM d WHERE x <> 0 OR y <> 0)
+SELECT l.id, l.type,
+       CASE WHEN l.month BETWEEN 1 AND 12 AND l.day BETWEEN 1 AND day(last_day(make_date(l.year, l.month, 1)))
+                 AND l.hour BETWEEN 0 AND 23 AND l.minute BETWEEN 0 AND 59
+            THEN make_timestamp(l.year, l.month, l.day, l.hour, l.minute, 0) END AS "timestamp",
+       l.year, l.month, l.day, l.hour, l.minute, l.neighbourhood,
+       p.lat AS x_neighbourhood, p.lon AS y_neighbourhood,
+       {_clean_block_sql('l.hb')} AS hundred_block,
+       CAST(round({_LAT_SQL}, 6) AS DECIMAL(12, 6)) AS x,
+       CAST(round({_LON_SQL}, 6) AS DECIMAL(12, 6)) AS y
+FROM l LEFT JOIN pts p ON l.neighbourhood = p.neighbourhood
+"""
+
+
+@register("clean_incidents", CLEAN_SQL)
+def q_clean_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Full cleaning job; positions compared at 6 decimals (about 0.1 m)."""
+    clean = cleaning.clean_incidents(td.raw_incidents(spark, sf_dir), td.point_dim(spark, sf_dir))
+    return clean.withColumns({"x": _dec6(F.col("x")), "y": _dec6(F.col("y"))})
+
+
+@register("clean_blocks", td.with_ctes(td.RAW_SQL) + f"""
+, b AS (SELECT DISTINCT hundred_block AS raw_block FROM raw WHERE hundred_block IS NOT NULL)
+SELECT raw_block, {_clean_block_sql('lower(raw_block)')} AS hundred_block FROM b
+""")
+def q_clean_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = td.raw_incidents(spark, sf_dir).select(F.col("hundred_block").alias("raw_block")).dropna().distinct()
+    return raw.select("raw_block", text.clean_block(F.lower("raw_block")).alias("hundred_block"))
+
+
+@register("clean_timestamps", td.with_ctes(td.TIMESTAMP_PARTS_SQL) + """
+SELECT l_orderkey, l_linenumber,
+       CASE WHEN month BETWEEN 1 AND 12 AND day BETWEEN 1 AND day(last_day(make_date(year, month, 1)))
+                 AND hour BETWEEN 0 AND 23 AND minute BETWEEN 0 AND 59
+            THEN make_timestamp(year, month, day, hour, minute, 0) END AS "timestamp"
+FROM parts
+""")
+def q_clean_timestamps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = td.timestamp_parts(spark, sf_dir)
+    return p.select("l_orderkey", "l_linenumber",
+                    timefn.incident_timestamp("year", "month", "day", "hour", "minute").alias("timestamp"))
+
+
+_PLAT, _PLON = _utm_sql("easting", "northing")
+
+
+@register("project_points", td.with_ctes(td.UTM_POINTS_SQL) + f"""
+SELECT s_suppkey, CAST(round({_PLAT}, 6) AS DECIMAL(12, 6)) AS lat, CAST(round({_PLON}, 6) AS DECIMAL(12, 6)) AS lon
+FROM utm
+""")
+def q_project_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = td.utm_points(spark, sf_dir)
+    lat, lon = geo.utm_to_latlon("easting", "northing", zone=10, northern=True)
+    return p.select("s_suppkey", _dec6(lat).alias("lat"), _dec6(lon).alias("lon"))
