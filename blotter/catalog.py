@@ -16,8 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import geo, text, timefn
-from .operators import cleaning, holidays, hotspots, rollups
-from .plans import dashboard
+from .operators import cleaning, holidays, hotspots, metrics, rollups
+from .plans import classify, dashboard, knn
 from .sources import testdata as td
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -450,3 +450,127 @@ def q_project_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = td.utm_points(spark, sf_dir)
     lat, lon = geo.utm_to_latlon("easting", "northing", zone=10, northern=True)
     return p.select("s_suppkey", _dec6(lat).alias("lat"), _dec6(lon).alias("lon"))
+
+
+# ---------------------------------------------------------- classification
+KNN_K = 25
+KNN_TRAIN_PERCENT = 67
+KNN_EXCLUDE = ("5-low",)
+KNN_FEATURES = ["year", "month", "hour", "nbr", "hb"]
+
+
+def _encoded_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Training rows with alphabetical codes: ``label``, ``nbr``, ``hb``."""
+    rows = classify.training_rows(td.incidents(spark, sf_dir), include=None, exclude=KNN_EXCLUDE,
+                                  strict_coordinates=True)
+    rows = classify.encode(rows, "target", classify.label_table(rows, "target"), "label")
+    rows = classify.encode(rows, "neighbourhood", classify.label_table(rows, "neighbourhood"), "nbr")
+    rows = classify.encode(rows, "hundred_block", classify.label_table(rows, "hundred_block"), "hb")
+    return rows.withColumn("bucket", classify.split_bucket("id"))
+
+
+def _knn_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _encoded_rows(spark, sf_dir)
+    train = rows.filter(F.col("bucket") < KNN_TRAIN_PERCENT)
+    test = rows.filter(F.col("bucket") >= KNN_TRAIN_PERCENT)
+    pred = knn.knn_predict(train, test, KNN_FEATURES, "label", k=KNN_K)
+    labels = rows.select(F.col("label").alias("prediction"), F.col("target").alias("predicted")).distinct()
+    return pred.join(F.broadcast(labels), "prediction", "left").select("id", "target", "predicted")
+
+
+_ROWS_SQL = f"""
+rows AS (
+  SELECT id, year, month, hour, neighbourhood, hundred_block, type AS target FROM incidents
+  WHERE id IS NOT NULL AND type IS NOT NULL AND "timestamp" IS NOT NULL AND year IS NOT NULL AND month IS NOT NULL
+    AND day IS NOT NULL AND hour IS NOT NULL AND minute IS NOT NULL AND neighbourhood IS NOT NULL
+    AND x_neighbourhood IS NOT NULL AND y_neighbourhood IS NOT NULL AND hundred_block IS NOT NULL
+    AND x IS NOT NULL AND y IS NOT NULL AND NOT isnan(x) AND NOT isnan(y)
+    AND NOT isnan(x_neighbourhood) AND NOT isnan(y_neighbourhood)
+    AND type NOT IN ({", ".join(f"'{c}'" for c in KNN_EXCLUDE)}) AND x <> 0 AND y <> 0),
+enc AS (
+  SELECT r.*, CAST(dense_rank() OVER (ORDER BY target) - 1 AS INTEGER) AS label,
+         CAST(dense_rank() OVER (ORDER BY neighbourhood) - 1 AS INTEGER) AS nbr,
+         CAST(dense_rank() OVER (ORDER BY hundred_block) - 1 AS INTEGER) AS hb,
+         (('0x' || substr(md5(id), 1, 8))::BIGINT) % 100 AS bucket
+  FROM rows r)"""
+
+_KNN_SQL = _ROWS_SQL + f""",
+train AS (SELECT year, month, hour, nbr, hb, label, count(*) AS w FROM enc WHERE bucket < {KNN_TRAIN_PERCENT}
+          GROUP BY year, month, hour, nbr, hb, label),
+q AS (SELECT DISTINCT year AS qy, month AS qm, hour AS qh, nbr AS qn, hb AS qb FROM enc WHERE bucket >= {KNN_TRAIN_PERCENT}),
+ranked AS (
+  SELECT q.*, t.*, row_number() OVER (PARTITION BY qy, qm, qh, qn, qb
+         ORDER BY (qy - t.year) * (qy - t.year) + (qm - t.month) * (qm - t.month) + (qh - t.hour) * (qh - t.hour)
+                  + (qn - t.nbr) * (qn - t.nbr) + (qb - t.hb) * (qb - t.hb), t.year, t.month, t.hour, t.nbr, t.hb,
+                  t.label) AS rn
+  FROM q CROSS JOIN train t
+  QUALIFY rn <= {KNN_K}),
+cum AS (SELECT *, sum(w) OVER (PARTITION BY qy, qm, qh, qn, qb ORDER BY rn) AS c FROM ranked),
+votes AS (SELECT qy, qm, qh, qn, qb, label, sum(greatest(0, least(w, {KNN_K} - (c - w)))) AS v FROM cum
+          GROUP BY qy, qm, qh, qn, qb, label HAVING v > 0),
+best AS (SELECT *, row_number() OVER (PARTITION BY qy, qm, qh, qn, qb ORDER BY v DESC, label) AS r FROM votes QUALIFY r = 1),
+labels AS (SELECT DISTINCT target AS predicted, label FROM enc),
+knn AS (
+  SELECT e.id, e.target, l.predicted FROM enc e
+  JOIN best b ON e.year = b.qy AND e.month = b.qm AND e.hour = b.qh AND e.nbr = b.qn AND e.hb = b.qb
+  JOIN labels l ON l.label = b.label
+  WHERE e.bucket >= {KNN_TRAIN_PERCENT})"""
+
+_ML = _INC + "," + _KNN_SQL
+
+
+@register("label_encode", _INC + "," + _ROWS_SQL + "\nSELECT DISTINCT neighbourhood AS value, nbr AS code FROM enc")
+def q_label_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = classify.training_rows(td.incidents(spark, sf_dir), include=None, exclude=KNN_EXCLUDE)
+    return classify.label_table(rows, "neighbourhood")
+
+
+@register("label_decode", _INC + "," + _ROWS_SQL + "\nSELECT id, hb, hundred_block AS decoded FROM enc")
+def q_label_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = classify.training_rows(td.incidents(spark, sf_dir), include=None, exclude=KNN_EXCLUDE)
+    table = classify.label_table(rows, "hundred_block")
+    coded = classify.encode(rows.select("id", "hundred_block"), "hundred_block", table, "hb")
+    return classify.decode(coded.select("id", "hb"), "hb", table, "decoded")
+
+
+@register("knn_category", _ML + "\nSELECT id, target, predicted FROM knn")
+def q_knn_category(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _knn_predictions(spark, sf_dir)
+
+
+@register("confusion_matrix", _ML + "\nSELECT target AS label, predicted AS prediction, count(*) AS count FROM knn GROUP BY ALL")
+def q_confusion_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metrics.confusion(_knn_predictions(spark, sf_dir), "target", "predicted")
+
+
+@register("classification_report", _ML + """
+, c AS (SELECT target, predicted, count(*) AS n FROM knn GROUP BY ALL)
+, cls AS (SELECT target AS label FROM c UNION SELECT predicted FROM c)
+, s AS (SELECT cls.label,
+               coalesce((SELECT sum(n) FROM c WHERE c.target = cls.label AND c.predicted = cls.label), 0) AS tp,
+               coalesce((SELECT sum(n) FROM c WHERE c.target = cls.label), 0) AS support,
+               coalesce((SELECT sum(n) FROM c WHERE c.predicted = cls.label), 0) AS predicted
+        FROM cls)
+, pr AS (SELECT label, CASE WHEN predicted > 0 THEN tp / predicted ELSE 0.0 END AS precision,
+                CASE WHEN support > 0 THEN tp / support ELSE 0.0 END AS recall, support FROM s)
+SELECT label, precision, recall,
+       CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall) ELSE 0.0 END AS f1,
+       CAST(support AS BIGINT) AS support
+FROM pr
+""")
+def q_classification_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metrics.classification_report(_knn_predictions(spark, sf_dir), "target", "predicted")
+
+
+@register("accuracy", _ML + """
+SELECT avg(CASE WHEN target = predicted THEN 1 ELSE 0 END) AS accuracy, count(*) AS n FROM knn
+""")
+def q_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metrics.accuracy(_knn_predictions(spark, sf_dir), "target", "predicted")
+
+
+@register("unpredicted_classes", _ML + """
+SELECT DISTINCT target AS label FROM knn WHERE target NOT IN (SELECT predicted FROM knn)
+""")
+def q_unpredicted_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metrics.unpredicted_classes(_knn_predictions(spark, sf_dir), "target", "predicted")
