@@ -574,3 +574,48 @@ SELECT DISTINCT target AS label FROM knn WHERE target NOT IN (SELECT predicted F
 """)
 def q_unpredicted_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.unpredicted_classes(_knn_predictions(spark, sf_dir), "target", "predicted")
+
+
+# Spark ML pipelines: no SQL formulation (checked by rows and by unit tests).
+RF_TARGETS = ("1-urgent", "2-high", "3-medium")
+
+
+def _rf_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify.training_rows(td.incidents(spark, sf_dir), include=RF_TARGETS, strict_coordinates=True)
+
+
+@register("rf_train_score", None)
+def q_rf_train_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trained = classify.train_category_model(_rf_rows(spark, sf_dir), classifier="rf", num_trees=10)
+    return trained.predictions.select("id", "target", "predictedLabel")
+
+
+@register("nb_train_score", None)
+def q_nb_train_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trained = classify.train_category_model(_rf_rows(spark, sf_dir), classifier="nb")
+    return trained.predictions.select("id", "target", "predictedLabel")
+
+
+@register("rf_metrics", None)
+def q_rf_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trained = classify.train_category_model(_rf_rows(spark, sf_dir), classifier="rf", num_trees=10)
+    return classify.evaluate(trained.predictions)
+
+
+@register("score_requests", None)
+def q_score_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Train, save the pipeline under the shared checkpoint folder, load it
+    back and score the last year's incidents as requests."""
+    import uuid
+
+    from .session import ensure_checkpoint_dir
+
+    rows = _rf_rows(spark, sf_dir)
+    trained = classify.train_category_model(rows, classifier="rf", num_trees=10)
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/models/category-{uuid.uuid4().hex}"
+    classify.save(trained.model, path)
+    model = classify.load(path)
+    inc = td.incidents(spark, sf_dir)
+    last = inc.agg(F.max("year").alias("year"))
+    requests = inc.join(F.broadcast(last), "year").select(F.col("id").alias("request_id"), *classify.FEATURES)
+    return classify.score_requests(model, requests)

@@ -162,9 +162,10 @@ def score_requests(model: PipelineModel, requests: DataFrame) -> DataFrame:
     for c in FEATURES:
         missing = missing | F.col(c).isNull()
     filled = requests.select("request_id", *FEATURES, missing.alias("_missing"))
-    # Nulls would be routed to the "unseen" bucket by the indexers; the
-    # status column keeps them apart.
-    scored = PipelineModel(stages=model.stages[1:]).transform(filled.fillna({"neighbourhood": "", "hundred_block": ""}))
+    # Null fields are replaced by placeholders so that every model type can
+    # run; the status column marks those rows and their prediction is blank.
+    placeholders = {"neighbourhood": "", "hundred_block": "", "year": 0, "month": 0, "hour": 0}
+    scored = PipelineModel(stages=model.stages[1:]).transform(filled.fillna(placeholders))
     status = (F.when(F.col("_missing"), F.lit("missing_input"))
               .when((F.col("indexedNbr") >= n_nbr) | (F.col("indexedHb") >= n_hb), F.lit("unknown_input"))
               .otherwise(F.lit("ok")))
