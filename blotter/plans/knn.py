@@ -9,9 +9,12 @@ work per query is bounded by the population of 3^d cells - never by the
 table size, and a cell holds at most ``w^d`` distinct integer vectors per
 label however many rows repeat them.
 
-Exactness: every training vector within distance ``w`` of the query lies in
-those cells.  A query is settled when its k-th nearest found row is within
-``w``; any vector not found is farther than ``w``, so the answer (ties
+Exactness: every training vector closer to the query than the nearest face
+of its 3^d block of cells (the guaranteed radius, at least ``w``) lies in
+those cells; neighbour cells whose nearest point is already at or beyond
+that radius are not probed.  A query is settled when its k-th nearest
+found row is inside the radius (strictly, where an unprobed vector could
+sit exactly on it); any vector not found is farther, so the answer (ties
 included) is exact.  Unsettled queries (sparse regions) go to the next
 round with cells ``growth`` times wider; once ``w`` exceeds the data span,
 3^d cells cover everything and all remaining queries settle.  Rounds are
@@ -26,6 +29,7 @@ label has the most votes; ties go to the smallest label.
 from __future__ import annotations
 
 import itertools
+import math
 from collections.abc import Sequence
 
 from pyspark import StorageLevel
@@ -36,40 +40,98 @@ from ..operators.topk import top_k
 from ..session import cut_lineage
 
 
-def _cell(cols: Sequence[Column], width: float) -> Column:
-    return F.array(*[F.floor(c / F.lit(width)).cast("bigint") for c in cols])
-
-
 def knn_vectors(train: DataFrame, queries: DataFrame, features: Sequence[str], label: str, k: int = 25,
-                cell: float = 4.0, growth: float = 4.0) -> DataFrame:
+                cell: float = 2.0, growth: float = 1.5) -> DataFrame:
     """Prediction per distinct query feature vector: ``(features..., prediction)``."""
     features = list(features)
+    d = len(features)
     qf = [f"q_{f}" for f in features]
     tw = train.select(*features, label).dropna().groupBy(*features, label).agg(F.count(F.lit(1)).alias("_w"))
     tw = tw.persist(StorageLevel.MEMORY_AND_DISK)
-    pending = queries.select(*[F.col(f).alias(q) for f, q in zip(features, qf)]).dropna().distinct()
+    pending = (queries.select(*[F.col(f).alias(q) for f, q in zip(features, qf)]).dropna().distinct()
+               .withColumn("_qid", F.monotonically_increasing_id()))
     pending = cut_lineage(pending)
 
+    # Per-dimension data range over training and query vectors (one row).
     both = tw.select(*features).unionByName(pending.select(*[F.col(q).alias(f) for f, q in zip(features, qf)]))
-    bounds = both.agg(*[(F.max(f) - F.min(f)).alias(f) for f in features]).first()
-    span = max([float(v) for v in bounds if v is not None] or [0.0])
+    agg = both.agg(*[F.min(f).alias(f"lo{i}") for i, f in enumerate(features)],
+                   *[F.max(f).alias(f"hi{i}") for i, f in enumerate(features)]).first()
+    if agg is None or agg["lo0"] is None:
+        tw.unpersist()
+        return pending.limit(0).select(*[F.col(q).alias(f) for f, q in zip(features, qf)],
+                                       F.lit(None).cast("int").alias("prediction"))
+    lo = [float(agg[f"lo{i}"]) for i in range(d)]
+    hi = [float(agg[f"hi{i}"]) for i in range(d)]
+    span = [h - lw for lw, h in zip(lo, hi)]
+    inf = F.lit(float("inf"))
 
-    offsets = F.array(*[F.array(*[F.lit(o) for o in off]) for off in itertools.product((-1, 0, 1), repeat=len(features))])
-    q_key = [F.col(q) for q in qf]
     order = [F.col("_d2")] + [F.col(f) for f in features] + [F.col(label)]
-    w_rank = Window.partitionBy(*qf).orderBy(*order)
+    w_rank = Window.partitionBy("_qid").orderBy(*order)
     w_cum = w_rank.rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
     results: list[DataFrame] = []
     width = float(cell)
     while True:
-        final = width > span
-        tcells = tw.withColumn("_cell", _cell([F.col(f) for f in features], width))
-        probes = (pending.withColumn("_qcell", _cell(q_key, width))
-                  .select(*qf, F.explode(offsets).alias("_off"), "_qcell")
-                  .withColumn("_cell", F.zip_with("_qcell", "_off", lambda a, b: a + b))
-                  .drop("_qcell", "_off"))
-        cand = probes.join(tcells, "_cell").drop("_cell")
+        # A dimension whose whole range fits in one cell has a single cell
+        # (index 0): no neighbours to probe and no face to worry about.
+        active = [i for i in range(d) if span[i] >= width]
+        n_cells = [int(span[i] // width) + 1 for i in range(d)]
+
+        def cell_of(c: Column, i: int) -> Column:
+            return F.floor((c - F.lit(lo[i])) / F.lit(width)).cast("bigint")
+
+        # Collision-free packed cell key (cell index + 1 in mixed radix).
+        radix = [n + 2 for n in n_cells]
+        packed = math.prod(radix) < 2 ** 62
+
+        def key(cells: list[Column]) -> Column:
+            if not packed:
+                return F.array(*cells)
+            out, mult = F.lit(0).cast("bigint"), 1
+            for i, c in enumerate(cells):
+                out = out + (c + 1) * F.lit(mult)
+                mult *= radix[i]
+            return out
+
+        tcells = tw.withColumn("_key", key([cell_of(F.col(f), i) for i, f in enumerate(features)]))
+        # Guaranteed radii: distance from the query to the nearest lower and
+        # upper face of its 3^d block of cells, counting only faces with data
+        # beyond them (both >= width).  A vector outside the block lies
+        # strictly beyond a lower face or at or beyond an upper face.
+        low_faces, high_faces = [], []
+        for i in active:
+            c = cell_of(F.col(qf[i]), i)
+            low_face = F.lit(lo[i]) + (c - 1) * F.lit(width)
+            high_face = F.lit(lo[i]) + (c + 2) * F.lit(width)
+            low_faces.append(F.when(c - 1 < 0, inf).otherwise(F.col(qf[i]) - low_face))
+            high_faces.append(F.when(high_face > F.lit(hi[i]), inf).otherwise(high_face - F.col(qf[i])))
+
+        def least(cols: list[Column]) -> Column:
+            return inf if not cols else (cols[0] if len(cols) == 1 else F.least(*cols))
+        r_lo, r_hi = least(low_faces), least(high_faces)
+        probes = pending.select("_qid", *qf, *[cell_of(F.col(q), i).alias(f"_c{i}") for i, q in enumerate(qf)],
+                                F.least(r_lo, r_hi).alias("_r"))
+        if active:
+            offs = list(itertools.product((-1, 0, 1), repeat=len(active)))
+            off_arr = F.array(*[F.array(*[F.lit(o) for o in off]) for off in offs])
+            probes = probes.withColumn("_off", F.explode(off_arr))
+            shifted = {i: F.col(f"_c{i}") + F.col("_off")[j] for j, i in enumerate(active)}
+            # Lower bound of the distance from the query to any point of a
+            # neighbour cell; a cell beyond the guaranteed radius cannot hold
+            # one of the k nearest (nor a tie) of a query that settles now.
+            gaps = []
+            for j, i in enumerate(active):
+                cell_lo = F.lit(lo[i]) + F.col(f"_c{i}") * F.lit(width)
+                o = F.col("_off")[j]
+                gap = (F.when(o < 0, F.col(qf[i]) - cell_lo)
+                       .when(o > 0, cell_lo + F.lit(width) - F.col(qf[i])).otherwise(F.lit(0.0)))
+                gaps.append(gap * gap)
+            lb2 = sum(gaps[1:], gaps[0])
+            probes = probes.filter((F.col("_r") == inf) | (lb2 <= F.col("_r") * F.col("_r")))
+        else:
+            shifted = {}
+        probes = probes.select("_qid", *qf, key([shifted.get(i, F.col(f"_c{i}")) for i in range(d)]).alias("_key"))
+        cand = probes.join(tcells, "_key").drop("_key")
         d2 = sum(((F.col(q) - F.col(f)) * (F.col(q) - F.col(f)) for f, q in zip(features, qf)), F.lit(0))
         cand = cand.withColumn("_d2", d2.cast("double"))
         # row_number <= k: Spark limits each group per map task before the
@@ -79,28 +141,33 @@ def knn_vectors(train: DataFrame, queries: DataFrame, features: Sequence[str], l
                 .withColumn("_cum", F.sum("_w").over(w_cum))
                 .withColumn("_take", F.greatest(F.lit(0), F.least(F.col("_w"), F.lit(k) - (F.col("_cum") - F.col("_w")))))
                 .persist(StorageLevel.MEMORY_AND_DISK))
-        stats = near.groupBy(*qf).agg(F.min(F.when(F.col("_cum") >= k, F.col("_d2"))).alias("_kth"))
-        settled = stats if final else stats.filter(F.col("_kth") <= width * width)
-        votes = near.filter(F.col("_take") > 0).groupBy(*qf, label).agg(F.sum("_take").alias("_votes"))
-        best = top_k(votes, qf, [F.desc("_votes"), F.asc(label)], k=1)
-        done = cut_lineage(best.join(settled.select(*qf), qf).select(*qf, F.col(label).alias("prediction")))
-        results.append(done)
-        near.unpersist()
-        if final:
+        stats = near.groupBy("_qid").agg(F.min(F.when(F.col("_cum") >= k, F.col("_d2"))).alias("_kth"))
+        qstats = pending.select("_qid", r_lo.alias("_rlo"), r_hi.alias("_rhi")).join(stats, "_qid", "left")
+        covered = (F.col("_rlo") == inf) & (F.col("_rhi") == inf)
+        inside = (F.col("_kth") <= F.col("_rlo") * F.col("_rlo")) & (F.col("_kth") < F.col("_rhi") * F.col("_rhi"))
+        settled = qstats.filter(covered | inside)
+        votes = near.filter(F.col("_take") > 0).groupBy("_qid", label).agg(F.sum("_take").alias("_votes"))
+        best = top_k(votes, ["_qid"], [F.desc("_votes"), F.asc(label)], k=1)
+        done = cut_lineage(settled.select("_qid").join(best, "_qid", "left")
+                           .select("_qid", F.col(label).alias("prediction")))
+        results.append(pending.join(done, "_qid").select(*qf, "prediction"))
+        if not active:
+            near.unpersist()
             break
-        pending = cut_lineage(pending.join(done.select(*qf), qf, "left_anti"))
+        pending = cut_lineage(pending.join(done.select("_qid"), "_qid", "left_anti"))
+        near.unpersist()
         if pending.isEmpty():
             break
         width *= growth
     tw.unpersist()
     out = results[0]
-    for r in results[1:]:
-        out = out.unionByName(r)
+    for part in results[1:]:
+        out = out.unionByName(part)
     return out.select(*[F.col(q).alias(f) for f, q in zip(features, qf)], "prediction")
 
 
 def knn_predict(train: DataFrame, test: DataFrame, features: Sequence[str], label: str, k: int = 25,
-                cell: float = 4.0, growth: float = 4.0) -> DataFrame:
+                cell: float = 2.0, growth: float = 1.5) -> DataFrame:
     """``test`` rows with a ``prediction`` column (null if a feature is null
     or the training set is empty)."""
     preds = knn_vectors(train, test, features, label, k, cell, growth)
