@@ -41,8 +41,11 @@ from ..session import cut_lineage
 
 
 def knn_vectors(train: DataFrame, queries: DataFrame, features: Sequence[str], label: str, k: int = 25,
-                cell: float = 2.0, growth: float = 1.5) -> DataFrame:
-    """Prediction per distinct query feature vector: ``(features..., prediction)``."""
+                cell: float | None = None, growth: float = 1.5) -> DataFrame:
+    """Prediction per distinct query feature vector: ``(features..., prediction)``.
+
+    ``cell`` is the starting cell width (default: from the data density);
+    it changes the work, never the answer."""
     features = list(features)
     d = len(features)
     qf = [f"q_{f}" for f in features]
@@ -69,6 +72,14 @@ def knn_vectors(train: DataFrame, queries: DataFrame, features: Sequence[str], l
     w_rank = Window.partitionBy("_qid").orderBy(*order)
     w_cum = w_rank.rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
+    if cell is None:
+        # Start where a cell block is expected to hold about k rows: side of a
+        # cube holding k rows at the mean density over the occupied ranges.
+        total = float(tw.agg(F.sum("_w")).first()[0] or 0.0)
+        occupied = [s_ + 1.0 for s_ in span if s_ > 0]
+        volume = math.prod(occupied) if occupied else 1.0
+        side = (k * volume / max(total, 1.0)) ** (1.0 / max(len(occupied), 1))
+        cell = max(1.0, 0.75 * side)
     results: list[DataFrame] = []
     width = float(cell)
     while True:
@@ -167,7 +178,7 @@ def knn_vectors(train: DataFrame, queries: DataFrame, features: Sequence[str], l
 
 
 def knn_predict(train: DataFrame, test: DataFrame, features: Sequence[str], label: str, k: int = 25,
-                cell: float = 2.0, growth: float = 1.5) -> DataFrame:
+                cell: float | None = None, growth: float = 1.5) -> DataFrame:
     """``test`` rows with a ``prediction`` column (null if a feature is null
     or the training set is empty)."""
     preds = knn_vectors(train, test, features, label, k, cell, growth)
