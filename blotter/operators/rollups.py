@@ -5,8 +5,8 @@ neighbourhood, month, hour).  :func:`rollups` scans the incident table once
 into one partially aggregated base ``(year, month, hour, type,
 neighbourhood, n)`` - bounded by the product of the dimension
 cardinalities, not by the row count - and derives all five result tables
-from it.  :func:`rollup_grouping_sets` gives the same counts as one
-``GROUPING SETS`` query (one scan, one shuffle) in long form.
+from it.  :func:`rollup_grouping_sets` gives the same counts in long form
+with one ``GROUPING SETS`` aggregate over that base (still one scan).
 """
 
 from __future__ import annotations
@@ -52,11 +52,16 @@ def rollups(incidents: DataFrame, base: DataFrame | None = None) -> dict[str, Da
 
 def rollup_grouping_sets(incidents: DataFrame, grains: Sequence[str] = tuple(ROLLUP_GRAINS)) -> DataFrame:
     """All rollups in one pass: ``(grain, year, type, neighbourhood, month,
-    hour, count)``; columns outside a row's grain are null."""
+    hour, count)``; columns outside a row's grain are null.
+
+    The incident table is scanned once into the base aggregate; the grouping
+    sets (an ``Expand`` of every row once per grain) then run on that small
+    base, not on the raw rows."""
     dims = ["year", "type", "neighbourhood", "month", "hour"]
+    base = rollup_base(incidents)
     sets = [[F.col(c) for c in ROLLUP_GRAINS[g]] for g in grains]
-    agg = incidents.select(*dims).groupingSets(sets, *dims).agg(
-        F.count(F.lit(1)).alias("count"), F.grouping_id(*dims).alias("_gid"))
+    agg = base.groupingSets(sets, *dims).agg(
+        F.sum("count").alias("count"), F.grouping_id(*dims).alias("_gid"))
     # grouping_id bit i (from the left, most significant first) is 1 when
     # dims[i] is aggregated away.
     def gid(grain: str) -> int:

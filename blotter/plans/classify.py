@@ -80,11 +80,13 @@ class TrainedModel:
     predictions: DataFrame
 
 
-def _fit_indexers(rows: DataFrame) -> tuple[StringIndexerModel, StringIndexerModel, StringIndexerModel]:
+def _fit_indexers(rows: DataFrame) -> tuple[StringIndexerModel, StringIndexerModel]:
+    """Label indexer and one two-column indexer for the place features (one
+    pass over the rows for both place columns)."""
     label = StringIndexer(inputCol="target", outputCol="indexedLabel", handleInvalid="keep").fit(rows)
-    nbr = StringIndexer(inputCol="neighbourhood", outputCol="indexedNbr", handleInvalid="keep").fit(rows)
-    hb = StringIndexer(inputCol="hundred_block", outputCol="indexedHb", handleInvalid="keep").fit(rows)
-    return label, nbr, hb
+    places = StringIndexer(inputCols=["neighbourhood", "hundred_block"], outputCols=["indexedNbr", "indexedHb"],
+                           handleInvalid="keep").fit(rows)
+    return label, places
 
 
 def train_category_model(rows: DataFrame, classifier: str = "rf", num_trees: int = 10,
@@ -96,9 +98,10 @@ def train_category_model(rows: DataFrame, classifier: str = "rf", num_trees: int
     the split is ``split_bucket(id) < train_percent``.  The forest's
     ``maxBins`` defaults to the block cardinality + 1, because the block
     index is a categorical feature and Spark needs one bin per category."""
-    label, nbr, hb = _fit_indexers(rows)
+    label, places = _fit_indexers(rows)
+    nbr_labels, hb_labels = places.labelsArray
     if max_bins is None:
-        max_bins = max(32, len(hb.labelsArray[0]) + 1, len(nbr.labelsArray[0]) + 1)
+        max_bins = max(32, len(hb_labels) + 1, len(nbr_labels) + 1)
     assembler = VectorAssembler(inputCols=NUMERIC_FEATURES + ["indexedNbr", "indexedHb"],
                                 outputCol="indexedFeatures", handleInvalid="keep")
     if classifier == "rf":
@@ -113,7 +116,7 @@ def train_category_model(rows: DataFrame, classifier: str = "rf", num_trees: int
     bucket = split_bucket("id")
     train = rows.filter(bucket < train_percent)
     test = rows.filter(bucket >= train_percent)
-    model = Pipeline(stages=[label, nbr, hb, assembler, est, to_label]).fit(train)
+    model = Pipeline(stages=[label, places, assembler, est, to_label]).fit(train)
     return TrainedModel(model, train, test, model.transform(test))
 
 
@@ -156,8 +159,7 @@ def score_requests(model: PipelineModel, requests: DataFrame) -> DataFrame:
     if the neighbourhood or the block was never seen in training, else
     ``ok``; ``prediction`` is the capitalised category for ``ok`` rows and
     an empty string otherwise."""
-    nbr, hb = model.stages[1], model.stages[2]
-    n_nbr, n_hb = len(nbr.labelsArray[0]), len(hb.labelsArray[0])
+    n_nbr, n_hb = (len(labels) for labels in model.stages[1].labelsArray)
     missing = F.lit(False)
     for c in FEATURES:
         missing = missing | F.col(c).isNull()
