@@ -619,3 +619,39 @@ def q_score_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     last = inc.agg(F.max("year").alias("year"))
     requests = inc.join(F.broadcast(last), "year").select(F.col("id").alias("request_id"), *classify.FEATURES)
     return classify.score_requests(model, requests)
+
+
+# ------------------------------------------------------ row selection, dims
+_NOT_NULL_SQL = _ROWS_SQL[_ROWS_SQL.index("WHERE id IS NOT NULL"):_ROWS_SQL.index("AND type NOT IN")]
+
+
+@register("training_rows_include", _INC + f"""
+SELECT id, year, month, hour, neighbourhood, hundred_block, type AS target FROM incidents
+{_NOT_NULL_SQL} AND type IN ({", ".join(f"'{c}'" for c in RF_TARGETS)}) AND x <> 0 AND y <> 0
+""")
+def q_training_rows_include(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Category list, complete rows, both coordinates non-zero."""
+    return _rf_rows(spark, sf_dir)
+
+
+@register("training_rows_exclude", _INC + f"""
+SELECT id, year, month, hour, neighbourhood, hundred_block, type AS target FROM incidents
+{_NOT_NULL_SQL} AND type NOT IN ({", ".join(f"'{c}'" for c in KNN_EXCLUDE)}) AND hundred_block <> 'machinery 0'
+  AND x <> 0 AND y <> 0
+""")
+def q_training_rows_exclude(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Excluded categories and an excluded block value."""
+    return classify.training_rows(td.incidents(spark, sf_dir), include=None, exclude=KNN_EXCLUDE,
+                                  drop_blocks=("machinery 0",))
+
+
+@register("neighbourhood_centroids", _INC + """
+SELECT neighbourhood, CAST(round(avg(x), 9) AS DECIMAL(13, 9)) AS lat, CAST(round(avg(y), 9) AS DECIMAL(13, 9)) AS lon
+FROM incidents WHERE x <> 0 AND y <> 0 GROUP BY neighbourhood
+""")
+def q_neighbourhood_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Centroids compared at 1e-9 degrees: the order of a distributed sum is
+    not fixed, so the last bits of a double average are not either."""
+    from .operators import dims
+    c = dims.derived_point_dim(td.incidents(spark, sf_dir))
+    return c.select("neighbourhood", *[F.round(col, 9).cast("decimal(13,9)").alias(col) for col in ("lat", "lon")])
