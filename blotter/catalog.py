@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from .functions import geo, text, timefn
 from .operators import cleaning, holidays, hotspots, metrics, rollups
 from .plans import classify, dashboard, knn
+from .session import cut_lineage
 from .sources import testdata as td
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -463,14 +464,17 @@ def _encoded_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Training rows with alphabetical codes: ``label``, ``nbr``, ``hb``."""
     rows = classify.training_rows(td.incidents(spark, sf_dir), include=None, exclude=KNN_EXCLUDE,
                                   strict_coordinates=True)
-    rows = classify.encode(rows, "target", classify.label_table(rows, "target"), "label")
-    rows = classify.encode(rows, "neighbourhood", classify.label_table(rows, "neighbourhood"), "nbr")
-    rows = classify.encode(rows, "hundred_block", classify.label_table(rows, "hundred_block"), "hb")
+    tables = classify.label_tables(rows, ["target", "neighbourhood", "hundred_block"])
+    rows = classify.encode(rows, "target", tables["target"], "label")
+    rows = classify.encode(rows, "neighbourhood", tables["neighbourhood"], "nbr")
+    rows = classify.encode(rows, "hundred_block", tables["hundred_block"], "hb")
     return rows.withColumn("bucket", classify.split_bucket("id"))
 
 
 def _knn_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _encoded_rows(spark, sf_dir)
+    # Encoded rows feed the training side, the queries and the label
+    # decoding: written once to the checkpoint folder instead of recomputed.
+    rows = cut_lineage(_encoded_rows(spark, sf_dir))
     train = rows.filter(F.col("bucket") < KNN_TRAIN_PERCENT)
     test = rows.filter(F.col("bucket") >= KNN_TRAIN_PERCENT)
     pred = knn.knn_predict(train, test, KNN_FEATURES, "label", k=KNN_K)

@@ -181,11 +181,17 @@ def score_requests(model: PipelineModel, requests: DataFrame) -> DataFrame:
 def label_table(df: DataFrame, col: str) -> DataFrame:
     """``(value, code int)``: alphabetical codes 0..n-1 of a column's
     distinct non-null values (StringIndexer, ``alphabetAsc``)."""
-    model = StringIndexer(inputCol=col, outputCol="_code", stringOrderType="alphabetAsc",
-                          handleInvalid="skip").fit(df.select(col).dropna())
-    labels = model.labelsArray[0]
+    return label_tables(df, [col])[col]
+
+
+def label_tables(df: DataFrame, cols: Sequence[str]) -> dict[str, DataFrame]:
+    """:func:`label_table` for several columns from one pass over ``df``."""
+    cols = list(cols)
+    model = StringIndexer(inputCols=cols, outputCols=[f"_code_{c}" for c in cols], stringOrderType="alphabetAsc",
+                          handleInvalid="skip").fit(df.select(*cols))
     spark = df.sparkSession
-    return spark.createDataFrame(list(enumerate(labels)), "code int, value string").select("value", "code")
+    return {c: spark.createDataFrame(list(enumerate(labels)), "code int, value string").select("value", "code")
+            for c, labels in zip(cols, model.labelsArray)}
 
 
 def encode(df: DataFrame, col: str, table: DataFrame, out: str | None = None) -> DataFrame:
