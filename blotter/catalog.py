@@ -313,8 +313,7 @@ def q_holiday_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT year, count, holiday FROM per WHERE holiday IN (SELECT holiday FROM top)
 """)
 def q_holiday_top3_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
-    inc = td.incidents(spark, sf_dir)
-    return holidays.holiday_top_by_year(inc, _calendar_for(inc), k=3)
+    return holidays.holiday_top_by_year(td.incidents(spark, sf_dir), k=3)
 
 
 @register("holiday_top3_recent", _INC + "," + CALENDAR_SQL + f"""
@@ -322,8 +321,7 @@ SELECT holiday, count(*) AS count FROM hd WHERE year >= {RECENT_SINCE}
 GROUP BY holiday ORDER BY count DESC, holiday LIMIT 3
 """)
 def q_holiday_top3_recent(spark: SparkSession, sf_dir: str) -> DataFrame:
-    inc = td.incidents(spark, sf_dir)
-    return holidays.holiday_ranking(inc, _calendar_for(inc), k=3, since_year=RECENT_SINCE)
+    return holidays.holiday_ranking(td.incidents(spark, sf_dir), k=3, since_year=RECENT_SINCE)
 
 
 @register("holiday_share", _INC + "," + CALENDAR_SQL + """
@@ -335,8 +333,7 @@ SELECT count(*) AS incidents,
 FROM incidents i
 """)
 def q_holiday_share(spark: SparkSession, sf_dir: str) -> DataFrame:
-    inc = td.incidents(spark, sf_dir)
-    return holidays.holiday_share(inc, _calendar_for(inc))
+    return holidays.holiday_share(td.incidents(spark, sf_dir))
 
 
 # ---------------------------------------------------------------- cleaning

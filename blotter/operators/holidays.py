@@ -1,12 +1,13 @@
 """Holiday effects: incidents on public holidays.
 
-Plan: the incident table is first reduced to daily counts ``(year, month,
-day, n)`` with a partial aggregate (at most 366 rows a year, whatever the
-volume, and a date holding a third of all rows is pre-aggregated in every
-map task).  Only those daily counts meet the calendar, with a broadcast of
-the calendar (bounded: a dozen rows a year).  Ranking and the per-year
-breakdown run on the joined daily rows; the top-k holidays never go to the
-driver, they are joined back as a k-row broadcast.
+Plan: the incident table is scanned once and reduced to daily counts
+``(year, month, day, n)`` with a partial aggregate (at most 366 rows a
+year, whatever the volume, and a date holding a third of all rows is
+pre-aggregated in every map task).  Only those daily counts meet the
+calendar: either the statutory rules as a column expression (no join at
+all) or a calendar table joined as a checked broadcast.  Ranking and the
+per-year breakdown run on the tagged daily rows; the top-k holidays never
+go to the driver.
 
 Calendars come either from a tab-separated file (:func:`read_calendar`) or
 from the provincial statutory-holiday rules (:func:`statutory_calendar`),
@@ -17,11 +18,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.timefn import parse_us_date
+from .dims import broadcast_checked
 
 CALENDAR_SCHEMA = T.StructType([
     T.StructField("date", T.DateType(), True),
@@ -121,6 +123,17 @@ def statutory_calendar(years: DataFrame, extra: Sequence[tuple[str, str]] = ())
     return cal
 
 
+def statutory_holiday(year: str | Column, month: str | Column, day: str | Column) -> Column:
+    """Name of the statutory holiday falling on ``(year, month, day)``, or
+    null: the holiday rules evaluated as one column expression, so tagging
+    needs neither a calendar table nor a join."""
+    y, m, d = (F.col(c) if isinstance(c, str) else c for c in (year, month, day))
+    out = F.lit(None).cast("string")
+    for name, date in reversed(_holiday_dates(y)):
+        out = F.when((F.month(date) == m) & (F.dayofmonth(date) == d), F.lit(name)).otherwise(out)
+    return out
+
+
 def daily_counts(incidents: DataFrame) -> DataFrame:
     """``(year, month, day, n)`` incidents per calendar day."""
     return incidents.groupBy("year", "month", "day").agg(F.count(F.lit(1)).alias("n"))
@@ -131,15 +144,21 @@ def _calendar_keys(calendar: DataFrame) -> DataFrame:
                            F.dayofmonth("date").alias("day"), "holiday")
 
 
-def holiday_daily(incidents: DataFrame, calendar: DataFrame) -> DataFrame:
-    """Daily incident counts on holidays: ``(year, month, day, holiday, n)``
-    (inner join on the date; a date listed under two names counts for
-    both, as in an equi-join of the raw rows)."""
-    # The calendar is bounded (a few rows per year); broadcast it.
-    return daily_counts(incidents).join(F.broadcast(_calendar_keys(calendar)), ["year", "month", "day"])
+def holiday_daily(incidents: DataFrame, calendar: DataFrame | None = None) -> DataFrame:
+    """Daily incident counts on holidays: ``(year, month, day, holiday, n)``.
 
+    ``calendar=None`` tags days with :func:`statutory_holiday` (no join).  A
+    calendar table is joined on the date (inner; a date listed under two
+    names counts for both, as in an equi-join of the raw rows) after a
+    bounded size check for the broadcast."""
+    daily = daily_counts(incidents)
+    if calendar is None:
+        tagged = daily.withColumn("holiday", statutory_holiday("year", "month", "day"))
+        return tagged.filter(F.col("holiday").isNotNull()).select("year", "month", "day", "holiday", "n")
+    return daily.join(broadcast_checked(_calendar_keys(calendar)), ["year", "month", "day"])
 
-def holiday_ranking(incidents: DataFrame, calendar: DataFrame, k: int = 3,
+
+def holiday_ranking(incidents: DataFrame, calendar: DataFrame | None = None, k: int = 3,
                     since_year: int | None = None) -> DataFrame:
     """The ``k`` holidays with the most incidents (optionally only from
     ``since_year`` on): ``(holiday, count bigint)``, ties -> name order."""
@@ -148,23 +167,32 @@ def holiday_ranking(incidents: DataFrame, calendar: DataFrame, k: int = 3,
     return per.orderBy(F.desc("count"), F.asc("holiday")).limit(k)
 
 
-def holiday_top_by_year(incidents: DataFrame, calendar: DataFrame, k: int = 3) -> DataFrame:
+def holiday_top_by_year(incidents: DataFrame, calendar: DataFrame | None = None, k: int = 3) -> DataFrame:
     """For the ``k`` holidays with the most incidents over all years, the
     incidents on each of them per year: ``(year, count bigint, holiday)``.
-    Fewer than ``k`` holidays with incidents simply give fewer series."""
-    hd = holiday_daily(incidents, calendar)
-    per_year = hd.groupBy("holiday", "year").agg(F.sum("n").cast("bigint").alias("count"))
-    top = (per_year.groupBy("holiday").agg(F.sum("count").alias("total"))
-           .orderBy(F.desc("total"), F.asc("holiday")).limit(k).select("holiday"))
-    # ``top`` has at most k rows by construction.
-    return per_year.join(F.broadcast(top), "holiday").select("year", "count", "holiday")
+    Fewer than ``k`` holidays with incidents simply give fewer series.
+
+    The ranking runs on the per-(holiday, year) table, which holds at most
+    one row per holiday and year whatever the incident volume, so the
+    unpartitioned ranking window over it is small by construction; the
+    incident table is scanned once."""
+    per_year = (holiday_daily(incidents, calendar).groupBy("holiday", "year")
+                .agg(F.sum("n").cast("bigint").alias("count")))
+    total = F.sum("count").over(Window.partitionBy("holiday"))
+    ranked = per_year.withColumn("_total", total).withColumn(
+        "_rank", F.dense_rank().over(Window.orderBy(F.desc("_total"), F.asc("holiday"))))
+    return ranked.filter(F.col("_rank") <= k).select("year", "count", "holiday")
 
 
-def holiday_share(incidents: DataFrame, calendar: DataFrame) -> DataFrame:
+def holiday_share(incidents: DataFrame, calendar: DataFrame | None = None) -> DataFrame:
     """One row: ``incidents, on_holidays, share`` (share of incidents that
-    fall on a date of the calendar; each date counts once)."""
-    dates = _calendar_keys(calendar).select("year", "month", "day").distinct().withColumn("is_holiday", F.lit(1))
-    d = daily_counts(incidents).join(F.broadcast(dates), ["year", "month", "day"], "left")
+    fall on a holiday; each date counts once)."""
+    d = daily_counts(incidents)
+    if calendar is None:
+        d = d.withColumn("is_holiday", F.when(statutory_holiday("year", "month", "day").isNotNull(), F.lit(1)))
+    else:
+        dates = _calendar_keys(calendar).select("year", "month", "day").distinct().withColumn("is_holiday", F.lit(1))
+        d = d.join(broadcast_checked(dates), ["year", "month", "day"], "left")
     return d.agg(
         F.sum("n").cast("bigint").alias("incidents"),
         F.coalesce(F.sum(F.when(F.col("is_holiday") == 1, F.col("n"))), F.lit(0)).cast("bigint").alias("on_holidays"),

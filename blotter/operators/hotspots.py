@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import title_hyphenated
+from ..session import cut_lineage
 from .dims import has_point, with_district
 from .topk import top_k, top_k_with_ties
 
@@ -106,6 +107,10 @@ def least_district_top_blocks(incidents: DataFrame, districts: DataFrame,
         .groupBy("district", "neighbourhood", "hundred_block", "year")
         .agg(F.count(F.lit(1)).alias("n"))
     )
+    # The per-block table is small (one row per district, neighbourhood,
+    # block and year) and feeds two branches: materialise it once in the
+    # checkpoint folder so the incident table is scanned once.
+    per = cut_lineage(per)
     totals = (
         per.groupBy("district")
         .agg(F.sum("n").alias("total"), F.count_distinct("year").alias("n_years"))

@@ -186,3 +186,24 @@ def test_csv_round_trip(spark, tmp_path):
     bad.write_text("type,year,month,day,hour,minute,hundred_block,neighbourhood,x,y\nT,2020,1,1,1,1,B,N,abc,1.0\n")
     row = files.read_raw_incidents(spark, str(bad)).first()
     assert row.x is None and row.y == 1.0
+
+
+def test_rule_tagging_matches_rule_calendar(spark):
+    years = spark.range(1995, 2031).select(F.col("id").cast("int").alias("year"))
+    cal = holidays.statutory_calendar(years)
+    days = spark.range(0, 36 * 366).select(F.date_add(F.lit(dt.date(1995, 1, 1)), F.col("id").cast("int")).alias("d"))
+    tagged = days.select(F.year("d").alias("year"), F.month("d").alias("month"), F.dayofmonth("d").alias("day"))
+    tagged = tagged.withColumn("holiday", holidays.statutory_holiday("year", "month", "day")).filter("holiday is not null")
+    got = {(dt.date(r.year, r.month, r.day), r.holiday) for r in tagged.filter("year <= 2030").collect()}
+    assert got == {(r.date, r.holiday) for r in cal.collect()}
+
+
+def test_holidays_with_calendar_table(spark):
+    rows = [(2020, 7, 1)] * 5 + [(2020, 1, 1)] * 3 + [(2020, 3, 3)] * 2
+    inc = spark.createDataFrame(rows, "year int, month int, day int")
+    cal = spark.createDataFrame([(dt.date(2020, 7, 1), "Canada Day"), (dt.date(2020, 3, 3), "Test Day")],
+                                "date date, holiday string")
+    top = holidays.holiday_top_by_year(inc, cal, k=3)
+    assert sorted(map(tuple, top.collect())) == [(2020, 2, "Test Day"), (2020, 5, "Canada Day")]
+    share = holidays.holiday_share(inc, cal).first()
+    assert (share.incidents, share.on_holidays) == (10, 7)
