@@ -194,6 +194,15 @@ def label_tables(df: DataFrame, cols: Sequence[str]) -> dict[str, DataFrame]:
             for c, labels in zip(cols, model.labelsArray)}
 
 
+def save_label_table(table: DataFrame, path: str) -> None:
+    """Label codes as parquet (the portable form of a label map)."""
+    table.write.mode("overwrite").parquet(path)
+
+
+def load_label_table(spark, path: str) -> DataFrame:
+    return spark.read.schema("value string, code int").parquet(path)
+
+
 def encode(df: DataFrame, col: str, table: DataFrame, out: str | None = None) -> DataFrame:
     """Add ``out`` (default ``<col>_code``); null for values not in the
     table.  The table is broadcast only after a bounded size check."""

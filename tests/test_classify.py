@@ -109,3 +109,12 @@ def test_label_codes_round_trip(spark):
     coded = classify.encode(rows, "neighbourhood", table, "code")
     back = classify.decode(coded, "code", table, "decoded")
     assert back.filter(F.col("decoded") != F.col("neighbourhood")).count() == 0
+
+
+def test_label_table_save_load(spark, tmp_path):
+    rows = _rows(spark, 30)
+    table = classify.label_table(rows, "hundred_block")
+    path = str(tmp_path / "labels")
+    classify.save_label_table(table, path)
+    back = classify.load_label_table(spark, path)
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, table.collect()))

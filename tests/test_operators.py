@@ -207,3 +207,16 @@ def test_holidays_with_calendar_table(spark):
     assert sorted(map(tuple, top.collect())) == [(2020, 2, "Test Day"), (2020, 5, "Canada Day")]
     share = holidays.holiday_share(inc, cal).first()
     assert (share.incidents, share.on_holidays) == (10, 7)
+
+
+def test_inferred_csv_and_clean_csv(spark, tmp_path):
+    p = tmp_path / "c.csv"
+    p.write_text("year,type,x\n2020,theft,1.5\n2021,mischief,2.0\n")
+    df = files.read_csv_inferred(spark, str(p))
+    assert dict(df.dtypes) == {"year": "int", "type": "string", "x": "double"}
+    inc = spark.createDataFrame([("a", "theft", dt.datetime(2020, 1, 2, 3, 4), 2020, 1, 2, 3, 4, "sunset", 49.2, -123.1,
+                                  "main st", 49.21, -123.11)], files.CLEAN_SCHEMA)
+    out = str(tmp_path / "clean_csv")
+    files.write_csv(inc, out, single_file=True)
+    back = files.read_clean_incidents(spark, out, fmt="csv")
+    assert [tuple(r) for r in back.collect()] == [tuple(r) for r in inc.collect()]

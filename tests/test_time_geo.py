@@ -57,3 +57,9 @@ def test_utm_known_point_and_range(spark):
     got = df.select(la.alias("la"), lo.alias("lo")).collect()
     assert abs(got[0].lo + 123.0) < 1e-12 and 49.0 < got[0].la < 49.5
     assert all(r.la is None and r.lo is None for r in got[1:])
+
+
+def test_fractional_hour(spark):
+    df = spark.createDataFrame([(10, 30), (0, 0), (23, 59)], "h int, m int")
+    got = [r.t for r in df.select(timefn.fractional_hour("h", "m").alias("t")).collect()]
+    assert got == [10.5, 0.0, 23 + 59 / 60]
