@@ -39,6 +39,10 @@ from pyspark.sql import functions as F
 from ..operators.topk import top_k
 from ..session import cut_lineage
 
+# Low-dimensional features only (the category model uses five): the probe
+# set grows as 3^d.
+MAX_DIMS = 8
+
 
 def knn_vectors(train: DataFrame, queries: DataFrame, features: Sequence[str], label: str, k: int = 25,
                 cell: float | None = None, growth: float = 1.5) -> DataFrame:
@@ -48,6 +52,8 @@ def knn_vectors(train: DataFrame, queries: DataFrame, features: Sequence[str], l
     it changes the work, never the answer."""
     features = list(features)
     d = len(features)
+    if d > MAX_DIMS:
+        raise ValueError(f"grid kNN probes 3^d cells; {d} features is beyond the supported {MAX_DIMS}")
     qf = [f"q_{f}" for f in features]
     tw = train.select(*features, label).dropna().groupBy(*features, label).agg(F.count(F.lit(1)).alias("_w"))
     tw = tw.persist(StorageLevel.MEMORY_AND_DISK)
