@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Rows up to which a dimension is broadcast without a second thought.
-DEFAULT_BROADCAST_ROWS = 1_000_000
+DEFAULT_BROADCAST_ROWS = 100_000
 
 # The city's four police districts and the neighbourhoods in
 # each (lower case, as stored in the clean table).  District 1: west end,
