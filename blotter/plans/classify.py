@@ -98,6 +98,8 @@ def train_category_model(rows: DataFrame, classifier: str = "rf", num_trees: int
     the split is ``split_bucket(id) < train_percent``.  The forest's
     ``maxBins`` defaults to the block cardinality + 1, because the block
     index is a categorical feature and Spark needs one bin per category."""
+    if rows.isEmpty():
+        raise ValueError("no training rows (check the category list and the coordinate filter)")
     label, places = _fit_indexers(rows)
     nbr_labels, hb_labels = places.labelsArray
     if max_bins is None:
