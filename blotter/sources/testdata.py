@@ -13,6 +13,10 @@ plus customer key modulo 20, incident position and neighbourhood point from
 keys with some zeros so that the coordinate filters have work to do.
 District dimension: nation -> region key for the first 24 nations (one
 neighbourhood is left unmapped on purpose).
+
+Key arithmetic (``key % n``) only decides which rows carry a variation
+(a zero coordinate, a null, an extra duplicate copy); no adapter drops rows
+of the source tables, so every job runs over the whole tables.
 """
 
 from __future__ import annotations

@@ -220,3 +220,15 @@ def test_inferred_csv_and_clean_csv(spark, tmp_path):
     files.write_csv(inc, out, single_file=True)
     back = files.read_clean_incidents(spark, out, fmt="csv")
     assert [tuple(r) for r in back.collect()] == [tuple(r) for r in inc.collect()]
+
+
+def test_topk_helpers_and_display(spark):
+    from blotter.operators import topk
+    df = spark.createDataFrame([("a", "x", 3), ("a", "y", 3), ("a", "z", 1), ("b", "x", 2)], "g string, k string, n int")
+    ties = topk.top_k_with_ties(df, ["g"], [F.desc("n")], k=1)
+    assert sorted(map(tuple, ties.collect())) == [("a", "x", 3), ("a", "y", 3), ("b", "x", 2)]
+    one = topk.top_k(df, ["g"], [F.desc("n"), F.asc("k")], k=1)
+    assert sorted(map(tuple, one.collect())) == [("a", "x", 3), ("b", "x", 2)]
+    shown = hotspots.display(spark.createDataFrame([(2021, "a st", 3, 1)], "year int, hundred_block string, "
+                                                   "total_crime bigint, district int"), hotspots.HOT_BLOCK_DISPLAY)
+    assert shown.columns == ["Year", "Hundred Block", "Total Crime", "District"]
