@@ -4,10 +4,12 @@ Plan: the incident table is scanned once and reduced to daily counts
 ``(year, month, day, n)`` with a partial aggregate (at most 366 rows a
 year, whatever the volume, and a date holding a third of all rows is
 pre-aggregated in every map task).  Only those daily counts meet the
-calendar: either the statutory rules as a column expression (no join at
-all) or a calendar table joined as a checked broadcast.  Ranking and the
-per-year breakdown run on the tagged daily rows; the top-k holidays never
-go to the driver.
+calendar, a broadcast of a few thousand rows: a calendar file, or the
+statutory rules for a fixed range of years (no pass over the incidents is
+needed to find their years).  :func:`statutory_calendar` evaluates the same
+rules as Spark expressions for the years of any frame.  Ranking and the per-year
+breakdown run on the joined daily rows; the top-k holidays never go to the
+driver.
 
 Calendars come either from a tab-separated file (:func:`read_calendar`) or
 from the provincial statutory-holiday rules (:func:`statutory_calendar`),
@@ -16,6 +18,7 @@ evaluated by Spark for the years present in the data.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -46,6 +49,9 @@ CALENDAR_SCHEMA = T.StructType([
 # 2018-06-21 National Aboriginal Day) are passed in as ``extra`` rows.
 FAMILY_DAY_THIRD_MONDAY_FROM = 2019
 
+# Years covered by the generated calendar when no calendar table is given.
+RULE_YEARS = (1900, 2100)
+
 
 def read_calendar(spark: SparkSession, path: str) -> DataFrame:
     """Tab-separated calendar file without header: ``month abbreviation,
@@ -68,33 +74,29 @@ def _nth_monday(year: Column, month: int, n: int | Column) -> Column:
     return F.date_add(_first_weekday(year, month, 2), (F.lit(n) if isinstance(n, int) else n) * 7 - 7)
 
 
-def _easter_sunday(y: Column) -> Column:
-    """Gregorian Easter Sunday (anonymous algorithm, integer arithmetic)."""
+def _with_easter(ys: DataFrame) -> DataFrame:
+    """Add ``_easter`` (Gregorian Easter Sunday of ``year``; anonymous
+    algorithm in integer arithmetic).  Intermediate terms are columns of
+    their own, computed once per row."""
     def div(a: Column, b: int) -> Column:
         return F.floor(a / F.lit(b)).cast("int")
-    a = y % 19
-    b = div(y, 100)
-    c = y % 100
-    d = div(b, 4)
-    e = b % 4
-    f = div(b + 8, 25)
-    g = div(b - f + 1, 3)
-    h = (a * 19 + b - d - g + 15) % 30
-    i = div(c, 4)
-    k = c % 4
-    l_ = (e * 2 + i * 2 - h - k + 32) % 7
-    m = div(a + h * 11 + l_ * 22, 451)
-    t = h + l_ - m * 7 + 114
-    return F.make_date(y, div(t, 31), t % 31 + 1)
-
-
-def _holiday_dates(y: Column) -> list[tuple[str, Column]]:
+    y = F.col("year")
+    ys = ys.withColumns({"_a": y % 19, "_b": div(y, 100), "_c": y % 100})
+    b, c = F.col("_b"), F.col("_c")
+    ys = ys.withColumn("_h", (F.col("_a") * 19 + b - div(b, 4) - div(b - div(b + 8, 25) + 1, 3) + 15) % 30)
+    ys = ys.withColumn("_l", ((b % 4) * 2 + div(c, 4) * 2 - F.col("_h") - c % 4 + 32) % 7)
+    ys = ys.withColumn("_m", div(F.col("_a") + F.col("_h") * 11 + F.col("_l") * 22, 451))
+    ys = ys.withColumn("_t", F.col("_h") + F.col("_l") - F.col("_m") * 7 + 114)
+    return ys.withColumn("_easter", F.make_date(y, div(F.col("_t"), 31), F.col("_t") % 31 + 1))
+
+
+def _holiday_dates(y: Column, easter: Column) -> list[tuple[str, Column]]:
     family_n = F.when(y >= FAMILY_DAY_THIRD_MONDAY_FROM, F.lit(3)).otherwise(F.lit(2))
     may24 = F.make_date(y, F.lit(5), F.lit(24))
     return [
         ("New Year's Day", F.make_date(y, F.lit(1), F.lit(1))),
         ("Family Day", _nth_monday(y, 2, family_n)),
-        ("Good Friday", F.date_sub(_easter_sunday(y), 2)),
+        ("Good Friday", F.date_sub(easter, 2)),
         ("Victoria Day", F.date_sub(may24, (F.dayofweek(may24) + 5) % 7)),
         ("Canada Day", F.make_date(y, F.lit(7), F.lit(1))),
         ("Civic Holiday", _nth_monday(y, 8, 1)),
@@ -108,13 +110,14 @@ def _holiday_dates(y: Column) -> list[tuple[str, Column]]:
 
 def statutory_calendar(years: DataFrame, extra: Sequence[tuple[str, str]] = ()) -> DataFrame:
     """Holiday calendar for the distinct ``year`` values of ``years`` (any
-    frame with an int ``year`` column, typically the incident table: the
-    distinct years are found by a partial aggregate), plus ``extra``
-    ``(yyyy-MM-dd, name)`` one-off days.  -> ``(date, holiday)``."""
+    frame with an int ``year`` column), plus ``extra`` ``(yyyy-MM-dd,
+    name)`` one-off days.  -> ``(date, holiday)``: one column per holiday,
+    then ``unpivot`` to rows."""
     ys = years.select(F.col("year").cast("int").alias("year")).filter(F.col("year").isNotNull()).distinct()
-    y = F.col("year")
-    entries = F.array(*[F.struct(F.lit(name).alias("holiday"), d.alias("date")) for name, d in _holiday_dates(y)])
-    cal = ys.select(F.inline(entries)).select("date", "holiday")
+    ys = _with_easter(ys)
+    rules = _holiday_dates(F.col("year"), F.col("_easter"))
+    wide = ys.select("year", *[d.alias(name) for name, d in rules])
+    cal = wide.unpivot("year", [name for name, _ in rules], "holiday", "date").select("date", "holiday")
     if extra:
         spark = years.sparkSession
         more = spark.createDataFrame([(d, n) for d, n in extra], "d string, holiday string").select(
@@ -123,17 +126,6 @@ def statutory_calendar(years: DataFrame, extra: Sequence[tuple[str, str]] = ())
     return cal
 
 
-def statutory_holiday(year: str | Column, month: str | Column, day: str | Column) -> Column:
-    """Name of the statutory holiday falling on ``(year, month, day)``, or
-    null: the holiday rules evaluated as one column expression, so tagging
-    needs neither a calendar table nor a join."""
-    y, m, d = (F.col(c) if isinstance(c, str) else c for c in (year, month, day))
-    out = F.lit(None).cast("string")
-    for name, date in reversed(_holiday_dates(y)):
-        out = F.when((F.month(date) == m) & (F.dayofmonth(date) == d), F.lit(name)).otherwise(out)
-    return out
-
-
 def daily_counts(incidents: DataFrame) -> DataFrame:
     """``(year, month, day, n)`` incidents per calendar day."""
     return incidents.groupBy("year", "month", "day").agg(F.count(F.lit(1)).alias("n"))
@@ -144,18 +136,52 @@ def _calendar_keys(calendar: DataFrame) -> DataFrame:
                            F.dayofmonth("date").alias("day"), "holiday")
 
 
+def _rule_dates(year: int) -> list[tuple[dt.date, str]]:
+    """The statutory rules of one year in plain date arithmetic (the same
+    rules as :func:`_holiday_dates`)."""
+    def nth_monday(month: int, n: int) -> dt.date:
+        first = dt.date(year, month, 1)
+        return first + dt.timedelta(days=(7 - first.weekday()) % 7 + 7 * (n - 1))
+    a, b, c = year % 19, year // 100, year % 100
+    h = (19 * a + b - b // 4 - (b - (b + 8) // 25 + 1) // 3 + 15) % 30
+    l_ = (32 + 2 * (b % 4) + 2 * (c // 4) - h - c % 4) % 7
+    m = (a + 11 * h + 22 * l_) // 451
+    easter = dt.date(year, (h + l_ - 7 * m + 114) // 31, (h + l_ - 7 * m + 114) % 31 + 1)
+    may24 = dt.date(year, 5, 24)
+    return [
+        (dt.date(year, 1, 1), "New Year's Day"),
+        (nth_monday(2, 3 if year >= FAMILY_DAY_THIRD_MONDAY_FROM else 2), "Family Day"),
+        (easter - dt.timedelta(days=2), "Good Friday"),
+        (may24 - dt.timedelta(days=may24.weekday()), "Victoria Day"),
+        (dt.date(year, 7, 1), "Canada Day"),
+        (nth_monday(8, 1), "Civic Holiday"),
+        (nth_monday(9, 1), "Labour Day"),
+        (dt.date(year, 9, 30), "National Day for Truth and Reconciliation"),
+        (nth_monday(10, 2), "Thanksgiving"),
+        (dt.date(year, 11, 11), "Remembrance Day"),
+        (dt.date(year, 12, 25), "Christmas Day"),
+    ]
+
+
+def rule_calendar(spark: SparkSession, first_year: int = RULE_YEARS[0], last_year: int = RULE_YEARS[1]) -> DataFrame:
+    """Statutory calendar for a fixed range of years as a small literal
+    table (about 11 rows a year; 2,211 rows for the default range): built
+    from the rules alone, without reading any incident data."""
+    rows = [r for y in range(first_year, last_year + 1) for r in _rule_dates(y)]
+    return spark.createDataFrame(rows, CALENDAR_SCHEMA)
+
+
 def holiday_daily(incidents: DataFrame, calendar: DataFrame | None = None) -> DataFrame:
     """Daily incident counts on holidays: ``(year, month, day, holiday, n)``.
 
-    ``calendar=None`` tags days with :func:`statutory_holiday` (no join).  A
-    calendar table is joined on the date (inner; a date listed under two
-    names counts for both, as in an equi-join of the raw rows) after a
-    bounded size check for the broadcast."""
-    daily = daily_counts(incidents)
+    The calendar (the statutory rules for ``RULE_YEARS`` when ``None``) is
+    joined to the daily counts on the date, inner; a date listed under two
+    names counts for both, as in an equi-join of the raw rows.  The join
+    sits above the daily aggregate, so the holiday rules are evaluated once
+    per calendar row, never per incident."""
     if calendar is None:
-        tagged = daily.withColumn("holiday", statutory_holiday("year", "month", "day"))
-        return tagged.filter(F.col("holiday").isNotNull()).select("year", "month", "day", "holiday", "n")
-    return daily.join(broadcast_checked(_calendar_keys(calendar)), ["year", "month", "day"])
+        calendar = rule_calendar(incidents.sparkSession)
+    return daily_counts(incidents).join(broadcast_checked(_calendar_keys(calendar)), ["year", "month", "day"])
 
 
 def holiday_ranking(incidents: DataFrame, calendar: DataFrame | None = None, k: int = 3,
@@ -187,12 +213,10 @@ def holiday_top_by_year(incidents: DataFrame, calendar: DataFrame | None = None,
 def holiday_share(incidents: DataFrame, calendar: DataFrame | None = None) -> DataFrame:
     """One row: ``incidents, on_holidays, share`` (share of incidents that
     fall on a holiday; each date counts once)."""
-    d = daily_counts(incidents)
     if calendar is None:
-        d = d.withColumn("is_holiday", F.when(statutory_holiday("year", "month", "day").isNotNull(), F.lit(1)))
-    else:
-        dates = _calendar_keys(calendar).select("year", "month", "day").distinct().withColumn("is_holiday", F.lit(1))
-        d = d.join(broadcast_checked(dates), ["year", "month", "day"], "left")
+        calendar = rule_calendar(incidents.sparkSession)
+    dates = _calendar_keys(calendar).select("year", "month", "day").distinct().withColumn("is_holiday", F.lit(1))
+    d = daily_counts(incidents).join(broadcast_checked(dates), ["year", "month", "day"], "left")
     return d.agg(
         F.sum("n").cast("bigint").alias("incidents"),
         F.coalesce(F.sum(F.when(F.col("is_holiday") == 1, F.col("n"))), F.lit(0)).cast("bigint").alias("on_holidays"),
