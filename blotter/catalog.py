@@ -168,6 +168,12 @@ def q_rollup_grouping_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rollups.rollup_grouping_sets(td.incidents(spark, sf_dir))
 
 
+@register("union_by_name", _INC + "\nUNION ALL\n".join(_gs_branch(g) for g in rollups.ROLLUP_GRAINS))
+def q_union_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five rollups (from one base aggregate) stacked by column name."""
+    return rollups.rollups_long(rollups.rollups(td.incidents(spark, sf_dir)))
+
+
 @register("rollups_from_base", _INC + """
 SELECT year, type, neighbourhood, count(*) AS count FROM incidents GROUP BY year, type, neighbourhood
 """)

@@ -72,6 +72,18 @@ def rollup_grouping_sets(incidents: DataFrame, grains: Sequence[str] = tuple(ROL
     return agg.select(label.alias("grain"), *dims, "count")
 
 
+def rollups_long(tables: dict[str, DataFrame]) -> DataFrame:
+    """Stack rollup tables into one long table ``(grain, year, type,
+    neighbourhood, month, hour, count)`` by column name (``unionByName``,
+    missing columns null) - the N-way union form of the grouping sets."""
+    dims = ["year", "type", "neighbourhood", "month", "hour"]
+    parts = [t.withColumn("grain", F.lit(g)) for g, t in tables.items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p, allowMissingColumns=True)
+    return out.select("grain", *dims, "count")
+
+
 def distinct_counts(df: DataFrame, cols: Sequence[str], approx: bool = False) -> DataFrame:
     """One row: ``n_distinct_<col>`` per column (exact; HyperLogLog++ with
     ``approx=True`` for very high cardinalities)."""
