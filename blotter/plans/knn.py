@@ -56,7 +56,7 @@ def knn_vectors(train: DataFrame, queries: DataFrame, features: Sequence[str], l
         raise ValueError(f"grid kNN probes 3^d cells; {d} features is beyond the supported {MAX_DIMS}")
     qf = [f"q_{f}" for f in features]
     tw = train.select(*features, label).dropna().groupBy(*features, label).agg(F.count(F.lit(1)).alias("_w"))
-    tw = tw.persist(StorageLevel.MEMORY_AND_DISK)
+    tw = cached = tw.persist(StorageLevel.MEMORY_AND_DISK)
     pending = (queries.select(*[F.col(f).alias(q) for f, q in zip(features, qf)]).dropna().distinct()
                .withColumn("_qid", F.monotonically_increasing_id()))
     pending = cut_lineage(pending)
@@ -66,7 +66,7 @@ def knn_vectors(train: DataFrame, queries: DataFrame, features: Sequence[str], l
     agg = both.agg(*[F.min(f).alias(f"lo{i}") for i, f in enumerate(features)],
                    *[F.max(f).alias(f"hi{i}") for i, f in enumerate(features)]).first()
     if agg is None or agg["lo0"] is None:
-        tw.unpersist()
+        cached.unpersist()
         return pending.limit(0).select(*[F.col(q).alias(f) for f, q in zip(features, qf)],
                                        F.lit(None).cast("int").alias("prediction"))
     lo = [float(agg[f"lo{i}"]) for i in range(d)]
@@ -74,7 +74,25 @@ def knn_vectors(train: DataFrame, queries: DataFrame, features: Sequence[str], l
     span = [h - lw for lw, h in zip(lo, hi)]
     inf = F.lit(float("inf"))
 
-    order = [F.col("_d2")] + [F.col(f) for f in features] + [F.col(label)]
+    # Tie order (training vector, then label) as one long when the vectors
+    # and labels are small integers: candidate rows then carry four narrow
+    # columns into the sort instead of every feature.
+    tie_cols = [F.col(f) for f in features] + [F.col(label)]
+    packed_tie = None
+    if dict(tw.dtypes)[label] in ("int", "bigint", "smallint", "tinyint"):
+        chk = tw.agg(*[F.max(F.abs(F.col(f) - F.floor(F.col(f)))).alias(f"frac{i}") for i, f in enumerate(features)],
+                     F.min(label).alias("llo"), F.max(label).alias("lhi")).first()
+        if all((chk[f"frac{i}"] or 0) == 0 for i in range(d)):
+            radix = [int(h - lw) + 1 for lw, h in zip(lo, hi)] + [int(chk["lhi"]) - int(chk["llo"]) + 1]
+            if math.prod(radix) < 2 ** 62:
+                packed_tie = F.lit(0).cast("bigint")
+                for c, base, r in zip(tie_cols, lo + [float(chk["llo"])], radix):
+                    packed_tie = packed_tie * F.lit(r) + (c - F.lit(int(base))).cast("bigint")
+    if packed_tie is not None:
+        tw = tw.withColumn("_tie", packed_tie)
+        order = [F.col("_d2"), F.col("_tie")]
+    else:
+        order = [F.col("_d2")] + tie_cols
     w_rank = Window.partitionBy("_qid").orderBy(*order)
     w_cum = w_rank.rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
@@ -151,6 +169,8 @@ def knn_vectors(train: DataFrame, queries: DataFrame, features: Sequence[str], l
         cand = probes.join(tcells, "_key").drop("_key")
         d2 = sum(((F.col(q) - F.col(f)) * (F.col(q) - F.col(f)) for f, q in zip(features, qf)), F.lit(0))
         cand = cand.withColumn("_d2", d2.cast("double"))
+        if packed_tie is not None:
+            cand = cand.select("_qid", "_d2", "_tie", label, "_w")
         # row_number <= k: Spark limits each group per map task before the
         # shuffle (WindowGroupLimit); weights >= 1 so k rows always reach
         # weight k.
@@ -176,7 +196,7 @@ def knn_vectors(train: DataFrame, queries: DataFrame, features: Sequence[str], l
         if pending.isEmpty():
             break
         width *= growth
-    tw.unpersist()
+    cached.unpersist()
     out = results[0]
     for part in results[1:]:
         out = out.unionByName(part)
