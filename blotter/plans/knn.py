@@ -79,9 +79,13 @@ def knn_vectors(train: DataFrame, queries: DataFrame, features: Sequence[str], l
     # columns into the sort instead of every feature.
     tie_cols = [F.col(f) for f in features] + [F.col(label)]
     packed_tie = None
-    if dict(tw.dtypes)[label] in ("int", "bigint", "smallint", "tinyint"):
-        chk = tw.agg(*[F.max(F.abs(F.col(f) - F.floor(F.col(f)))).alias(f"frac{i}") for i, f in enumerate(features)],
-                     F.min(label).alias("llo"), F.max(label).alias("lhi")).first()
+    integral_label = dict(tw.dtypes)[label] in ("int", "bigint", "smallint", "tinyint")
+    checks = [F.sum("_w").alias("total")]
+    if integral_label:
+        checks += [F.max(F.abs(F.col(f) - F.floor(F.col(f)))).alias(f"frac{i}") for i, f in enumerate(features)]
+        checks += [F.min(label).alias("llo"), F.max(label).alias("lhi")]
+    chk = tw.agg(*checks).first()
+    if integral_label:
         if all((chk[f"frac{i}"] or 0) == 0 for i in range(d)):
             radix = [int(h - lw) + 1 for lw, h in zip(lo, hi)] + [int(chk["lhi"]) - int(chk["llo"]) + 1]
             if math.prod(radix) < 2 ** 62:
@@ -99,7 +103,7 @@ def knn_vectors(train: DataFrame, queries: DataFrame, features: Sequence[str], l
     if cell is None:
         # Start where a cell block is expected to hold about k rows: side of a
         # cube holding k rows at the mean density over the occupied ranges.
-        total = float(tw.agg(F.sum("_w")).first()[0] or 0.0)
+        total = float(chk["total"] or 0.0)
         occupied = [s_ + 1.0 for s_ in span if s_ > 0]
         volume = math.prod(occupied) if occupied else 1.0
         side = (k * volume / max(total, 1.0)) ** (1.0 / max(len(occupied), 1))
