@@ -468,9 +468,9 @@ def _encoded_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = classify.training_rows(td.incidents(spark, sf_dir), include=None, exclude=KNN_EXCLUDE,
                                   strict_coordinates=True)
     tables = classify.label_tables(rows, ["target", "neighbourhood", "hundred_block"])
-    rows = classify.encode(rows, "target", tables["target"], "label")
-    rows = classify.encode(rows, "neighbourhood", tables["neighbourhood"], "nbr")
-    rows = classify.encode(rows, "hundred_block", tables["hundred_block"], "hb")
+    rows = classify.encode(rows, "target", tables["target"], "label", bounded=True)
+    rows = classify.encode(rows, "neighbourhood", tables["neighbourhood"], "nbr", bounded=True)
+    rows = classify.encode(rows, "hundred_block", tables["hundred_block"], "hb", bounded=True)
     return rows.withColumn("bucket", classify.split_bucket("id"))
 
 

@@ -183,14 +183,14 @@ def _dispatch(spark: SparkSession, args: argparse.Namespace) -> None:
     elif job == "knn":
         rows = classify.training_rows(inc, include=None, exclude=classify.REFERENCE_EXCLUDED)
         tables = classify.label_tables(rows, ["target", "neighbourhood", "hundred_block"])
-        rows = classify.encode(rows, "target", tables["target"], "label")
-        rows = classify.encode(rows, "neighbourhood", tables["neighbourhood"], "nbr")
-        rows = classify.encode(rows, "hundred_block", tables["hundred_block"], "hb")
+        rows = classify.encode(rows, "target", tables["target"], "label", bounded=True)
+        rows = classify.encode(rows, "neighbourhood", tables["neighbourhood"], "nbr", bounded=True)
+        rows = classify.encode(rows, "hundred_block", tables["hundred_block"], "hb", bounded=True)
         rows = rows.withColumn("bucket", classify.split_bucket("id"))
         train = rows.filter(F.col("bucket") < args.train_percent)
         test = rows.filter(F.col("bucket") >= args.train_percent)
         pred = knn.knn_predict(train, test, ["year", "month", "hour", "nbr", "hb"], "label", k=args.k)
-        pred = classify.decode(pred, "prediction", tables["target"], "predicted")
+        pred = classify.decode(pred, "prediction", tables["target"], "predicted", bounded=True)
         pred = pred.select("id", "target", "predicted").persist()
         _sink(pred, args.out, args, name="predictions")
         _sink(metrics.confusion(pred, "target", "predicted"), args.out, args, name="confusion")

@@ -205,15 +205,19 @@ def load_label_table(spark, path: str) -> DataFrame:
     return spark.read.schema("value string, code int").parquet(path)
 
 
-def encode(df: DataFrame, col: str, table: DataFrame, out: str | None = None) -> DataFrame:
+def encode(df: DataFrame, col: str, table: DataFrame, out: str | None = None, bounded: bool = False) -> DataFrame:
     """Add ``out`` (default ``<col>_code``); null for values not in the
-    table.  The table is broadcast only after a bounded size check."""
+    table.  The table is broadcast after a bounded size check, or directly
+    when ``bounded`` says its size is known (tables from
+    :func:`label_tables` are built from the fitted labels)."""
     out = out or f"{col}_code"
-    t = broadcast_checked(table.select(F.col("value").alias(col), F.col("code").alias(out)))
+    t = table.select(F.col("value").alias(col), F.col("code").alias(out))
+    t = F.broadcast(t) if bounded else broadcast_checked(t)
     return df.join(t, col, "left")
 
 
-def decode(df: DataFrame, code_col: str, table: DataFrame, out: str) -> DataFrame:
+def decode(df: DataFrame, code_col: str, table: DataFrame, out: str, bounded: bool = False) -> DataFrame:
     """Code -> value (left join; null for unknown codes)."""
-    t = broadcast_checked(table.select(F.col("code").alias(code_col), F.col("value").alias(out)))
+    t = table.select(F.col("code").alias(code_col), F.col("value").alias(out))
+    t = F.broadcast(t) if bounded else broadcast_checked(t)
     return df.join(t, code_col, "left")
