@@ -1,6 +1,6 @@
 """Raw incident records -> clean incident table.
 
-One plan, one job: drop incomplete rows, drop exact duplicates, lower-case
+One plan: drop incomplete rows, drop exact duplicates, lower-case
 the text columns, look up the neighbourhood point (broadcast of a bounded
 dimension), keep rows with a position, project the position to
 latitude/longitude, clean the block name, build the timestamp and a

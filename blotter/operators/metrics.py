@@ -1,10 +1,10 @@
 """Classification metrics as aggregates over a predictions frame
 ``(label, prediction)``.
 
-Everything is derived from one confusion aggregate (one row per
-``(label, prediction)`` pair actually seen), which is tiny next to the
-predictions; per-class precision/recall/F1 and accuracy are re-aggregations
-of it.
+The confusion aggregate has one row per ``(label, prediction)`` pair
+actually seen, tiny next to the predictions; per-class precision, recall,
+F1 and support are re-aggregations of it.  Accuracy is one global
+aggregate, never-predicted classes one ``exceptAll`` of distinct labels.
 """
 
 from __future__ import annotations

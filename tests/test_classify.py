@@ -118,3 +118,40 @@ def test_label_table_save_load(spark, tmp_path):
     classify.save_label_table(table, path)
     back = classify.load_label_table(spark, path)
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, table.collect()))
+
+
+def _brute_weighted(train, queries, k):
+    """Brute force over raw rows with the library's total order."""
+    out = {}
+    for q in set(queries):
+        scored = sorted((sum((a - b) * (a - b) for a, b in zip(q, r[:-1])), r[:-1], r[-1]) for r in train)
+        votes = {}
+        for _d, _f, lab in scored[:k]:
+            votes[lab] = votes.get(lab, 0) + 1
+        out[q] = sorted(votes.items(), key=lambda kv: (-kv[1], kv[0]))[0][0]
+    return out
+
+
+def test_knn_random_fixtures(spark):
+    """Several seeds: integer and real-valued features, negative values,
+    heavy duplication, sparse outliers, k above the training size."""
+    for seed, real, k in [(1, False, 3), (2, True, 4), (3, False, 7), (4, True, 1), (5, False, 40)]:
+        rng = np.random.default_rng(seed)
+        n = 120
+        if real:
+            pts = np.round(rng.normal(0, 3, (n, 2)), 1)
+            qs = np.round(rng.normal(0, 4, (25, 2)), 1)
+        else:
+            pts = rng.integers(-4, 5, (n, 2))
+            qs = rng.integers(-6, 7, (25, 2))
+        labels = rng.integers(0, 3, n)
+        train = [(float(a), float(b), int(lab)) for (a, b), lab in zip(pts, labels)]
+        train += train[:30]                                  # duplicates -> weights
+        train += [(60.0, -60.0, 2)]                          # far outlier
+        queries = [(float(a), float(b)) for a, b in qs] + [(59.0, -61.0)]
+        schema = "a double, b double, label int"
+        tdf = spark.createDataFrame(train, schema)
+        qdf = spark.createDataFrame(queries, "a double, b double")
+        got = {(r.a, r.b): r.prediction
+               for r in knn.knn_vectors(tdf, qdf, ["a", "b"], "label", k=k).collect()}
+        assert got == _brute_weighted(train, queries, k), (seed, real, k)
