@@ -26,6 +26,32 @@ _SCALE_CONF = {
 }
 
 
+# Suggested settings for a large cluster (about 100 TB of incidents on
+# ~1000 executors).  Shuffles start wide and AQE coalesces them to about
+# 256 MB per task; scan splits are 256 MB; skewed partitions above 1 GB
+# (and 5x the median) are split.  Apply with ``apply_cluster_conf``.
+CLUSTER_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 << 20),
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.files.maxPartitionBytes": str(256 << 20),
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(1 << 30),
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+    "spark.sql.session.timeZone": "UTC",
+}
+
+
+def apply_cluster_conf(spark: SparkSession, overrides: dict[str, str] | None = None) -> None:
+    """Set :data:`CLUSTER_CONF` (plus ``overrides``) on a running session.
+    The checkpoint folder is not set here: it comes from the cluster's
+    ``spark.checkpoint.dir``."""
+    for key, value in {**CLUSTER_CONF, **(overrides or {})}.items():
+        spark.conf.set(key, value)
+
+
 def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "blotter") -> SparkSession:
     """Local session for tests and the bench (UI off, AQE on)."""
     builder = (

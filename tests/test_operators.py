@@ -232,3 +232,18 @@ def test_topk_helpers_and_display(spark):
     shown = hotspots.display(spark.createDataFrame([(2021, "a st", 3, 1)], "year int, hundred_block string, "
                                                    "total_crime bigint, district int"), hotspots.HOT_BLOCK_DISPLAY)
     assert shown.columns == ["Year", "Hundred Block", "Total Crime", "District"]
+
+
+def test_cluster_conf_applies(spark):
+    from blotter import session
+    saved = {k: spark.conf.get(k, None) for k in session.CLUSTER_CONF}
+    try:
+        session.apply_cluster_conf(spark, {"spark.sql.shuffle.partitions": "64"})
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "64"
+        assert spark.conf.get("spark.sql.adaptive.skewJoin.skewedPartitionFactor") == "5"
+    finally:
+        for k, v in saved.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
