@@ -88,3 +88,14 @@ def test_hot_key_is_pre_aggregated(spark):
     partial = plan.find("partial_count")
     exchange = plan.find("Exchange hashpartitioning(district")
     assert 0 <= exchange < partial  # printed top-down: the partial aggregate sits below the exchange
+
+
+def test_no_udf_cartesian_or_nested_loop_in_any_registered_query(spark):
+    import __spark_entry__ as entry
+    bad = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "PythonUDF")
+    for key, fn in entry.queries().items():
+        df = fn(spark, SF_SMALL)
+        df.write.format("noop").mode("overwrite").save()
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        found = [b for b in bad if b in plan]
+        assert not found, (key, found)
