@@ -662,3 +662,34 @@ def q_neighbourhood_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .operators import dims
     c = dims.derived_point_dim(td.incidents(spark, sf_dir))
     return c.select("neighbourhood", *[F.round(col, 9).cast("decimal(13,9)").alias(col) for col in ("lat", "lon")])
+
+
+# ------------------------------------------------------------ file formats
+def _scratch(spark: SparkSession, name: str) -> str:
+    """A fresh folder under the shared checkpoint folder."""
+    import uuid
+
+    from .session import ensure_checkpoint_dir
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/files/{name}-{uuid.uuid4().hex}"
+
+
+@register("csv_round_trip", td.with_ctes(td.RAW_SQL) + "SELECT * FROM raw")
+def q_csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw-layout rows written as CSV with a header and read back with the
+    explicit-schema, permissive raw reader (quotes, nulls and NaN survive)."""
+    from .sources import files
+    path = _scratch(spark, "raw-csv")
+    files.write_csv(td.raw_incidents(spark, sf_dir), path)
+    return files.read_raw_incidents(spark, path)
+
+
+@register("calendar_scan", _INC + "," + CALENDAR_SQL + "\nSELECT CAST(date AS DATE) AS date, holiday FROM cal")
+def q_calendar_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The calendar of the data's years written in the tab-separated layout
+    (month abbreviation, MM/dd/yyyy, name, name) and read back with the
+    calendar reader."""
+    cal = _calendar_for(td.incidents(spark, sf_dir))
+    path = _scratch(spark, "calendar-tsv")
+    (cal.select(F.date_format("date", "MMM"), F.date_format("date", "MM/dd/yyyy"), "holiday", "holiday")
+     .write.option("sep", "\t").option("header", False).csv(path))
+    return holidays.read_calendar(spark, path)
