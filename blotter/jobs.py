@@ -2,19 +2,20 @@
 chain, reading the clean table (parquet, or CSV with ``--input-format
 csv``) and writing each result table to parquet, CSV or a JDBC table.
 
-    spark-submit -m blotter.jobs clean raw.csv out/clean --points points.csv
-    spark-submit -m blotter.jobs rollups out/clean out/rollups
-    spark-submit -m blotter.jobs district-counts out/clean out/district_counts
-    spark-submit -m blotter.jobs least-district out/clean out/least_district
-    spark-submit -m blotter.jobs district-points out/clean out/points --district 2
-    spark-submit -m blotter.jobs hot-block-points out/clean out/hot_points --district 2 \
+    python -m blotter.jobs clean raw.csv out/clean --points points.csv
+    python -m blotter.jobs rollups out/clean out/rollups
+    python -m blotter.jobs district-counts out/clean out/district_counts
+    python -m blotter.jobs least-district out/clean out/least_district
+    python -m blotter.jobs district-points out/clean out/points --district 2
+    python -m blotter.jobs hot-block-points out/clean out/hot_points --district 2 \
         --blocks "e hastings st" "nk_loc st" "commercial dr"
-    spark-submit -m blotter.jobs hot-blocks out/clean out/hot_blocks
-    spark-submit -m blotter.jobs holidays out/clean out/holidays --calendar holidays.txt
-    spark-submit -m blotter.jobs train out/clean out/model
-    spark-submit -m blotter.jobs score out/model requests.csv out/scored
-    spark-submit -m blotter.jobs knn out/clean out/knn
+    python -m blotter.jobs hot-blocks out/clean out/hot_blocks
+    python -m blotter.jobs holidays out/clean out/holidays --calendar holidays.txt
+    python -m blotter.jobs train out/clean out/model
+    python -m blotter.jobs score out/model requests.csv out/scored
+    python -m blotter.jobs knn out/clean out/knn
 
+On a cluster: ``spark-submit --py-files blotter.zip run_job.py <job> ...``.
 JDBC sinks take ``--format jdbc --jdbc-url URL --jdbc-table TABLE`` and
 connection properties as ``--jdbc-prop key=value`` (user, password,
 driver...), always from the caller.
