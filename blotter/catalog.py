@@ -693,3 +693,27 @@ def q_calendar_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     (cal.select(F.date_format("date", "MMM"), F.date_format("date", "MM/dd/yyyy"), "holiday", "holiday")
      .write.option("sep", "\t").option("header", False).csv(path))
     return holidays.read_calendar(spark, path)
+
+
+@register("stream_rollup_base", _INC + """
+SELECT year, month, hour, type, neighbourhood, count(*) AS count FROM incidents
+GROUP BY year, month, hour, type, neighbourhood
+""")
+def q_stream_rollup_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole incident table dropped as two file sets (up to 1997, after
+    1997) into a folder and folded in by the streaming rollup refresh;
+    returns the refreshed base rollup."""
+    from .sources import files
+    from .streaming.rollups import rollup_stream
+    root = _scratch(spark, "stream")
+    inc = td.incidents(spark, sf_dir)
+    files.write_parquet(inc.filter(F.col("year") <= 1997), f"{root}/in/batch-1")
+    files.write_parquet(inc.filter(~(F.col("year") <= 1997) | F.col("year").isNull()), f"{root}/in/batch-2")
+    out = f"{root}/out"
+
+    def write(table: DataFrame, batch_id: int) -> None:
+        table.write.mode("overwrite").parquet(out)
+
+    query = rollup_stream(spark, f"{root}/in/*", write, checkpoint_location=f"{root}/ckpt", available_now=True)
+    query.awaitTermination()
+    return spark.read.parquet(out)
