@@ -247,3 +247,11 @@ def test_cluster_conf_applies(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_jdbc_partitioned_read_needs_bounds(spark):
+    import pytest
+
+    from blotter.sources import jdbc
+    with pytest.raises(ValueError):
+        jdbc.read_table(spark, "jdbc:none://nowhere", "t", {}, partition_column="id", lower_bound=0)
