@@ -48,3 +48,34 @@ def test_no_python_udf_in_plan(spark):
     df = spark.createDataFrame(BLOCKS, "raw string, expected string").select(text.clean_block("raw"))
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+
+
+def _ordinal_spec(w: str) -> str:
+    n = int(w)
+    suffix = "th" if n % 100 in (11, 12, 13) else {1: "st", 2: "nd", 3: "rd"}.get(n % 10, "th")
+    return f"{n}{suffix}"
+
+
+def _clean_spec(s: str) -> str:
+    """The documented block-cleaning semantics, written plainly."""
+    if s.startswith('"'):
+        s = s[1:].split('"', 1)[0]
+    words = [w for w in s.split(" ") if not ((w[:1].isdigit() and "x" in w) or w == "x")]
+    s = " ".join(words).split("/", 1)[0]
+    words = ["ave" if w == "av" else (_ordinal_spec(w) if w.isdigit() else w) for w in s.split(" ")]
+    return " ".join(w for w in " ".join(words).split(" ") if w != "xxxx")
+
+
+def test_clean_block_random_against_spec(spark):
+    import numpy as np
+    rng = np.random.default_rng(11)
+    vocab = ["10xx", "x", "xxxx", "av", "21", "007", "0", "main", "st", "/", '"a', 'b"', "", "1xx", "w", "112",
+             "x1", "2x", "hastings", "ave", "13", "101", "e", "/c", '"', "11", "3xx"]
+    rows = []
+    for _ in range(600):
+        n = int(rng.integers(1, 7))
+        rows.append((" ".join(vocab[int(i)] for i in rng.integers(0, len(vocab), n)),))
+    df = spark.createDataFrame(rows, "raw string")
+    got = df.select("raw", text.clean_block(F.col("raw")).alias("got")).collect()
+    for r in got:
+        assert r.got == _clean_spec(r.raw), r.raw
