@@ -62,3 +62,32 @@ def test_fractional_hour(spark):
     df = spark.createDataFrame([(10, 30), (0, 0), (23, 59)], "h int, m int")
     got = [r.t for r in df.select(timefn.fractional_hour("h", "m").alias("t")).collect()]
     assert got == [10.5, 0.0, 23 + 59 / 60]
+
+
+def test_timestamps_random_against_python(spark):
+    rng = np.random.default_rng(5)
+    rows = [tuple(int(v) for v in (rng.integers(1999, 2025), rng.integers(0, 14), rng.integers(0, 33),
+                                    rng.integers(0, 26), rng.integers(0, 62))) for _ in range(500)]
+    df = spark.createDataFrame(rows, "y int, m int, d int, h int, mi int")
+    got = df.select("y", "m", "d", "h", "mi", timefn.incident_timestamp("y", "m", "d", "h", "mi").alias("t")).collect()
+    for r in got:
+        try:
+            want = dt.datetime(r.y, r.m, r.d, r.h, r.mi)
+        except ValueError:
+            want = None
+        assert r.t == want, tuple(r)
+
+
+def test_utm_random_round_trip(spark):
+    rng = np.random.default_rng(9)
+    lats = rng.uniform(48.3, 50.5, 200)
+    lons = rng.uniform(-125.9, -120.1, 200)
+    rows = []
+    for lat, lon in zip(lats, lons):
+        e, n = _forward(lat, lon)
+        rows.append((float(lat), float(lon), float(e), float(n)))
+    df = spark.createDataFrame(rows, "lat double, lon double, e double, n double")
+    la, lo = geo.utm_to_latlon("e", "n")
+    worst = max(max(abs(r.la - r.lat), abs(r.lo - r.lon)) for r in df.select("lat", "lon", la.alias("la"),
+                                                                               lo.alias("lo")).collect())
+    assert worst < 1e-8
