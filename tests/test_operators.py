@@ -255,3 +255,59 @@ def test_jdbc_partitioned_read_needs_bounds(spark):
     from blotter.sources import jdbc
     with pytest.raises(ValueError):
         jdbc.read_table(spark, "jdbc:none://nowhere", "t", {}, partition_column="id", lower_bound=0)
+
+
+def test_least_district_random_against_python(spark):
+    import collections
+
+    import numpy as np
+    rng = np.random.default_rng(21)
+    nbhds = [n for names in dims.CITY_DISTRICTS.values() for n in names] + ["nowhere"]
+    district_of = {n: d for d, names in dims.CITY_DISTRICTS.items() for n in names}
+    for trial in range(3):
+        rows = []
+        for _ in range(400):
+            nb = nbhds[int(rng.integers(0, len(nbhds)))]
+            blk = f"b{int(rng.integers(0, 6))}"
+            year = int(rng.choice([2019, 2020, 2021, 2022]))
+            zero = rng.random() < 0.05
+            rows.append((nb, blk, year, 0.0 if zero else 1.0, 0.0 if zero else 1.0, 1.0, 1.0))
+        exclude = [(nbhds[int(rng.integers(0, len(nbhds) - 1))], "b0")]
+        got = hotspots.least_district_top_blocks(_inc(spark, rows), dims.city_district_dim(spark),
+                                                 exclude=exclude, bounded_dim=True)
+        # Plain Python version of the documented semantics.
+        kept = [r for r in rows if (r[3] != 0 or r[4] != 0) and r[2] in (2020, 2021, 2022) and r[0] in district_of]
+        years_of = collections.defaultdict(set)
+        total = collections.Counter()
+        for r in kept:
+            years_of[district_of[r[0]]].add(r[2])
+            total[district_of[r[0]]] += 1
+        cands = sorted((total[d], d) for d in total if len(years_of[d]) == 3)
+        want = set()
+        if cands:
+            least = cands[0][1]
+            counts = collections.Counter((r[0], r[1]) for r in kept
+                                         if district_of[r[0]] == least and (r[0], r[1]) not in exclude)
+            for nb in {k[0] for k in counts}:
+                best = sorted(((-c, b) for (n, b), c in counts.items() if n == nb))[0]
+                want.add((least, "-".join(p.title() if " " not in p else " ".join(w.capitalize() for w in p.split(" "))
+                                          for p in nb.split("-")), best[1], -best[0]))
+        assert {tuple(r) for r in got.collect()} == want, trial
+
+
+def test_hot_blocks_random_against_python(spark):
+    import collections
+
+    import numpy as np
+    rng = np.random.default_rng(33)
+    nbhds = [n for names in dims.CITY_DISTRICTS.values() for n in names] + ["nowhere"]
+    district_of = {n: d for d, names in dims.CITY_DISTRICTS.items() for n in names}
+    rows = [(nbhds[int(rng.integers(0, len(nbhds)))], f"b{int(rng.integers(0, 5))}", int(rng.integers(2018, 2023)),
+             1.0, 1.0, 1.0, 1.0) for _ in range(500)]
+    got = hotspots.district_year_hot_blocks(_inc(spark, rows), dims.city_district_dim(spark), bounded_dim=True)
+    counts = collections.Counter((district_of[r[0]], r[2], r[1]) for r in rows if r[0] in district_of and r[2] > 2019)
+    best = collections.defaultdict(int)
+    for (d, y, _b), c in counts.items():
+        best[(d, y)] = max(best[(d, y)], c)
+    want = {(y, b, c, d) for (d, y, b), c in counts.items() if c == best[(d, y)]}
+    assert {tuple(r) for r in got.collect()} == want
