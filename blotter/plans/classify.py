@@ -91,13 +91,18 @@ def _fit_indexers(rows: DataFrame) -> tuple[StringIndexerModel, StringIndexerMod
 
 def train_category_model(rows: DataFrame, classifier: str = "rf", num_trees: int = 10,
                          max_bins: int | None = None, train_percent: int = 80, seed: int = 42,
-                         smoothing: float = 1.0) -> TrainedModel:
+                         smoothing: float = 1.0, reproducible: bool = True) -> TrainedModel:
     """Fit the category pipeline on ``rows`` (from :func:`training_rows`).
 
     Indexers are fitted on all rows (so every label and place has a code),
     the split is ``split_bucket(id) < train_percent``.  The forest's
     ``maxBins`` defaults to the block cardinality + 1, because the block
-    index is a categorical feature and Spark needs one bin per category."""
+    index is a categorical feature and Spark needs one bin per category.
+
+    The forest draws its bootstrap samples per input partition, so with
+    ``reproducible`` the training rows are first hash-partitioned and
+    sorted by ``id`` (one shuffle): the same rows and seed give the same
+    model whatever the layout of the input."""
     if rows.isEmpty():
         raise ValueError("no training rows (check the category list and the coordinate filter)")
     label, places = _fit_indexers(rows)
@@ -117,6 +122,9 @@ def train_category_model(rows: DataFrame, classifier: str = "rf", num_trees: int
     to_label = IndexToString(inputCol="prediction", outputCol="predictedLabel", labels=label.labelsArray[0])
     bucket = split_bucket("id")
     train = rows.filter(bucket < train_percent)
+    if reproducible:
+        parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        train = train.repartition(parts, "id").sortWithinPartitions("id")
     test = rows.filter(bucket >= train_percent)
     model = Pipeline(stages=[label, places, assembler, est, to_label]).fit(train)
     return TrainedModel(model, train, test, model.transform(test))

@@ -155,3 +155,11 @@ def test_knn_random_fixtures(spark):
         got = {(r.a, r.b): r.prediction
                for r in knn.knn_vectors(tdf, qdf, ["a", "b"], "label", k=k).collect()}
         assert got == _brute_weighted(train, queries, k), (seed, real, k)
+
+
+def test_forest_is_deterministic(spark):
+    rows = _rows(spark, 400)
+    a = classify.train_category_model(rows, classifier="rf", seed=7).predictions.select("id", "predictedLabel")
+    b = classify.train_category_model(rows.repartition(3), classifier="rf", seed=7).predictions.select(
+        "id", "predictedLabel")
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
