@@ -3,9 +3,9 @@
 Each entry maps a key to ``(spark_fn, oracle_sql)``; ``spark_fn(spark,
 sf_dir)`` returns a DataFrame built only from library operators applied to
 the stand-in tables of :mod:`blotter.sources.testdata`.  ``oracle_sql`` is
-an independent DuckDB formulation over the raw views (``None`` where no
-SQL formulation exists; the query is then checked by rows only and by unit
-tests against brute force).
+an independent DuckDB formulation over the raw views (``None`` for the
+Spark ML pipelines, which have no SQL formulation: those are checked by
+rows here and by unit tests).
 """
 
 from __future__ import annotations
@@ -32,7 +32,10 @@ def register(key: str, sql: str | None):
     return deco
 
 
-# Parameters fitted to the stand-in data (orders span 1995-2001).
+# Parameters fitted to the stand-in data (orders span 1995-2001), in the
+# roles the original jobs give them: hot blocks after a year (there: 2019),
+# three consecutive years (2020-2022), one district (2) and three of its
+# blocks, one block left out of one neighbourhood.
 HOT_AFTER_YEAR = 1997
 TEST_YEARS = (1998, 1999, 2000)
 TEST_DISTRICT = 2
