@@ -79,3 +79,12 @@ def test_clean_block_random_against_spec(spark):
     got = df.select("raw", text.clean_block(F.col("raw")).alias("got")).collect()
     for r in got:
         assert r.got == _clean_spec(r.raw), r.raw
+
+
+def test_ordinals_random_digit_strings(spark):
+    import numpy as np
+    rng = np.random.default_rng(17)
+    words = ["".join(str(int(c)) for c in rng.integers(0, 10, int(rng.integers(1, 30)))) for _ in range(400)]
+    df = spark.createDataFrame([(w,) for w in words], "w string")
+    for r in df.select("w", text.ordinal(F.col("w")).alias("o")).collect():
+        assert r.o == _ordinal_spec(r.w), r.w
