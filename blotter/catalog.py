@@ -553,6 +553,16 @@ def q_confusion_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.confusion(_knn_predictions(spark, sf_dir), "target", "predicted")
 
 
+_KNN_CLASSES = ("1-urgent", "2-high", "3-medium", "4-not specified")  # target values left after KNN_EXCLUDE
+
+
+@register("confusion_matrix_wide", _ML + "\nSELECT target AS label, " + ", ".join(
+    f"count(*) FILTER (WHERE predicted = '{c}') AS \"{c}\"" for c in _KNN_CLASSES) + " FROM knn GROUP BY target")
+def q_confusion_matrix_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """True label x predicted label, one column per class (pivot)."""
+    return metrics.confusion_matrix(_knn_predictions(spark, sf_dir), "target", "predicted")
+
+
 @register("classification_report", _ML + """
 , c AS (SELECT target, predicted, count(*) AS n FROM knn GROUP BY ALL)
 , cls AS (SELECT target AS label FROM c UNION SELECT predicted FROM c)
