@@ -73,6 +73,8 @@ def run(argv: Sequence[str], spark: SparkSession | None = None) -> None:
     ap.add_argument("--jdbc-table")
     ap.add_argument("--jdbc-prop", action="append")
     ap.add_argument("--batch-size", type=int, default=1000)
+    ap.add_argument("--display-names", action="store_true",
+                    help="name result columns as the dashboard shows them (hot blocks, top blocks, holidays)")
     sub = ap.add_subparsers(dest="job", required=True)
 
     p = sub.add_parser("clean", help="raw CSV -> clean incident table")
@@ -161,17 +163,22 @@ def _dispatch(spark: SparkSession, args: argparse.Namespace) -> None:
         _sink(hotspots.district_year_counts(inc, dim, args.years, bounded_dim=bounded), args.out, args)
     elif job == "least-district":
         dim, bounded = _districts(spark, args)
-        _sink(hotspots.least_district_top_blocks(inc, dim, args.years, bounded_dim=bounded), args.out, args)
+        out = hotspots.least_district_top_blocks(inc, dim, args.years, bounded_dim=bounded)
+        _sink(hotspots.display(out, hotspots.TOP_BLOCK_DISPLAY) if args.display_names else out, args.out, args)
     elif job == "hot-blocks":
         dim, bounded = _districts(spark, args)
-        _sink(hotspots.district_year_hot_blocks(inc, dim, args.after_year, bounded_dim=bounded), args.out, args)
+        out = hotspots.district_year_hot_blocks(inc, dim, args.after_year, bounded_dim=bounded)
+        _sink(hotspots.display(out, hotspots.HOT_BLOCK_DISPLAY) if args.display_names else out, args.out, args)
     elif job in ("district-points", "hot-block-points"):
         dim, bounded = _districts(spark, args)
         _sink(hotspots.district_points(inc, dim, args.district, args.years, args.blocks, bounded_dim=bounded),
               args.out, args)
     elif job == "holidays":
         cal = holidays.read_calendar(spark, args.calendar) if args.calendar else None
-        _sink(holidays.holiday_top_by_year(inc, cal, k=args.k), args.out, args, name="by_year")
+        by_year = holidays.holiday_top_by_year(inc, cal, k=args.k)
+        if args.display_names:
+            by_year = hotspots.display(by_year, holidays.HOLIDAY_DISPLAY)
+        _sink(by_year, args.out, args, name="by_year")
         _sink(holidays.holiday_ranking(inc, cal, k=args.k, since_year=args.since_year), args.out, args, name="recent")
         _sink(holidays.holiday_share(inc, cal), args.out, args, name="share")
     elif job == "train":

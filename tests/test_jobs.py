@@ -29,6 +29,8 @@ def test_jobs_end_to_end(spark, tmp_path):
     jobs.run(["district-points", clean, f"{out}/pts", "--district", "1", "--years", "1996", "--districts", dd],
              spark=spark)
     jobs.run(["--format", "csv", "holidays", clean, f"{out}/hol"], spark=spark)
+    jobs.run(["--display-names", "holidays", clean, f"{out}/hol_display"], spark=spark)
+    assert spark.read.parquet(f"{out}/hol_display/by_year").columns == ["Year", "Count Of Crimes On Holidays", "Holiday"]
     assert spark.read.option("header", True).csv(f"{out}/hol/share").count() == 1
     jobs.run(["train", clean, f"{out}/model", "--targets", "1-urgent", "2-high", "--metrics-out", f"{out}/metrics"],
              spark=spark)
