@@ -311,3 +311,17 @@ def test_hot_blocks_random_against_python(spark):
         best[(d, y)] = max(best[(d, y)], c)
     want = {(y, b, c, d) for (d, y, b), c in counts.items() if c == best[(d, y)]}
     assert {tuple(r) for r in got.collect()} == want
+
+
+def test_reference_parameter_run(spark):
+    rows = []
+    for y in (2020, 2021, 2022):
+        rows += [("strathcona", "e hastings st", y, 49.27, -123.09, 49.28, -123.1)] * 3
+        rows += [("grandview-woodland", "commercial dr", y, 49.27, -123.07, 49.27, -123.07)] * 2
+        rows += [("west end", "davie st", y, 49.28, -123.13, 49.28, -123.13)] * 9
+    out = hotspots.reference_run(spark, _inc(spark, rows))
+    assert out["district_year_counts"].count() == 2
+    top = {(r.neighbourhood, r.hundred_block) for r in out["least_district_top_blocks"].collect()}
+    assert top == {("Grandview-Woodland", "commercial dr")}          # e hastings st is excluded in strathcona
+    assert out["district_points"].count() == 15 and out["hot_block_points"].count() == 15
+    assert out["district_year_hot_blocks"].count() == 6
