@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -99,3 +100,26 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     local checkpoint: it would not survive executor loss)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in Python workers.
+
+    Nothing to do where its parent folder is on ``PYTHONPATH`` (the usual
+    way with ``--py-files`` or an installed package); otherwise the sources
+    are zipped once per Spark context and sent with ``addPyFile``."""
+    package = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(package)
+    on_path = [os.path.abspath(p) for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p]
+    sc = spark.sparkContext
+    if root in on_path or getattr(sc, "_blotter_shipped", False):
+        return
+    target = os.path.join(tempfile.mkdtemp(prefix="blotter-py-"), "blotter_sources.zip")
+    with zipfile.ZipFile(target, "w") as z:
+        for folder, _, names in os.walk(package):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    z.write(path, os.path.relpath(path, root))
+    sc.addPyFile(target)
+    sc._blotter_shipped = True
