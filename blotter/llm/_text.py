@@ -7,10 +7,13 @@ window hashes are numpy arrays over all documents of a chunk.
 
 from __future__ import annotations
 
+import re
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -150,3 +153,24 @@ def window_index(bounds: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np
 def window_hashes(hashes: np.ndarray, first: np.ndarray, n: int, family: int = 0) -> np.ndarray:
     """Rabin-Karp hash of the ``n`` word hashes from each entry of ``first``."""
     return mix(range_hash(prefix_hash(hashes, family), first, first + n, family))
+
+
+_LETTERS = regex.compile(r"\p{L}[\p{L}\p{M}]*").findall
+_LETTERS_LATIN = re.compile("[" + "".join(re.escape(chr(c)) for c in range(256) if unicodedata.category(chr(c))[0] == "L") + "]+").findall
+
+
+def in_latin(text: str) -> bool:
+    """Whether all characters are below U+0100."""
+    if text.isascii():
+        return True
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
+def letter_words(text: str) -> list[str]:
+    """Runs of letters (and the marks on them), in lower case."""
+    text = text.lower()
+    return _LETTERS_LATIN(text) if in_latin(text) else _LETTERS(text)
