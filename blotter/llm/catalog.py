@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import ship_package
-from . import bpe, langid, simhash, substring_dedup
+from . import bpe, decontaminate, langid, line_dedup, simhash, substring_dedup
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, tuple[QueryFn, str | None]] = {}
@@ -30,3 +30,5 @@ _add(substring_dedup.op3_substring_dedup)
 _add(bpe.op7_bpe_codec)
 _add(simhash.op9_simhash_near_dedup)
 _add(langid.op10_language_id)
+_add(line_dedup.op1_line_dedup, line_dedup.OP1_SQL)
+_add(decontaminate.op2_decontamination)
