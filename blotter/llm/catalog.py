@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import ship_package
-from . import bpe, decontaminate, langid, line_dedup, simhash, substring_dedup
+from . import bpe, decontaminate, langid, line_dedup, quality, simhash, substring_dedup, url_filter
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, tuple[QueryFn, str | None]] = {}
@@ -32,3 +32,5 @@ _add(simhash.op9_simhash_near_dedup)
 _add(langid.op10_language_id)
 _add(line_dedup.op1_line_dedup, line_dedup.OP1_SQL)
 _add(decontaminate.op2_decontamination)
+_add(url_filter.op6_url_filter, url_filter.OP6_SQL)
+_add(quality.op8_quality_rules)
