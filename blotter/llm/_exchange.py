@@ -82,7 +82,7 @@ def unpack(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray | None]:
     return np.repeat(ids, sizes), run - np.repeat(before, sizes), keys
 
 
-def _row_batch(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
+def row_batch(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], _SCHEMA.field(i).type) for i in range(3)], schema=_SCHEMA)
 
 
@@ -101,18 +101,18 @@ def by_part(part: np.ndarray, kind: int, docs: np.ndarray, places: np.ndarray,
         rows.append((int(cut[a]), kind, pack(docs[sel], places[sel], None if keys is None else keys[sel])))
         size += len(rows[-1][2])
         if size > 4 << 20:
-            yield _row_batch(rows)
+            yield row_batch(rows)
             rows, size = [], 0
     if rows:
-        yield _row_batch(rows)
+        yield row_batch(rows)
 
 
-def decided(docs: np.ndarray, places: np.ndarray, n: int) -> Iterator[pa.RecordBatch]:
-    """Rows for places that need no further comparison, dealt by document group."""
+def decided(docs: np.ndarray, places: np.ndarray, n: int, keys: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
+    """Rows for places that need no further comparison, dealt by document group; ``keys`` may say something about a place."""
     if len(docs):
         order = np.lexsort((places, docs))
         docs, places = docs[order], places[order]
-        yield from by_part(group_of(docs, n), DECIDED, docs, places)
+        yield from by_part(group_of(docs, n), DECIDED, docs, places, None if keys is None else keys[order])
 
 
 def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, list[bytes]]]:
@@ -136,32 +136,36 @@ def gather(raws: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray | None
     return np.concatenate([g[0] for g in got]), np.concatenate([g[1] for g in got]), keys
 
 
-def compare(emitted: DataFrame, judge: Callable, n: int) -> DataFrame:
-    """Deal emitted rows out by bucket and let ``judge(docs, places, keys)`` return the places it
-    decides on; rows already decided pass through.  Result: rows by document group."""
+def compare_rows(emitted: DataFrame, judge: Callable) -> DataFrame:
+    """Deal emitted rows out by bucket and let ``judge(payloads)`` give the rows it decides on (or deals
+    out again); rows already decided pass through.  Result: rows by document group."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, kind, raws in parts(batches):
             if kind == DECIDED:
-                yield _row_batch([(part, DECIDED, r) for r in raws])
+                yield row_batch([(part, DECIDED, r) for r in raws])
             else:
-                docs, places = judge(*gather(raws))
-                yield from decided(docs, places, n)
+                yield from judge(raws)
 
     dealt = emitted.repartition("part").sortWithinPartitions("part", "kind")
     return dealt.mapInArrow(run, PLACES)
 
 
+def compare(emitted: DataFrame, judge: Callable) -> DataFrame:
+    """:func:`compare_rows` of packed places: ``judge(docs, places, keys)``."""
+    return compare_rows(emitted, lambda raws: judge(*gather(raws)))
+
+
 def per_document(places: DataFrame, merge: Callable) -> DataFrame:
-    """All decided places of a document group together; ``merge(docs, places)`` gives (ids, starts, ends)
+    """All decided places of a document group together; ``merge(docs, places, keys)`` gives (ids, starts, ends)
     of spans with documents ascending.  Result: one row per document, ``key`` and ``spans`` (pairs of
     little-endian 64-bit integers)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, _, raws in parts(batches):
-            docs, at, _ = gather(raws)
+            docs, at, keys = gather(raws)
             order = np.lexsort((at, docs))
-            ids, starts, ends = merge(docs[order], at[order])
+            ids, starts, ends = merge(docs[order], at[order], None if keys is None else keys[order])
             turn = np.flatnonzero(np.concatenate(([True], ids[1:] != ids[:-1]))) if len(ids) else np.zeros(0, np.int64)
             pairs = np.stack([starts, ends], axis=1).astype("<i8")
             edges = np.append(turn, len(ids))
@@ -175,7 +179,7 @@ def per_document(places: DataFrame, merge: Callable) -> DataFrame:
 def merge_fixed(length: int) -> Callable:
     """Merge of windows of one length into maximal spans."""
 
-    def merge(docs: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def merge(docs: np.ndarray, starts: np.ndarray, _: None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         new = np.ones(len(docs), bool)
         new[1:] = (docs[1:] != docs[:-1]) | (starts[1:] > starts[:-1] + length)
         first = np.flatnonzero(new)
@@ -185,6 +189,21 @@ def merge_fixed(length: int) -> Callable:
     return merge
 
 
+def merge_spans(docs: np.ndarray, starts: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Merge of spans, whose ends are the keys, into maximal ones."""
+    ends = keys.astype(np.int64)
+    if not len(docs):
+        return docs, starts, ends
+    turn = np.concatenate(([True], docs[1:] != docs[:-1]))
+    shift = np.cumsum(turn) * (int(ends.max()) + 1)  # documents one behind the other
+    reach = np.maximum.accumulate(ends + shift)
+    new = turn.copy()
+    new[1:] |= (starts + shift)[1:] > reach[:-1]
+    first = np.flatnonzero(new)
+    last = np.append(first[1:], len(docs)) - 1
+    return docs[first], starts[first], (reach - shift)[last]
+
+
 def pack_texts(df: DataFrame, key: str, raw: str) -> DataFrame:
     """(key, raw) with the bytes compressed, for a join that shuffles texts."""
 

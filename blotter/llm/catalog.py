@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import ship_package
-from . import bpe, decontaminate, langid, line_dedup, quality, simhash, substring_dedup, url_filter, warc
+from . import bpe, decontaminate, langid, line_dedup, quality, simhash, substring_dedup, suffix_dedup, url_filter, warc
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, tuple[QueryFn, str | None]] = {}
@@ -35,3 +35,4 @@ _add(decontaminate.op2_decontamination)
 _add(url_filter.op6_url_filter, url_filter.OP6_SQL)
 _add(quality.op8_quality_rules)
 _add(warc.op4_warc_round_trip, warc.OP4_SQL)
+_add(suffix_dedup.op5_suffix_dedup)

@@ -69,7 +69,7 @@ def _emit(window: int, n: int):
     return run
 
 
-def _judge(docs: np.ndarray, starts: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _later(docs: np.ndarray, starts: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Places of a bucket that are not the earliest of their key."""
     order = np.argsort(keys)
     k = keys[order]
@@ -94,7 +94,8 @@ def repeated_spans(df: DataFrame, window: int = 20, id_col: str = "doc_id", text
     source = df.select(tx.doc_key(id_col).alias("key"), F.col(text_col).cast("binary").alias("raw"))
     n = ex.n_buckets(source)
     emitted = source.mapInArrow(_emit(window, n), ex.PLACES)
-    return ex.per_document(ex.compare(emitted, _judge, n), ex.merge_fixed(window))
+    judged = ex.compare(emitted, lambda *bucket: ex.decided(*_later(*bucket), n))
+    return ex.per_document(judged, ex.merge_fixed(window))
 
 
 def _apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
