@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import cut_lineage
 from . import _text as tx
@@ -202,10 +203,12 @@ class _Scores(dict):
         return n
 
 
-def predict(df: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """``doc_id, lang_pred, score`` per input row (and the columns of ``keep``): the most likely language of the whole
-    text and its posterior.  A null text, a text without a letter and a model without languages give ``und`` and 0.
-    Ties go to the language that sorts first; ids are only carried along."""
+def identify(df: DataFrame, model: dict, text_col: str = "text") -> DataFrame:
+    """All columns of ``df`` and behind them ``lang_pred`` and ``score`` (columns of ``df`` by these names are replaced): the most
+    likely language of the whole text and its posterior.
+
+    A null text, a text without a letter and a model without languages give ``und`` and 0.  Ties go to the language that sorts
+    first.  Only the text is looked at; rows are carried along as they are (null ids, repeated rows, other columns)."""
     shared = df.sparkSession.sparkContext.broadcast(model)  # bounded by the vocabulary times MOST_LANGUAGES
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -214,9 +217,8 @@ def predict(df: DataFrame, model: dict, id_col: str = "doc_id", text_col: str =
         index, score = _Scores(), np.zeros((0, max(1, len(languages))))
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS):
-                part = batch.slice(at, ROWS)
-                texts = part.column(1).to_pylist()
-                found = [[index[w] for w in text_words(t)] for t in texts]
+                rows = batch.column(0).slice(at, ROWS)
+                found = [[index[w] for w in text_words(t)] for t in rows.field(text_col).to_pylist()]
                 if index.new and languages:
                     score = np.concatenate([score, lattice.forward(index.new, prob)])
                     index.new = []
@@ -228,15 +230,13 @@ def predict(df: DataFrame, model: dict, id_col: str = "doc_id", text_col: str =
                         lang[i], posterior[i] = languages[best], 1.0 / np.exp(total - total[best]).sum()
                 if len(index) > KEPT:
                     index, score = _Scores(), score[:0]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(lang, pa.string()), pa.array(posterior, pa.float64()), *part.columns[2:]],
-                    names=["doc_id", "lang_pred", "score", *keep])
+                yield pa.RecordBatch.from_arrays([rows, pa.array(lang, pa.string()), pa.array(posterior, pa.float64())],
+                                                 names=["row", "lang_pred", "score"])
 
-    source = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"),
-                       *[F.col(c).alias(f"_keep_{i}") for i, c in enumerate(keep)])
-    types = {f.name: f.dataType.simpleString() for f in source.schema}
-    extra = "".join(f", `{c}` {types[f'_keep_{i}']}" for i, c in enumerate(keep))
-    return source.mapInArrow(run, f"doc_id long, lang_pred string, score double{extra}")
+    names = [c for c in df.columns if c not in ("lang_pred", "score")]
+    source = df.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"))
+    schema = T.StructType([source.schema["row"], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+    return source.mapInArrow(run, schema).select("row.*", "lang_pred", "score")
 
 
 def vocabulary_path() -> str:
@@ -250,5 +250,5 @@ def op10_language_id(spark, sf_dir: str) -> DataFrame:
     """Learn on the rows that are not held out, predict every row of ``documents``."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     model = fit(docs.filter(~held_out()), vocabulary_path())
-    out = predict(docs.select("doc_id", "text"), model)
+    out = identify(docs.select("doc_id", "text"), model)
     return out.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
