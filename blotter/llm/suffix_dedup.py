@@ -199,7 +199,8 @@ def sort_suffixes(data: np.ndarray, at: np.ndarray, width: int, family: int = 0)
     """Order of the suffixes that start at ``at``, compared over ``width`` bytes, and for each place of the order the number of its
     set of equal strings.  Every start has ``width`` bytes behind it."""
     prefix, eight = tx.byte_prefix(data, family), _eight(data)
-    lead = eight[at].astype(np.uint64)
+    unused = np.uint64(8 * max(0, 8 - width))  # bits of a first number beyond the width
+    lead = eight[at].astype(np.uint64) >> unused
     order = np.argsort(lead, kind="stable")
     lead = lead[order]
     run = np.cumsum(np.concatenate(([True], lead[1:] != lead[:-1]))) - 1 if len(at) else np.zeros(0, np.int64)
