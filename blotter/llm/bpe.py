@@ -9,6 +9,8 @@ loops on every base symbol.  The gadget of the rule ``u v -> w``
 * adds an arc ``w`` to every state that still has an arc ``u``; it leads to a copy of
   the state reached by ``v``.
 
+A rule whose ``v`` can no longer follow ``u`` never applies and adds nothing.
+
 The target of an arc depends on its label alone, so a state is named by the token
 that leads to it.  Written out, the arcs of a 49,000-token vocabulary are over
 2 * 10**9; the table therefore keeps what each gadget did (the state it copied, the
@@ -73,7 +75,6 @@ class Automaton:
     """States and arcs as the merge gadgets left them (see the module's docstring)."""
 
     def __init__(self, vocab: dict[str, int], merges: list[tuple[str, str]], added: dict[str, int]):
-        self.vocab = vocab
         self.added = added
         self.n = max([*vocab.values(), *added.values()]) + 1
         self.reach: dict[str, int] = {}  # longest token by its first two symbols
@@ -87,12 +88,16 @@ class Automaton:
         self.doubled = [-1] * self.n  # the arc beside which the arc was added
         self.copied = [-1] * self.n  # the state of which the state is a copy
         self.taken: dict[int, int] = {}  # (state, arc) taken out -> gadget
+        results = {left + right for left, right in merges}
+        self.vocab = {t: i for t, i in vocab.items() if t not in results}  # tokens that are arcs
         for rank, (left, right) in enumerate(merges):
-            self._gadget(rank, vocab[left], vocab[right], vocab[left + right])
+            if left in self.vocab and right in self.vocab and self._look_up(vocab[left], vocab[right]):
+                self._gadget(rank, vocab[left], vocab[right], vocab[left + right])
+                self.vocab[left + right] = vocab[left + right]
         self.arcs: dict[int, bool] = {}
 
     def _gadget(self, rank: int, u: int, v: int, w: int) -> None:
-        self.taken.setdefault(u * self.n + v, rank)
+        self.taken[u * self.n + v] = rank
         self.made[w], self.doubled[w], self.copied[w] = rank, u, v
 
     def has_arc(self, state: int, arc: int) -> bool:
