@@ -32,6 +32,8 @@ WORD_MARK = "▁"
 LONGEST_WORD = 40
 #: Probability of a letter that no piece covers, and the count added to every piece.
 UNCOVERED, ADDED = 1e-6, 0.05
+#: Shares of a language from which its sample is drawn.
+SHARES = 64
 #: Words a worker keeps the scores of; rows it takes at once.
 KEPT, ROWS = 1 << 18, 512
 #: The languages a model holds at most: 32,000 pieces of 8 bytes each stay under 100 MB of broadcast.
@@ -142,7 +144,7 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 [pa.array(c, t) for c, t in zip(zip(*rows), (pa.string(), pa.string(), pa.int64()))], names=["lang", "word", "n"])
 
 
-def fit(df: DataFrame, path: str, per_language: int = 2000, rounds: int = 3, id_col: str = "doc_id",
+def fit(df: DataFrame, path: str, per_language: int = 1000, rounds: int = 3, id_col: str = "doc_id",
         text_col: str = "text", lang_col: str = "lang") -> dict:
     """Learn the model from the labelled rows of ``df``.
 
@@ -154,8 +156,12 @@ def fit(df: DataFrame, path: str, per_language: int = 2000, rounds: int = 3, id_
     pieces = load_pieces(path)
     shared = {"id": hashlib.sha256("\n".join(pieces).encode()).hexdigest(), "pieces": pieces}
     rows = df.select(F.col(lang_col).alias("lang"), F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).dropna()
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id"))
-    chosen = rows.select("lang", "id").withColumn("rank", rank).filter(F.col("rank") <= per_language).select("lang", "id").distinct()
+    # First the smallest hashes of every share of a language, then those of the language: no task sees all its rows.
+    chosen = rows.select("lang", "id", F.xxhash64("id").alias("hash")).withColumn("share", F.pmod(F.shiftright("hash", 32), F.lit(SHARES)))
+    for by in (("lang", "share"), ("lang",)):
+        rank = F.row_number().over(Window.partitionBy(*by).orderBy("hash", "id"))
+        chosen = chosen.withColumn("rank", rank).filter(F.col("rank") <= per_language).drop("rank")
+    chosen = chosen.select("lang", "id").distinct()
     words = rows.join(chosen, ["lang", "id"]).select("lang", "text").mapInArrow(_word_counts, "lang string, word string, n long")
     words = cut_lineage(words.groupBy("lang", "word").agg(F.sum("n").alias("n")))
     languages = [r.lang for r in words.select("lang").distinct().orderBy("lang").limit(MOST_LANGUAGES + 1).collect()]
