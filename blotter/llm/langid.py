@@ -161,12 +161,14 @@ def fit(df: DataFrame, path: str, per_language: int = 1000, rounds: int = 3, id_
     for by in (("lang", "share"), ("lang",)):
         rank = F.row_number().over(Window.partitionBy(*by).orderBy("hash", "id"))
         chosen = chosen.withColumn("rank", rank).filter(F.col("rank") <= per_language).drop("rank")
-    chosen = chosen.select("lang", "id").distinct()
-    words = rows.join(chosen, ["lang", "id"]).select("lang", "text").mapInArrow(_word_counts, "lang string, word string, n long")
-    words = cut_lineage(words.groupBy("lang", "word").agg(F.sum("n").alias("n")))
-    languages = [r.lang for r in words.select("lang").distinct().orderBy("lang").limit(MOST_LANGUAGES + 1).collect()]
+    chosen = cut_lineage(chosen.select("lang", "id").distinct())
+    languages = [r.lang for r in chosen.select("lang").distinct().orderBy("lang").limit(MOST_LANGUAGES + 1).collect()]
     if len(languages) > MOST_LANGUAGES:
         raise ValueError(f"more than {MOST_LANGUAGES} languages")
+    # The sample's ids are broadcast: per_language * MOST_LANGUAGES rows at most.
+    sample = rows.join(F.broadcast(chosen), ["lang", "id"]).select("lang", "text")
+    words = sample.mapInArrow(_word_counts, "lang string, word string, n long")
+    words = cut_lineage(words.groupBy("lang", "word").agg(F.sum("n").alias("n")))
     prob = np.full((len(pieces) + 1, len(languages)), 1.0 / len(pieces))
     prob[-1] = UNCOVERED
     for _ in range(rounds if languages else 0):
