@@ -7,7 +7,8 @@ Spark reaches and an attempt of a lost executor leaves nothing behind.
 
 The reader takes an archive member by member (or, uncompressed, record by record) and
 checks each: the CRC and length of the member, the version line, the header, the block's
-length and end, the payload digest.  After a failed check it searches for the next member
+length and end, the digests of block and payload.  (Only a gzip member's CRC covers the
+header of a record: in an uncompressed archive a changed header value goes unseen.)  After a failed check it searches for the next member
 or version line that passes all checks, goes on there, and reports the bytes between as a
 quarantined gap.
 """
@@ -30,6 +31,8 @@ from ..session import ensure_checkpoint_dir
 EMPTY_MEMBER = bytes.fromhex("1f8b08000000000000ff03000000000000000000")
 _MAGIC, _VERSION, _END = b"\x1f\x8b\x08", b"WARC/1.", b"\r\n\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
+#: Header fields without which a record is damaged.
+REQUIRED = ("warc-type", "warc-record-id", "warc-date", "content-length")
 #: Stands for a null page id; it orders after all others.
 _LAST = (1 << 63) - 1
 #: Compressed bytes fed to the decompressor at once.
@@ -57,7 +60,7 @@ def build_record(page_id: int | None, url: str | None, payload: bytes, digest: s
     lines = ["WARC/1.1", f"WARC-Type: {'revisit' if revisit else 'response'}", f"WARC-Record-ID: {_record_id(page_id)}", f"WARC-Date: {date}"]
     if url is not None:
         lines.append(f"WARC-Target-URI: {_uri(url)}")
-    lines.append(f"WARC-Payload-Digest: sha1:{digest}")
+    lines += [f"WARC-Payload-Digest: sha1:{digest}", f"WARC-Block-Digest: sha1:{base32_sha1(block)}"]
     if revisit:
         lines += [f"WARC-Profile: {PROFILE}", f"WARC-Refers-To: {_record_id(refers_to)}"]
     lines += ["Content-Type: application/http;msgtype=response", f"Content-Length: {len(block)}"]
@@ -137,14 +140,18 @@ def parse_record(data: bytes, at: int) -> tuple[dict[str, str], bytes, int]:
         if not colon:
             raise Damaged("header line without a colon")
         fields[name.strip().lower()] = value.strip()
-    length = fields.get("content-length", "")
+    if missing := [f for f in REQUIRED if f not in fields]:
+        raise Damaged(f"no {missing[0]}")
+    length = fields["content-length"]
     if not length.isascii() or not length.isdigit():
-        raise Damaged("no content length")
+        raise Damaged("content length is no number")
     begin = stop + len(_END)
     end = begin + int(length)
     if data[end:end + len(_END)] != _END:
         raise Damaged("block of another length")
     block = data[begin:end]
+    if fields.get("warc-block-digest", "").startswith("sha1:") and base32_sha1(block) != fields["warc-block-digest"][5:]:
+        raise Damaged("block digest differs")
     if fields.get("warc-type") == "response" and fields.get("warc-payload-digest", "").startswith("sha1:"):
         if base32_sha1(http_payload(block)[1]) != fields["warc-payload-digest"][5:]:
             raise Damaged("payload digest differs")
@@ -177,11 +184,9 @@ def _take(data: bytes, at: int) -> tuple[list[tuple[dict[str, str], bytes]], int
 
 
 def _next_start(data: bytes, at: int) -> int:
-    """The next place that looks like a member or a version line at the start of a line."""
-    member, line = data.find(_MAGIC, at), data.find(_VERSION, at)
-    while line > 0 and data[line - 1:line] != b"\n":
-        line = data.find(_VERSION, line + 1)
-    return min((x for x in (member, line) if x >= 0), default=len(data))
+    """The next place that looks like a member or a version line (not only at the start of a line: what went before
+    may be cut off)."""
+    return min((x for x in (data.find(_MAGIC, at), data.find(_VERSION, at)) if x >= 0), default=len(data))
 
 
 def salvage(data: bytes) -> Iterator[tuple]:
