@@ -51,11 +51,11 @@ def removed_lines(df: DataFrame, min_sites: int, id_col: str, text_col: str, sit
     spread = lines.groupBy("line").agg(F.min("site").alias("low"), F.max("site").alias("high"))
     several = spread.filter("low != high").select("line")
     found = cut_lineage(lines.join(several, "line", "left_semi"))
-    common = cut_lineage(boilerplate(found, min_sites))
     place = F.struct("key", "twin", "pos")
-    hits = found.join(common, "line", "left_semi")
-    first = hits.groupBy("line").agg(F.min(place).alias("first"))
-    later = hits.join(first, "line").filter(place != F.col("first"))
+    # The first place is found before any join, with partial aggregation: a hot line is a row per task.
+    first = found.groupBy("line").agg(F.min(place).alias("first"))
+    common = cut_lineage(boilerplate(found, min_sites).join(first, "line"))
+    later = found.join(common, "line").filter(place != F.col("first"))
     return later.groupBy("key", "twin").agg(F.collect_set("pos").alias("gone"))
 
 
