@@ -28,6 +28,8 @@ PLACES = "part int, kind byte, payload binary"
 _SCHEMA = pa.schema([("part", pa.int32()), ("kind", pa.int8()), ("payload", pa.binary())])
 #: kind of a row: keys that are to be compared, or places already decided.
 KEYS, DECIDED = 0, 1
+#: Decided places a task holds before it sends them.
+SETTLED = 1 << 18
 #: Input bytes (as stored) per bucket, and the largest number of buckets.
 BUCKET_BYTES, MOST_BUCKETS = 4 << 20, 1 << 18
 _MUL = np.uint64(0x9E3779B97F4A7C15)
@@ -107,13 +109,30 @@ def by_part(part: np.ndarray, kind: int, docs: np.ndarray, places: np.ndarray,
         yield row_batch(rows)
 
 
-def decided(docs: np.ndarray, places: np.ndarray, n: int, keys: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
-    """Rows for places that need no further comparison, dealt by document group; ``keys`` may say something about a place."""
-    if len(docs):
+def settle(items: Iterator, n: int) -> Iterator[pa.RecordBatch]:
+    """Rows of a task: batches pass, and places that need no further comparison (triples of documents, places and, if a place needs
+    it, a number each) are gathered and dealt to ``n`` document groups."""
+    held, size = [], 0
+
+    def rows() -> Iterator[pa.RecordBatch]:
+        docs, places = np.concatenate([h[0] for h in held]), np.concatenate([h[1] for h in held])
+        keys = None if held[0][2] is None else np.concatenate([h[2] for h in held])
         order = np.lexsort((places, docs))
         docs, places = docs[order], places[order]
         yield from by_part(group_of(docs, n), DECIDED, docs, places, None if keys is None else keys[order])
 
+    for item in items:
+        if isinstance(item, pa.RecordBatch):
+            yield item
+        elif len(item[0]):
+            held.append(item)
+            size += len(item[0])
+            if size >= SETTLED:
+                yield from rows()
+                held, size = [], 0
+    if held:
+        yield from rows()
+
 
 def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, list[bytes]]]:
     """Rows of a task gathered by (part, kind); the rows come sorted by both."""
@@ -136,11 +155,11 @@ def gather(raws: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray | None
     return np.concatenate([g[0] for g in got]), np.concatenate([g[1] for g in got]), keys
 
 
-def compare_rows(emitted: DataFrame, judge: Callable) -> DataFrame:
-    """Deal emitted rows out by bucket and let ``judge(payloads)`` give the rows it decides on (or deals
-    out again); rows already decided pass through.  Result: rows by document group."""
+def compare_rows(emitted: DataFrame, judge: Callable, n: int) -> DataFrame:
+    """Deal emitted rows out by bucket and let ``judge(payloads)`` give the places it decides on, or rows to be dealt
+    out again (see :func:`settle`); rows already decided pass through.  Result: rows by document group."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def items(batches: Iterator[pa.RecordBatch]) -> Iterator:
         for part, kind, raws in parts(batches):
             if kind == DECIDED:
                 yield row_batch([(part, DECIDED, r) for r in raws])
@@ -148,12 +167,12 @@ def compare_rows(emitted: DataFrame, judge: Callable) -> DataFrame:
                 yield from judge(raws)
 
     dealt = emitted.repartition("part").sortWithinPartitions("part", "kind")
-    return dealt.mapInArrow(run, PLACES)
+    return dealt.mapInArrow(lambda batches: settle(items(batches), n), PLACES)
 
 
-def compare(emitted: DataFrame, judge: Callable) -> DataFrame:
-    """:func:`compare_rows` of packed places: ``judge(docs, places, keys)``."""
-    return compare_rows(emitted, lambda raws: judge(*gather(raws)))
+def compare(emitted: DataFrame, judge: Callable, n: int) -> DataFrame:
+    """:func:`compare_rows` of packed places: ``judge(docs, places, keys)`` returns the documents and places it decides on."""
+    return compare_rows(emitted, lambda raws: [(*judge(*gather(raws)), None)], n)
 
 
 def per_document(places: DataFrame, merge: Callable) -> DataFrame:

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +29,7 @@ _SEEDS = np.random.Generator(np.random.PCG64(20240607))
 _BYTE_VALUES = [_SEEDS.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1) for _ in range(2)]
 _BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+_BLOCK = 1 << 16
 
 
 def doc_key(id_col: str) -> Column:
@@ -65,7 +66,7 @@ def chunks(offsets: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
         i = min(j, n)
 
 
-def text_chunks(arr: pa.Array, limit: int = 2 << 20) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def text_chunks(arr: pa.Array, limit: int = 1 << 19) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, last row + 1, bytes, offsets) of consecutive chunks of a batch."""
     data, offsets = string_buffers(arr)
     for i, j in chunks(offsets, limit):
@@ -103,9 +104,10 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def _powers(n: int, family: int) -> tuple[np.ndarray, np.ndarray]:
+    """The base and its inverse to the powers 0 .. n - 1 at least."""
     have = _POWERS.get(family)
     if have is None or len(have[0]) < n:
-        size = max(n, 1 << 16, 2 * len(have[0]) if have else 0)
+        size = max(n, _BLOCK + 1)
         base = _BASES[family]
         tables = []
         for b in (base, pow(base, -1, 1 << 64)):
@@ -113,25 +115,38 @@ def _powers(n: int, family: int) -> tuple[np.ndarray, np.ndarray]:
             t[0] = 1
             tables.append(np.cumprod(t))
         _POWERS[family] = have = (tables[0], tables[1])
-    return have[0][:n], have[1][:n]
+    return have
 
 
-def prefix_hash(values: np.ndarray, family: int = 0) -> np.ndarray:
-    """Prefix polynomial sums modulo 2**64 of 64-bit values; entry i covers the first i values."""
-    out = np.zeros(len(values) + 1, np.uint64)
-    np.cumsum(values * _powers(len(values), family)[0], out=out[1:])
+def _prefix(n: int, values: Callable[[int, int], np.ndarray], family: int) -> np.ndarray:
+    """Prefix polynomial hashes modulo 2**64, block by block: entry i + 1 is entry i times the base plus value i."""
+    power, inverse = _powers(_BLOCK + 1, family)
+    out = np.zeros(n + 1, np.uint64)
+    for a in range(0, n, _BLOCK):
+        b = min(n, a + _BLOCK)
+        sums = np.cumsum(values(a, b) * inverse[1:b - a + 1])
+        out[a + 1:b + 1] = (sums + out[a]) * power[1:b - a + 1]
     return out
 
 
-def range_hash(prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray, family: int = 0) -> np.ndarray:
-    """Hash of each range [start, end) from the prefix sums, independent of where the range lies."""
-    inverse = _powers(len(prefix), family)[1]
-    return (prefix[ends] - prefix[starts]) * inverse[starts]
+def prefix_hash(values: np.ndarray, family: int = 0) -> np.ndarray:
+    """Prefix polynomial hash of 64-bit values; entry i covers the first i values."""
+    return _prefix(len(values), lambda a, b: values[a:b], family)
 
 
 def byte_prefix(data: np.ndarray, family: int = 0) -> np.ndarray:
     """Prefix polynomial hash over bytes."""
-    return prefix_hash(_BYTE_VALUES[family][data], family)
+    table = _BYTE_VALUES[family]
+    return _prefix(len(data), lambda a, b: table[data[a:b]], family)
+
+
+def range_hash(prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray, family: int = 0) -> np.ndarray:
+    """Hash of each range [start, end) from the prefix hashes, independent of where the range lies."""
+    if len(starts) == 0:
+        return np.zeros(0, np.uint64)
+    sizes = ends - starts
+    power = _powers(int(sizes.max()) + 1, family)[0]
+    return prefix[ends] - prefix[starts] * power[sizes]
 
 
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, family: int = 0) -> np.ndarray:

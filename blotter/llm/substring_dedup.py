@@ -23,7 +23,9 @@ from . import _exchange as ex
 from . import _text as tx
 
 #: Windows a task holds before it sends them.
-HELD = 1 << 20
+HELD = 1 << 19
+#: Rows unpacked at once.
+ROWS = 1000
 
 
 def _first_seen(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -36,18 +38,18 @@ def _first_seen(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _emit(window: int, n: int):
-    def flush(held: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
+    def flush(held: list[tuple[np.ndarray, ...]]) -> Iterator:
         docs, starts, keys, seconds = (np.concatenate(x) for x in zip(*held))
         order = np.lexsort((starts, docs)) if (docs[1:] < docs[:-1]).any() else np.arange(len(docs))
         docs, starts, keys, seconds = docs[order], starts[order], keys[order], seconds[order]
         order, head = _first_seen(keys)
         first = order[head]
         later = (docs[order] != docs[first]) | (starts[order] != starts[first])
-        yield from ex.decided(docs[order[later]], starts[order[later]], n)
+        yield docs[order[later]], starts[order[later]], None
         send = np.sort(order[head == np.arange(len(order))])
         yield from ex.by_part((seconds[send] % np.uint64(n)).astype(np.int64), ex.KEYS, docs[send], starts[send], keys[send])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator:
         held, size = [], 0
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
@@ -66,7 +68,7 @@ def _emit(window: int, n: int):
         if held:
             yield from flush(held)
 
-    return run
+    return lambda batches: ex.settle(run(batches), n)
 
 
 def _later(docs: np.ndarray, starts: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -94,12 +96,11 @@ def repeated_spans(df: DataFrame, window: int = 20, id_col: str = "doc_id", text
     source = df.select(tx.doc_key(id_col).alias("key"), F.col(text_col).cast("binary").alias("raw"))
     n = ex.n_buckets(source)
     emitted = source.mapInArrow(_emit(window, n), ex.PLACES)
-    judged = ex.compare(emitted, lambda *bucket: ex.decided(*_later(*bucket), n))
-    return ex.per_document(judged, ex.merge_fixed(window))
+    return ex.per_document(ex.compare(emitted, _later, n), ex.merge_fixed(window))
 
 
 def _apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in (b.slice(at, ROWS) for b in batches for at in range(0, b.num_rows, ROWS)):
         total, gone, kept = [], [], []
         for packed, spans in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
             found = ex.unpack_text(packed).split() if packed is not None else []

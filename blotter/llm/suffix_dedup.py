@@ -31,13 +31,13 @@ from . import _text as tx
 
 WIDTH, GRAM = 200, 50
 #: Bytes of a longer document handled at once, and bytes of text a task holds before it sends it.
-SLICE, HELD = 4 << 20, 6 << 20
+SLICE, HELD = 1 << 20, 2 << 20
 #: Rows unpacked at once.
 ROWS = 1000
 #: Runs a task holds before it sends their keys.
-RUNS = 1 << 19
+RUNS = 1 << 18
 #: Suffixes sorted at once.
-SUFFIXES = 1 << 20
+SUFFIXES = 1 << 18
 #: Different texts around an anchor beyond which they are dealt out again, in parts of this many strings.
 CROWD, PART = 4096, 8
 _AT = np.uint64((1 << 24) - 1)
@@ -80,7 +80,7 @@ def pieces(arr: pa.Array, width: int) -> Iterator[tuple[np.ndarray, np.ndarray,
 def _emit_keys(width: int, gram: int, n: int) -> Callable:
     """Keys of all runs; keys that a batch has twice are decided at once and sent once."""
 
-    def flush(held: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
+    def flush(held: list[tuple[np.ndarray, ...]]) -> Iterator:
         docs, starts, keys = (np.concatenate(x) for x in zip(*held))
         order = np.lexsort((starts, docs))
         docs, starts, keys = docs[order], starts[order], keys[order]
@@ -90,11 +90,11 @@ def _emit_keys(width: int, gram: int, n: int) -> Callable:
         head[1:] = k[1:] != k[:-1]
         many = ~head
         many[:-1] |= ~head[1:]
-        yield from ex.decided(docs[order[many]], starts[order[many]], n)
+        yield docs[order[many]], starts[order[many]], None
         send = np.sort(order[head])
         yield from ex.by_part((keys[send] % np.uint64(n)).astype(np.int64), ex.KEYS, docs[send], starts[send], keys[send])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator:
         held, size = [], 0
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
@@ -108,7 +108,7 @@ def _emit_keys(width: int, gram: int, n: int) -> Callable:
         if held:
             yield from flush(held)
 
-    return run
+    return lambda batches: ex.settle(run(batches), n)
 
 
 def _seen_twice(docs: np.ndarray, starts: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -133,8 +133,7 @@ class Segments:
 
     def cut(self, seg: np.ndarray, skip: np.ndarray, sizes: np.ndarray, keys: np.ndarray) -> "Segments":
         """Parts of texts ``seg``: ``sizes`` bytes from byte ``skip``."""
-        at = np.repeat(self.begin[seg] + skip - np.cumsum(sizes) + sizes, sizes) + np.arange(int(sizes.sum()))
-        return Segments(self.docs[seg], self.starts[seg] + skip, keys, self.lead[seg] - skip, sizes, self.data[at])
+        return Segments(self.docs[seg], self.starts[seg] + skip, keys, self.lead[seg] - skip, sizes, _ranges(self.data, self.begin[seg] + skip, sizes))
 
     def take(self, sel: np.ndarray) -> "Segments":
         return self.cut(sel, np.zeros(len(sel), np.int64), self.sizes[sel], self.keys[sel])
@@ -176,18 +175,26 @@ class Segments:
         raise RuntimeError("both hash families collide")
 
 
-def _equal(data: np.ndarray, left: np.ndarray, right: np.ndarray, sizes: np.ndarray) -> bool:
-    """Whether all pairs of ranges are equal, a few MB at a time."""
-    at, step = 0, 0
-    total = np.concatenate(([0], np.cumsum(sizes)))
+def _shares_of(sizes: np.ndarray, most: int = 1 << 18) -> Iterator[tuple[slice, np.ndarray]]:
+    """Ranges taken together up to ``most`` bytes (or one longer), and for every byte its place in its range."""
+    total, at = np.concatenate(([0], np.cumsum(sizes))), 0
     while at < len(sizes):
-        step = max(at + 1, int(np.searchsorted(total, total[at] + (1 << 21), "right")) - 1)
-        size = sizes[at:step]
-        within = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
-        if not np.array_equal(data[np.repeat(left[at:step], size) + within], data[np.repeat(right[at:step], size) + within]):
-            return False
-        at = step
-    return True
+        stop = max(at + 1, int(np.searchsorted(total, total[at] + most, "right")) - 1)
+        size = sizes[at:stop]
+        yield slice(at, stop), np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
+        at = stop
+
+
+def _ranges(data: np.ndarray, begin: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The bytes of all ranges, one behind the other."""
+    parts = [data[np.repeat(begin[share], sizes[share]) + within] for share, within in _shares_of(sizes)]
+    return np.concatenate(parts) if parts else data[:0]
+
+
+def _equal(data: np.ndarray, left: np.ndarray, right: np.ndarray, sizes: np.ndarray) -> bool:
+    """Whether all pairs of ranges are equal."""
+    return all(np.array_equal(data[np.repeat(left[share], sizes[share]) + within], data[np.repeat(right[share], sizes[share]) + within])
+               for share, within in _shares_of(sizes))
 
 
 def _eight(data: np.ndarray) -> np.ndarray:
@@ -195,10 +202,10 @@ def _eight(data: np.ndarray) -> np.ndarray:
     return np.ndarray((len(data) + 1,), ">u8", np.concatenate((data, np.zeros(8, np.uint8))), strides=(1,))
 
 
-def sort_suffixes(data: np.ndarray, at: np.ndarray, width: int, family: int = 0) -> tuple[np.ndarray, np.ndarray]:
+def sort_suffixes(data: np.ndarray, at: np.ndarray, width: int, family: int = 0, prefix: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Order of the suffixes that start at ``at``, compared over ``width`` bytes, and for each place of the order the number of its
     set of equal strings.  Every start has ``width`` bytes behind it."""
-    prefix, eight = tx.byte_prefix(data, family), _eight(data)
+    prefix, eight = tx.byte_prefix(data, family) if prefix is None else prefix, _eight(data)
     unused = np.uint64(8 * max(0, 8 - width))  # bits of a first number beyond the width
     lead = eight[at].astype(np.uint64) >> unused
     order = np.argsort(lead, kind="stable")
@@ -243,10 +250,10 @@ def sort_suffixes(data: np.ndarray, at: np.ndarray, width: int, family: int = 0)
     return order, done
 
 
-def repeated_starts(data: np.ndarray, at: np.ndarray, width: int) -> np.ndarray:
+def repeated_starts(data: np.ndarray, at: np.ndarray, width: int, prefix: np.ndarray | None = None) -> np.ndarray:
     """Which of the strings of ``width`` bytes at ``at`` occur more than once among them."""
     for family in (0, 1):
-        order, equal = sort_suffixes(data, at, width, family)
+        order, equal = sort_suffixes(data, at, width, family, None if family else prefix)
         same = np.flatnonzero((equal[1:] > 0) & (equal[1:] == equal[:-1]))
         if _verified(data, at[order[same]], at[order[same + 1]], width):
             out = np.zeros(len(at), bool)
@@ -258,22 +265,22 @@ def repeated_starts(data: np.ndarray, at: np.ndarray, width: int) -> np.ndarray:
 def _verified(data: np.ndarray, left: np.ndarray, right: np.ndarray, width: int) -> bool:
     eight = _eight(data)
     steps = [*range(0, width - 7, 8), width - 8] if width >= 8 else []
-    for lo in range(0, len(left), 1 << 18):
-        a, b = left[lo:lo + (1 << 18)], right[lo:lo + (1 << 18)]
+    for lo in range(0, len(left), 1 << 16):
+        a, b = left[lo:lo + (1 << 16)], right[lo:lo + (1 << 16)]
         if steps and not all(np.array_equal(eight[a + s], eight[b + s]) for s in steps):
             return False
     return bool(steps) or _equal(data, left, right, np.full(len(left), width))
 
 
-def _emit_texts(width: int, gram: int, n: int) -> Callable:
+def _emit_texts(width: int, gram: int, wide: int, n: int) -> Callable:
     """Texts of the runs whose start is listed; texts that a batch has twice are decided at once and sent once."""
 
-    def flush(held: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
-        own = yield from _collapse(Segments(*(np.concatenate(x) for x in zip(*held))), n)
+    def flush(held: list[tuple[np.ndarray, ...]]) -> Iterator:
+        own = yield from _collapse(Segments(*(np.concatenate(x) for x in zip(*held))))
         if len(own.docs):
-            yield own.rows(n)
+            yield own.rows(wide)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator:
         held, size = [], 0
         for batch in (b.slice(at, ROWS) for b in batches for at in range(0, b.num_rows, ROWS)):
             ids = batch.column(0).to_numpy(zero_copy_only=False)
@@ -287,19 +294,18 @@ def _emit_texts(width: int, gram: int, n: int) -> Callable:
                     listed[a:b] = np.isin(start[a:b] + at[d], wanted[row[d]])
                 doc, start, lead, key = doc[listed], start[listed], lead[listed], key[listed]
                 sizes = strings[listed] + width - 1
-                take = np.repeat(offsets[doc] + start - np.cumsum(sizes) + sizes, sizes) + np.arange(int(sizes.sum()))
-                held.append((ids[row[doc]], start + at[doc], key, lead, sizes, data[take]))
-                size += len(take)
+                held.append((ids[row[doc]], start + at[doc], key, lead, sizes, _ranges(data, offsets[doc] + start, sizes)))
+                size += len(held[-1][-1])
                 if size >= HELD:
                     yield from flush(held)
                     held, size = [], 0
         if held:
             yield from flush(held)
 
-    return run
+    return lambda batches: ex.settle(run(batches), n)
 
 
-def _collapse(own: Segments, n: int):
+def _collapse(own: Segments):
     """Decide on texts that occur more than once (their strings all do); return one of each."""
     cls, first = own.same_texts()
     # Repeated rows are the same place: they do not make a text occur twice.
@@ -308,15 +314,15 @@ def _collapse(own: Segments, n: int):
     new = np.ones(len(place), bool)
     new[1:] = (c[1:] != c[:-1]) | (d[1:] != d[:-1]) | (s[1:] != s[:-1])
     twice = np.bincount(c[new], minlength=len(first))[cls] > 1
-    yield from ex.decided(own.docs[twice], own.starts[twice], n, (own.starts + own.sizes)[twice].astype(np.uint64))
+    yield own.docs[twice], own.starts[twice], (own.starts + own.sizes)[twice].astype(np.uint64)
     return own.take(np.sort(first))
 
 
 def _sort_bucket(width: int, n: int, most: int | None) -> Callable:
     """Decide on the strings of a bucket; more than ``most`` different texts around an anchor are dealt out again (None: never)."""
 
-    def run(raws: list[bytes]) -> Iterator[pa.RecordBatch]:
-        own = yield from _collapse(Segments.unpack(raws), n)
+    def run(raws: list[bytes]) -> Iterator:
+        own = yield from _collapse(Segments.unpack(raws))
         _, at, around = np.unique(own.keys, return_inverse=True, return_counts=True)
         several = around[at] > 1
         crowd = np.flatnonzero(around[at] > most) if most else np.zeros(0, np.int64)
@@ -330,16 +336,16 @@ def _sort_bucket(width: int, n: int, most: int | None) -> Callable:
         seg = np.repeat(np.arange(len(strings)), strings)
         within = np.arange(len(seg)) - np.repeat(np.cumsum(strings) - strings, strings)
         start = own.begin[seg] + within
-        again = np.zeros(len(start), bool)
+        again, prefix = np.zeros(len(start), bool), tx.byte_prefix(own.data)
         for sel in _shares(own.data, start):
-            again[sel] = repeated_starts(own.data, start[sel], width)
+            again[sel] = repeated_starts(own.data, start[sel], width, prefix)
         hit = np.flatnonzero(again)
         if len(hit):
             new = np.ones(len(hit), bool)
             new[1:] = (seg[hit][1:] != seg[hit][:-1]) | (hit[1:] != hit[:-1] + 1)
             a = hit[new]
             b = hit[np.append(np.flatnonzero(new)[1:], len(hit)) - 1]
-            yield from ex.decided(own.docs[seg[a]], own.starts[seg[a]] + within[a], n, (own.starts[seg[b]] + within[b] + width).astype(np.uint64))
+            yield own.docs[seg[a]], own.starts[seg[a]] + within[a], (own.starts[seg[b]] + within[b] + width).astype(np.uint64)
 
     return run
 
@@ -377,18 +383,18 @@ def repeated_spans(df: DataFrame, width: int = WIDTH, gram: int = GRAM, crowd: i
     """``key, spans`` (maximal spans of bytes to remove) and the packed texts (``key, packed``)."""
     source = df.select(tx.doc_key(id_col).alias("key"), F.col(text_col).cast("binary").alias("raw"))
     n = ex.n_buckets(source)
-    wide = 4 * n  # smaller buckets where texts are sorted
+    wide = 2 * n  # smaller buckets where texts are sorted
     keys = source.mapInArrow(_emit_keys(width, gram, n), ex.PLACES)
-    listed = ex.per_document(ex.compare(keys, lambda *bucket: ex.decided(*_seen_twice(*bucket), n)), _as_places)
+    listed = ex.per_document(ex.compare(keys, _seen_twice, n), _as_places)
     packed = ex.pack_texts(source, "key", "raw")
-    texts = packed.join(listed, "key").select("key", "packed", "spans").mapInArrow(_emit_texts(width, gram, wide), ex.PLACES)
+    texts = packed.join(listed, "key").select("key", "packed", "spans").mapInArrow(_emit_texts(width, gram, wide, n), ex.PLACES)
     for most in (crowd, None):
-        texts = ex.compare_rows(texts, _sort_bucket(width, wide, most))
+        texts = ex.compare_rows(texts, _sort_bucket(width, wide, most), n)
     return ex.per_document(texts, ex.merge_spans), packed
 
 
 def _apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in (b.slice(at, ROWS) for b in batches for at in range(0, b.num_rows, ROWS)):
         total, gone, count, kept = [], [], [], []
         for packed, spans in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
             raw = ex.unpack_text(packed) if packed is not None else b""
