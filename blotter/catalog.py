@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import geo, text, timefn
-from .operators import cleaning, holidays, hotspots, metrics, rollups
+from .operators import cleaning, dims, holidays, hotspots, metrics, rollups
 from .plans import classify, dashboard, knn
 from .session import cut_lineage
 from .sources import testdata as td
@@ -311,29 +311,32 @@ def _calendar_for(incidents: DataFrame) -> DataFrame:
     return holidays.statutory_calendar(incidents)
 
 
-@register("holiday_calendar", _INC + "," + CALENDAR_SQL + "\nSELECT CAST(date AS DATE) AS date, holiday FROM cal")
+_FAR = td.with_ctes(td.FAR_YEARS_SQL)
+
+
+@register("holiday_calendar", _FAR + "," + CALENDAR_SQL + "\nSELECT CAST(date AS DATE) AS date, holiday FROM cal")
 def q_holiday_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _calendar_for(td.incidents(spark, sf_dir))
+    return _calendar_for(td.far_year_incidents(spark, sf_dir))
 
 
-@register("holiday_top3_by_year", _INC + "," + CALENDAR_SQL + """
+@register("holiday_top3_by_year", _FAR + "," + CALENDAR_SQL + """
 , per AS (SELECT holiday, year, count(*) AS count FROM hd GROUP BY holiday, year)
 , top AS (SELECT holiday FROM per GROUP BY holiday ORDER BY sum(count) DESC, holiday LIMIT 3)
 SELECT year, count, holiday FROM per WHERE holiday IN (SELECT holiday FROM top)
 """)
 def q_holiday_top3_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return holidays.holiday_top_by_year(td.incidents(spark, sf_dir), k=3)
+    return holidays.holiday_top_by_year(td.far_year_incidents(spark, sf_dir), k=3)
 
 
-@register("holiday_top3_recent", _INC + "," + CALENDAR_SQL + f"""
+@register("holiday_top3_recent", _FAR + "," + CALENDAR_SQL + f"""
 SELECT holiday, count(*) AS count FROM hd WHERE year >= {RECENT_SINCE}
 GROUP BY holiday ORDER BY count DESC, holiday LIMIT 3
 """)
 def q_holiday_top3_recent(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return holidays.holiday_ranking(td.incidents(spark, sf_dir), k=3, since_year=RECENT_SINCE)
+    return holidays.holiday_ranking(td.far_year_incidents(spark, sf_dir), k=3, since_year=RECENT_SINCE)
 
 
-@register("holiday_share", _INC + "," + CALENDAR_SQL + """
+@register("holiday_share", _FAR + "," + CALENDAR_SQL + """
 SELECT count(*) AS incidents,
        count(*) FILTER (WHERE EXISTS (SELECT 1 FROM cal c WHERE year(c.date) = i.year AND month(c.date) = i.month
                                       AND day(c.date) = i.day)) AS on_holidays,
@@ -342,7 +345,7 @@ SELECT count(*) AS incidents,
 FROM incidents i
 """)
 def q_holiday_share(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return holidays.holiday_share(td.incidents(spark, sf_dir))
+    return holidays.holiday_share(td.far_year_incidents(spark, sf_dir))
 
 
 # ---------------------------------------------------------------- cleaning
@@ -398,9 +401,10 @@ CLEAN_SQL = td.with_ctes(td.RAW_SQL, td.POINTS_SQL) + f"""
     AND minute IS NOT NULL AND hundred_block IS NOT NULL AND neighbourhood IS NOT NULL
     AND x IS NOT NULL AND y IS NOT NULL AND NOT isnan(x) AND NOT isnan(y))
 , l AS (
-  SELECT sha256(concat_ws('|', type, CAST(year AS VARCHAR), CAST(month AS VARCHAR), CAST(day AS VARCHAR),
-                CAST(hour AS VARCHAR), CAST(minute AS VARCHAR), hundred_block, neighbourhood,
-                CAST(CAST(floor(x * 1e6) AS BIGINT) AS VARCHAR), CAST(CAST(floor(y * 1e6) AS BIGINT) AS VARCHAR))) AS id,
+  SELECT sha256(array_to_string(list_transform(
+                [type, CAST(year AS VARCHAR), CAST(month AS VARCHAR), CAST(day AS VARCHAR), CAST(hour AS VARCHAR),
+                 CAST(minute AS VARCHAR), hundred_block, neighbourhood, CAST(x AS VARCHAR), CAST(y AS VARCHAR)],
+                lambda v: CAST(length(v) AS VARCHAR) || ':' || v), '')) AS id,
          lower(type) AS type, year, month, day, hour, minute, lower(hundred_block) AS hb,
          lower(neighbourhood) AS neighbourhood, x AS e, y AS n
   FROM d WHERE x <> 0 OR y <> 0)
@@ -471,9 +475,9 @@ def _encoded_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = classify.training_rows(td.incidents(spark, sf_dir), include=None, exclude=KNN_EXCLUDE,
                                   strict_coordinates=True)
     tables = classify.label_tables(rows, ["target", "neighbourhood", "hundred_block"])
-    rows = classify.encode(rows, "target", tables["target"], "label", bounded=True)
-    rows = classify.encode(rows, "neighbourhood", tables["neighbourhood"], "nbr", bounded=True)
-    rows = classify.encode(rows, "hundred_block", tables["hundred_block"], "hb", bounded=True)
+    rows = classify.encode(rows, "target", tables["target"], "label")
+    rows = classify.encode(rows, "neighbourhood", tables["neighbourhood"], "nbr")
+    rows = classify.encode(rows, "hundred_block", tables["hundred_block"], "hb")
     return rows.withColumn("bucket", classify.split_bucket("id"))
 
 
@@ -485,17 +489,15 @@ def _knn_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     test = rows.filter(F.col("bucket") >= KNN_TRAIN_PERCENT)
     pred = knn.knn_predict(train, test, KNN_FEATURES, "label", k=KNN_K)
     labels = rows.select(F.col("label").alias("prediction"), F.col("target").alias("predicted")).distinct()
-    return pred.join(F.broadcast(labels), "prediction", "left").select("id", "target", "predicted")
+    return pred.join(dims.broadcast_checked(labels), "prediction", "left").select("id", "target", "predicted")
 
 
 _ROWS_SQL = f"""
 rows AS (
   SELECT id, year, month, hour, neighbourhood, hundred_block, type AS target FROM incidents
-  WHERE id IS NOT NULL AND type IS NOT NULL AND "timestamp" IS NOT NULL AND year IS NOT NULL AND month IS NOT NULL
-    AND day IS NOT NULL AND hour IS NOT NULL AND minute IS NOT NULL AND neighbourhood IS NOT NULL
-    AND x_neighbourhood IS NOT NULL AND y_neighbourhood IS NOT NULL AND hundred_block IS NOT NULL
+  WHERE id IS NOT NULL AND type IS NOT NULL AND year IS NOT NULL AND month IS NOT NULL AND hour IS NOT NULL
+    AND neighbourhood IS NOT NULL AND hundred_block IS NOT NULL
     AND x IS NOT NULL AND y IS NOT NULL AND NOT isnan(x) AND NOT isnan(y)
-    AND NOT isnan(x_neighbourhood) AND NOT isnan(y_neighbourhood)
     AND type NOT IN ({", ".join(f"'{c}'" for c in KNN_EXCLUDE)}) AND x <> 0 AND y <> 0),
 enc AS (
   SELECT r.*, CAST(dense_rank() OVER (ORDER BY target) - 1 AS INTEGER) AS label,
@@ -622,23 +624,38 @@ def q_rf_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify.evaluate(trained.predictions)
 
 
-@register("score_requests", None)
+def _requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every incident as a request; some lack a field, some name an unknown place."""
+    k = F.col("id").cast("bigint")
+    return td.incidents(spark, sf_dir).select(
+        F.col("id").alias("request_id"), "year", F.when(k % 61 != 0, F.col("month")).alias("month"), "hour",
+        F.when(k % 67 == 0, F.lit("nowhere")).when(k % 71 != 0, F.col("neighbourhood")).alias("neighbourhood"),
+        F.when(k % 73 == 0, F.lit("no such block")).otherwise(F.col("hundred_block")).alias("hundred_block"))
+
+
+@register("score_requests", _INC + f"""
+, req AS (
+  SELECT id AS request_id, CASE WHEN CAST(id AS BIGINT) % 61 <> 0 THEN month END AS month,
+         CASE WHEN CAST(id AS BIGINT) % 67 = 0 THEN 'nowhere' WHEN CAST(id AS BIGINT) % 71 <> 0 THEN neighbourhood END AS neighbourhood,
+         CASE WHEN CAST(id AS BIGINT) % 73 = 0 THEN 'no such block' ELSE hundred_block END AS hundred_block FROM incidents)
+, seen AS (SELECT neighbourhood, hundred_block FROM incidents
+           WHERE type IN ({", ".join(f"'{c}'" for c in RF_TARGETS)}) AND x <> 0 AND y <> 0)
+, st AS (
+  SELECT request_id, CASE WHEN month IS NULL OR neighbourhood IS NULL THEN 'missing_input'
+         WHEN neighbourhood NOT IN (SELECT neighbourhood FROM seen) OR hundred_block NOT IN (SELECT hundred_block FROM seen)
+         THEN 'unknown_input' ELSE 'ok' END AS status FROM req)
+SELECT request_id, status, status = 'ok' AS predicted FROM st
+""")
 def q_score_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Train, save the pipeline under the shared checkpoint folder, load it
-    back and score the last year's incidents as requests."""
-    import uuid
-
-    from .session import ensure_checkpoint_dir
-
-    rows = _rf_rows(spark, sf_dir)
-    trained = classify.train_category_model(rows, classifier="rf", num_trees=10)
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/models/category-{uuid.uuid4().hex}"
+    back and score every incident as a request; ``predicted``: whether the
+    request got one of the categories (capitalised)."""
+    trained = classify.train_category_model(_rf_rows(spark, sf_dir), classifier="rf", num_trees=10)
+    path = _scratch(spark, "category-model")
     classify.save(trained.model, path)
-    model = classify.load(path)
-    inc = td.incidents(spark, sf_dir)
-    last = inc.agg(F.max("year").alias("year"))
-    requests = inc.join(F.broadcast(last), "year").select(F.col("id").alias("request_id"), *classify.FEATURES)
-    return classify.score_requests(model, requests)
+    scored = classify.score_requests(classify.load(path), _requests(spark, sf_dir))
+    names = [c.capitalize() for c in RF_TARGETS]
+    return scored.select("request_id", "status", F.col("prediction").isin(names).alias("predicted"))
 
 
 # ------------------------------------------------------ row selection, dims
@@ -672,7 +689,6 @@ FROM incidents WHERE x <> 0 AND y <> 0 GROUP BY neighbourhood
 def q_neighbourhood_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Centroids compared at 1e-9 degrees: the order of a distributed sum is
     not fixed, so the last bits of a double average are not either."""
-    from .operators import dims
     c = dims.derived_point_dim(td.incidents(spark, sf_dir))
     return c.select("neighbourhood", *[F.round(col, 9).cast("decimal(13,9)").alias(col) for col in ("lat", "lon")])
 
@@ -693,7 +709,18 @@ def q_csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .sources import files
     path = _scratch(spark, "raw-csv")
     files.write_csv(td.raw_incidents(spark, sf_dir), path)
-    return files.read_raw_incidents(spark, path)
+    return files.read_raw_incidents(spark, path, own=True)
+
+
+@register("clean_csv_round_trip", CLEAN_SQL)
+def q_clean_csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cleaned table (empty blocks, blocks with a trailing space, null
+    points and times) written as CSV and read back unchanged."""
+    from .sources import files
+    path = _scratch(spark, "clean-csv")
+    files.write_csv(cleaning.clean_incidents(td.raw_incidents(spark, sf_dir), td.point_dim(spark, sf_dir)), path)
+    back = files.read_clean_incidents(spark, path, fmt="csv")
+    return back.withColumns({"x": _dec6(F.col("x")), "y": _dec6(F.col("y"))})
 
 
 @register("calendar_scan", _INC + "," + CALENDAR_SQL + "\nSELECT CAST(date AS DATE) AS date, holiday FROM cal")

@@ -1,8 +1,8 @@
 """Text column expressions: block-name cleaning and display case.
 
 Everything here is a built-in Spark expression (higher-order functions over
-``split`` arrays), so it stays inside whole-stage code generation; no
-Python worker is involved.  Words are split on a single space and empty
+``split`` arrays): evaluated in the JVM, without a Python worker.  (Lambdas
+over arrays are interpreted there, not compiled into generated code.)  Words are split on a single space and empty
 words are kept, so spacing survives exactly as in the input.
 """
 

@@ -32,14 +32,18 @@ from pyspark.sql import functions as F
 
 from .operators import cleaning, dims, holidays, hotspots, metrics, rollups
 from .plans import classify, knn
+from .session import apply_cluster_conf
 from .sources import files, jdbc
 
 
+def _props(args: argparse.Namespace) -> dict[str, str]:
+    return dict(p.split("=", 1) for p in (args.jdbc_prop or []))
+
+
 def _sink(df: DataFrame, out: str, args: argparse.Namespace, name: str | None = None) -> None:
     if args.format == "jdbc":
-        props = dict(p.split("=", 1) for p in (args.jdbc_prop or []))
         table = args.jdbc_table if name is None else f"{args.jdbc_table}_{name}"
-        jdbc.write_table(df, args.jdbc_url, table, props, mode="overwrite", batch_size=args.batch_size)
+        jdbc.write_table(df, args.jdbc_url, table, _props(args), mode="overwrite", batch_size=args.batch_size)
         return
     path = out if name is None else f"{out.rstrip('/')}/{name}"
     if args.format == "csv":
@@ -49,6 +53,11 @@ def _sink(df: DataFrame, out: str, args: argparse.Namespace, name: str | None =
 
 
 def _clean(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
+    if args.input_format == "jdbc":
+        bounds = dict(zip(("partition_column", "lower_bound", "upper_bound", "num_partitions"), args.jdbc_split or []))
+        if bounds:
+            bounds["num_partitions"] = int(bounds["num_partitions"])
+        return jdbc.read_table(spark, args.jdbc_url, args.clean, _props(args), **bounds)
     return files.read_clean_incidents(spark, args.clean, fmt=args.input_format)
 
 
@@ -59,16 +68,22 @@ def _districts(spark: SparkSession, args: argparse.Namespace) -> tuple[DataFrame
     return dims.city_district_dim(spark), True
 
 
-def _points(spark: SparkSession, path: str | None) -> tuple[DataFrame, bool]:
+def _points(spark: SparkSession, path: str | None) -> tuple[DataFrame | None, bool]:
+    """The point table, or None: centroids of the located incidents."""
     if path is None:
-        return spark.createDataFrame([], dims.POINT_SCHEMA), True
+        return None, False
     return spark.read.schema(dims.POINT_SCHEMA).option("header", True).csv(path), False
 
 
 def run(argv: Sequence[str], spark: SparkSession | None = None) -> None:
     ap = argparse.ArgumentParser(prog="blotter.jobs")
     ap.add_argument("--format", choices=["parquet", "csv", "jdbc"], default="parquet")
-    ap.add_argument("--input-format", choices=["parquet", "csv"], default="parquet")
+    ap.add_argument("--input-format", choices=["parquet", "csv", "jdbc"], default="parquet",
+                    help="of the clean table; with jdbc its argument is a table name")
+    ap.add_argument("--jdbc-split", nargs=4, metavar=("COLUMN", "LOWER", "UPPER", "PARTS"),
+                    help="read over JDBC in ranges of a column")
+    ap.add_argument("--conf", action="append", metavar="KEY=VALUE",
+                    help="session settings on top of the cluster settings")
     ap.add_argument("--jdbc-url")
     ap.add_argument("--jdbc-table")
     ap.add_argument("--jdbc-prop", action="append")
@@ -80,7 +95,8 @@ def run(argv: Sequence[str], spark: SparkSession | None = None) -> None:
     p = sub.add_parser("clean", help="raw CSV -> clean incident table")
     p.add_argument("raw")
     p.add_argument("out")
-    p.add_argument("--points", help="CSV neighbourhood,lat,lon (header)")
+    p.add_argument("--points", help="CSV neighbourhood,lat,lon (header); default: centroids of the incidents")
+    p.add_argument("--overwrite", action="store_true", help="replace an existing output (default: fail)")
     p.add_argument("--strict", action="store_true", help="drop rows with either coordinate 0")
     p.add_argument("--partition-by-year", action="store_true")
 
@@ -91,6 +107,9 @@ def run(argv: Sequence[str], spark: SparkSession | None = None) -> None:
         p.add_argument("--districts", help="CSV neighbourhood,district (header); default: the city's map")
     sub.choices["district-counts"].add_argument("--years", type=int, nargs="+", default=list(hotspots.REFERENCE_YEARS))
     sub.choices["least-district"].add_argument("--years", type=int, nargs="+", default=list(hotspots.REFERENCE_YEARS))
+    sub.choices["least-district"].add_argument("--leave-out", nargs="*", metavar="NEIGHBOURHOOD=BLOCK",
+                                               help="pairs left out; default: the original job's pair; none: leave nothing out")
+    sub.choices["least-district"].add_argument("--coordinates", choices=["loose", "strict", "any"], default="loose")
     sub.choices["hot-blocks"].add_argument("--after-year", type=int, default=2019)
     sub.choices["knn"].add_argument("--k", type=int, default=25)
     sub.choices["knn"].add_argument("--train-percent", type=int, default=67)
@@ -116,7 +135,14 @@ def run(argv: Sequence[str], spark: SparkSession | None = None) -> None:
     p.add_argument("model")
     p.add_argument("--classifier", choices=["rf", "nb"], default="rf")
     p.add_argument("--targets", nargs="+", default=list(classify.REFERENCE_TARGETS))
-    p.add_argument("--metrics-out")
+    p.add_argument("--exclude", nargs="*", help="train on all categories but these instead (default list if empty)")
+    p.add_argument("--trees", type=int, default=10)
+    p.add_argument("--max-bins", type=int)
+    p.add_argument("--train-percent", type=int, default=80)
+    p.add_argument("--seed", type=int, default=42)
+    p.add_argument("--smoothing", type=float, default=1.0)
+    p.add_argument("--partitions", type=int, default=classify.TRAIN_PARTITIONS)
+    p.add_argument("--metrics-out", help="folder for metrics, per-class report and confusion table (CSV)")
 
     p = sub.add_parser("score")
     p.add_argument("model")
@@ -124,8 +150,14 @@ def run(argv: Sequence[str], spark: SparkSession | None = None) -> None:
     p.add_argument("out")
 
     args = ap.parse_args(list(argv))
+    if args.format == "jdbc" and not (args.jdbc_url and args.jdbc_table):
+        ap.error("--format jdbc needs --jdbc-url and --jdbc-table")
+    if args.input_format == "jdbc" and not args.jdbc_url:
+        ap.error("--input-format jdbc needs --jdbc-url")
     own = spark is None
     spark = spark or SparkSession.builder.appName(f"blotter-{args.job}").getOrCreate()
+    if own:
+        apply_cluster_conf(spark, dict(c.split("=", 1) for c in (args.conf or [])))
     try:
         _dispatch(spark, args)
     finally:
@@ -140,10 +172,13 @@ def _dispatch(spark: SparkSession, args: argparse.Namespace) -> None:
         clean = cleaning.clean_incidents(files.read_raw_incidents(spark, args.raw), points,
                                          coordinate_filter="strict" if args.strict else "loose",
                                          bounded_points=bounded)
+        mode = "overwrite" if args.overwrite else "errorifexists"
         if args.format == "parquet":
-            files.write_parquet(clean, args.out, partition_by=["year"] if args.partition_by_year else None)
+            files.write_parquet(clean, args.out, mode=mode, partition_by=["year"] if args.partition_by_year else None)
+        elif args.format == "csv":
+            files.write_csv(clean, args.out, mode=mode)
         else:
-            _sink(clean, args.out, args)
+            jdbc.write_table(clean, args.jdbc_url, args.jdbc_table, _props(args), mode=mode, batch_size=args.batch_size)
         return
     if job == "score":
         model = classify.load(args.model)
@@ -163,7 +198,11 @@ def _dispatch(spark: SparkSession, args: argparse.Namespace) -> None:
         _sink(hotspots.district_year_counts(inc, dim, args.years, bounded_dim=bounded), args.out, args)
     elif job == "least-district":
         dim, bounded = _districts(spark, args)
-        out = hotspots.least_district_top_blocks(inc, dim, args.years, bounded_dim=bounded)
+        pairs = (hotspots.REFERENCE_LEFT_OUT if args.leave_out is None
+                 else [tuple(p.split("=", 1)) for p in args.leave_out])
+        where = None if args.coordinates == "any" else args.coordinates
+        out = hotspots.least_district_top_blocks(inc, dim, args.years, exclude=pairs, coordinate_filter=where,
+                                                 bounded_dim=bounded)
         _sink(hotspots.display(out, hotspots.TOP_BLOCK_DISPLAY) if args.display_names else out, args.out, args)
     elif job == "hot-blocks":
         dim, bounded = _districts(spark, args)
@@ -182,23 +221,33 @@ def _dispatch(spark: SparkSession, args: argparse.Namespace) -> None:
         _sink(holidays.holiday_ranking(inc, cal, k=args.k, since_year=args.since_year), args.out, args, name="recent")
         _sink(holidays.holiday_share(inc, cal), args.out, args, name="share")
     elif job == "train":
-        rows = classify.training_rows(inc, include=args.targets)
-        trained = classify.train_category_model(rows, classifier=args.classifier)
+        if args.exclude is None:
+            rows = classify.training_rows(inc, include=args.targets)
+        else:
+            rows = classify.training_rows(inc, include=None, exclude=args.exclude or classify.REFERENCE_EXCLUDED)
+        trained = classify.train_category_model(
+            rows, classifier=args.classifier, num_trees=args.trees, max_bins=args.max_bins,
+            train_percent=args.train_percent, seed=args.seed, smoothing=args.smoothing, partitions=args.partitions)
         classify.save(trained.model, args.model)
         if args.metrics_out:
-            files.write_csv(classify.evaluate(trained.predictions), args.metrics_out, mode="overwrite",
-                            single_file=True)
+            pred = trained.predictions.select("target", "predictedLabel", "indexedLabel", "prediction").persist()
+            tables = {"metrics": classify.evaluate(pred),
+                      "report": metrics.classification_report(pred, "target", "predictedLabel"),
+                      "confusion": metrics.confusion(pred, "target", "predictedLabel")}
+            for name, table in tables.items():
+                files.write_csv(table, f"{args.metrics_out.rstrip('/')}/{name}", mode="overwrite", single_file=True)
+            pred.unpersist()
     elif job == "knn":
         rows = classify.training_rows(inc, include=None, exclude=classify.REFERENCE_EXCLUDED)
         tables = classify.label_tables(rows, ["target", "neighbourhood", "hundred_block"])
-        rows = classify.encode(rows, "target", tables["target"], "label", bounded=True)
-        rows = classify.encode(rows, "neighbourhood", tables["neighbourhood"], "nbr", bounded=True)
-        rows = classify.encode(rows, "hundred_block", tables["hundred_block"], "hb", bounded=True)
+        rows = classify.encode(rows, "target", tables["target"], "label")
+        rows = classify.encode(rows, "neighbourhood", tables["neighbourhood"], "nbr")
+        rows = classify.encode(rows, "hundred_block", tables["hundred_block"], "hb")
         rows = rows.withColumn("bucket", classify.split_bucket("id"))
         train = rows.filter(F.col("bucket") < args.train_percent)
         test = rows.filter(F.col("bucket") >= args.train_percent)
         pred = knn.knn_predict(train, test, ["year", "month", "hour", "nbr", "hb"], "label", k=args.k)
-        pred = classify.decode(pred, "prediction", tables["target"], "predicted", bounded=True)
+        pred = classify.decode(pred, "prediction", tables["target"], "predicted")
         pred = pred.select("id", "target", "predicted").persist()
         _sink(pred, args.out, args, name="predictions")
         _sink(metrics.confusion(pred, "target", "predicted"), args.out, args, name="confusion")

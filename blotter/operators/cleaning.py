@@ -18,13 +18,14 @@ from ..functions.geo import utm_to_latlon
 from ..functions.ids import row_id
 from ..functions.text import clean_block
 from ..functions.timefn import incident_timestamp
-from .dims import has_point, with_points
+from ..sources.files import CLEAN_SCHEMA, RAW_SCHEMA
+from .dims import derived_point_dim, has_point, with_points
 
-CLEAN_COLUMNS = ["id", "type", "timestamp", "year", "month", "day", "hour", "minute", "neighbourhood",
-                 "x_neighbourhood", "y_neighbourhood", "hundred_block", "x", "y"]
+CLEAN_COLUMNS = CLEAN_SCHEMA.fieldNames()
+RAW_COLUMNS = RAW_SCHEMA.fieldNames()
 
 
-def clean_incidents(raw: DataFrame, points: DataFrame, coordinate_filter: str = "loose", zone: int = 10,
+def clean_incidents(raw: DataFrame, points: DataFrame | None, coordinate_filter: str = "loose", zone: int = 10,
                     northern: bool = True, bounded_points: bool = False) -> DataFrame:
     """Raw rows ``(type, year, month, day, hour, minute, hundred_block,
     neighbourhood, x, y)`` with ``x``/``y`` = UTM easting/northing ->
@@ -35,16 +36,16 @@ def clean_incidents(raw: DataFrame, points: DataFrame, coordinate_filter: str =
     * ``coordinate_filter``: ``loose`` keeps a row unless both coordinates
       are 0, ``strict`` needs both non-zero; a kept position outside the UTM
       range projects to null;
-    * an unknown neighbourhood gets null ``x_neighbourhood``/``y_neighbourhood``;
+    * ``points`` None: the point of a neighbourhood is the centroid of its
+      located incidents (the cleaned rows are read a second time for that);
+      an unknown neighbourhood gets null ``x_neighbourhood``/``y_neighbourhood``;
     * an impossible date/time gives a null ``timestamp``;
     * ``id`` = SHA-256 of the raw record (unique after duplicate removal,
       stable under recomputation)."""
-    raw_cols = ["type", "year", "month", "day", "hour", "minute", "hundred_block", "neighbourhood", "x", "y"]
     types = {f.name: f.dataType for f in raw.schema.fields}
-    df = raw.select(*raw_cols).dropna(how="any").distinct()
-    df = df.withColumn("id", row_id([(c, types[c]) for c in raw_cols]))
+    df = raw.select(*RAW_COLUMNS).dropna(how="any").distinct()
+    df = df.withColumn("id", row_id([(c, types[c]) for c in RAW_COLUMNS]))
     df = df.withColumns({c: F.lower(F.col(c)) for c in ("type", "hundred_block", "neighbourhood")})
-    df = with_points(df, points, bounded=bounded_points)
     df = df.filter(has_point("x", "y", strict=coordinate_filter == "strict"))
     lat, lon = utm_to_latlon("x", "y", zone=zone, northern=northern)
     df = df.withColumns({
@@ -53,4 +54,6 @@ def clean_incidents(raw: DataFrame, points: DataFrame, coordinate_filter: str =
         "hundred_block": clean_block(F.col("hundred_block")),
         "timestamp": incident_timestamp("year", "month", "day", "hour", "minute"),
     })
-    return df.select(*CLEAN_COLUMNS)
+    if points is None:
+        points = derived_point_dim(df)
+    return with_points(df, points, bounded=bounded_points).select(*CLEAN_COLUMNS)

@@ -4,35 +4,25 @@ Plan: the incident table is scanned once and reduced to daily counts
 ``(year, month, day, n)`` with a partial aggregate (at most 366 rows a
 year, whatever the volume, and a date holding a third of all rows is
 pre-aggregated in every map task).  Only those daily counts meet the
-calendar, a broadcast of a few thousand rows: a calendar file, or the
-statutory rules for a fixed range of years (no pass over the incidents is
-needed to find their years).  :func:`statutory_calendar` evaluates the same
-rules as Spark expressions for the years of any frame.  Ranking and the per-year
-breakdown run on the joined daily rows; the top-k holidays never go to the
-driver.
-
-Calendars come either from a tab-separated file (:func:`read_calendar`) or
-from the provincial statutory-holiday rules (:func:`statutory_calendar`),
-evaluated by Spark for the years present in the data.
+calendar.  It comes from a tab-separated file (:func:`read_calendar`) or from
+the provincial statutory-holiday rules (:func:`statutory_calendar`), evaluated
+by Spark for the years of the daily counts, whichever they are; the daily counts
+are then written once to the checkpoint folder, because the calendar and the
+join both read them.  Ranking and the per-year breakdown run on the joined daily
+rows; the top-k holidays never go to the driver.
 """
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.timefn import parse_us_date
+from ..session import cut_lineage
 from .dims import broadcast_checked
 
-CALENDAR_SCHEMA = T.StructType([
-    T.StructField("date", T.DateType(), True),
-    T.StructField("holiday", T.StringType(), True),
-])
-
 # Holiday names as the calendar spells them, with their rules.
 #   New Year's Day - January 1
 #   Family Day - second Monday of February (third Monday from 2019 on)
@@ -49,10 +39,6 @@ CALENDAR_SCHEMA = T.StructType([
 # 2018-06-21 National Aboriginal Day) are passed in as ``extra`` rows.
 FAMILY_DAY_THIRD_MONDAY_FROM = 2019
 
-# Years covered by the generated calendar when no calendar table is given.
-RULE_YEARS = (1900, 2100)
-
-
 def read_calendar(spark: SparkSession, path: str) -> DataFrame:
     """Tab-separated calendar file without header: ``month abbreviation,
     MM/dd/yyyy date, holiday name, ...``.  Lines may carry 4-6 fields and
@@ -136,52 +122,23 @@ def _calendar_keys(calendar: DataFrame) -> DataFrame:
                            F.dayofmonth("date").alias("day"), "holiday")
 
 
-def _rule_dates(year: int) -> list[tuple[dt.date, str]]:
-    """The statutory rules of one year in plain date arithmetic (the same
-    rules as :func:`_holiday_dates`)."""
-    def nth_monday(month: int, n: int) -> dt.date:
-        first = dt.date(year, month, 1)
-        return first + dt.timedelta(days=(7 - first.weekday()) % 7 + 7 * (n - 1))
-    a, b, c = year % 19, year // 100, year % 100
-    h = (19 * a + b - b // 4 - (b - (b + 8) // 25 + 1) // 3 + 15) % 30
-    l_ = (32 + 2 * (b % 4) + 2 * (c // 4) - h - c % 4) % 7
-    m = (a + 11 * h + 22 * l_) // 451
-    easter = dt.date(year, (h + l_ - 7 * m + 114) // 31, (h + l_ - 7 * m + 114) % 31 + 1)
-    may24 = dt.date(year, 5, 24)
-    return [
-        (dt.date(year, 1, 1), "New Year's Day"),
-        (nth_monday(2, 3 if year >= FAMILY_DAY_THIRD_MONDAY_FROM else 2), "Family Day"),
-        (easter - dt.timedelta(days=2), "Good Friday"),
-        (may24 - dt.timedelta(days=may24.weekday()), "Victoria Day"),
-        (dt.date(year, 7, 1), "Canada Day"),
-        (nth_monday(8, 1), "Civic Holiday"),
-        (nth_monday(9, 1), "Labour Day"),
-        (dt.date(year, 9, 30), "National Day for Truth and Reconciliation"),
-        (nth_monday(10, 2), "Thanksgiving"),
-        (dt.date(year, 11, 11), "Remembrance Day"),
-        (dt.date(year, 12, 25), "Christmas Day"),
-    ]
-
-
-def rule_calendar(spark: SparkSession, first_year: int = RULE_YEARS[0], last_year: int = RULE_YEARS[1]) -> DataFrame:
-    """Statutory calendar for a fixed range of years as a small literal
-    table (about 11 rows a year; 2,211 rows for the default range): built
-    from the rules alone, without reading any incident data."""
-    rows = [r for y in range(first_year, last_year + 1) for r in _rule_dates(y)]
-    return spark.createDataFrame(rows, CALENDAR_SCHEMA)
+def _daily_and_calendar(incidents: DataFrame, calendar: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+    """Daily counts and the calendar: the caller's, or the rules for the years that occur."""
+    daily = daily_counts(incidents)
+    if calendar is not None:
+        return daily, calendar
+    daily = cut_lineage(daily)
+    return daily, statutory_calendar(daily)
 
 
 def holiday_daily(incidents: DataFrame, calendar: DataFrame | None = None) -> DataFrame:
     """Daily incident counts on holidays: ``(year, month, day, holiday, n)``.
 
-    The calendar (the statutory rules for ``RULE_YEARS`` when ``None``) is
-    joined to the daily counts on the date, inner; a date listed under two
-    names counts for both, as in an equi-join of the raw rows.  The join
-    sits above the daily aggregate, so the holiday rules are evaluated once
-    per calendar row, never per incident."""
-    if calendar is None:
-        calendar = rule_calendar(incidents.sparkSession)
-    return daily_counts(incidents).join(broadcast_checked(_calendar_keys(calendar)), ["year", "month", "day"])
+    The calendar (the statutory rules for the years of the data when
+    ``None``) is joined to the daily counts on the date, inner; a date listed
+    under two names counts for both, as in an equi-join of the raw rows."""
+    daily, calendar = _daily_and_calendar(incidents, calendar)
+    return daily.join(broadcast_checked(_calendar_keys(calendar)), ["year", "month", "day"])
 
 
 def holiday_ranking(incidents: DataFrame, calendar: DataFrame | None = None, k: int = 3,
@@ -198,25 +155,21 @@ def holiday_top_by_year(incidents: DataFrame, calendar: DataFrame | None = None,
     incidents on each of them per year: ``(year, count bigint, holiday)``.
     Fewer than ``k`` holidays with incidents simply give fewer series.
 
-    The ranking runs on the per-(holiday, year) table, which holds at most
-    one row per holiday and year whatever the incident volume, so the
-    unpartitioned ranking window over it is small by construction; the
-    incident table is scanned once."""
-    per_year = (holiday_daily(incidents, calendar).groupBy("holiday", "year")
-                .agg(F.sum("n").cast("bigint").alias("count")))
-    total = F.sum("count").over(Window.partitionBy("holiday"))
-    ranked = per_year.withColumn("_total", total).withColumn(
-        "_rank", F.dense_rank().over(Window.orderBy(F.desc("_total"), F.asc("holiday"))))
-    return ranked.filter(F.col("_rank") <= k).select("year", "count", "holiday")
+    The ranking is an ordered limit over the per-holiday totals, so no task
+    needs all holidays; its ``k`` names are joined back."""
+    per_year = cut_lineage(holiday_daily(incidents, calendar).groupBy("holiday", "year")
+                           .agg(F.sum("n").cast("bigint").alias("count")))
+    top = (per_year.groupBy("holiday").agg(F.sum("count").alias("_total"))
+           .orderBy(F.desc("_total"), F.asc("holiday")).limit(k).select("holiday"))
+    return per_year.join(F.broadcast(top), "holiday").select("year", "count", "holiday")  # k rows
 
 
 def holiday_share(incidents: DataFrame, calendar: DataFrame | None = None) -> DataFrame:
     """One row: ``incidents, on_holidays, share`` (share of incidents that
     fall on a holiday; each date counts once)."""
-    if calendar is None:
-        calendar = rule_calendar(incidents.sparkSession)
+    daily, calendar = _daily_and_calendar(incidents, calendar)
     dates = _calendar_keys(calendar).select("year", "month", "day").distinct().withColumn("is_holiday", F.lit(1))
-    d = daily_counts(incidents).join(broadcast_checked(dates), ["year", "month", "day"], "left")
+    d = daily.join(broadcast_checked(dates), ["year", "month", "day"], "left")
     return d.agg(
         F.sum("n").cast("bigint").alias("incidents"),
         F.coalesce(F.sum(F.when(F.col("is_holiday") == 1, F.col("n"))), F.lit(0)).cast("bigint").alias("on_holidays"),

@@ -21,7 +21,11 @@ from ..session import cut_lineage
 from .dims import has_point, with_district
 from .topk import top_k, top_k_with_ties
 
+# The years, the pair left out of the top blocks, and the
+# blocks of the map layer.
 REFERENCE_YEARS = (2020, 2021, 2022)
+REFERENCE_LEFT_OUT = (("strathcona", "e hastings st"),)
+REFERENCE_MAP_BLOCKS = ("e hastings st", "nk_loc st", "commercial dr")
 
 # Display names of the result tables as the dashboard shows them.
 HOT_BLOCK_DISPLAY = {"year": "Year", "hundred_block": "Hundred Block", "total_crime": "Total Crime",
@@ -36,9 +40,12 @@ def display(df: DataFrame, names: dict[str, str]) -> DataFrame:
 
 
 def _located(incidents: DataFrame, coordinate_filter: str | None) -> DataFrame:
+    """Rows whose neighbourhood point passes the filter.  A neighbourhood
+    without a known point (null) passes: unknown is not zero."""
     if coordinate_filter is None:
         return incidents
-    return incidents.filter(has_point("x_neighbourhood", "y_neighbourhood", strict=coordinate_filter == "strict"))
+    known = has_point("x_neighbourhood", "y_neighbourhood", strict=coordinate_filter == "strict")
+    return incidents.filter(F.coalesce(known, F.lit(True)))
 
 
 def district_year_hot_blocks(incidents: DataFrame, districts: DataFrame, after_year: int = 2019,
@@ -86,7 +93,7 @@ def district_year_counts_long(wide: DataFrame) -> DataFrame:
 
 def least_district_top_blocks(incidents: DataFrame, districts: DataFrame,
                               years: Sequence[int] = REFERENCE_YEARS,
-                              exclude: Sequence[tuple[str, str]] = (("strathcona", "e hastings st"),),
+                              exclude: Sequence[tuple[str, str]] = REFERENCE_LEFT_OUT,
                               coordinate_filter: str | None = "loose",
                               bounded_dim: bool = False) -> DataFrame:
     """The district with the fewest incidents over ``years`` (only districts
@@ -167,7 +174,6 @@ def reference_run(spark: SparkSession, incidents: DataFrame) -> dict[str, DataFr
         "district_year_counts": district_year_counts(incidents, dim, bounded_dim=True),
         "least_district_top_blocks": least_district_top_blocks(incidents, dim, bounded_dim=True),
         "district_points": district_points(incidents, dim, 2, bounded_dim=True),
-        "hot_block_points": hot_block_points(incidents, dim, 2, ["e hastings st", "nk_loc st", "commercial dr"],
-                                             bounded_dim=True),
+        "hot_block_points": hot_block_points(incidents, dim, 2, REFERENCE_MAP_BLOCKS, bounded_dim=True),
         "district_year_hot_blocks": district_year_hot_blocks(incidents, dim, bounded_dim=True),
     }

@@ -25,11 +25,12 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import NaiveBayes, RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import IndexToString, StringIndexer, StringIndexerModel, VectorAssembler
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import capitalize
-from ..operators.dims import broadcast_checked, has_point
+from ..operators.dims import DEFAULT_BROADCAST_ROWS, broadcast_checked, has_point
+from ..session import cut_lineage
 
 FEATURES = ["year", "month", "hour", "neighbourhood", "hundred_block"]
 NUMERIC_FEATURES = ["year", "month", "hour"]
@@ -58,9 +59,10 @@ def training_rows(incidents: DataFrame, include: Sequence[str] | None = REFERENC
                   exclude: Sequence[str] | None = None, strict_coordinates: bool = True,
                   drop_blocks: Sequence[str] = ()) -> DataFrame:
     """``(id, year, month, hour, neighbourhood, hundred_block, target)``:
-    complete rows, target in ``include`` / not in ``exclude``, both
-    coordinates non-zero when ``strict_coordinates``."""
-    df = incidents.withColumnRenamed("type", "target").dropna(how="any")
+    rows complete in the columns that are used (these and the position; a
+    missing neighbourhood point loses no row), target in ``include`` / not in
+    ``exclude``, both coordinates non-zero when ``strict_coordinates``."""
+    df = incidents.withColumnRenamed("type", "target").dropna(how="any", subset=["id", *FEATURES, "target", "x", "y"])
     if include is not None:
         df = df.filter(F.col("target").isin(list(include)))
     if exclude:
@@ -72,6 +74,10 @@ def training_rows(incidents: DataFrame, include: Sequence[str] | None = REFERENC
     return df.select("id", *FEATURES, "target")
 
 
+# Parts the training rows are dealt into; raise it with the number of rows.
+TRAIN_PARTITIONS = 64
+
+
 @dataclass
 class TrainedModel:
     model: PipelineModel
@@ -91,7 +97,7 @@ def _fit_indexers(rows: DataFrame) -> tuple[StringIndexerModel, StringIndexerMod
 
 def train_category_model(rows: DataFrame, classifier: str = "rf", num_trees: int = 10,
                          max_bins: int | None = None, train_percent: int = 80, seed: int = 42,
-                         smoothing: float = 1.0, reproducible: bool = True) -> TrainedModel:
+                         smoothing: float = 1.0, partitions: int = TRAIN_PARTITIONS) -> TrainedModel:
     """Fit the category pipeline on ``rows`` (from :func:`training_rows`).
 
     Indexers are fitted on all rows (so every label and place has a code),
@@ -99,10 +105,10 @@ def train_category_model(rows: DataFrame, classifier: str = "rf", num_trees: int
     ``maxBins`` defaults to the block cardinality + 1, because the block
     index is a categorical feature and Spark needs one bin per category.
 
-    The forest draws its bootstrap samples per input partition, so with
-    ``reproducible`` the training rows are first hash-partitioned and
-    sorted by ``id`` (one shuffle): the same rows and seed give the same
-    model whatever the layout of the input."""
+    The forest draws its bootstrap samples per input partition, so the
+    training rows are first hash-partitioned into ``partitions`` parts and sorted
+    by ``id`` (one shuffle): the same rows, seed and ``partitions`` give the same
+    model whatever the layout of the input and the settings of the session."""
     if rows.isEmpty():
         raise ValueError("no training rows (check the category list and the coordinate filter)")
     label, places = _fit_indexers(rows)
@@ -121,10 +127,7 @@ def train_category_model(rows: DataFrame, classifier: str = "rf", num_trees: int
         raise ValueError(f"unknown classifier {classifier!r}")
     to_label = IndexToString(inputCol="prediction", outputCol="predictedLabel", labels=label.labelsArray[0])
     bucket = split_bucket("id")
-    train = rows.filter(bucket < train_percent)
-    if reproducible:
-        parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        train = train.repartition(parts, "id").sortWithinPartitions("id")
+    train = rows.filter(bucket < train_percent).repartition(partitions, "id").sortWithinPartitions("id")
     test = rows.filter(bucket >= train_percent)
     model = Pipeline(stages=[label, places, assembler, est, to_label]).fit(train)
     return TrainedModel(model, train, test, model.transform(test))
@@ -190,18 +193,29 @@ def score_requests(model: PipelineModel, requests: DataFrame) -> DataFrame:
 
 def label_table(df: DataFrame, col: str) -> DataFrame:
     """``(value, code int)``: alphabetical codes 0..n-1 of a column's
-    distinct non-null values (StringIndexer, ``alphabetAsc``)."""
+    distinct non-null values."""
     return label_tables(df, [col])[col]
 
 
 def label_tables(df: DataFrame, cols: Sequence[str]) -> dict[str, DataFrame]:
-    """:func:`label_table` for several columns from one pass over ``df``."""
-    cols = list(cols)
-    model = StringIndexer(inputCols=cols, outputCols=[f"_code_{c}" for c in cols], stringOrderType="alphabetAsc",
-                          handleInvalid="skip").fit(df.select(*cols))
-    spark = df.sparkSession
-    return {c: spark.createDataFrame(list(enumerate(labels)), "code int, value string").select("value", "code")
-            for c, labels in zip(cols, model.labelsArray)}
+    """:func:`label_table` for several columns from one pass over ``df``.
+
+    Distributed: the distinct values are sorted by range partitioning and
+    checkpointed; a code is the value's place in its partition plus the sizes
+    of the partitions before it (one row per partition).  No list of values
+    reaches the driver."""
+    long = df.select(F.explode(F.array(*[
+        F.struct(F.lit(i).alias("col"), F.col(c).cast("string").alias("value")) for i, c in enumerate(cols)])).alias("v"))
+    values = long.select("v.col", "v.value").filter(F.col("value").isNotNull()).distinct()
+    ordered = cut_lineage(values.repartitionByRange("col", "value").sortWithinPartitions("col", "value"))
+    placed = ordered.select("col", "value", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("row"))
+    sizes = placed.groupBy("col", "part").agg(F.count(F.lit(1)).alias("size"), F.min("row").alias("first"))
+    before = F.coalesce(F.sum("size").over(Window.partitionBy("col").orderBy("part").rowsBetween(
+        Window.unboundedPreceding, -1)), F.lit(0))
+    offsets = sizes.select("col", "part", "first", before.alias("before"))
+    codes = placed.join(broadcast_checked(offsets), ["col", "part"]).select(
+        "col", "value", (F.col("row") - F.col("first") + F.col("before")).cast("int").alias("code"))
+    return {c: codes.filter(F.col("col") == i).select("value", "code") for i, c in enumerate(cols)}
 
 
 def save_label_table(table: DataFrame, path: str) -> None:
@@ -213,19 +227,18 @@ def load_label_table(spark, path: str) -> DataFrame:
     return spark.read.schema("value string, code int").parquet(path)
 
 
-def encode(df: DataFrame, col: str, table: DataFrame, out: str | None = None, bounded: bool = False) -> DataFrame:
+def encode(df: DataFrame, col: str, table: DataFrame, out: str | None = None,
+           max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Add ``out`` (default ``<col>_code``); null for values not in the
-    table.  The table is broadcast after a bounded size check, or directly
-    when ``bounded`` says its size is known (tables from
-    :func:`label_tables` are built from the fitted labels)."""
+    table.  The table is broadcast if it has at most ``max_rows`` rows
+    (checked); a larger one is joined as the planner sees fit."""
     out = out or f"{col}_code"
     t = table.select(F.col("value").alias(col), F.col("code").alias(out))
-    t = F.broadcast(t) if bounded else broadcast_checked(t)
-    return df.join(t, col, "left")
+    return df.join(broadcast_checked(t, max_rows), col, "left")
 
 
-def decode(df: DataFrame, code_col: str, table: DataFrame, out: str, bounded: bool = False) -> DataFrame:
+def decode(df: DataFrame, code_col: str, table: DataFrame, out: str,
+           max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Code -> value (left join; null for unknown codes)."""
     t = table.select(F.col("code").alias(code_col), F.col("value").alias(out))
-    t = F.broadcast(t) if bounded else broadcast_checked(t)
-    return df.join(t, code_col, "left")
+    return df.join(broadcast_checked(t, max_rows), code_col, "left")

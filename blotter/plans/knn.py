@@ -81,12 +81,13 @@ def knn_vectors(train: DataFrame, queries: DataFrame, features: Sequence[str], l
     packed_tie = None
     integral_label = dict(tw.dtypes)[label] in ("int", "bigint", "smallint", "tinyint")
     checks = [F.sum("_w").alias("total")]
+    checks += [F.max(F.abs(F.col(f) - F.floor(F.col(f)))).alias(f"frac{i}") for i, f in enumerate(features)]
     if integral_label:
-        checks += [F.max(F.abs(F.col(f) - F.floor(F.col(f)))).alias(f"frac{i}") for i, f in enumerate(features)]
         checks += [F.min(label).alias("llo"), F.max(label).alias("lhi")]
     chk = tw.agg(*checks).first()
+    integral = [(chk[f"frac{i}"] or 0) == 0 for i in range(d)]
     if integral_label:
-        if all((chk[f"frac{i}"] or 0) == 0 for i in range(d)):
+        if all(integral):
             radix = [int(h - lw) + 1 for lw, h in zip(lo, hi)] + [int(chk["lhi"]) - int(chk["llo"]) + 1]
             if math.prod(radix) < 2 ** 62:
                 packed_tie = F.lit(0).cast("bigint")
@@ -103,11 +104,14 @@ def knn_vectors(train: DataFrame, queries: DataFrame, features: Sequence[str], l
     if cell is None:
         # Start where a cell block is expected to hold about k rows: side of a
         # cube holding k rows at the mean density over the occupied ranges.
+        # (Whole numbers occupy unit steps; other features have no least step,
+        # whatever their unit.)
         total = float(chk["total"] or 0.0)
-        occupied = [s_ + 1.0 for s_ in span if s_ > 0]
+        step = [1.0 if integral[i] else 0.0 for i in range(d)]
+        occupied = [s_ + step[i] for i, s_ in enumerate(span) if s_ > 0]
         volume = math.prod(occupied) if occupied else 1.0
         side = (k * volume / max(total, 1.0)) ** (1.0 / max(len(occupied), 1))
-        cell = max(1.0, 0.75 * side)
+        cell = max(0.75 * side, max(1.0 if all(integral) else 0.0, max(span) * 1e-9)) or 1.0
     results: list[DataFrame] = []
     width = float(cell)
     while True:
@@ -171,8 +175,9 @@ def knn_vectors(train: DataFrame, queries: DataFrame, features: Sequence[str], l
             shifted = {}
         probes = probes.select("_qid", *qf, key([shifted.get(i, F.col(f"_c{i}")) for i in range(d)]).alias("_key"))
         cand = probes.join(tcells, "_key").drop("_key")
-        d2 = sum(((F.col(q) - F.col(f)) * (F.col(q) - F.col(f)) for f, q in zip(features, qf)), F.lit(0))
-        cand = cand.withColumn("_d2", d2.cast("double"))
+        # Doubles before the product: squares of integer differences overflow.
+        gap = [F.col(q).cast("double") - F.col(f).cast("double") for f, q in zip(features, qf)]
+        cand = cand.withColumn("_d2", sum((g * g for g in gap), F.lit(0.0)))
         if packed_tie is not None:
             cand = cand.select("_qid", "_d2", "_tie", label, "_w")
         # row_number <= k: Spark limits each group per map task before the
@@ -199,7 +204,10 @@ def knn_vectors(train: DataFrame, queries: DataFrame, features: Sequence[str], l
         near.unpersist()
         if pending.isEmpty():
             break
+        # Queries that are still open lie in sparse regions: widen faster from
+        # round to round instead of probing the same empty cells again.
         width *= growth
+        growth = min(growth * 1.25, 4.0)
     cached.unpersist()
     out = results[0]
     for part in results[1:]:

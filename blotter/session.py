@@ -85,7 +85,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if current:
         return current
     master = spark.sparkContext.master
-    if not master.startswith("local"):
+    if master != "local" and not master.startswith("local["):
         raise ValueError(
             "spark.checkpoint.dir is not set; name a shared folder (HDFS/S3/...) for it on a cluster"
         )

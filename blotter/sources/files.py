@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+# Field names and types of the two incident tables.
 RAW_SCHEMA = T.StructType([
     T.StructField("type", T.StringType()),
     T.StructField("year", T.IntegerType()),
@@ -42,17 +43,27 @@ CLEAN_SCHEMA = T.StructType([
 ])
 
 
-def read_raw_incidents(spark: SparkSession, path: str) -> DataFrame:
+# Options of the CSV files this library writes and reads back: blanks at
+# either end stay, an empty text is not a null, quotes are doubled.  (A text
+# that is the null mark itself would come back as null; cells with line breaks
+# need ``multiLine`` and cannot be split.)
+LOSSLESS = {"nullValue": "\\N", "emptyValue": "", "ignoreLeadingWhiteSpace": "false",
+            "ignoreTrailingWhiteSpace": "false", "escape": '"'}
+
+
+def read_raw_incidents(spark: SparkSession, path: str, own: bool = False) -> DataFrame:
     """Raw incident CSV with a header row; cells that do not parse become
-    null (permissive mode) and are dropped later by the cleaner."""
-    return (spark.read.schema(RAW_SCHEMA).option("header", True).option("mode", "PERMISSIVE")
-            .csv(path))
+    null (permissive mode) and are dropped later by the cleaner.  ``own``: the
+    file was written by :func:`write_csv`; in other files an empty cell is
+    null."""
+    reader = spark.read.schema(RAW_SCHEMA).option("header", True).option("mode", "PERMISSIVE")
+    return reader.options(**LOSSLESS).csv(path) if own else reader.csv(path)
 
 
 def read_clean_incidents(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """Clean incident table from parquet (default) or a CSV with header."""
     if fmt == "csv":
-        return spark.read.schema(CLEAN_SCHEMA).option("header", True).csv(path)
+        return spark.read.schema(CLEAN_SCHEMA).option("header", True).options(**LOSSLESS).csv(path)
     return spark.read.schema(CLEAN_SCHEMA).parquet(path)
 
 
@@ -69,10 +80,10 @@ def from_rows(spark: SparkSession, rows: list[tuple], schema: T.StructType | str
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists", single_file: bool = False) -> None:
-    """CSV with header.  ``single_file`` coalesces to one partition: only
-    for small results."""
+    """CSV with header that reads back unchanged with :data:`LOSSLESS`.
+    ``single_file`` coalesces to one partition: only for small results."""
     out = df.coalesce(1) if single_file else df
-    out.write.mode(mode).option("header", True).csv(path)
+    out.write.mode(mode).option("header", True).options(**{**LOSSLESS, "emptyValue": '""'}).csv(path)
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", partition_by: list[str] | None = None) -> None:

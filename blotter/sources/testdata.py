@@ -11,8 +11,8 @@ order priority, ``timestamp`` = order date, ``neighbourhood`` = lower-cased
 nation name of the customer, ``hundred_block`` = lower-cased market segment
 plus customer key modulo 20, incident position and neighbourhood point from
 keys with some zeros so that the coordinate filters have work to do.
-District dimension: nation -> region key for the first 24 nations (one
-neighbourhood is left unmapped on purpose).
+District dimension: nation -> region key for all nations; some incidents
+carry a neighbourhood that is not in it.
 
 Key arithmetic (``key % n``) only decides which rows carry a variation
 (a zero coordinate, a null, an extra duplicate copy); no adapter drops rows
@@ -47,7 +47,7 @@ def incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.dayofmonth(ts).alias("day"),
         F.hour(ts).alias("hour"),
         F.minute(ts).alias("minute"),
-        F.lower("n_name").alias("neighbourhood"),
+        F.when(ok % 83 == 0, F.lit("unlisted")).otherwise(F.lower("n_name")).alias("neighbourhood"),
         F.when(nk == 22, F.lit(0.0)).otherwise((F.lit(49200) + nk * 4) / F.lit(1000.0)).alias("x_neighbourhood"),
         F.when(nk == 22, F.lit(0.0)).otherwise((F.lit(-123200) + nk * 3) / F.lit(1000.0)).alias("y_neighbourhood"),
         F.concat_ws(" ", F.lower("c_mktsegment"), (F.col("c_custkey") % 20).cast("string")).alias("hundred_block"),
@@ -57,12 +57,19 @@ def incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def district_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(neighbourhood, district)`` from ``nation`` (first 24 nations)."""
+    """``(neighbourhood, district)`` from ``nation``."""
     n = table(spark, sf_dir, "nation")
-    return n.filter(F.col("n_nationkey") < 24).select(
+    return n.select(
         F.lower("n_name").alias("neighbourhood"), F.col("n_regionkey").cast("int").alias("district"))
 
 
+def far_year_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """:func:`incidents` with some of them in the years 1899 and 2101."""
+    k = F.col("id").cast("bigint")
+    return incidents(spark, sf_dir).withColumn(
+        "year", F.when(k % 50 == 0, F.lit(1899)).when(k % 50 == 1, F.lit(2101)).otherwise(F.col("year")))
+
+
 def hourly_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` as incidents with a real time of day: ``type`` = event type."""
     e = table(spark, sf_dir, "events").select("event_id", "ts", "event_type")
@@ -89,7 +96,7 @@ incidents AS (
          CAST(day(o.o_orderdate) AS INTEGER) AS day,
          CAST(hour(o.o_orderdate) AS INTEGER) AS hour,
          CAST(minute(o.o_orderdate) AS INTEGER) AS minute,
-         lower(n.n_name) AS neighbourhood,
+         CASE WHEN o.o_orderkey % 83 = 0 THEN 'unlisted' ELSE lower(n.n_name) END AS neighbourhood,
          CASE WHEN n.n_nationkey = 22 THEN 0.0 ELSE (49200 + n.n_nationkey * 4) / 1000.0 END AS x_neighbourhood,
          CASE WHEN n.n_nationkey = 22 THEN 0.0 ELSE (-123200 + n.n_nationkey * 3) / 1000.0 END AS y_neighbourhood,
          lower(c.c_mktsegment) || ' ' || CAST(c.c_custkey % 20 AS VARCHAR) AS hundred_block,
@@ -100,10 +107,16 @@ incidents AS (
   JOIN nation n ON c.c_nationkey = n.n_nationkey
 )"""
 
+FAR_YEARS_SQL = INCIDENTS_SQL.replace("incidents AS (", "listed AS (", 1) + """,
+incidents AS (
+  SELECT * REPLACE (CAST(CASE WHEN CAST(id AS BIGINT) % 50 = 0 THEN 1899 WHEN CAST(id AS BIGINT) % 50 = 1 THEN 2101
+                         ELSE year END AS INTEGER) AS year) FROM listed
+)"""
+
 DISTRICTS_SQL = """
 districts AS (
   SELECT lower(n_name) AS neighbourhood, CAST(n_regionkey AS INTEGER) AS district
-  FROM nation WHERE n_nationkey < 24
+  FROM nation
 )"""
 
 HOURLY_SQL = """
@@ -155,7 +168,8 @@ def raw_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
         (ok % 24).cast("int").alias("hour"),
         (ck % 60).cast("int").alias("minute"),
         _raw_block(ok, ck, F.col("c_mktsegment"), F.col("n_name")).alias("hundred_block"),
-        F.when(ok % 41 == 0, F.lit(None).cast("string")).otherwise(F.col("n_name")).alias("neighbourhood"),
+        F.when(ok % 41 == 0, F.lit(None).cast("string")).when(ok % 83 == 0, F.lit("UNLISTED"))
+         .otherwise(F.col("n_name")).alias("neighbourhood"),
         F.when(ok % 43 == 0, F.lit(float("nan")))
          .when((ok % 53 == 0) | (ok % 59 == 0), F.lit(0.0))
          .otherwise((F.lit(960000) + ok % 20000) / F.lit(2.0)).alias("x"),
@@ -167,9 +181,9 @@ def raw_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def point_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Keyed neighbourhood points ``(neighbourhood, lat, lon)`` for the
-    first 24 nations (lower-cased names)."""
-    n = table(spark, sf_dir, "nation").filter(F.col("n_nationkey") < 24)
+    """Keyed neighbourhood points ``(neighbourhood, lat, lon)`` (lower-cased
+    nation names)."""
+    n = table(spark, sf_dir, "nation")
     nk = F.col("n_nationkey")
     return n.select(F.lower("n_name").alias("neighbourhood"),
                     ((F.lit(49200) + nk * 4) / F.lit(1000.0)).alias("lat"),
@@ -222,7 +236,8 @@ raw_base AS (
          CAST(CASE WHEN o.o_orderkey % 101 = 0 THEN 31 ELSE day(o.o_orderdate) END AS INTEGER) AS day,
          CAST(o.o_orderkey % 24 AS INTEGER) AS hour, CAST(o.o_custkey % 60 AS INTEGER) AS minute,
          {_raw_block_sql()} AS hundred_block,
-         CASE WHEN o.o_orderkey % 41 = 0 THEN NULL ELSE n.n_name END AS neighbourhood,
+         CASE WHEN o.o_orderkey % 41 = 0 THEN NULL WHEN o.o_orderkey % 83 = 0 THEN 'UNLISTED'
+              ELSE n.n_name END AS neighbourhood,
          CASE WHEN o.o_orderkey % 43 = 0 THEN 'NaN'::DOUBLE
               WHEN o.o_orderkey % 53 = 0 OR o.o_orderkey % 59 = 0 THEN 0.0
               ELSE (960000 + o.o_orderkey % 20000) / 2.0 END AS x,
@@ -239,7 +254,7 @@ POINTS_SQL = """
 pts AS (
   SELECT lower(n_name) AS neighbourhood, (49200 + n_nationkey * 4) / 1000.0 AS lat,
          (-123200 + n_nationkey * 3) / 1000.0 AS lon
-  FROM nation WHERE n_nationkey < 24
+  FROM nation
 )"""
 
 TIMESTAMP_PARTS_SQL = """

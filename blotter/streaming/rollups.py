@@ -6,31 +6,27 @@ the refreshed table to a caller-supplied writer.
 
 The state is one row per key of the base grain - bounded by the dimension
 cardinalities, not by the number of incidents - so complete output mode is
-safe.  Offsets and state live in the checkpoint location (by default under
-``spark.checkpoint.dir``), so a restarted query resumes without recounting.
+safe.  Offsets and state live in the checkpoint location, which the caller
+names (in shared storage): a query started again with the same location resumes
+without recounting.
 """
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.rollups import rollup_base
-from ..session import ensure_checkpoint_dir
 from ..sources.files import CLEAN_SCHEMA
 
 
 def rollup_stream(spark: SparkSession, source_dir: str, write: Callable[[DataFrame, int], None],
-                  checkpoint_location: str | None = None, fmt: str = "parquet",
-                  available_now: bool = False, interval: str | None = "1 hour") -> StreamingQuery:
+                  checkpoint_location: str, fmt: str = "parquet", available_now: bool = False, interval: str | None = "1 hour") -> StreamingQuery:
     """Start the refresh; ``write(table, batch_id)`` receives the whole base
     rollup after every micro-batch (derive the five tables from it with
     :func:`blotter.operators.rollups.rollups`)."""
-    if checkpoint_location is None:
-        checkpoint_location = f"{ensure_checkpoint_dir(spark).rstrip('/')}/streams/rollups-{uuid.uuid4().hex}"
     reader = spark.readStream.schema(CLEAN_SCHEMA)
     source = reader.option("header", True).csv(source_dir) if fmt == "csv" else reader.parquet(source_dir)
     agg = rollup_base(source)

@@ -163,3 +163,54 @@ def test_forest_is_deterministic(spark):
     b = classify.train_category_model(rows.repartition(3), classifier="rf", seed=7).predictions.select(
         "id", "predictedLabel")
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+
+
+def test_forest_does_not_depend_on_the_session(spark):
+    rows = _rows(spark, 400)
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    got = []
+    try:
+        for n in ("5", "13"):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            out = classify.train_category_model(rows, classifier="rf", seed=7, partitions=6).predictions
+            got.append(sorted(map(tuple, out.select("id", "predictedLabel").collect())))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert got[0] == got[1]
+
+
+def test_large_label_table_is_not_broadcast(spark):
+    rows = spark.range(3000).select(F.concat(F.lit("v"), F.col("id").cast("string")).alias("v"))
+    table = classify.label_table(rows, "v")
+    got = {r.value: r.code for r in table.collect()}
+    assert got == {v: i for i, v in enumerate(sorted(f"v{i}" for i in range(3000)))}
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = classify.encode(rows, "v", table, max_rows=100)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "BroadcastHashJoin v" not in plan and "SortMergeJoin" in plan
+
+
+def test_knn_far_apart_integers_and_small_features(spark):
+    rng = np.random.default_rng(11)
+    for scale, kind in ((100_000, "int"), (1.0, "double")):
+        cast = int if kind == "int" else float
+        train = [(cast(rng.random() * scale), cast(rng.random() * scale), int(rng.integers(0, 3))) for _ in range(300)]
+        queries = [(cast(rng.random() * scale), cast(rng.random() * scale)) for _ in range(60)]
+        far = [(cast(50 * scale + i), cast(50 * scale)) for i in range(5)] if kind == "int" else [(40.0 + i, 40.0) for i in range(5)]
+        tdf = spark.createDataFrame(train, f"a {kind}, b {kind}, label int")
+        qdf = spark.createDataFrame(queries + far, f"a {kind}, b {kind}")
+        got = {(r.a, r.b): r.prediction for r in knn.knn_vectors(tdf, qdf, ["a", "b"], "label", k=5).collect()}
+        assert got == _brute_weighted(train, queries + far, 5)
+
+
+def test_metrics_with_null_predictions(spark):
+    pred = spark.createDataFrame([("a", "a"), ("a", None), ("b", None), (None, "a"), ("c", "b")], "label string, prediction string")
+    wide = {r.label: r for r in metrics.confusion_matrix(pred).collect()}
+    assert metrics.confusion_matrix(pred).columns == ["label", "a", "b", "c", "unpredicted"]
+    assert (wide["a"].a, wide["a"].unpredicted, wide["b"].unpredicted, wide["c"].b) == (1, 1, 1, 1)
+    report = {r.label: r for r in metrics.classification_report(pred).collect()}
+    assert set(report) == {"a", "b", "c"} and report["a"].support == 2 and report["a"].recall == 0.5
+    assert sorted(r.label for r in metrics.unpredicted_classes(pred).collect()) == ["c"]

@@ -1,4 +1,5 @@
 """The command-line jobs end to end on a small raw CSV."""
+import pytest
 from pyspark.sql import functions as F
 
 from blotter import jobs
@@ -41,3 +42,42 @@ def test_jobs_end_to_end(spark, tmp_path):
     jobs.run(["knn", clean, f"{out}/knn", "--k", "5"], spark=spark)
     acc = spark.read.parquet(f"{out}/knn/accuracy").first()
     assert 0.0 <= acc.accuracy <= 1.0
+
+
+def test_clean_without_points_and_existing_output(spark, tmp_path):
+    raw = str(tmp_path / "raw")
+    files.write_csv(td.raw_incidents(spark, SF_SMALL), raw)
+    clean = str(tmp_path / "clean")
+    jobs.run(["clean", raw, clean], spark=spark)
+    inc = files.read_clean_incidents(spark, clean)
+    assert inc.filter(F.col("x_neighbourhood").isNotNull()).count() > 0.9 * inc.count()
+    dd = str(tmp_path / "districts")
+    files.write_csv(td.district_dim(spark, SF_SMALL), dd, single_file=True)
+    jobs.run(["least-district", clean, str(tmp_path / "ld"), "--years", "1996", "1997", "--districts", dd, "--leave-out",
+              "nation_1=building st", "--coordinates", "any"], spark=spark)
+    assert spark.read.parquet(str(tmp_path / "ld")).count() > 0
+    jobs.run(["train", clean, str(tmp_path / "m"), "--exclude", "5-low", "--trees", "3", "--train-percent", "67", "--partitions", "4",
+              "--metrics-out", str(tmp_path / "metrics")], spark=spark)
+    assert spark.read.option("header", True).csv(str(tmp_path / "metrics/report")).count() == 4
+    with pytest.raises(Exception, match="already exists"):
+        jobs.run(["clean", raw, clean], spark=spark)
+    jobs.run(["clean", raw, clean, "--overwrite"], spark=spark)
+
+
+def test_jdbc_arguments(spark, monkeypatch):
+    with pytest.raises(SystemExit):
+        jobs.run(["--format", "jdbc", "rollups", "t", "out"], spark=spark)
+    with pytest.raises(SystemExit):
+        jobs.run(["--input-format", "jdbc", "rollups", "t", "out"], spark=spark)
+    asked = {}
+
+    def read(spark, url, table, props, **more):
+        asked.update(url=url, table=table, props=props, **more)
+        raise KeyboardInterrupt
+
+    monkeypatch.setattr(jobs.jdbc, "read_table", read)
+    with pytest.raises(KeyboardInterrupt):
+        jobs.run(["--input-format", "jdbc", "--jdbc-url", "jdbc:x", "--jdbc-prop", "user=me", "--jdbc-split", "year", "2003", "2022", "8",
+                  "rollups", "incidents", "out"], spark=spark)
+    assert asked == {"url": "jdbc:x", "table": "incidents", "props": {"user": "me"}, "partition_column": "year", "lower_bound": "2003",
+                     "upper_bound": "2022", "num_partitions": 8}

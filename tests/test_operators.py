@@ -2,7 +2,8 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from blotter.operators import dims, holidays, hotspots, rollups
+from blotter.functions.ids import row_id
+from blotter.operators import cleaning, dims, holidays, hotspots, rollups
 from blotter.operators.cleaning import clean_incidents
 from blotter.sources import files
 
@@ -188,14 +189,54 @@ def test_csv_round_trip(spark, tmp_path):
     assert row.x is None and row.y == 1.0
 
 
-def test_rule_calendar_range(spark):
-    cal = holidays.rule_calendar(spark, 2020, 2022)
-    got = {(r.date, r.holiday) for r in cal.collect()}
-    assert len(got) == 33 and (dt.date(2021, 4, 2), "Good Friday") in got and (dt.date(2022, 2, 21), "Family Day") in got
-    # The literal rule table and the Spark-expression calendar agree over two centuries.
-    years = spark.range(1900, 2101).select(F.col("id").cast("int").alias("year"))
-    spark_rules = {(r.date, r.holiday) for r in holidays.statutory_calendar(years).collect()}
-    assert spark_rules == {(r.date, r.holiday) for r in holidays.rule_calendar(spark).collect()}
+def test_calendar_rules_over_two_centuries(spark):
+    """The rules against plain date arithmetic and known Easter dates."""
+    years = spark.range(1890, 2111).select(F.col("id").cast("int").alias("year"))
+    got = {(r.holiday, r.date.year): r.date for r in holidays.statutory_calendar(years).collect()}
+    for year in range(1890, 2111):
+        monday = lambda month, n: dt.date(year, month, 1) + dt.timedelta(days=(7 - dt.date(year, month, 1).weekday()) % 7 + 7 * n - 7)
+        assert got["Family Day", year] == monday(2, 3 if year >= 2019 else 2)
+        assert got["Civic Holiday", year] == monday(8, 1) and got["Labour Day", year] == monday(9, 1)
+        assert got["Thanksgiving", year] == monday(10, 2)
+        assert got["Victoria Day", year].weekday() == 0 and 18 <= got["Victoria Day", year].day <= 24
+        assert got["Good Friday", year].weekday() == 4
+    for easter in ("1899-04-02", "1961-04-02", "2000-04-23", "2008-03-23", "2021-04-04", "2038-04-25", "2101-04-17"):
+        day = dt.date.fromisoformat(easter)
+        assert got["Good Friday", day.year] == day - dt.timedelta(days=2)
+
+
+def test_holidays_of_any_year_count(spark):
+    inc = spark.createDataFrame([(1899, 7, 1), (2101, 12, 25), (2020, 1, 1), (2020, 7, 1), (2020, 3, 3)], "year int, month int, day int")
+    r = holidays.holiday_share(inc).first()
+    assert (r.incidents, r.on_holidays) == (5, 4)
+    assert sorted(map(tuple, holidays.holiday_top_by_year(inc, k=1).collect())) == [(1899, 1, "Canada Day"), (2020, 1, "Canada Day")]
+
+
+def test_row_ids_are_injective(spark):
+    rows = [("a|b", "c", 1.0), ("a", "b|c", 1.0), ("a", "b|c", 1.0000000001), ("a", None, 1.0), ("a", "-", 1.0), ("", "ab", 1.0), ("a", "b", 1.0)]
+    df = spark.createDataFrame(rows, "a string, b string, x double")
+    ids = df.select(row_id([(f.name, f.dataType) for f in df.schema.fields]).alias("id")).collect()
+    assert len({r.id for r in ids}) == len(rows)
+
+
+def test_unknown_points_are_not_zero(spark):
+    raw = spark.createDataFrame([("T", 2020, 1, 1, 1, 1, "Main St", "Sunset", 490000.0, 5450000.0),
+                                 ("T", 2020, 1, 1, 1, 2, "Main St", "Nowhere", 490000.0, 0.0)], files.RAW_SCHEMA)
+    clean = cleaning.clean_incidents(raw, None)
+    got = {r.neighbourhood: r.x_neighbourhood for r in clean.collect()}
+    assert abs(got["sunset"] - 49.2) < 0.1 and len(got) == 2
+    dim = spark.createDataFrame([("sunset", 1), ("nowhere", 1)], dims.DISTRICT_SCHEMA)
+    unknown = clean.withColumn("x_neighbourhood", F.lit(None).cast("double"))
+    assert hotspots.district_points(unknown, dim, 1, [2020]).count() == 2
+
+
+def test_clean_csv_is_lossless(spark, tmp_path):
+    rows = [("a", "theft", None, 2020, 1, 2, 3, 4, "sunset", None, 1.5, block, 49.0, -123.0)
+            for block in ("", "hastings st ", " x", 'say "hi", ok', "a\\b", None, "\\")]
+    df = spark.createDataFrame(rows, files.CLEAN_SCHEMA)
+    files.write_csv(df, str(tmp_path / "c"))
+    back = files.read_clean_incidents(spark, str(tmp_path / "c"), fmt="csv")
+    assert sorted(map(str, back.collect())) == sorted(map(str, df.collect()))
 
 
 def test_holidays_with_calendar_table(spark):

@@ -91,9 +91,9 @@ def test_hot_key_is_pre_aggregated(spark):
 
 
 def test_no_udf_cartesian_or_nested_loop_in_any_registered_query(spark):
-    import __spark_entry__ as entry
+    from blotter import catalog
     bad = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "PythonUDF")
-    for key, fn in entry.queries().items():
+    for key, (fn, _) in catalog.REGISTRY.items():
         df = fn(spark, SF_SMALL)
         df.write.format("noop").mode("overwrite").save()
         plan = df._jdf.queryExecution().executedPlan().toString()
