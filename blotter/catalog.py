@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .functions import geo, text, timefn
@@ -367,8 +367,13 @@ def _clean_block_sql(b: str) -> str:
 def _utm_sql(e: str, n: str) -> tuple[str, str]:
     """Inverse transverse Mercator (zone 10 north) in DuckDB SQL."""
     import math
-    from .functions import geo
-    k0a = geo.UTM_K0 * geo._A
+    n1 = 1 / (2 * 298.257223563 - 1)  # third flattening f / (2 - f)
+    # Rectifying radius and the Krueger coefficients to order 4, as published.
+    k0a = 0.9996 * 6378137.0 / (1 + n1) * (1 + n1**2 / 4 + n1**4 / 64)
+    beta = (n1 / 2 - 2 * n1**2 / 3 + 37 * n1**3 / 96 - n1**4 / 360, n1**2 / 48 + n1**3 / 15 - 437 * n1**4 / 1440,
+            17 * n1**3 / 480 - 37 * n1**4 / 840, 4397 * n1**4 / 161280)
+    delta = (2 * n1 - 2 * n1**2 / 3 - 2 * n1**3 + 116 * n1**4 / 45, 7 * n1**2 / 3 - 8 * n1**3 / 5 - 227 * n1**4 / 45,
+             56 * n1**3 / 15 - 136 * n1**4 / 35, 4279 * n1**4 / 630)
     xi = f"(({n}) / {k0a!r})"
     eta = f"((({e}) - 500000.0) / {k0a!r})"
 
@@ -378,11 +383,11 @@ def _utm_sql(e: str, n: str) -> tuple[str, str]:
     def cosh(x: str) -> str:
         return f"((exp({x}) + exp(-({x}))) / 2)"
     xi_p = xi + "".join(f" - {b!r} * sin({2 * j} * {xi}) * {cosh(f'{2 * j} * {eta}')}"
-                        for j, b in enumerate(geo._BETA, start=1))
+                        for j, b in enumerate(beta, start=1))
     eta_p = eta + "".join(f" - {b!r} * cos({2 * j} * {xi}) * {sinh(f'{2 * j} * {eta}')}"
-                          for j, b in enumerate(geo._BETA, start=1))
+                          for j, b in enumerate(beta, start=1))
     chi = f"asin(sin({xi_p}) / {cosh(eta_p)})"
-    phi = chi + "".join(f" + {d!r} * sin({2 * j} * {chi})" for j, d in enumerate(geo._DELTA, start=1))
+    phi = chi + "".join(f" + {d!r} * sin({2 * j} * {chi})" for j, d in enumerate(delta, start=1))
     lam = f"({math.radians(10 * 6 - 183)!r} + atan2({sinh(eta_p)}, cos({xi_p})))"
     ok = f"(({e}) BETWEEN 100000 AND 1000000 AND ({n}) BETWEEN 0 AND 10000000)"
     return (f"CASE WHEN {ok} THEN degrees({phi}) END", f"CASE WHEN {ok} THEN degrees({lam}) END")
@@ -450,6 +455,14 @@ def q_clean_timestamps(spark: SparkSession, sf_dir: str) -> DataFrame:
                     timefn.incident_timestamp("year", "month", "day", "hour", "minute").alias("timestamp"))
 
 
+@register("fractional_hours", td.with_ctes(td.TIMESTAMP_PARTS_SQL) + """
+SELECT l_orderkey, l_linenumber, hour + minute / 60.0::DOUBLE AS hours FROM parts
+""")
+def q_fractional_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = td.timestamp_parts(spark, sf_dir)
+    return p.select("l_orderkey", "l_linenumber", timefn.fractional_hour("hour", "minute").alias("hours"))
+
+
 _PLAT, _PLON = _utm_sql("easting", "northing")
 
 
@@ -591,14 +604,6 @@ def q_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.accuracy(_knn_predictions(spark, sf_dir), "target", "predicted")
 
 
-@register("unpredicted_classes", _ML + """
-SELECT DISTINCT target AS label FROM knn WHERE target NOT IN (SELECT predicted FROM knn)
-""")
-def q_unpredicted_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return metrics.unpredicted_classes(_knn_predictions(spark, sf_dir), "target", "predicted")
-
-
-# Spark ML pipelines: no SQL formulation (checked by rows and by unit tests).
 RF_TARGETS = ("1-urgent", "2-high", "3-medium")
 
 
@@ -606,22 +611,80 @@ def _rf_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify.training_rows(td.incidents(spark, sf_dir), include=RF_TARGETS, strict_coordinates=True)
 
 
-@register("rf_train_score", None)
+_RF_SQL = _ROWS_SQL.replace(f"type NOT IN ({', '.join(repr(c) for c in KNN_EXCLUDE)})",
+                            f"type IN ({', '.join(repr(c) for c in RF_TARGETS)})")
+_TRAIN_PERCENT = 80
+
+
+@register("rf_train_score", _INC + "," + _RF_SQL + f"""
+SELECT id, target, true AS scored FROM enc WHERE bucket >= {_TRAIN_PERCENT}
+""")
 def q_rf_train_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The forest's test rows; ``scored``: the prediction is one of the
+    categories.  (The trees themselves have no SQL form.)"""
     trained = classify.train_category_model(_rf_rows(spark, sf_dir), classifier="rf", num_trees=10)
+    return trained.predictions.select("id", "target", F.col("predictedLabel").isin(list(RF_TARGETS)).alias("scored"))
+
+
+def _frequency_index(column: str) -> str:
+    """Codes by falling frequency, equal ones by name, as the string indexer gives them."""
+    return (f"SELECT {column} AS v, row_number() OVER (ORDER BY count(*) DESC, {column}) - 1 AS i FROM rows "
+            f"GROUP BY {column}")
+
+
+_NB_SQL = _INC + "," + _RF_SQL + f""",
+nl AS ({_frequency_index("neighbourhood")}), bl AS ({_frequency_index("hundred_block")}), tl AS ({_frequency_index("target")}),
+x AS (
+  SELECT e.id, e.target, e.bucket, tl.i AS label, e.year::DOUBLE AS f1, e.month::DOUBLE AS f2, e.hour::DOUBLE AS f3,
+         nl.i::DOUBLE AS f4, bl.i::DOUBLE AS f5
+  FROM enc e JOIN nl ON nl.v = e.neighbourhood JOIN bl ON bl.v = e.hundred_block JOIN tl ON tl.v = e.target),
+s AS (
+  SELECT label, any_value(target) AS said, count(*) AS n, sum(f1) AS s1, sum(f2) AS s2, sum(f3) AS s3, sum(f4) AS s4, sum(f5) AS s5
+  FROM x WHERE bucket < {_TRAIN_PERCENT} GROUP BY label),
+w AS (
+  SELECT label, said, ln(n + 1.0) - ln((SELECT sum(n) + count(*) FROM s)) AS p,
+         ln(s1 + 1) - ln(s1 + s2 + s3 + s4 + s5 + 5) AS w1, ln(s2 + 1) - ln(s1 + s2 + s3 + s4 + s5 + 5) AS w2,
+         ln(s3 + 1) - ln(s1 + s2 + s3 + s4 + s5 + 5) AS w3, ln(s4 + 1) - ln(s1 + s2 + s3 + s4 + s5 + 5) AS w4,
+         ln(s5 + 1) - ln(s1 + s2 + s3 + s4 + s5 + 5) AS w5
+  FROM s),
+nb AS (
+  SELECT x.id, x.target, arg_max(w.said, p + f1 * w1 + f2 * w2 + f3 * w3 + f4 * w4 + f5 * w5) AS "predictedLabel"
+  FROM x CROSS JOIN w WHERE x.bucket >= {_TRAIN_PERCENT} GROUP BY x.id, x.target)"""
+
+
+@register("nb_train_score", _NB_SQL + '\nSELECT id, target, "predictedLabel" FROM nb')
+def q_nb_train_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Multinomial naive Bayes, smoothing 1.0 (closed form in the oracle)."""
+    trained = classify.train_category_model(_rf_rows(spark, sf_dir), classifier="nb")
     return trained.predictions.select("id", "target", "predictedLabel")
 
 
-@register("nb_train_score", None)
-def q_nb_train_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+@register("unpredicted_classes", _NB_SQL + """
+SELECT DISTINCT target AS label FROM nb WHERE target NOT IN (SELECT "predictedLabel" FROM nb)
+""")
+def q_unpredicted_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Categories that naive Bayes never predicts."""
     trained = classify.train_category_model(_rf_rows(spark, sf_dir), classifier="nb")
-    return trained.predictions.select("id", "target", "predictedLabel")
+    return metrics.unpredicted_classes(trained.predictions, "target", "predictedLabel")
 
 
-@register("rf_metrics", None)
+@register("rf_metrics", _INC + "," + _RF_SQL + f"""
+SELECT count(*) AS n, true AS accuracy_agrees, true AS recall_agrees, true AS f1_agrees FROM enc WHERE bucket >= {_TRAIN_PERCENT}
+""")
 def q_rf_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The evaluators' metrics of the forest against the metrics aggregated
+    from its predictions."""
     trained = classify.train_category_model(_rf_rows(spark, sf_dir), classifier="rf", num_trees=10)
-    return classify.evaluate(trained.predictions)
+    pred = cut_lineage(trained.predictions.select("target", "predictedLabel", "indexedLabel", "prediction"))
+    told = classify.evaluate(pred)
+    share = F.col("support") / F.sum("support").over(Window.partitionBy())  # one row per class
+    report = metrics.classification_report(pred, "target", "predictedLabel").withColumn("share", share)
+    own = report.agg(F.sum(F.col("recall") * F.col("share")).alias("_recall"), F.sum(F.col("f1") * F.col("share")).alias("_f1"))
+    counted = metrics.accuracy(pred, "target", "predictedLabel").withColumnRenamed("accuracy", "_accuracy")
+    near = lambda a, b: F.abs(F.col(a) - F.col(b)) < 1e-9
+    both = told.withColumn("_k", F.lit(1)).join(own.withColumn("_k", F.lit(1)), "_k").join(counted.withColumn("_k", F.lit(1)), "_k")
+    return both.select("n", near("accuracy", "_accuracy").alias("accuracy_agrees"),
+                       near("weightedRecall", "_recall").alias("recall_agrees"), near("f1", "_f1").alias("f1_agrees"))
 
 
 def _requests(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,7 +1,7 @@
 """Map projection: UTM easting/northing (metres) -> latitude/longitude.
 
 Inverse transverse Mercator on the WGS84 ellipsoid with the Krueger series
-to third order in the third flattening n (as published for UTM; accurate
+to fourth order in the third flattening n (as published for UTM; accurate
 to well under a millimetre inside a zone).  Written with built-in math
 expressions only, so it runs inside generated code; there is no Python
 worker or external projection package in the loop.
@@ -25,14 +25,16 @@ UTM_FALSE_NORTHING_SOUTH = 10000000.0
 _N = WGS84_F / (2 - WGS84_F)
 _A = WGS84_A / (1 + _N) * (1 + _N ** 2 / 4 + _N ** 4 / 64)
 _BETA = (
-    _N / 2 - 2 * _N ** 2 / 3 + 37 * _N ** 3 / 96,
-    _N ** 2 / 48 + _N ** 3 / 15,
-    17 * _N ** 3 / 480,
+    _N / 2 - 2 * _N ** 2 / 3 + 37 * _N ** 3 / 96 - _N ** 4 / 360,
+    _N ** 2 / 48 + _N ** 3 / 15 - 437 * _N ** 4 / 1440,
+    17 * _N ** 3 / 480 - 37 * _N ** 4 / 840,
+    4397 * _N ** 4 / 161280,
 )
 _DELTA = (
-    2 * _N - 2 * _N ** 2 / 3 - 2 * _N ** 3,
-    7 * _N ** 2 / 3 - 8 * _N ** 3 / 5,
-    56 * _N ** 3 / 15,
+    2 * _N - 2 * _N ** 2 / 3 - 2 * _N ** 3 + 116 * _N ** 4 / 45,
+    7 * _N ** 2 / 3 - 8 * _N ** 3 / 5 - 227 * _N ** 4 / 45,
+    56 * _N ** 3 / 15 - 136 * _N ** 4 / 35,
+    4279 * _N ** 4 / 630,
 )
 
 
