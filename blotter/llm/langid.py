@@ -148,19 +148,18 @@ def fit(df: DataFrame, path: str, per_language: int = 1000, rounds: int = 3, id_
         text_col: str = "text", lang_col: str = "lang") -> dict:
     """Learn the model from the labelled rows of ``df``.
 
-    It learns from a bounded sample: per language the ``per_language`` rows with the smallest hash of their
-    id (the only bound; texts are used whole).  Rows with a null id, text or language are left out.  Word counts and
+    It learns from a bounded sample: ``per_language`` rows of each language, in ``SHARES`` equal shares of the ids by hash the
+    smallest hashes of each (the only bound; texts are used whole).  Rows with a null id, text or language are left out.  Word counts and
     expected piece counts are summed by Spark; what reaches the driver is one number per language and piece of the
     vocabulary.  Result: ``languages``, ``prob`` (pieces + 1 x languages) and the vocabulary."""
     spark = df.sparkSession
     pieces = load_pieces(path)
     shared = {"id": hashlib.sha256("\n".join(pieces).encode()).hexdigest(), "pieces": pieces}
     rows = df.select(F.col(lang_col).alias("lang"), F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).dropna()
-    # First the smallest hashes of every share of a language, then those of the language: no task sees all its rows.
-    chosen = rows.select("lang", "id", F.xxhash64("id").alias("hash")).withColumn("share", F.pmod(F.shiftright("hash", 32), F.lit(SHARES)))
-    for by in (("lang", "share"), ("lang",)):
-        rank = F.row_number().over(Window.partitionBy(*by).orderBy("hash", "id"))
-        chosen = chosen.withColumn("rank", rank).filter(F.col("rank") <= per_language).drop("rank")
+    # The sample is drawn in shares of each language by hash, so no task sees all rows of a language.
+    rank = F.row_number().over(Window.partitionBy("lang", "share").orderBy("hash", "id"))
+    hashed = rows.select("lang", "id", F.xxhash64("id").alias("hash")).withColumn("share", F.pmod(F.shiftright("hash", 32), F.lit(SHARES)))
+    chosen = hashed.withColumn("rank", rank).filter(F.col("rank") <= -(-per_language // SHARES))
     chosen = cut_lineage(chosen.select("lang", "id").distinct())
     languages = [r.lang for r in chosen.select("lang").distinct().orderBy("lang").limit(MOST_LANGUAGES + 1).collect()]
     if len(languages) > MOST_LANGUAGES:
