@@ -49,7 +49,8 @@ def removed_lines(df: DataFrame, min_sites: int, id_col: str, text_col: str, sit
     lines = line_table(df, id_col, text_col, site_col)
     # A line on one site only has one smallest and largest site: no sketch for it.
     spread = lines.groupBy("line").agg(F.min("site").alias("low"), F.max("site").alias("high"))
-    several = spread.filter("low != high").select("line")
+    # Cut off here, so that the join below has plain shuffles on both sides: Spark can split a hot line's.
+    several = cut_lineage(spread.filter("low != high").select("line"))
     found = cut_lineage(lines.join(several, "line", "left_semi"))
     place = F.struct("key", "twin", "pos")
     # The first place is found before any join, with partial aggregation: a hot line is a row per task.
