@@ -682,7 +682,8 @@ def q_rf_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     own = report.agg(F.sum(F.col("recall") * F.col("share")).alias("_recall"), F.sum(F.col("f1") * F.col("share")).alias("_f1"))
     counted = metrics.accuracy(pred, "target", "predictedLabel").withColumnRenamed("accuracy", "_accuracy")
     near = lambda a, b: F.abs(F.col(a) - F.col(b)) < 1e-9
-    both = told.withColumn("_k", F.lit(1)).join(own.withColumn("_k", F.lit(1)), "_k").join(counted.withColumn("_k", F.lit(1)), "_k")
+    rows = told.unionByName(own, allowMissingColumns=True).unionByName(counted, allowMissingColumns=True)  # three rows
+    both = rows.agg(*[F.max(c).alias(c) for c in rows.columns])
     return both.select("n", near("accuracy", "_accuracy").alias("accuracy_agrees"),
                        near("weightedRecall", "_recall").alias("recall_agrees"), near("f1", "_f1").alias("f1_agrees"))
 

@@ -56,7 +56,7 @@ def test_grouping_sets_single_scan(spark, tmp_path):
 
 def test_holiday_join_after_daily_aggregate(spark, tmp_path):
     clean = _clean_parquet(spark, tmp_path)
-    df = holidays.holiday_top_by_year(clean, holidays.statutory_calendar(clean))
+    df = holidays.holiday_daily(clean, holidays.statutory_calendar(spark.range(2020, 2023).select(F.col("id").alias("year"))))
     plan = df._jdf.queryExecution().optimizedPlan().toString()
     # The join with the calendar sits above the daily aggregate of incidents.
     join_at = plan.find("Join Inner")
