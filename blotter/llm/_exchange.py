@@ -2,10 +2,14 @@
 
 A corpus has about one window per word, so sending one Spark row per window
 would cost several times the input.  Tasks send arrays instead: per bucket
-one row holding the 64-bit keys, the document ids and the positions of all
-its windows (8 bytes of key and one to two bytes of place per window).  Spark
+one row holding the 64-bit keys, the names of the documents and the positions of
+all its windows (8 bytes of key and one to two bytes of place per window).  Spark
 deals the rows out by bucket; buckets are taken one after the other.
 
+A document is named by its id and the hash of its text (``key, twin``), since an
+id may be null or shared.  Inside a task documents are numbers into a table of
+names, ascending as the names do.
+
 A key that is frequent in one batch is sent once per batch (its first place),
 so a key shared by a third of all rows reaches its bucket as one entry per
 batch and not as one per row.
@@ -22,7 +26,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._text import scan_bytes
+from ._text import doc_key, scan_bytes
 
 PLACES = "part int, kind byte, payload binary"
 _SCHEMA = pa.schema([("part", pa.int32()), ("kind", pa.int8()), ("payload", pa.binary())])
@@ -43,9 +47,31 @@ def n_buckets(df: DataFrame) -> int:
     return min(max(least, scan_bytes(df) // BUCKET_BYTES), MOST_BUCKETS)
 
 
-def group_of(docs: np.ndarray, n: int) -> np.ndarray:
-    """Document group of each id: documents are dealt to ``n`` groups by a hash of their id."""
-    x = docs.view(np.uint64) * _MUL
+#: Ids and text hashes of numbered documents.
+Names = tuple[np.ndarray, np.ndarray]
+
+
+def number(ids: np.ndarray, twins: np.ndarray) -> tuple[np.ndarray, Names]:
+    """Number of each (id, text hash) in the table of all of them, and that table; equal pairs are one document."""
+    order = np.lexsort((twins, ids))
+    i, t = ids[order], twins[order]
+    new = np.ones(len(i), bool)
+    new[1:] = (i[1:] != i[:-1]) | (t[1:] != t[:-1])
+    out = np.empty(len(i), np.int64)
+    out[order] = np.cumsum(new) - 1
+    return out, (i[new], t[new])
+
+
+def join_names(docs: list[np.ndarray], names: list[Names]) -> tuple[np.ndarray, Names]:
+    """Documents numbered by one table each, numbered by one table of them all."""
+    ranks, table = number(*(np.concatenate(x) for x in zip(*names)))
+    begin = np.cumsum([0, *(len(n[0]) for n in names)])
+    return np.concatenate([ranks[b + d] for b, d in zip(begin, docs)]), table
+
+
+def group_of(names: Names, n: int) -> np.ndarray:
+    """Document group of each name: documents are dealt to ``n`` groups by a hash of their id and text hash."""
+    x = (names[0].view(np.uint64) * _MUL ^ names[1].view(np.uint64)) * _MUL
     return ((x >> np.uint64(32)) % np.uint64(n)).astype(np.int64)
 
 
@@ -84,12 +110,26 @@ def unpack(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray | None]:
     return np.repeat(ids, sizes), run - np.repeat(before, sizes), keys
 
 
+def pack_named(docs: np.ndarray, places: np.ndarray, keys: np.ndarray | None, names: Names) -> bytes:
+    """:func:`pack` with the names of the documents; documents ascend, places ascend within a document."""
+    own, at = np.unique(docs, return_inverse=True)
+    head = zstandard.ZstdCompressor(level=1).compress(_planes(np.diff(names[0][own], prepend=np.int64(0)).astype("<i8")))
+    return struct.pack("<II", len(own), len(head)) + head + names[1][own].astype("<i8").tobytes() + pack(at, places, keys)
+
+
+def unpack_named(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray | None, Names]:
+    m, size = struct.unpack_from("<II", raw)
+    flat = zstandard.ZstdDecompressor().decompress(raw[8:8 + size], max_output_size=8 * m + 1)
+    names = np.cumsum(_unplanes(flat, "<i8", m)), np.frombuffer(raw, "<i8", m, 8 + size)
+    return (*unpack(raw[8 + size + 8 * m:]), names)
+
+
 def row_batch(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], _SCHEMA.field(i).type) for i in range(3)], schema=_SCHEMA)
 
 
 def by_part(part: np.ndarray, kind: int, docs: np.ndarray, places: np.ndarray,
-            keys: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
+            keys: np.ndarray | None, names: Names) -> Iterator[pa.RecordBatch]:
     """One row per value of ``part``; the order within a part stays."""
     if len(part) == 0:
         return
@@ -100,7 +140,7 @@ def by_part(part: np.ndarray, kind: int, docs: np.ndarray, places: np.ndarray,
     rows, size = [], 0
     for a, b in zip(edges[:-1], edges[1:]):
         sel = order[a:b]
-        rows.append((int(cut[a]), kind, pack(docs[sel], places[sel], None if keys is None else keys[sel])))
+        rows.append((int(cut[a]), kind, pack_named(docs[sel], places[sel], None if keys is None else keys[sel], names)))
         size += len(rows[-1][2])
         if size > 4 << 20:
             yield row_batch(rows)
@@ -110,22 +150,24 @@ def by_part(part: np.ndarray, kind: int, docs: np.ndarray, places: np.ndarray,
 
 
 def settle(items: Iterator, n: int) -> Iterator[pa.RecordBatch]:
-    """Rows of a task: batches pass, and places that need no further comparison (triples of documents, places and, if a place needs
-    it, a number each) are gathered and dealt to ``n`` document groups."""
+    """Rows of a task: batches pass, and places that need no further comparison (documents, places, if a place needs it a number each
+    or else None, and the names of the documents) are gathered and dealt to ``n`` document groups."""
     held, size = [], 0
 
     def rows() -> Iterator[pa.RecordBatch]:
-        docs, places = np.concatenate([h[0] for h in held]), np.concatenate([h[1] for h in held])
+        docs, names = join_names([h[0] for h in held], [h[3] for h in held])
+        places = np.concatenate([h[1] for h in held])
         keys = None if held[0][2] is None else np.concatenate([h[2] for h in held])
         order = np.lexsort((places, docs))
         docs, places = docs[order], places[order]
-        yield from by_part(group_of(docs, n), DECIDED, docs, places, None if keys is None else keys[order])
+        yield from by_part(group_of(names, n)[docs], DECIDED, docs, places, None if keys is None else keys[order], names)
 
     for item in items:
         if isinstance(item, pa.RecordBatch):
             yield item
         elif len(item[0]):
-            held.append(item)
+            used, at = np.unique(item[0], return_inverse=True)
+            held.append((at, *item[1:3], tuple(x[used] for x in item[3])))
             size += len(item[0])
             if size >= SETTLED:
                 yield from rows()
@@ -149,10 +191,11 @@ def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, list[by
         yield now[0], now[1], held
 
 
-def gather(raws: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray | None]:
-    got = [unpack(r) for r in raws]
+def gather(raws: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray | None, Names]:
+    got = [unpack_named(r) for r in raws]
     keys = None if got[0][2] is None else np.concatenate([g[2] for g in got])
-    return np.concatenate([g[0] for g in got]), np.concatenate([g[1] for g in got]), keys
+    docs, names = join_names([g[0] for g in got], [g[3] for g in got])
+    return docs, np.concatenate([g[1] for g in got]), keys, names
 
 
 def compare_rows(emitted: DataFrame, judge: Callable, n: int) -> DataFrame:
@@ -172,27 +215,32 @@ def compare_rows(emitted: DataFrame, judge: Callable, n: int) -> DataFrame:
 
 def compare(emitted: DataFrame, judge: Callable, n: int) -> DataFrame:
     """:func:`compare_rows` of packed places: ``judge(docs, places, keys)`` returns the documents and places it decides on."""
-    return compare_rows(emitted, lambda raws: [(*judge(*gather(raws)), None)], n)
+
+    def rows(raws: list[bytes]) -> Iterator:
+        *found, names = gather(raws)
+        yield *judge(*found), None, names
+
+    return compare_rows(emitted, rows, n)
 
 
 def per_document(places: DataFrame, merge: Callable) -> DataFrame:
     """All decided places of a document group together; ``merge(docs, places, keys)`` gives (ids, starts, ends)
-    of spans with documents ascending.  Result: one row per document, ``key`` and ``spans`` (pairs of
-    little-endian 64-bit integers)."""
+    of spans with documents ascending.  Result: one row per document, ``key``, ``twin`` and
+    ``spans`` (pairs of little-endian 64-bit integers)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, _, raws in parts(batches):
-            docs, at, keys = gather(raws)
+            docs, at, keys, names = gather(raws)
             order = np.lexsort((at, docs))
             ids, starts, ends = merge(docs[order], at[order], None if keys is None else keys[order])
             turn = np.flatnonzero(np.concatenate(([True], ids[1:] != ids[:-1]))) if len(ids) else np.zeros(0, np.int64)
             pairs = np.stack([starts, ends], axis=1).astype("<i8")
             edges = np.append(turn, len(ids))
             spans = [pairs[a:b].tobytes() for a, b in zip(edges[:-1], edges[1:])]
-            yield pa.RecordBatch.from_arrays([pa.array(ids[turn], pa.int64()), pa.array(spans, pa.binary())], names=["key", "spans"])
+            yield pa.RecordBatch.from_arrays([*(pa.array(x[ids[turn]], pa.int64()) for x in names), pa.array(spans, pa.binary())], names=["key", "twin", "spans"])
 
     dealt = places.repartition("part").sortWithinPartitions("part")
-    return dealt.mapInArrow(run, "key long, spans binary")
+    return dealt.mapInArrow(run, "key long, twin long, spans binary")
 
 
 def merge_fixed(length: int) -> Callable:
@@ -223,16 +271,22 @@ def merge_spans(docs: np.ndarray, starts: np.ndarray, keys: np.ndarray) -> tuple
     return docs[first], starts[first], (reach - shift)[last]
 
 
-def pack_texts(df: DataFrame, key: str, raw: str) -> DataFrame:
-    """(key, raw) with the bytes compressed, for a join that shuffles texts."""
+def named(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``key, twin, raw``: id and text hash, which name the row, and the bytes of its text."""
+    raw = F.col(text_col).cast("binary")
+    return df.select(doc_key(id_col).alias("key"), F.xxhash64(raw).alias("twin"), raw.alias("raw"))
+
+
+def pack_texts(source: DataFrame) -> DataFrame:
+    """:func:`named` rows with the bytes compressed (``key, twin, packed``), for a join that shuffles texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = zstandard.ZstdCompressor(level=1)
         for b in batches:
-            texts = (None if not x.is_valid else tool.compress(x.as_buffer()) for x in b.column(1))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(texts, pa.binary())], names=["key", "packed"])
+            texts = (None if not x.is_valid else tool.compress(x.as_buffer()) for x in b.column(2))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(texts, pa.binary())], names=["key", "twin", "packed"])
 
-    return df.select(F.col(key), F.col(raw)).mapInArrow(run, "key long, packed binary")
+    return source.mapInArrow(run, "key long, twin long, packed binary")
 
 
 def unpack_text(raw: bytes) -> bytes:

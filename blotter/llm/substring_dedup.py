@@ -38,35 +38,39 @@ def _first_seen(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _emit(window: int, n: int):
-    def flush(held: list[tuple[np.ndarray, ...]]) -> Iterator:
+    def flush(held: list[tuple[np.ndarray, ...]], rows: list[ex.Names]) -> Iterator:
+        ranks, names = ex.number(*(np.concatenate(x) for x in zip(*rows)))
         docs, starts, keys, seconds = (np.concatenate(x) for x in zip(*held))
+        docs = ranks[docs]
         order = np.lexsort((starts, docs)) if (docs[1:] < docs[:-1]).any() else np.arange(len(docs))
         docs, starts, keys, seconds = docs[order], starts[order], keys[order], seconds[order]
         order, head = _first_seen(keys)
         first = order[head]
         later = (docs[order] != docs[first]) | (starts[order] != starts[first])
-        yield docs[order[later]], starts[order[later]], None
+        yield docs[order[later]], starts[order[later]], None, names
         send = np.sort(order[head == np.arange(len(order))])
-        yield from ex.by_part((seconds[send] % np.uint64(n)).astype(np.int64), ex.KEYS, docs[send], starts[send], keys[send])
+        yield from ex.by_part((seconds[send] % np.uint64(n)).astype(np.int64), ex.KEYS, docs[send], starts[send], keys[send], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator:
-        held, size = [], 0
+        held, rows, size, n_rows = [], [], 0, 0
         for batch in batches:
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
-            for i, j, data, offsets in tx.text_chunks(batch.column(1)):
+            ids, twins = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1))
+            for i, j, data, offsets in tx.text_chunks(batch.column(2)):
                 begin, end, bounds = tx.words(data, offsets)
                 first, doc, start = tx.window_index(bounds, window)
                 if len(first) == 0:
                     continue
                 hashes = tx.word_hashes(data, begin, end)
                 keys = tx.window_hashes(hashes, first, window, 0)
-                held.append((ids[i:j][doc], start, keys, tx.window_hashes(hashes, first, window, 1)))
+                held.append((doc + n_rows, start, keys, tx.window_hashes(hashes, first, window, 1)))
+                rows.append((ids[i:j], twins[i:j]))
+                n_rows += j - i
                 size += len(first)
                 if size >= HELD:
-                    yield from flush(held)
-                    held, size = [], 0
+                    yield from flush(held, rows)
+                    held, rows, size, n_rows = [], [], 0, 0
         if held:
-            yield from flush(held)
+            yield from flush(held, rows)
 
     return lambda batches: ex.settle(run(batches), n)
 
@@ -91,9 +95,9 @@ def _later(docs: np.ndarray, starts: np.ndarray, keys: np.ndarray) -> tuple[np.n
 
 
 def repeated_spans(df: DataFrame, window: int = 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``key, spans``: per document the maximal intervals of words covered by a repeated window
+    """``key, twin, spans``: per document the maximal intervals of words covered by a repeated window
     that is not the earliest of its kind (documents without one are absent)."""
-    source = df.select(tx.doc_key(id_col).alias("key"), F.col(text_col).cast("binary").alias("raw"))
+    source = ex.named(df, id_col, text_col)
     n = ex.n_buckets(source)
     emitted = source.mapInArrow(_emit(window, n), ex.PLACES)
     return ex.per_document(ex.compare(emitted, _later, n), ex.merge_fixed(window))
@@ -122,19 +126,19 @@ def _apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def dedup_substrings(df: DataFrame, window: int = 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Remove every word covered by a window of ``window`` words that also starts earlier.
 
-    Words are ``[^\\x20\\x09-\\x0D]+``, unchanged.  Earlier means a smaller document id, or the same
-    document and an earlier start; windows are judged on the input.  Result per input row:
+    Words are ``[^\\x20\\x09-\\x0D]+``, unchanged.  Earlier means a smaller document id, then
+    a smaller ``xxhash64`` of the text, then an earlier start; windows are judged on the input.  Result per input row:
     ``doc_id, n_words, n_removed, kept`` (kept words joined by one space) and ``spans`` (removed
     intervals of words, pairs of little-endian 64-bit integers, null if none).
 
     Null text has no words; a null id orders before all others and stays null in the result; texts
-    under ``window`` words lose nothing.  Repeated rows are the same document: they don't remove each
-    other and get the same result (rows that share an id but not the text: what is marked in one is
-    removed from each).  Other columns are ignored; an empty table gives an empty result.
+    under ``window`` words lose nothing.  Repeated rows (same id and text) are the same document: they
+    don't remove each other and get the same result; rows that share an id, or have none, but differ in text
+    are different documents.  Other columns are ignored; an empty table gives an empty result.
     """
     spans = repeated_spans(df, window, id_col, text_col)
-    texts = ex.pack_texts(df.select(tx.doc_key(id_col).alias("key"), F.col(text_col).cast("binary").alias("raw")), "key", "raw")
-    joined = texts.join(spans, "key", "left").select("key", "packed", "spans")
+    texts = ex.pack_texts(ex.named(df, id_col, text_col))
+    joined = texts.join(spans, ["key", "twin"], "left").select("key", "packed", "spans")
     out = joined.mapInArrow(_apply, "doc_id long, n_words long, n_removed long, kept binary, spans binary")
     return out.withColumns({"doc_id": F.nullif("doc_id", F.lit(tx.NULL_ID)), "kept": F.col("kept").cast("string")})
 

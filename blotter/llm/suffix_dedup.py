@@ -80,8 +80,10 @@ def pieces(arr: pa.Array, width: int) -> Iterator[tuple[np.ndarray, np.ndarray,
 def _emit_keys(width: int, gram: int, n: int) -> Callable:
     """Keys of all runs; keys that a batch has twice are decided at once and sent once."""
 
-    def flush(held: list[tuple[np.ndarray, ...]]) -> Iterator:
+    def flush(held: list[tuple[np.ndarray, ...]], rows: list[ex.Names]) -> Iterator:
+        ranks, names = ex.number(*(np.concatenate(x) for x in zip(*rows)))
         docs, starts, keys = (np.concatenate(x) for x in zip(*held))
+        docs = ranks[docs]
         order = np.lexsort((starts, docs))
         docs, starts, keys = docs[order], starts[order], keys[order]
         order = np.argsort(keys, kind="stable")
@@ -90,23 +92,25 @@ def _emit_keys(width: int, gram: int, n: int) -> Callable:
         head[1:] = k[1:] != k[:-1]
         many = ~head
         many[:-1] |= ~head[1:]
-        yield docs[order[many]], starts[order[many]], None
+        yield docs[order[many]], starts[order[many]], None, names
         send = np.sort(order[head])
-        yield from ex.by_part((keys[send] % np.uint64(n)).astype(np.int64), ex.KEYS, docs[send], starts[send], keys[send])
+        yield from ex.by_part((keys[send] % np.uint64(n)).astype(np.int64), ex.KEYS, docs[send], starts[send], keys[send], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator:
-        held, size = [], 0
+        held, rows, size, n_rows = [], [], 0, 0
         for batch in batches:
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
-            for row, at, data, offsets in pieces(batch.column(1), width):
+            ids, twins = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1))
+            for row, at, data, offsets in pieces(batch.column(2), width):
                 doc, start, _, _, key = runs(data, offsets, width, gram)
-                held.append((ids[row[doc]], start + at[doc], key))
+                held.append((doc + n_rows, start + at[doc], key))
+                rows.append((ids[row], twins[row]))
+                n_rows += len(row)
                 size += len(key)
                 if size >= RUNS:
-                    yield from flush(held)
-                    held, size = [], 0
+                    yield from flush(held, rows)
+                    held, rows, size, n_rows = [], [], 0, 0
         if held:
-            yield from flush(held)
+            yield from flush(held, rows)
 
     return lambda batches: ex.settle(run(batches), n)
 
@@ -125,34 +129,39 @@ def _as_places(docs: np.ndarray, starts: np.ndarray, _: None) -> tuple[np.ndarra
 
 
 class Segments:
-    """Texts of runs: document, first start, key, bytes to the anchor, and the bytes of text i at ``begin[i]:begin[i + 1]``."""
+    """Texts of runs: document, first start, key, bytes to the anchor, and the bytes of text i at ``begin[i]:begin[i + 1]``;
+    ``names`` has the documents."""
 
-    def __init__(self, docs: np.ndarray, starts: np.ndarray, keys: np.ndarray, lead: np.ndarray, sizes: np.ndarray, data: np.ndarray):
+    def __init__(self, docs: np.ndarray, starts: np.ndarray, keys: np.ndarray, lead: np.ndarray, sizes: np.ndarray, data: np.ndarray, names: ex.Names):
         self.docs, self.starts, self.keys, self.lead, self.sizes, self.data = docs, starts, keys, lead, sizes, data
-        self.begin = np.cumsum(sizes) - sizes
+        self.begin, self.names = np.cumsum(sizes) - sizes, names
 
     def cut(self, seg: np.ndarray, skip: np.ndarray, sizes: np.ndarray, keys: np.ndarray) -> "Segments":
         """Parts of texts ``seg``: ``sizes`` bytes from byte ``skip``."""
-        return Segments(self.docs[seg], self.starts[seg] + skip, keys, self.lead[seg] - skip, sizes, _ranges(self.data, self.begin[seg] + skip, sizes))
+        return Segments(self.docs[seg], self.starts[seg] + skip, keys, self.lead[seg] - skip, sizes, _ranges(self.data, self.begin[seg] + skip, sizes), self.names)
 
     def take(self, sel: np.ndarray) -> "Segments":
         return self.cut(sel, np.zeros(len(sel), np.int64), self.sizes[sel], self.keys[sel])
 
     def pack(self) -> bytes:
-        places = ex.pack(self.docs, self.starts, self.keys)
+        places = ex.pack_named(self.docs, self.starts, self.keys, self.names)
         text = zstandard.ZstdCompressor(level=1).compress(
             self.sizes.astype("<u4").tobytes() + self.lead.astype("<u4").tobytes() + self.data.tobytes())
         return struct.pack("<II", len(places), len(self.docs)) + places + text
 
     @staticmethod
     def unpack(raws: list[bytes]) -> "Segments":
-        columns: list[tuple[np.ndarray, ...]] = []
+        docs, names, columns = [], [], []
         for raw in raws:
             size, n = struct.unpack_from("<II", raw)
             text = zstandard.ZstdDecompressor().decompress(raw[8 + size:])
-            columns.append((*ex.unpack(raw[8:8 + size]), np.frombuffer(text, "<u4", n, 4 * n).astype(np.int64),
+            own, *places, known = ex.unpack_named(raw[8:8 + size])
+            docs.append(own)
+            names.append(known)
+            columns.append((*places, np.frombuffer(text, "<u4", n, 4 * n).astype(np.int64),
                             np.frombuffer(text, "<u4", n).astype(np.int64), np.frombuffer(text, np.uint8, -1, 8 * n)))
-        return Segments(*(np.concatenate(x) for x in zip(*columns)))
+        numbered, table = ex.join_names(docs, names)
+        return Segments(numbered, *(np.concatenate(x) for x in zip(*columns)), table)
 
     def rows(self, n: int) -> pa.RecordBatch:
         """Rows that deal the texts out by key."""
@@ -275,17 +284,19 @@ def _verified(data: np.ndarray, left: np.ndarray, right: np.ndarray, width: int)
 def _emit_texts(width: int, gram: int, wide: int, n: int) -> Callable:
     """Texts of the runs whose start is listed; texts that a batch has twice are decided at once and sent once."""
 
-    def flush(held: list[tuple[np.ndarray, ...]]) -> Iterator:
-        own = yield from _collapse(Segments(*(np.concatenate(x) for x in zip(*held))))
+    def flush(held: list[tuple[np.ndarray, ...]], rows: list[ex.Names]) -> Iterator:
+        ranks, names = ex.number(*(np.concatenate(x) for x in zip(*rows)))
+        docs, *rest = (np.concatenate(x) for x in zip(*held))
+        own = yield from _collapse(Segments(ranks[docs], *rest, names))
         if len(own.docs):
             yield own.rows(wide)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator:
-        held, size = [], 0
+        held, rows, size, n_rows = [], [], 0, 0
         for batch in (b.slice(at, ROWS) for b in batches for at in range(0, b.num_rows, ROWS)):
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
-            texts = pa.array([ex.unpack_text(x) if x is not None else b"" for x in batch.column(1).to_pylist()], pa.large_binary())
-            wanted = [np.frombuffer(x, "<i8")[::2] for x in batch.column(2).to_pylist()]
+            ids, twins = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1))
+            texts = pa.array([ex.unpack_text(x) if x is not None else b"" for x in batch.column(2).to_pylist()], pa.large_binary())
+            wanted = [np.frombuffer(x, "<i8")[::2] for x in batch.column(3).to_pylist()]
             for row, at, data, offsets in pieces(texts, width):
                 doc, start, strings, lead, key = runs(data, offsets, width, gram)
                 listed = np.zeros(len(doc), bool)
@@ -294,13 +305,15 @@ def _emit_texts(width: int, gram: int, wide: int, n: int) -> Callable:
                     listed[a:b] = np.isin(start[a:b] + at[d], wanted[row[d]])
                 doc, start, lead, key = doc[listed], start[listed], lead[listed], key[listed]
                 sizes = strings[listed] + width - 1
-                held.append((ids[row[doc]], start + at[doc], key, lead, sizes, _ranges(data, offsets[doc] + start, sizes)))
+                held.append((doc + n_rows, start + at[doc], key, lead, sizes, _ranges(data, offsets[doc] + start, sizes)))
+                rows.append((ids[row], twins[row]))
+                n_rows += len(row)
                 size += len(held[-1][-1])
                 if size >= HELD:
-                    yield from flush(held)
-                    held, size = [], 0
+                    yield from flush(held, rows)
+                    held, rows, size, n_rows = [], [], 0, 0
         if held:
-            yield from flush(held)
+            yield from flush(held, rows)
 
     return lambda batches: ex.settle(run(batches), n)
 
@@ -314,7 +327,7 @@ def _collapse(own: Segments):
     new = np.ones(len(place), bool)
     new[1:] = (c[1:] != c[:-1]) | (d[1:] != d[:-1]) | (s[1:] != s[:-1])
     twice = np.bincount(c[new], minlength=len(first))[cls] > 1
-    yield own.docs[twice], own.starts[twice], (own.starts + own.sizes)[twice].astype(np.uint64)
+    yield own.docs[twice], own.starts[twice], (own.starts + own.sizes)[twice].astype(np.uint64), own.names
     return own.take(np.sort(first))
 
 
@@ -345,7 +358,7 @@ def _sort_bucket(width: int, n: int, most: int | None) -> Callable:
             new[1:] = (seg[hit][1:] != seg[hit][:-1]) | (hit[1:] != hit[:-1] + 1)
             a = hit[new]
             b = hit[np.append(np.flatnonzero(new)[1:], len(hit)) - 1]
-            yield own.docs[seg[a]], own.starts[seg[a]] + within[a], (own.starts[seg[b]] + within[b] + width).astype(np.uint64)
+            yield own.docs[seg[a]], own.starts[seg[a]] + within[a], (own.starts[seg[b]] + within[b] + width).astype(np.uint64), own.names
 
     return run
 
@@ -380,14 +393,14 @@ def _parts(own: Segments, width: int) -> Segments:
 
 def repeated_spans(df: DataFrame, width: int = WIDTH, gram: int = GRAM, crowd: int = CROWD, id_col: str = "doc_id",
                    text_col: str = "text") -> tuple[DataFrame, DataFrame]:
-    """``key, spans`` (maximal spans of bytes to remove) and the packed texts (``key, packed``)."""
-    source = df.select(tx.doc_key(id_col).alias("key"), F.col(text_col).cast("binary").alias("raw"))
+    """``key, twin, spans`` (maximal spans of bytes to remove) and the packed texts (``key, twin, packed``)."""
+    source = ex.named(df, id_col, text_col)
     n = ex.n_buckets(source)
     wide = 2 * n  # smaller buckets where texts are sorted
     keys = source.mapInArrow(_emit_keys(width, gram, n), ex.PLACES)
     listed = ex.per_document(ex.compare(keys, _seen_twice, n), _as_places)
-    packed = ex.pack_texts(source, "key", "raw")
-    texts = packed.join(listed, "key").select("key", "packed", "spans").mapInArrow(_emit_texts(width, gram, wide, n), ex.PLACES)
+    packed = ex.pack_texts(source)
+    texts = packed.join(listed, ["key", "twin"]).select("key", "twin", "packed", "spans").mapInArrow(_emit_texts(width, gram, wide, n), ex.PLACES)
     for most in (crowd, None):
         texts = ex.compare_rows(texts, _sort_bucket(width, wide, most), n)
     return ex.per_document(texts, ex.merge_spans), packed
@@ -420,10 +433,10 @@ def dedup_bytes(df: DataFrame, width: int = WIDTH, gram: int = GRAM, crowd: int
     Texts are UTF-8 bytes; matches stay within a document; all copies go; strings are judged on the input.  Result per input
     row: ``doc_id, n_bytes, n_removed, n_spans`` (maximal removed runs), ``kept`` (the remaining bytes) and ``spans`` (pairs of
     little-endian 64-bit integers, null if none).  Null text is empty; a null id stays null; repeated rows (same id and text)
-    are the same place and get the same result; other columns are ignored; an empty table gives an empty result.
+    are the same place and get the same result, rows that share an id, or have none, but differ in text are not; other columns are ignored; an empty table gives an empty result.
     ``gram`` (under ``width``) and ``crowd`` only decide how strings are dealt out."""
     spans, packed = repeated_spans(df, width, gram, crowd, id_col, text_col)
-    joined = packed.join(spans, "key", "left").select("key", "packed", "spans")
+    joined = packed.join(spans, ["key", "twin"], "left").select("key", "packed", "spans")
     out = joined.mapInArrow(_apply, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary, spans binary")
     return out.withColumn("doc_id", F.nullif("doc_id", F.lit(tx.NULL_ID)))
 

@@ -1,10 +1,12 @@
 """Exact dedup operators against plain Python."""
 
+import random
 import re
 from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -177,3 +179,41 @@ def test_line_spread_is_exact_at_the_threshold(spark):
 def test_line_dedup_runs_no_python(spark):
     plan = line_dedup.dedup_lines(corpus.frame(spark, corpus.documents()))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
+
+
+def _unnamed(seed):
+    """Many rows without an id, ids shared by different texts, and passages at the same offset of such rows."""
+    rng = random.Random(seed)
+    prose = lambda n: " ".join(rng.choice("abcdefgh") * rng.randint(1, 3) + str(rng.randrange(40)) for _ in range(n))
+    shared = [prose(40), prose(60)]
+    texts = [f"{rng.choice(shared)} {prose(50)}" for _ in range(10)] + [f"{prose(k)} {shared[0]} {prose(20)}" for k in range(5)] + [prose(80) for _ in range(10)]
+    rows = [([None, None, 7, 8, i][i % 5], t) for i, t in enumerate(texts)]
+    return rows + rows[:4]
+
+
+def test_substrings_of_rows_without_an_id_of_their_own(spark):
+    rows = _unnamed(1)
+    signed = lambda t: (x := xxhash.xxh64_intdigest(t.encode(), 42)) - (x >> 63 << 64)
+    place = lambda r: (_place(r[0]), signed(r[1]))
+    seen, want = {}, {}
+    for r in sorted(set(rows), key=place):
+        found = r[1].split()
+        for s in range(len(found) - 19):
+            seen.setdefault(tuple(found[s:s + 20]), (r, s))
+    for r in set(rows):
+        found = r[1].split()
+        gone = {i for s in range(len(found) - 19) if seen[tuple(found[s:s + 20])] != (r, s) for i in range(s, s + 20)}
+        want[r] = len(found), len(gone), " ".join(w for i, w in enumerate(found) if i not in gone)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = Counter(map(tuple, substring_dedup.dedup_substrings(df).select("doc_id", "n_words", "n_removed", "kept").collect()))
+    assert got == Counter((r[0], *want[r]) for r in rows)
+
+
+@pytest.mark.parametrize("crowd", [4096, 1])
+def test_bytes_of_rows_without_an_id_of_their_own(spark, crowd):
+    rows = _unnamed(2)
+    named = {r: i for i, r in enumerate(dict.fromkeys(rows))}
+    want = _bytes_removed([(i, r[1]) for r, i in named.items()], 100)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in suffix_dedup.dedup_bytes(df, 100, 30, crowd).collect())
+    assert got == Counter((r[0], *want[named[r], r[1]]) for r in rows)
