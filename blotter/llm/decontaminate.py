@@ -18,7 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import _text as tx
@@ -115,35 +115,34 @@ def _blocks(benchmark: DataFrame) -> Iterator[tuple[list[int | None], list[str]]
         yield ids, texts
 
 
-def find_overlaps(df: DataFrame, benchmark: DataFrame, window: int = 13, similarity: float = 0.8, id_col: str = "doc_id",
-                  text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
-    """``doc_id, item_id, n_overlap, n_equal``: every document and benchmark item that share ``window`` words in a row (the whole
-    item if it is shorter) of which ``similarity`` are equal, words replaced one for one.
+def _twin(text_col: str) -> Column:
+    return F.xxhash64(F.col(text_col).cast("binary"))
 
-    Case of ASCII letters and punctuation don't count.  ``n_overlap`` words are covered on the best diagonal, ``n_equal`` of them
-    are equal.  Null and empty texts and items of fewer than six words have no overlap; null ids are carried along; repeated
-    rows of either table give one row (their ids and texts are the same); other columns are ignored."""
+
+def _overlaps(df: DataFrame, benchmark: DataFrame, window: int = 13, similarity: float = 0.8, id_col: str = "doc_id",
+              text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+    """:func:`find_overlaps` with ``twin``, the hash of the text that names a row together with its id."""
     spark = df.sparkSession
     items = benchmark.select(F.col(item_col).cast("long").alias("item_id"), F.col(item_text_col).alias("text")).dropna(subset=["text"]).distinct()
-    docs = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("raw"))
-    schema = "doc_id long, item_id long, n_overlap long, n_equal long"
+    docs = df.select(F.col(id_col).cast("long").alias("doc_id"), _twin(text_col).alias("twin"), F.col(text_col).cast("binary").alias("raw"))
+    schema = "doc_id long, twin long, item_id long, n_overlap long, n_equal long"
     out = spark.createDataFrame([], schema)
 
     def against(shared):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             index = Index(shared.value[1])
             for batch in batches:
-                ids, rows = batch.column(0), []
-                for i, _, data, offsets in tx.text_chunks(batch.column(1)):
+                ids, twins, rows = batch.column(0), batch.column(1), []
+                for i, _, data, offsets in tx.text_chunks(batch.column(2)):
                     data = _FOLD[data]
                     starts, ends, bounds = tx.words(data, offsets)
                     hashes = tx.word_hashes(data, starts, ends)
                     for doc, item, shift in index.hits(hashes, bounds).tolist():
                         covered, equal = index.overlap(hashes[bounds[doc]:bounds[doc + 1]], item, shift, window, similarity)
                         if covered:
-                            rows.append((ids[i + doc].as_py(), shared.value[0][item], covered, equal))
+                            rows.append((ids[i + doc].as_py(), twins[i + doc].as_py(), shared.value[0][item], covered, equal))
                 if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], names=["doc_id", "item_id", "n_overlap", "n_equal"])
+                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], names=["doc_id", "twin", "item_id", "n_overlap", "n_equal"])
 
         return run
 
@@ -151,15 +150,28 @@ def find_overlaps(df: DataFrame, benchmark: DataFrame, window: int = 13, similar
         shared = spark.sparkContext.broadcast((ids, texts))  # at most BLOCK_BYTES of text
         out = out.union(docs.mapInArrow(against(shared), schema))
     best = F.max(F.struct("n_equal", F.negative("n_overlap").alias("less"))).alias("best")
-    return out.groupBy("doc_id", "item_id").agg(best).select(
-        "doc_id", "item_id", F.negative("best.less").alias("n_overlap"), F.col("best.n_equal").alias("n_equal"))
+    return out.groupBy("doc_id", "twin", "item_id").agg(best).select(
+        "doc_id", "twin", "item_id", F.negative("best.less").alias("n_overlap"), F.col("best.n_equal").alias("n_equal"))
 
 
-def clean_documents(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """The rows of ``df`` that share no passage with the benchmark (rows with a null id that do go as well, all together:
-    a null id names no single row)."""
-    found = find_overlaps(df, benchmark, id_col=id_col, **options).select(F.col("doc_id").alias("_leaked")).distinct()
-    return df.join(found, F.col(id_col).cast("long").eqNullSafe(F.col("_leaked")), "left_anti")
+def find_overlaps(df: DataFrame, benchmark: DataFrame, window: int = 13, similarity: float = 0.8, id_col: str = "doc_id",
+                  text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+    """``doc_id, item_id, n_overlap, n_equal``: every document and benchmark item that share ``window`` words in a row (the whole
+    item if it is shorter) of which ``similarity`` are equal, words replaced one for one.
+
+    Case of ASCII letters and punctuation don't count.  ``n_overlap`` words are covered on the best diagonal, ``n_equal`` of them
+    are equal.  Null and empty texts and items of fewer than six words have no overlap; null ids are carried along; repeated rows of either table give one row (their ids and
+    texts are the same), documents that share an id, or have none, but differ in text a row each; other columns are ignored."""
+    return _overlaps(df, benchmark, window, similarity, id_col, text_col, item_col, item_text_col).drop("twin")
+
+
+def clean_documents(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The rows of ``df`` that share no passage with the benchmark, each judged by its own text: a row is named by its id and
+    the hash of its text, since an id may be null or shared."""
+    found = _overlaps(df, benchmark, id_col=id_col, text_col=text_col, **options).select(
+        F.col("doc_id").alias("_leaked"), F.col("twin").alias("_leaked_twin")).distinct()
+    same = F.col(id_col).cast("long").eqNullSafe(F.col("_leaked")) & (_twin(text_col) == F.col("_leaked_twin"))
+    return df.join(found, same, "left_anti")
 
 
 def op2_decontamination(spark, sf_dir: str) -> DataFrame:

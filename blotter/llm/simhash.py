@@ -59,14 +59,15 @@ def fingerprint(raw: bytes, shingle: int = 4) -> int:
 
 
 def fingerprints(df: DataFrame, shingle: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``key, fp`` per row: the id (see ``_text.doc_key``) and the fingerprint as a long."""
+    """``key, twin, fp`` per row: the id (see ``_text.doc_key``), a hash of the text and the fingerprint as a long."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fps = np.fromiter((fingerprint(x.as_py() or b"", shingle) for x in b.column(1)), np.uint64, b.num_rows)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64))], names=["key", "fp"])
+            fps = np.fromiter((fingerprint(x.as_py() or b"", shingle) for x in b.column(2)), np.uint64, b.num_rows)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(fps.view(np.int64))], names=["key", "twin", "fp"])
 
-    return df.select(tx.doc_key(id_col).alias("key"), F.col(text_col).cast("binary").alias("raw")).mapInArrow(run, "key long, fp long")
+    raw = F.col(text_col).cast("binary")
+    return df.select(tx.doc_key(id_col).alias("key"), F.xxhash64(raw).alias("twin"), raw.alias("raw")).mapInArrow(run, "key long, twin long, fp long")
 
 
 def bit_planes(fps: np.ndarray) -> np.ndarray:
@@ -270,6 +271,20 @@ def links(fps: DataFrame, radius: int = 4, blocks: int = 6) -> DataFrame:
     return met.mapInArrow(_compare_tiles(radius), "u long, v long").distinct()
 
 
+def _rooted(nodes: DataFrame, radius: int, blocks: int) -> DataFrame:
+    """``fp, least, root`` of distinct fingerprints (``fp, least``): the root names the component."""
+    roots = connected_components(links(nodes, radius, blocks)).withColumnRenamed("node", "fp")
+    return nodes.join(roots, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+
+
+def representatives(df: DataFrame, shingle: int = 4, radius: int = 4, blocks: int = 6, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``key, twin``: of each component (see :func:`near_duplicates`) the row with the smallest id (null first) and, among rows of
+    that id, the smallest hash of the text (``xxhash64`` of its bytes)."""
+    prints = fingerprints(df, shingle, id_col, text_col)
+    nodes = cut_lineage(prints.groupBy("fp").agg(F.min(F.struct("key", "twin")).alias("least")))
+    return _rooted(nodes, radius, blocks).groupBy("root").agg(F.min("least").alias("first")).select("first.key", "first.twin")
+
+
 def near_duplicates(df: DataFrame, shingle: int = 4, radius: int = 4, blocks: int = 6, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
     """``doc_id, fingerprint, component_id`` per input row.
@@ -278,10 +293,9 @@ def near_duplicates(df: DataFrame, shingle: int = 4, radius: int = 4, blocks: in
     that differ in at most ``radius`` bits), the row's own included.  Null and empty texts and texts without words have
     fingerprint zero, which links like any other.  A null id orders before all others and stays null.  Repeated rows
     each get their row; other columns are ignored; an empty table gives an empty result."""
-    prints = cut_lineage(fingerprints(df, shingle, id_col, text_col))
+    prints = cut_lineage(fingerprints(df, shingle, id_col, text_col).drop("twin"))
     nodes = cut_lineage(prints.groupBy("fp").agg(F.min("key").alias("least")))
-    roots = connected_components(links(nodes, radius, blocks)).withColumnRenamed("node", "fp")
-    named = nodes.join(roots, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    named = _rooted(nodes, radius, blocks)
     least = named.groupBy("root").agg(F.min("least").alias("component"))
     of = named.join(least, "root").select("fp", "component")
     out = prints.join(of, "fp")

@@ -13,6 +13,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from blotter.llm import _text as tx
 from blotter.llm import bpe, decontaminate, langid, line_dedup, simhash
 from blotter.session import ensure_checkpoint_dir, ship_package
 
@@ -52,12 +53,12 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 @_stage
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked fingerprints the document with the smallest id stays, once if its row is repeated.  Rows
-    without an id come first in their groups and stay, apart from equal texts."""
-    found = simhash.near_duplicates(docs)
-    kept = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_kept")).distinct()
-    rows = docs.join(kept, docs["doc_id"].eqNullSafe(kept["_kept"]), "left_semi")
-    first = F.row_number().over(Window.partitionBy("doc_id", F.xxhash64("text")).orderBy("doc_id"))
+    """Of each group of linked fingerprints the document with the smallest id stays (without an id first, then by the hash of
+    the text), once if its row is repeated."""
+    kept = simhash.representatives(docs)
+    named = docs.withColumns({"_key": tx.doc_key("doc_id"), "_twin": F.xxhash64(F.col("text").cast("binary"))})
+    rows = named.join(kept, (named["_key"] == kept["key"]) & (named["_twin"] == kept["twin"]), "left_semi")
+    first = F.row_number().over(Window.partitionBy("_key", "_twin").orderBy("_key"))
     return rows.withColumn("_nth", first).filter("_nth = 1").select(docs.columns)
 
 

@@ -1,11 +1,13 @@
 """The pipeline against a plain Python version of its stages, and the registration of the queries."""
 
 import hashlib
+import random
 from collections import Counter
 from itertools import combinations
 
 import numpy as np
 import pytest
+import xxhash
 
 import __spark_entry__ as entry
 import corpus_pipeline
@@ -86,3 +88,24 @@ def test_clean_documents_stay(spark):
     """No document with letters in a learned language goes for its language."""
     docs = spark.read.parquet(f"{SF_CHECK}/documents.parquet")
     assert corpus_pipeline.language(spark, docs, SF_CHECK).count() == docs.filter(r"text rlike r'\p{L}'").count()
+
+
+def test_rows_without_an_id_are_filtered_by_their_own_text(spark):
+    """A third of the rows has no id, others share one: one of each group of near-duplicates stays, and only leaking rows go."""
+    rng = random.Random(4)
+    prose = lambda n: " ".join(f"w{rng.randrange(500)}" for _ in range(n))
+    leak = next(r.text for r in spark.read.parquet(f"{SF_SMALL}/benchmark.parquet").collect() if r.text and len(r.text.split()) >= 16)
+    near = prose(400)
+    rows = [(None, near), (None, near + " end"), (None, near + " tail"), (None, near), (3, near + " more")]
+    rows += [(None, prose(60)) for _ in range(5)] + [(9, prose(60)) for _ in range(3)] + [(None, f"{prose(20)} {leak}"), (9, f"{prose(20)} {leak}")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    prints = [_fingerprint(t) for _, t in rows]
+    root = _roots(set(prints), [(a, b) for a, b in combinations(set(prints), 2) if (a ^ b).bit_count() <= 4])
+    signed = lambda t: (x := xxhash.xxh64_intdigest(t.encode(), 42)) - (x >> 63 << 64)
+    first = {}
+    for r, f in zip(rows, prints):
+        first[root[f]] = min(first.get(root[f], r), r, key=lambda r: (r[0] is not None, r[0] or 0, signed(r[1])))
+    assert len(first) == 11  # the five near copies are one
+    once = corpus_pipeline.near_duplicates(spark, df, SF_SMALL)
+    assert Counter(map(tuple, once.collect())) == Counter(first.values())
+    assert Counter(map(tuple, corpus_pipeline.benchmark(spark, once, SF_SMALL).collect())) == Counter(r for r in first.values() if leak not in r[1])
