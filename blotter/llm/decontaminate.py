@@ -8,13 +8,15 @@ diagonal, which decides.
 
 The masks below are lossless for the default: whichever two words of a 13-word window
 are replaced, some placement of the first two masks avoids both (checked in the tests).
-The third finds short items.
+Items shorter than the window, and windows of other sizes, have masks made for their
+number of words and of replaced words (see :func:`masks_for`).
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -23,8 +25,10 @@ from pyspark.sql import functions as F
 
 from . import _text as tx
 
-#: Word positions each mask looks at (six of them: items of fewer words have no seed and are too short to tell from chance).
+#: Word positions each mask of a 13-word window looks at.
 MASKS = ((0, 1, 3, 5, 6, 7), (0, 1, 4, 7, 8, 10), (0, 1, 2, 3, 4, 5))
+#: Items of fewer words are found where all their words are equal.
+LEAST_WORDS = 6
 #: Text of the benchmark compared in one pass over the documents; a larger benchmark takes several passes.
 BLOCK_BYTES = 8 << 20
 #: Compared texts: ASCII letters and digits in lower case and all bytes from 0x80 on; everything else separates words.
@@ -36,6 +40,19 @@ _MUL = np.uint64(0x9E3779B97F4A7C15)
 _BITS = 22
 
 
+def least_equal(size: int, similarity: float) -> int:
+    """Words of ``size`` that have to be equal."""
+    return size if size < LEAST_WORDS else max(1, math.ceil(similarity * size - 1e-9))
+
+
+def masks_for(size: int, replaced: int) -> list[tuple[int, ...]]:
+    """Masks over ``size`` words of which one at least sees none of any ``replaced`` words: the words are cut into two groups
+    more than that (as far as there are words), and a mask leaves out ``replaced`` of the groups."""
+    groups = min(size, replaced + 2)
+    cuts = [size * k // groups for k in range(groups + 1)]
+    return [tuple(at for k in range(groups) if k not in out for at in range(cuts[k], cuts[k + 1])) for out in combinations(range(groups), replaced)]
+
+
 def seed_hashes(hashes: np.ndarray, mask: tuple[int, ...]) -> np.ndarray:
     """Seed of every place of a sequence of word hashes where the mask fits."""
     n = len(hashes) - mask[-1]
@@ -51,26 +68,53 @@ class Index:
     """Seeds of a block of benchmark items: per mask the sorted hashes with item and position, and a bit table
     that most document seeds fail."""
 
-    def __init__(self, texts: list[str]):
+    def __init__(self, texts: list[str], window: int = 13, similarity: float = 0.8):
         data, offsets = tx.string_buffers(pa.array(texts, pa.string()))
         data = _FOLD[data]
         starts, ends, bounds = tx.words(data, offsets)
         self.hashes, self.bounds = tx.word_hashes(data, starts, ends), bounds
         self.seeds = []
-        for mask in MASKS:
-            first, item, _ = tx.window_index(bounds, mask[-1] + 1)
-            seed = seed_hashes(self.hashes, mask)[first]
+        for mask, places in self._places(np.diff(bounds), window, similarity).items():
+            item, place = (np.concatenate(x) for x in zip(*places))
+            seed = np.zeros(len(item), np.uint64)
+            for at in mask:
+                seed = seed * _MUL + self.hashes[bounds[item] + place + at]
+            seed = tx.mix(seed)
             order = np.argsort(seed, kind="stable")
-            table = np.zeros(1 << _BITS, bool)
-            table[seed >> np.uint64(64 - _BITS)] = True
-            self.seeds.append((table, seed[order], item[order], first[order] - bounds[item[order]]))
+            shift = np.uint64(64 - min(_BITS, max(10, len(seed).bit_length() + 4)))
+            table = np.zeros(1 << (64 - int(shift)), bool)
+            table[seed >> shift] = True
+            self.seeds.append((mask, shift, table, seed[order], item[order], place[order]))
+
+    @staticmethod
+    def _places(sizes: np.ndarray, window: int, similarity: float) -> dict[tuple[int, ...], list[tuple[np.ndarray, np.ndarray]]]:
+        """Per mask (from position 0 on) the items and the places in them where it is laid: once on a whole item that is shorter
+        than the window, on every place of the others."""
+        out: dict[tuple[int, ...], list[tuple[np.ndarray, np.ndarray]]] = {}
+        for size in np.unique(np.minimum(sizes, window)).tolist():
+            if size == 0:
+                continue
+            replaced = size - least_equal(size, similarity)
+            masks = MASKS if size == 13 == window and replaced <= 2 else masks_for(size, replaced)
+            items = np.flatnonzero(np.minimum(sizes, window) == size)
+            for mask in masks:
+                shape = tuple(at - mask[0] for at in mask)
+                if size < window:
+                    found = items, np.full(len(items), mask[0])
+                elif any(m != mask and tuple(at - m[0] for at in m) == shape for m in masks[:masks.index(mask)]):
+                    continue  # laid on every place already
+                else:
+                    many = sizes[items] - shape[-1]
+                    found = np.repeat(items, many), np.arange(int(many.sum())) - np.repeat(np.cumsum(many) - many, many)
+                out.setdefault(shape, []).append(found)
+        return out
 
     def hits(self, hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
         """Distinct (document, item, diagonal) with a common seed."""
-        found = []
-        for mask, (table, seeds, items, places) in zip(MASKS, self.seeds):
+        found = [np.zeros((0, 3), np.int64)]
+        for mask, bits, table, seeds, items, places in self.seeds:
             mine = seed_hashes(hashes, mask)
-            at = np.flatnonzero(table[mine >> np.uint64(64 - _BITS)])
+            at = np.flatnonzero(table[mine >> bits])
             low, high = np.searchsorted(seeds, mine[at], "left"), np.searchsorted(seeds, mine[at], "right")
             sizes = high - low
             at, low, sizes = at[sizes > 0], low[sizes > 0], sizes[sizes > 0]
@@ -91,7 +135,7 @@ class Index:
             return 0, 0
         same = words[low + shift:high + shift] == own[low:high]
         total = np.concatenate(([0], np.cumsum(same)))
-        good = np.flatnonzero(total[size:] - total[:-size] >= math.ceil(similarity * size - 1e-9))
+        good = np.flatnonzero(total[size:] - total[:-size] >= least_equal(size, similarity))
         if len(good) == 0:
             return 0, 0
         covered = np.zeros(len(same) + 1, np.int64)
@@ -130,7 +174,7 @@ def _overlaps(df: DataFrame, benchmark: DataFrame, window: int = 13, similarity:
 
     def against(shared):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            index = Index(shared.value[1])
+            index = Index(shared.value[1], window, similarity)
             for batch in batches:
                 ids, twins, rows = batch.column(0), batch.column(1), []
                 for i, _, data, offsets in tx.text_chunks(batch.column(2)):
@@ -160,7 +204,8 @@ def find_overlaps(df: DataFrame, benchmark: DataFrame, window: int = 13, similar
     item if it is shorter) of which ``similarity`` are equal, words replaced one for one.
 
     Case of ASCII letters and punctuation don't count.  ``n_overlap`` words are covered on the best diagonal, ``n_equal`` of them
-    are equal.  Null and empty texts and items of fewer than six words have no overlap; null ids are carried along; repeated rows of either table give one row (their ids and
+    are equal.  Items of fewer than ``LEAST_WORDS`` words are found where all their words are equal.  Null and empty texts and
+    items without words have no overlap; null ids are carried along; repeated rows of either table give one row (their ids and
     texts are the same), documents that share an id, or have none, but differ in text a row each; other columns are ignored."""
     return _overlaps(df, benchmark, window, similarity, id_col, text_col, item_col, item_text_col).drop("twin")
 

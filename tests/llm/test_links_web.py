@@ -2,17 +2,20 @@
 
 import base64
 import hashlib
+import math
 import random
 import re
 from collections import Counter
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from blotter.llm import _text as tx
 from blotter.llm import components, decontaminate, simhash, url_filter, warc
 from tests.llm import corpus
 
@@ -189,6 +192,37 @@ def test_overlaps_against_brute_force(spark):
     assert Counter((r.doc_id, r.text) for r in clean.collect()) == Counter(d for d in docs if d[0] not in {w[0] for w in want})
 
 
+@pytest.mark.parametrize("size", range(1, 14))
+def test_every_allowed_replacement_is_found(size):
+    """Items of each length under all replacements of words the similarity allows, and of one more."""
+    item = [f"i{k}" for k in range(size)]
+    index = decontaminate.Index([" ".join(item), "other words " * 20])
+    allowed = size - math.ceil(0.8 * size - 1e-9) if size >= 6 else 0
+    for n in range(min(size, allowed + 1) + 1):
+        for gone in combinations(range(size), n):
+            words = ["x", "y", *("z" if k in gone else w for k, w in enumerate(item)), "x"]
+            data, offsets = tx.string_buffers(pa.array([" ".join(words)]))
+            starts, ends, bounds = tx.words(data, offsets)
+            hashes = tx.word_hashes(data, starts, ends)
+            hits = [h for h in index.hits(hashes, bounds).tolist() if index.overlap(hashes, h[1], h[2], 13, 0.8)[0]]
+            assert hits == ([[0, 0, 2]] if n <= allowed else [])
+
+
+@pytest.mark.parametrize("size, replaced", [(1, 0), (5, 1), (6, 1), (12, 2), (13, 3), (3, 2), (20, 4)])
+def test_made_masks_are_lossless(size, replaced):
+    masks = decontaminate.masks_for(size, replaced)
+    assert all(any(not set(mask) & set(gone) for mask in masks) for gone in combinations(range(size), replaced))
+
+
+def test_short_items_and_documents_without_an_id_of_their_own(spark):
+    items = [(1, "one two three four five six"), (2, "alpha beta"), (3, "lone"), (4, "...")]
+    docs = [(None, "x one two THREE four 5 six y"), (None, "nothing here"), (None, "also, Alpha beta"), (7, "clean text"), (7, "a lone word"), (8, "alpha x beta"), (None, None)]
+    df, bench = spark.createDataFrame(docs + docs[:1], "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    got = Counter(map(tuple, decontaminate.find_overlaps(df, bench).collect()))
+    assert got == Counter([(None, 1, 6, 5), (None, 2, 2, 2), (7, 3, 1, 1)])
+    assert Counter(map(tuple, decontaminate.clean_documents(df, bench).collect())) == Counter([docs[1], docs[3], docs[5], docs[6]])
+
+
 def test_benchmark_in_several_blocks_and_empty_tables(spark, monkeypatch):
     items = [(i, " ".join(f"b{i}x{k}" for k in range(15))) for i in range(10)]
     df = spark.createDataFrame([(i, f"pre {t} post") for i, t in items], "doc_id long, text string")
