@@ -11,6 +11,8 @@ length and end, the digests of block and payload.  (Only a gzip member's CRC cov
 header of a record: in an uncompressed archive a changed header value goes unseen.)  After a failed check it searches for the next member
 or version line that passes all checks, goes on there, and reports the bytes between as a
 quarantined gap.
+A member with several records is taken record by record: those that pass their own checks
+stay, also of a member that is cut short or fails its CRC, and the gaps between are reported.
 """
 
 from __future__ import annotations
@@ -111,20 +113,34 @@ class Damaged(Exception):
     """A check of a member or record failed."""
 
 
-def read_member(data: bytes, at: int) -> tuple[bytes, int]:
-    """Content and end of the gzip member that starts at ``at``."""
+def read_member(data: bytes, at: int) -> tuple[bytes, int, str | None]:
+    """Content and end of the gzip member that starts at ``at``, and why it is damaged (then the content up to the damage)."""
     tool, parts, pos = zlib.decompressobj(31), [], at
     view = memoryview(data)
     try:
         while not tool.eof:
             chunk = view[pos:pos + _FEED]
             if not len(chunk):
-                raise Damaged("member cut short")
+                return b"".join(parts), pos, "member cut short"
             parts.append(tool.decompress(chunk))
             pos += len(chunk)
     except zlib.error as e:
-        raise Damaged(f"member: {str(e)[:80]}") from None
-    return b"".join(parts), pos - len(tool.unused_data)
+        return *_before_damage(view, at, pos), f"member: {str(e)[:80]}"
+    return b"".join(parts), pos - len(tool.unused_data), None
+
+
+def _before_damage(view: memoryview, at: int, bad: int) -> tuple[bytes, int]:
+    """Content of a member up to the byte that fails, which lies in the feed from ``bad`` on, and that byte's place: a feed that
+    fails gives nothing, so it is fed again byte by byte."""
+    tool, parts = zlib.decompressobj(31), []
+    for pos in range(at, bad, _FEED):
+        parts.append(tool.decompress(view[pos:pos + _FEED]))
+    for pos in range(bad, min(bad + _FEED, len(view))):
+        try:
+            parts.append(tool.decompress(view[pos:pos + 1]))
+        except zlib.error:
+            return b"".join(parts), pos + 1
+    return b"".join(parts), min(bad + _FEED, len(view))
 
 
 def parse_record(data: bytes, at: int) -> tuple[dict[str, str], bytes, int]:
@@ -170,17 +186,41 @@ def http_payload(block: bytes) -> tuple[int | None, bytes]:
     return None, block[stop + len(_END):]
 
 
-def _take(data: bytes, at: int) -> tuple[list[tuple[dict[str, str], bytes]], int]:
-    """The checked records of the unit at ``at`` (none in an empty member) and its end."""
+def _records(content: bytes) -> Iterator[tuple]:
+    """(start, end, reason or None, header fields, block) of the records of a member's content: those that pass their checks, and
+    the gaps between; after a failed check the next version line is tried."""
+    at, gap, reason = 0, None, ""
+    while at < len(content):
+        try:
+            fields, block, end = parse_record(content, at)
+        except Damaged as e:
+            if gap is None:
+                gap, reason = at, str(e)
+            at = content.find(_VERSION, at + 1)
+            if at < 0:
+                break
+            continue
+        if gap is not None:
+            yield gap, at, reason, {}, b""
+            gap = None
+        yield at, end, None, fields, block
+        at = end
+    if gap is not None:
+        yield gap, len(content), reason, {}, b""
+
+
+def _take(data: bytes, at: int) -> tuple[list[tuple], int, str | None]:
+    """Checked records and inner gaps (as rows of :func:`salvage`) of the unit at ``at`` (none in an empty member), its end, and
+    why it is damaged.  The CRC of a member that holds one record is a check of that record; of a damaged member with several
+    records those that pass their own checks stay."""
     if data[at:at + 3] != _MAGIC:
         fields, block, end = parse_record(data, at)
-        return [(fields, block)], end
-    content, end = read_member(data, at)
-    found, pos = [], 0
-    while pos < len(content):
-        fields, block, pos = parse_record(content, pos)
-        found.append((fields, block))
-    return found, end
+        return [(at, end, None, fields, block)], end, None
+    content, end, damage = read_member(data, at)
+    found = list(_records(content))
+    if damage and sum(reason is None or content.startswith(_VERSION, a) for a, _, reason, *_ in found) < 2:
+        return [], end, damage
+    return [(at, end, reason and f"{reason} (bytes {a} to {b} of the member's content)", fields, block) for a, b, reason, fields, block in found], end, damage
 
 
 def _next_start(data: bytes, at: int) -> int:
@@ -190,22 +230,24 @@ def _next_start(data: bytes, at: int) -> int:
 
 
 def salvage(data: bytes) -> Iterator[tuple]:
-    """(start, end, reason or None, header fields, block): records that pass all checks, and gaps with the first failed check."""
+    """(start, end, reason or None, header fields, block): records that pass all checks, and gaps with the first failed check.
+    Records and gaps inside a gzip member have the member's bytes (up to the damage) as start and end."""
     at, gap, reason = 0, None, ""
     while at < len(data):
         try:
-            found, end = _take(data, at)
+            found, end, damage = _take(data, at)
         except Damaged as e:
-            if gap is None:
-                gap, reason = at, str(e)
-            at = _next_start(data, at + 1)
-            continue
-        if gap is not None:
+            found, end, damage = [], at, str(e)
+        if gap is not None and (found or not damage):
             yield gap, at, reason, {}, b""
             gap = None
-        for fields, block in found:
-            yield at, end, None, fields, block
-        at = end
+        yield from found
+        if damage:
+            if gap is None:
+                gap, reason = at, damage
+            at = _next_start(data, at + 1)
+        else:
+            at = end
     if gap is not None:
         yield gap, len(data), reason, {}, b""
 

@@ -332,6 +332,29 @@ def test_salvage_reports_gaps_with_reasons():
     assert _ids(bytes(crc) + records[1]) == ["<urn:x-page:1>"]
 
 
+def test_salvage_inside_a_member_of_many_records():
+    records = _archive(9, False)
+    every = [f"<urn:x-page:{i}>" for i in range(9)]
+    bad = bytearray(records[4])
+    bad[-9] ^= 1  # in the payload
+    hurt = b"".join(records[:4]) + bytes(bad) + b"".join(records[5:])
+    # The member is whole, one record in it is not.
+    data = warc.gzip_member(hurt) + _archive(1, True)[0]
+    assert _ids(data) == [*every[:4], *every[5:], every[0]]
+    gaps = [(s, e, reason) for s, e, reason, *_ in warc.salvage(data) if reason]
+    assert len(gaps) == 1 and gaps[0][:2] == (0, len(warc.gzip_member(hurt))) and f"bytes {sum(map(len, records[:4]))} to" in gaps[0][2]
+    # The member's CRC is wrong, the member is cut short, a bit of it is flipped: what passes its own checks stays.
+    whole = warc.gzip_member(b"".join(records))
+    crc = whole[:-8] + bytes(4) + whole[-4:]
+    assert _ids(crc + records[0]) == [*every, every[0]] and [r[2] for r in warc.salvage(crc) if r[2]]
+    noise = [warc.build_record(i, None, p := random.Random(i).randbytes(30000), warc.base32_sha1(p), None, False, "1970-01-01T00:00:00Z") for i in range(9)]
+    cut = warc.gzip_member(b"".join(noise))[:150000]
+    assert _ids(cut) == every[:4] and any("cut short" in r[2] for r in warc.salvage(cut) if r[2])
+    flipped = bytearray(warc.gzip_member(b"".join(noise)))
+    flipped[140000] ^= 0x10  # in a stored block: only the digest of one record and the member's CRC see it
+    assert set(every[:4]) <= set(_ids(bytes(flipped))) and any(r[2] for r in warc.salvage(bytes(flipped)))
+
+
 # -------------------------------------------------------------------- URLs
 URLS = [None, "", "no scheme", "http://", "HTTP://WWW.Example.COM/en/x?q#f", "https://example.com/en/", "https://a.b.example.com/en", "https://www.example.com/en/?://x",
         "http://example.net/fr/a", "http://net/es/", "http://xnet/es/", "http://com", "http://com/", "http://a.com?x", "http://a.com#/en/", "http://x.y://z/", "ftp://.com/",
