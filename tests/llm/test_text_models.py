@@ -266,3 +266,26 @@ def test_bands_keep_clean_documents(spark):
     share = {r.quality: r.kept for r in judged.join(labels, "doc_id").groupBy("quality").agg({"kept": "count"}).withColumnRenamed("count(kept)", "kept").collect()}
     kept = {r.quality: r["count"] for r in judged.join(labels, "doc_id").filter("kept").groupBy("quality").count().collect()}
     assert kept[1] >= 0.97 * share[1] and kept.get(0, 0) <= 0.4 * share[0]
+
+
+def _prose(rng, words, letters):
+    return [" ".join("".join(rng.choice(letters) for _ in range(rng.randint(2, 9))) for _ in range(words)) for _ in range(1)][0]
+
+
+def _clean(rng, n, vocabulary):
+    return " ".join(rng.choice(vocabulary) for _ in range(n))
+
+
+def test_text_with_nearly_half_its_blocks_gibberish_is_rejected(spark):
+    rng = random.Random(11)
+    vocabulary = ["".join(rng.choice("aeiou" if k % 2 else "bdlmnrst") for k in range(rng.randint(2, 9))) for _ in range(200)]
+    rows = [(i, _clean(rng, rng.randint(60, 500), vocabulary), "en") for i in range(150)]
+    rows += [(1000 + i, _clean(rng, 28 * n, vocabulary) + " " + _prose(rng, 22 * n, "qxzjkvwfghpcy"), "en") for i, n in enumerate((3, 6, 12))]
+    kept = {r.doc_id: r.kept for r in quality.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert not any(kept[1000 + i] for i in range(3)) and sum(kept[i] for i in range(150)) >= 147
+
+
+def test_bands_reject_low_quality_documents(spark):
+    judged = quality.op8_quality_rules(spark, SF_CHECK).filter("not base_failed").join(spark.read.parquet(f"{SF_CHECK}/labels.parquet"), "doc_id")
+    counts = Counter((r.quality, r.kept) for r in judged.collect())
+    assert counts[0, True] == 0 < counts[0, False] and counts[1, True] >= 0.97 * (counts[1, True] + counts[1, False]), counts
