@@ -285,6 +285,18 @@ def test_text_with_nearly_half_its_blocks_gibberish_is_rejected(spark):
     assert not any(kept[1000 + i] for i in range(3)) and sum(kept[i] for i in range(150)) >= 147
 
 
+def test_small_and_many_languages_are_judged(spark):
+    """A language of a few documents rejects as a large one does, and 40 languages are whole."""
+    rng = random.Random(12)
+    vocabulary = ["".join(rng.choice("aeiou" if k % 2 else "bdlmnrst") for k in range(rng.randint(2, 9))) for _ in range(200)]
+    rows = [(i, _clean(rng, rng.randint(60, 300), vocabulary), f"l{i % 40:02}") for i in range(320)]
+    rows += [(1000 + i, _prose(rng, 120, "qxzjkvwfghpcy"), f"l{i:02}") for i in (0, 39)] + [(2000, None, "none"), (2001, "", None)]
+    got = quality.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()
+    kept = {r.doc_id: r.kept for r in got}
+    assert len(got) == len(rows) and not any(kept[i] for i in (1000, 1039, 2000, 2001))
+    assert sum(kept[i] for i in range(320)) >= 310
+
+
 def test_bands_reject_low_quality_documents(spark):
     judged = quality.op8_quality_rules(spark, SF_CHECK).filter("not base_failed").join(spark.read.parquet(f"{SF_CHECK}/labels.parquet"), "doc_id")
     counts = Counter((r.quality, r.kept) for r in judged.collect())
