@@ -11,8 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import ship_package
-from . import (bpe, centroids, decontaminate, langid, line_dedup, quality, simhash, substring_dedup, suffix_dedup, token_counts,
-               url_filter, warc)
+from . import (bpe, centroids, decontaminate, divergence, langid, line_dedup, quality, simhash, substring_dedup, suffix_dedup,
+               token_counts, url_filter, warc)
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, tuple[QueryFn, str | None]] = {}
@@ -37,5 +37,6 @@ _add(url_filter.op6_url_filter, url_filter.OP6_SQL)
 _add(quality.op8_quality_rules)
 _add(warc.op4_warc_round_trip, warc.OP4_SQL)
 _add(suffix_dedup.op5_suffix_dedup)
+_add(divergence.op11_source_divergence, divergence.OP11_SQL)
 _add(centroids.op12_centroid_clustering, centroids.OP12_SQL)
 _add(token_counts.op13_token_counts)
