@@ -16,8 +16,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .functions import geo, text, timefn
-from .operators import cleaning, dims, holidays, hotspots, metrics, rollups
-from .plans import classify, dashboard, knn
+from .operators import cleaning, dims, holidays, hotspots, metrics, rollups, sketches
+from .plans import classify, dashboard, forest, knn
 from .session import cut_lineage
 from .sources import testdata as td
 
@@ -558,6 +558,17 @@ def q_label_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify.decode(coded.select("id", "hb"), "hb", table, "decoded")
 
 
+@register("frequency_encode", _INC + "," + _ROWS_SQL + f"""
+, codes AS (SELECT hundred_block AS value, row_number() OVER (ORDER BY count(*) DESC, hundred_block) - 1 AS code FROM rows GROUP BY ALL)
+SELECT r.id, CAST(c.code AS INTEGER) AS hundred_block_code FROM rows r JOIN codes c ON c.value = r.hundred_block
+""")
+def q_frequency_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes by falling frequency, numbered by range partitioning and partition offsets."""
+    rows = classify.training_rows(td.incidents(spark, sf_dir), include=None, exclude=KNN_EXCLUDE)
+    table = classify.frequency_table(rows, "hundred_block")
+    return classify.encode(rows.select("id", "hundred_block"), "hundred_block", table).select("id", "hundred_block_code")
+
+
 @register("knn_category", _ML + "\nSELECT id, target, predicted FROM knn")
 def q_knn_category(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _knn_predictions(spark, sf_dir)
@@ -620,10 +631,16 @@ _TRAIN_PERCENT = 80
 SELECT id, target, true AS scored FROM enc WHERE bucket >= {_TRAIN_PERCENT}
 """)
 def q_rf_train_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The forest's test rows; ``scored``: the prediction is one of the
-    categories.  (The trees themselves have no SQL form.)"""
+    """The Spark ML forest's test rows; ``scored``: the prediction is one of the categories, and the forest's node table
+    scored by joins gives the same one.  (The oracle of the predictions themselves is that of ``forest_train_score``, whose
+    forest draws its samples in a way that SQL can repeat.)"""
     trained = classify.train_category_model(_rf_rows(spark, sf_dir), classifier="rf", num_trees=10)
-    return trained.predictions.select("id", "target", F.col("predictedLabel").isin(list(RF_TARGETS)).alias("scored"))
+    nodes = forest.nodes_of(spark, trained.model.stages[3], _scratch(spark, "forest"))
+    features = [*classify.NUMERIC_FEATURES, "indexedNbr", "indexedHb"]
+    rows = trained.predictions.select("id", "target", "predictedLabel", "prediction", *features)
+    both = forest.score(rows, nodes, features, "by_table")
+    known = F.col("predictedLabel").isin(list(RF_TARGETS))
+    return both.select("id", "target", (known & (F.col("by_table") == F.col("prediction"))).alias("scored"))
 
 
 def _frequency_index(column: str) -> str:
@@ -722,6 +739,121 @@ def q_score_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("request_id", "status", F.col("prediction").isin(names).alias("predicted"))
 
 
+FOREST_TREES, FOREST_DEPTH, FOREST_TRIED = 10, 5, 3
+
+
+def _purity(side: str) -> str:
+    a, b, c = (f"CAST({side}{k} AS DOUBLE)" for k in range(3))
+    return f"(({a} * {a} + {b} * {b}) + {c} * {c}) / (({a} + {b}) + {c})"
+
+
+def _forest_level(n: int) -> str:
+    """One level in SQL: class counts by tried feature and value, the best split of every node, and the rows below it."""
+    windows = ("WINDOW g AS (PARTITION BY tree, node, feature), "
+               "u AS (PARTITION BY tree, node, feature ORDER BY value ROWS UNBOUNDED PRECEDING)")
+    sums = ", ".join(f"sum(CASE WHEN y = {k} THEN w ELSE 0 END) AS c{k}" for k in range(3))
+    upto = ", ".join(f"sum(c{k}) OVER u AS l{k}, sum(c{k}) OVER g AS t{k}, sum(c{k}) OVER g - sum(c{k}) OVER u AS r{k}" for k in range(3))
+    down = "CASE WHEN b.feature IS NULL THEN m.node WHEN m.f[b.feature + 1] <= b.threshold THEN 2 * m.node + 1 ELSE 2 * m.node + 2 END"
+    return f"""
+tried{n} AS (
+  SELECT tree, node, feature FROM (SELECT DISTINCT tree, node FROM m{n}) CROSS JOIN (SELECT unnest(range(5)) AS feature)
+  QUALIFY row_number() OVER (PARTITION BY tree, node ORDER BY md5(tree || '/' || node || '/' || feature), feature) <= {FOREST_TRIED}),
+hist{n} AS (
+  SELECT m.tree, m.node, t.feature, m.f[t.feature + 1] AS value, {sums}
+  FROM m{n} m JOIN tried{n} t ON m.tree = t.tree AND m.node = t.node GROUP BY m.tree, m.node, t.feature, m.f[t.feature + 1]),
+side{n} AS (SELECT tree, node, feature, value, {upto} FROM hist{n} {windows}),
+gain{n} AS (SELECT *, {_purity("l")} + {_purity("r")} AS score, {_purity("t")} AS before FROM side{n} WHERE r0 + r1 + r2 > 0),
+b{n} AS MATERIALIZED (
+  SELECT tree, node, feature, value AS threshold FROM gain{n} WHERE score > before * (1 + 1e-12)
+  QUALIFY row_number() OVER (PARTITION BY tree, node ORDER BY score DESC, feature, value) = 1),
+m{n + 1} AS MATERIALIZED (
+  SELECT m.tree, {down} AS node, m.y, m.f, m.w FROM m{n} m LEFT JOIN b{n} b ON m.tree = b.tree AND m.node = b.node)"""
+
+
+def _forest_scored(source: str, key: str) -> str:
+    """Rows of ``source`` (``key``, features ``f``) down all trees; ``said``: the category with most votes."""
+    at = f"(SELECT s.{key}, s.f, t.tree, CAST(0 AS BIGINT) AS node FROM {source} s CROSS JOIN (SELECT unnest(range({FOREST_TREES})) AS tree) t)"
+    for n in range(FOREST_DEPTH):
+        at = (f"(SELECT m.{key}, m.f, m.tree, CASE WHEN b.feature IS NULL THEN m.node WHEN m.f[b.feature + 1] <= b.threshold "
+              f"THEN 2 * m.node + 1 ELSE 2 * m.node + 2 END AS node FROM {at} m LEFT JOIN b{n} b ON m.tree = b.tree AND m.node = b.node)")
+    votes = ", ".join(f"list_reduce(list(CAST(l.c{k} AS DOUBLE) / l.n ORDER BY l.tree), lambda a, b: a + b) AS v{k}" for k in range(3))
+    return f"""
+votes AS (SELECT x.{key}, {votes} FROM {at} x JOIN leaf l ON l.tree = x.tree AND l.node = x.node GROUP BY x.{key}),
+said AS (SELECT v.{key}, tl.v AS said FROM votes v JOIN tl
+         ON tl.i = CASE WHEN v0 >= v1 AND v0 >= v2 THEN 0 WHEN v1 >= v2 THEN 1 ELSE 2 END)"""
+
+
+_DRAW = "(('0x' || substr(md5(c.id || '/' || t.tree), 1, 8))::BIGINT)"
+_FOREST_SQL = _INC + "," + _RF_SQL + f""",
+nl AS ({_frequency_index("neighbourhood")}), bl AS ({_frequency_index("hundred_block")}), tl AS ({_frequency_index("target")}),
+coded AS MATERIALIZED (
+  SELECT e.id, e.target, e.bucket, tl.i AS y,
+         [CAST(e.year AS DOUBLE), CAST(e.month AS DOUBLE), CAST(e.hour AS DOUBLE), CAST(nl.i AS DOUBLE), CAST(bl.i AS DOUBLE)] AS f
+  FROM enc e JOIN nl ON nl.v = e.neighbourhood JOIN bl ON bl.v = e.hundred_block JOIN tl ON tl.v = e.target),
+drawn AS (
+  SELECT t.tree, c.y, c.f, {" + ".join(f"(CASE WHEN {_DRAW} >= {step} THEN 1 ELSE 0 END)" for step in forest.poisson_steps())} AS w
+  FROM coded c CROSS JOIN (SELECT unnest(range({FOREST_TREES})) AS tree) t WHERE c.bucket < {_TRAIN_PERCENT}),
+m0 AS MATERIALIZED (SELECT tree, CAST(0 AS BIGINT) AS node, y, f, sum(w) AS w FROM drawn WHERE w > 0 GROUP BY tree, y, f),
+{",".join(_forest_level(n) for n in range(FOREST_DEPTH))},
+leaf AS MATERIALIZED (
+  SELECT tree, node, sum(CASE WHEN y = 0 THEN w ELSE 0 END) AS c0, sum(CASE WHEN y = 1 THEN w ELSE 0 END) AS c1,
+         sum(CASE WHEN y = 2 THEN w ELSE 0 END) AS c2, CAST(sum(w) AS DOUBLE) AS n FROM m{FOREST_DEPTH} GROUP BY tree, node)"""
+
+
+def _forest(spark: SparkSession, sf_dir: str) -> forest.CategoryForest:
+    return forest.train(_rf_rows(spark, sf_dir), trees=FOREST_TREES, depth=FOREST_DEPTH, train_percent=_TRAIN_PERCENT)
+
+
+@register("forest_train_score", _FOREST_SQL + f""",
+tested AS (SELECT id, target, f FROM coded WHERE bucket >= {_TRAIN_PERCENT}),
+{_forest_scored("tested", "id")}
+SELECT t.id, t.target, s.said AS predicted FROM tested t JOIN said s ON s.id = t.id
+""")
+def q_forest_train_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A forest grown by group-bys on the training rows, and the category it gives every test row."""
+    rows = _rf_rows(spark, sf_dir)
+    tested = rows.filter(classify.split_bucket("id") >= _TRAIN_PERCENT)
+    return forest.predict(_forest(spark, sf_dir), tested).select("id", "target", "predicted")
+
+
+@register("forest_table_score", _FOREST_SQL + ",\n" + " UNION ALL ".join([
+    "split AS (SELECT tree, node, feature, threshold FROM b0",
+    *[f"SELECT tree, node, feature, threshold FROM b{n}" for n in range(1, FOREST_DEPTH)]]) + f"""),
+places AS (SELECT DISTINCT tree, node FROM (SELECT tree, node FROM split UNION ALL SELECT tree, node FROM leaf)),
+held AS ({" UNION ".join(f"SELECT tree, node, sum(CASE WHEN y = 0 THEN w ELSE 0 END) AS c0, sum(CASE WHEN y = 1 THEN w ELSE 0 END) AS c1, "
+                         f"sum(CASE WHEN y = 2 THEN w ELSE 0 END) AS c2 FROM m{n} GROUP BY tree, node" for n in range(FOREST_DEPTH + 1))})
+SELECT CAST(p.tree AS INTEGER) AS tree, p.node, CAST(s.feature AS INTEGER) AS feature, s.threshold, CAST(h.c0 AS BIGINT) AS n0,
+       CAST(h.c1 AS BIGINT) AS n1, CAST(h.c2 AS BIGINT) AS n2
+FROM places p JOIN held h ON h.tree = p.tree AND h.node = p.node LEFT JOIN split s ON s.tree = p.tree AND s.node = p.node
+""")
+def q_forest_table_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The node table of that forest: every split and the class counts of every node."""
+    n = F.col("counts")
+    return _forest(spark, sf_dir).nodes.select("tree", "node", "feature", "threshold", *[n[k].cast("long").alias(f"n{k}") for k in range(3)])
+
+
+@register("forest_requests", _FOREST_SQL + f""",
+req AS (
+  SELECT id AS request_id, year, CASE WHEN CAST(id AS BIGINT) % 61 <> 0 THEN month END AS month, hour,
+         CASE WHEN CAST(id AS BIGINT) % 67 = 0 THEN 'nowhere' WHEN CAST(id AS BIGINT) % 71 <> 0 THEN neighbourhood END AS neighbourhood,
+         CASE WHEN CAST(id AS BIGINT) % 73 = 0 THEN 'no such block' ELSE hundred_block END AS hundred_block FROM incidents),
+asked AS (
+  SELECT r.request_id, CASE WHEN r.month IS NULL OR r.neighbourhood IS NULL THEN 'missing_input'
+                            WHEN nl.i IS NULL OR bl.i IS NULL THEN 'unknown_input' ELSE 'ok' END AS status,
+         [CAST(r.year AS DOUBLE), CAST(r.month AS DOUBLE), CAST(r.hour AS DOUBLE), CAST(nl.i AS DOUBLE), CAST(bl.i AS DOUBLE)] AS f
+  FROM req r LEFT JOIN nl ON nl.v = r.neighbourhood LEFT JOIN bl ON bl.v = r.hundred_block),
+fine AS (SELECT request_id, f FROM asked WHERE status = 'ok'),
+{_forest_scored("fine", "request_id")}
+SELECT a.request_id, a.status, CASE WHEN a.status = 'ok' THEN upper(s.said[1]) || lower(s.said[2:]) ELSE '' END AS prediction
+FROM asked a LEFT JOIN said s ON s.request_id = a.request_id
+""")
+def q_forest_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The forest's tables saved, loaded back, and every incident scored as a request."""
+    path = _scratch(spark, "forest-tables")
+    forest.save(_forest(spark, sf_dir), path)
+    return forest.score_requests(forest.load(spark, path), _requests(spark, sf_dir))
+
+
 # ------------------------------------------------------ row selection, dims
 _NOT_NULL_SQL = _ROWS_SQL[_ROWS_SQL.index("WHERE id IS NOT NULL"):_ROWS_SQL.index("AND type NOT IN")]
 
@@ -821,3 +953,119 @@ def q_stream_rollup_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     query = rollup_stream(spark, f"{root}/in/*", write, checkpoint_location=f"{root}/ckpt", available_now=True)
     query.awaitTermination()
     return spark.read.parquet(out)
+
+
+@register("stream_rollup_merge", _INC + """
+SELECT year, month, hour, type, neighbourhood, count(*) AS count FROM incidents
+GROUP BY year, month, hour, type, neighbourhood
+""")
+def q_stream_rollup_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole incident table dropped in three steps; after each, the micro-batches' counts are merged into the stored rollup."""
+    from .sources import files
+    from .streaming.rollups import rollup_merge_stream, stored_rollup
+    root = _scratch(spark, "merge")
+    inc = td.incidents(spark, sf_dir)
+    early, late = F.col("year") <= 1996, F.col("year") > 1999
+    for step, part in enumerate((early, ~early & ~late, late | F.col("year").isNull())):
+        files.write_parquet(inc.filter(part), f"{root}/in/step-{step}")
+        query = rollup_merge_stream(spark, f"{root}/in/*", f"{root}/out", f"{root}/ckpt", available_now=True)
+        query.awaitTermination()
+    return stored_rollup(spark, f"{root}/out")
+
+
+@register("stream_clean_incidents", CLEAN_SQL)
+def q_stream_clean_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw rows dropped in three steps, the later ones with rows of the earlier ones again; the cleaning job is started
+    anew after each and appends what is new."""
+    from .sources import files
+    from .streaming.cleaning import clean_stream
+    root = _scratch(spark, "clean")
+    raw = td.raw_incidents(spark, sf_dir).withColumn("_step", F.pmod(F.xxhash64("type", "year", "month", "hundred_block", "x"), F.lit(4)))
+    points = cut_lineage(td.point_dim(spark, sf_dir))
+    for step, part in enumerate((F.col("_step") < 2, F.col("_step").between(1, 2), F.col("_step") >= 2)):
+        files.write_parquet(raw.filter(part).drop("_step"), f"{root}/in/step-{step}")
+        clean_stream(spark, f"{root}/in/*", f"{root}/out", f"{root}/ckpt", points, fmt="parquet").awaitTermination()
+    out = files.read_clean_incidents(spark, f"{root}/out")
+    return out.withColumns({"x": _dec6(F.col("x")), "y": _dec6(F.col("y"))})
+
+
+# ----------------------------------------------------------- catalog tables
+def _bucketed(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
+    """The incidents saved as a catalog table bucketed by block, read back by name."""
+    import uuid
+
+    from .sources import tables
+    name = f"incidents_{uuid.uuid4().hex}"
+    tables.save_bucketed(td.incidents(spark, sf_dir), name, buckets=8, path=_scratch(spark, name))
+    return name, tables.read_table(spark, name)
+
+
+@register("bucketed_hot_blocks", REGISTRY["district_year_hot_blocks"][1])
+def q_bucketed_hot_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hot blocks from the bucketed catalog table: the counts per (district, year, block) need no exchange."""
+    _, inc = _bucketed(spark, sf_dir)
+    return hotspots.district_year_hot_blocks(inc, td.district_dim(spark, sf_dir), after_year=HOT_AFTER_YEAR)
+
+
+@register("bucketed_district_counts", REGISTRY["district_year_counts"][1])
+def q_bucketed_district_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts per district and year from the bucketed catalog table."""
+    _, inc = _bucketed(spark, sf_dir)
+    return hotspots.district_year_counts(inc, td.district_dim(spark, sf_dir), TEST_YEARS)
+
+
+@register("bucketed_least_district", REGISTRY["least_district_top_blocks"][1])
+def q_bucketed_least_district(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Top blocks of the least district from the bucketed catalog table."""
+    _, inc = _bucketed(spark, sf_dir)
+    return hotspots.least_district_top_blocks(inc, td.district_dim(spark, sf_dir), TEST_YEARS, exclude=TEST_EXCLUDE)
+
+
+@register("result_table_by_name", _INC + """
+SELECT year, type, count(*) AS count FROM incidents GROUP BY year, type
+""")
+def q_result_table_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A rollup saved as a catalog table and read back by name, in display order."""
+    import uuid
+
+    from .sources import tables
+    name = f"rollup_type_{uuid.uuid4().hex}"
+    tables.save_result(rollups.rollup(td.incidents(spark, sf_dir), "type"), name, path=_scratch(spark, name))
+    return tables.read_table(spark, name, order_by=["year", "type"])
+
+
+# ----------------------------------------------------------------- sketches
+_SKETCHED = ("type", "neighbourhood", "hundred_block", "id")
+
+
+@register("distinct_sketches", _INC + " UNION ALL ".join(
+    f"""SELECT '{c}' AS column_name, count(DISTINCT {c}) AS n_distinct, count({c}) AS non_null, true AS within
+    FROM incidents WHERE year BETWEEN {TEST_YEARS[0]} AND {TEST_YEARS[-1]}""" for c in _SKETCHED))
+def q_distinct_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct-count sketches stored per year, in two steps, and merged for three of the years; beside them the exact counts,
+    and whether these lie within the stated range of the estimate."""
+    inc, path = td.incidents(spark, sf_dir), _scratch(spark, "sketches")
+    late = F.col("year") > TEST_YEARS[1]
+    sketches.save_sketches(inc.filter(~late), _SKETCHED, path)
+    sketches.save_sketches(inc.filter(late), _SKETCHED, path)
+    told = sketches.distinct_estimates(sketches.stored_sketches(spark, path), (TEST_YEARS[0], TEST_YEARS[-1]))
+    exact = rollups.distinct_counts(inc.filter(F.col("year").between(TEST_YEARS[0], TEST_YEARS[-1])), _SKETCHED)
+    exact = exact.unpivot([], [f"n_distinct_{c}" for c in _SKETCHED], "_c", "n_distinct").select(
+        F.substr("_c", F.lit(len("n_distinct_") + 1)).alias("column_name"), "n_distinct")
+    return exact.join(F.broadcast(told), "column_name").select(
+        "column_name", "n_distinct", "non_null", F.col("n_distinct").between(F.col("low"), F.col("high")).alias("within"))
+
+
+TOP_BLOCKS = 20
+
+
+@register("top_blocks", _INC + f"""
+SELECT hundred_block AS value, count(*) AS count FROM incidents GROUP BY hundred_block
+ORDER BY count(*) DESC, hundred_block LIMIT {TOP_BLOCKS}
+""")
+def q_top_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The most frequent blocks: bucket counts of two sets of years merged, then only values of full buckets are counted."""
+    inc = td.incidents(spark, sf_dir)
+    early = F.col("year") <= TEST_YEARS[0]
+    parts = [sketches.bucket_counts(inc.filter(p), "hundred_block") for p in (early, ~early)]
+    return sketches.top_values(inc, "hundred_block", TOP_BLOCKS, counts=sketches.merged_counts(parts))

@@ -42,9 +42,18 @@ def clean_incidents(raw: DataFrame, points: DataFrame | None, coordinate_filter:
     * an impossible date/time gives a null ``timestamp``;
     * ``id`` = SHA-256 of the raw record (unique after duplicate removal,
       stable under recomputation)."""
+    return shaped(identified(raw.select(*RAW_COLUMNS).dropna(how="any").distinct()), points, coordinate_filter, zone, northern, bounded_points)
+
+
+def identified(raw: DataFrame) -> DataFrame:
+    """Raw columns and the ``id`` of each row (equal rows have equal ids)."""
     types = {f.name: f.dataType for f in raw.schema.fields}
-    df = raw.select(*RAW_COLUMNS).dropna(how="any").distinct()
-    df = df.withColumn("id", row_id([(c, types[c]) for c in RAW_COLUMNS]))
+    return raw.select(*RAW_COLUMNS).withColumn("id", row_id([(c, types[c]) for c in RAW_COLUMNS]))
+
+
+def shaped(df: DataFrame, points: DataFrame | None, coordinate_filter: str = "loose", zone: int = 10, northern: bool = True,
+           bounded_points: bool = False) -> DataFrame:
+    """The row-wise steps: complete, distinct, :func:`identified` raw rows -> the clean table."""
     df = df.withColumns({c: F.lower(F.col(c)) for c in ("type", "hundred_block", "neighbourhood")})
     df = df.filter(has_point("x", "y", strict=coordinate_filter == "strict"))
     lat, lon = utm_to_latlon("x", "y", zone=zone, northern=northern)

@@ -204,10 +204,31 @@ def label_tables(df: DataFrame, cols: Sequence[str]) -> dict[str, DataFrame]:
     checkpointed; a code is the value's place in its partition plus the sizes
     of the partitions before it (one row per partition).  No list of values
     reaches the driver."""
+    return _numbered(_long(df, cols).distinct(), cols, ["value"])
+
+
+def frequency_table(df: DataFrame, col: str) -> DataFrame:
+    """``(value, code int)``: codes 0..n-1 of a column's distinct non-null values, the most frequent first, equally frequent
+    ones by value - the codes a string indexer gives, without a list of values on the driver."""
+    return frequency_tables(df, [col])[col]
+
+
+def frequency_tables(df: DataFrame, cols: Sequence[str]) -> dict[str, DataFrame]:
+    """:func:`frequency_table` for several columns from one pass over ``df``."""
+    counts = _long(df, cols).groupBy("col", "value").agg(F.count(F.lit(1)).alias("n"))
+    return _numbered(counts, cols, [F.desc("n"), F.asc("value")])
+
+
+def _long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """``(col, value)`` per row and non-null column; ``col`` is the column's place in ``cols``."""
     long = df.select(F.explode(F.array(*[
         F.struct(F.lit(i).alias("col"), F.col(c).cast("string").alias("value")) for i, c in enumerate(cols)])).alias("v"))
-    values = long.select("v.col", "v.value").filter(F.col("value").isNotNull()).distinct()
-    ordered = cut_lineage(values.repartitionByRange("col", "value").sortWithinPartitions("col", "value"))
+    return long.select("v.col", "v.value").filter(F.col("value").isNotNull())
+
+
+def _numbered(values: DataFrame, cols: Sequence[str], order: Sequence[str | Column]) -> dict[str, DataFrame]:
+    """Code tables of distinct values, numbered per column in ``order``."""
+    ordered = cut_lineage(values.repartitionByRange("col", *order).sortWithinPartitions("col", *order))
     placed = ordered.select("col", "value", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("row"))
     sizes = placed.groupBy("col", "part").agg(F.count(F.lit(1)).alias("size"), F.min("row").alias("first"))
     before = F.coalesce(F.sum("size").over(Window.partitionBy("col").orderBy("part").rowsBetween(

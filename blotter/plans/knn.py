@@ -1,29 +1,21 @@
-"""Exact k-nearest-neighbour classification as Spark joins.
-
-No pair enumeration: training rows are first collapsed to distinct
-``(features, label)`` vectors with a weight (partial aggregate), query rows
-to distinct feature vectors.  Space is cut into cubic grid cells of width
-``w``; each query vector is joined only with the training vectors of its
-own and the 3^d - 1 surrounding cells (equi-join on the cell key), so the
-work per query is bounded by the population of 3^d cells - never by the
-table size, and a cell holds at most ``w^d`` distinct integer vectors per
-label however many rows repeat them.
-
-Exactness: every training vector closer to the query than the nearest face
-of its 3^d block of cells (the guaranteed radius, at least ``w``) lies in
-those cells; neighbour cells whose nearest point is already at or beyond
-that radius are not probed.  A query is settled when its k-th nearest
-found row is inside the radius (strictly, where an unprobed vector could
-sit exactly on it); any vector not found is farther, so the answer (ties
-included) is exact.  Unsettled queries (sparse regions) go to the next
-round with cells ``growth`` times wider; once ``w`` exceeds the data span,
-3^d cells cover everything and all remaining queries settle.  Rounds are
-separated by checkpoints in the shared checkpoint folder.
-
-Order and votes: neighbours are ordered by squared distance, then by the
-training vector and label (a total order); a vector of weight ``n`` counts
-as ``n`` rows and the k-th row may take part of its weight.  The predicted
-label has the most votes; ties go to the smallest label.
+"""Exact k-nearest-neighbour classification as Spark joins over a pyramid of occupied cells.
+
+No pair enumeration: training rows are first collapsed to distinct ``(features, label)`` vectors with a weight (partial
+aggregate), query rows to distinct feature vectors.  Space is cut into cubic cells on several levels, each twice as wide as the
+one before; the pyramid holds, per level, the cells with at least ``k`` rows and their counts, and is built once.
+
+A query finds the narrowest level on which its own cell holds ``k`` rows (one equi-join).  That gives two radii: the corner
+of the cell farthest away, within which ``k`` rows lie for certain, and an estimate from the cell's density, at which the search begins.
+A round gives each query the narrowest level whose cells are at least as wide as its radius, and joins it with the training
+vectors of its own and the neighbouring cells that the radius reaches (whole-number features on the lowest level: with the lattice points
+within the radius).  A query is settled when its k-th nearest row lies within the radius - everything that near was seen, ties included - or
+when the cells covered all data.  Otherwise the distance of the k-th row found is its next radius, which settles it; with fewer than ``k``
+rows found the radius grows by what the count says is missing, up to the certain one.  So a query in a sparse region starts on a
+wide level and probes no empty cells on the way.  Rounds are separated by checkpoints in the shared checkpoint folder.
+
+Order and votes: neighbours are ordered by squared distance, then by the training vector and label (a total order); a vector of
+weight ``n`` counts as ``n`` rows and the k-th row may take part of its weight.  The predicted label has the most votes; ties go to
+the smallest label.
 """
 
 from __future__ import annotations
@@ -42,14 +34,39 @@ from ..session import cut_lineage
 # Low-dimensional features only (the category model uses five): the probe
 # set grows as 3^d.
 MAX_DIMS = 8
+#: Rows that the first radius is expected to hold, as a multiple of k.
+AIM = 1.3
+#: Lattice points that a query may probe on the lowest level.
+MOST_POINTS = 1500
+#: Room for rounding in the distance of a cell, as a share of its width.
+ROOM = 1e-9
+INFINITE = float("inf")
+
+
+def _ball(dims: int, most: int) -> list[tuple[int, ...]]:
+    """Whole-number offsets by their squared length, shell by shell, as long as there are at most ``most``."""
+    out: list[tuple[int, ...]] = [(0,) * dims]
+    for squared in itertools.count(1):
+        reach = math.isqrt(squared)
+        shell: list[tuple[int, ...]] = [()]
+        for _ in range(dims):
+            shell = [s + (o,) for s in shell for o in range(-reach, reach + 1) if sum(x * x for x in s) + o * o <= squared]
+        shell = [s for s in shell if sum(x * x for x in s) == squared]
+        if len(out) + len(shell) > max(most, 2 * dims + 1):
+            return out
+        out += shell
+
+
+def _literal(offsets: Sequence[Sequence[int]]) -> Column:
+    return F.array(*[F.array(*[F.lit(o) for o in offset]) for offset in offsets])
 
 
 def knn_vectors(train: DataFrame, queries: DataFrame, features: Sequence[str], label: str, k: int = 25,
-                cell: float | None = None, growth: float = 1.5) -> DataFrame:
+                cell: float | None = None) -> DataFrame:
     """Prediction per distinct query feature vector: ``(features..., prediction)``.
 
-    ``cell`` is the starting cell width (default: from the data density);
-    it changes the work, never the answer."""
+    ``cell`` is the width of the lowest level (default: from the data
+    density); it changes the work, never the answer."""
     features = list(features)
     d = len(features)
     if d > MAX_DIMS:
@@ -57,157 +74,174 @@ def knn_vectors(train: DataFrame, queries: DataFrame, features: Sequence[str], l
     qf = [f"q_{f}" for f in features]
     tw = train.select(*features, label).dropna().groupBy(*features, label).agg(F.count(F.lit(1)).alias("_w"))
     tw = cached = tw.persist(StorageLevel.MEMORY_AND_DISK)
-    pending = (queries.select(*[F.col(f).alias(q) for f, q in zip(features, qf)]).dropna().distinct()
-               .withColumn("_qid", F.monotonically_increasing_id()))
-    pending = cut_lineage(pending)
-
-    # Per-dimension data range over training and query vectors (one row).
-    both = tw.select(*features).unionByName(pending.select(*[F.col(q).alias(f) for f, q in zip(features, qf)]))
-    agg = both.agg(*[F.min(f).alias(f"lo{i}") for i, f in enumerate(features)],
-                   *[F.max(f).alias(f"hi{i}") for i, f in enumerate(features)]).first()
-    if agg is None or agg["lo0"] is None:
+    asked = queries.select(*[F.col(f).alias(q) for f, q in zip(features, qf)]).dropna().distinct()
+    asked = cut_lineage(asked.withColumn("_qid", F.monotonically_increasing_id()))
+
+    # One row of facts: ranges over training and query vectors, whole numbers or not, total weight, label range.
+    integral_label = dict(tw.dtypes)[label] in ("int", "bigint", "smallint", "tinyint")
+    code = F.col(label).cast("bigint") if integral_label else F.lit(None).cast("bigint")
+    both = tw.select(*features, "_w", code.alias("_l")).unionByName(
+        asked.select(*[F.col(q).alias(f) for f, q in zip(features, qf)], F.lit(0).cast("bigint").alias("_w"), F.lit(None).cast("bigint").alias("_l")))
+    facts = both.agg(F.sum("_w").alias("total"), F.min("_l").alias("llo"), F.max("_l").alias("lhi"),
+                     *[F.min(f).alias(f"lo{i}") for i, f in enumerate(features)], *[F.max(f).alias(f"hi{i}") for i, f in enumerate(features)],
+                     *[F.max(F.abs(F.col(f) - F.floor(F.col(f)))).alias(f"frac{i}") for i, f in enumerate(features)]).first()
+    if facts["lo0"] is None or not facts["total"]:
         cached.unpersist()
-        return pending.limit(0).select(*[F.col(q).alias(f) for f, q in zip(features, qf)],
-                                       F.lit(None).cast("int").alias("prediction"))
-    lo = [float(agg[f"lo{i}"]) for i in range(d)]
-    hi = [float(agg[f"hi{i}"]) for i in range(d)]
+        return asked.select(*[F.col(q).alias(f) for f, q in zip(features, qf)], F.lit(None).cast("int").alias("prediction"))
+    lo = [float(facts[f"lo{i}"]) for i in range(d)]
+    hi = [float(facts[f"hi{i}"]) for i in range(d)]
     span = [h - lw for lw, h in zip(lo, hi)]
-    inf = F.lit(float("inf"))
+    integral = all((facts[f"frac{i}"] or 0) == 0 for i in range(d))
+    total = float(facts["total"])
 
     # Tie order (training vector, then label) as one long when the vectors
     # and labels are small integers: candidate rows then carry four narrow
     # columns into the sort instead of every feature.
     tie_cols = [F.col(f) for f in features] + [F.col(label)]
-    packed_tie = None
-    integral_label = dict(tw.dtypes)[label] in ("int", "bigint", "smallint", "tinyint")
-    checks = [F.sum("_w").alias("total")]
-    checks += [F.max(F.abs(F.col(f) - F.floor(F.col(f)))).alias(f"frac{i}") for i, f in enumerate(features)]
-    if integral_label:
-        checks += [F.min(label).alias("llo"), F.max(label).alias("lhi")]
-    chk = tw.agg(*checks).first()
-    integral = [(chk[f"frac{i}"] or 0) == 0 for i in range(d)]
-    if integral_label:
-        if all(integral):
-            radix = [int(h - lw) + 1 for lw, h in zip(lo, hi)] + [int(chk["lhi"]) - int(chk["llo"]) + 1]
-            if math.prod(radix) < 2 ** 62:
-                packed_tie = F.lit(0).cast("bigint")
-                for c, base, r in zip(tie_cols, lo + [float(chk["llo"])], radix):
-                    packed_tie = packed_tie * F.lit(r) + (c - F.lit(int(base))).cast("bigint")
-    if packed_tie is not None:
-        tw = tw.withColumn("_tie", packed_tie)
-        order = [F.col("_d2"), F.col("_tie")]
-    else:
-        order = [F.col("_d2")] + tie_cols
-    w_rank = Window.partitionBy("_qid").orderBy(*order)
-    w_cum = w_rank.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    order = [F.col("_d2"), *tie_cols]
+    packed_tie = False
+    if integral_label and integral:
+        radix = [int(s) + 1 for s in span] + [int(facts["lhi"]) - int(facts["llo"]) + 1]
+        if packed_tie := math.prod(radix) < 2 ** 62:
+            tie = F.lit(0).cast("bigint")
+            for c, base, r in zip(tie_cols, [*lo, float(facts["llo"])], radix):
+                tie = tie * F.lit(r) + (c - F.lit(int(base))).cast("bigint")
+            tw = tw.withColumn("_tie", tie)
+            order = [F.col("_d2"), F.col("_tie")]
+    by_query = Window.partitionBy("_qid").orderBy(*order)
+    upto = by_query.rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
+    # Levels: from about a quarter of the side of a cube that holds k rows at the mean density, to one cell for everything.
+    step = 1.0 if integral else 0.0
+    wide = [s + step for s in span if s > 0]
     if cell is None:
-        # Start where a cell block is expected to hold about k rows: side of a
-        # cube holding k rows at the mean density over the occupied ranges.
-        # (Whole numbers occupy unit steps; other features have no least step,
-        # whatever their unit.)
-        total = float(chk["total"] or 0.0)
-        step = [1.0 if integral[i] else 0.0 for i in range(d)]
-        occupied = [s_ + step[i] for i, s_ in enumerate(span) if s_ > 0]
-        volume = math.prod(occupied) if occupied else 1.0
-        side = (k * volume / max(total, 1.0)) ** (1.0 / max(len(occupied), 1))
-        cell = max(0.75 * side, max(1.0 if all(integral) else 0.0, max(span) * 1e-9)) or 1.0
+        side = (k * math.prod(wide) / total) ** (1.0 / max(len(wide), 1)) if wide else 1.0
+        cell = max(2.0 ** math.floor(math.log2(max(side / 4, 1e-300))), 1.0 if integral else max([*span, 1.0]) * 1e-9)
+    widths = [float(cell)]
+    while widths[-1] <= max(span):
+        widths.append(widths[-1] * 2)
+    top = len(widths) - 1
+    # In a cell of whole width and whole numbers, nothing lies within the last unit.
+    tail = 1.0 if integral and widths[0] == int(widths[0]) else 0.0
+    lattice = tail == 1.0 and widths[0] == 1.0
+    active = [i for i in range(d) if span[i] >= widths[0]]
+    n_cells = [int(span[i] // widths[0]) + 1 for i in range(d)]
+    radix = [n + 2 for n in n_cells]
+    packed = math.prod(radix) < 2 ** 62
+
+    def base_cell(name: str, i: int) -> Column:
+        return F.floor((F.col(name) - F.lit(lo[i])) / F.lit(widths[0])).cast("bigint")
+
+    def key(cells: list[Column]) -> Column:
+        """Collision-free key of a cell within its level."""
+        if not packed:
+            return F.array(*cells)
+        out, mult = F.lit(0).cast("bigint"), 1
+        for c, r in zip(cells, radix):
+            out, mult = out + (c + 1) * F.lit(mult), mult * r
+        return out
+
+    def on_level(names: Sequence[str], level: str) -> list[Column]:
+        """Cell numbers on the level in column ``level``, from those on the lowest."""
+        return [F.expr(f"shiftright({n}, {level})") for n in names]
+
+    def width_of(level: str) -> Column:
+        return F.element_at(F.array(*[F.lit(w) for w in widths]), F.col(level) + 1)
+
+    b = [f"_b{i}" for i in range(d)]
+    every = F.explode(F.array(*[F.lit(n) for n in range(top + 1)]))
+    tw = tw.withColumns({b[i]: base_cell(f, i) for i, f in enumerate(features)})
+    asked = asked.withColumns({b[i]: base_cell(q, i) for i, q in enumerate(qf)})
+
+    # The pyramid: cells with k rows or more, and each query's narrowest one.
+    cells = tw.groupBy(*b).agg(F.sum("_w").alias("_n")).withColumn("_level", every)
+    cells = (cells.select("_level", key(on_level(b, "_level")).alias("_key"), "_n").groupBy("_level", "_key").agg(F.sum("_n").alias("_n"))
+             .filter(F.col("_n") >= k))
+    own = asked.select("_qid", *b, every.alias("_level")).select("_qid", "_level", key(on_level(b, "_level")).alias("_key"))
+    narrowest = own.join(cells, ["_level", "_key"]).groupBy("_qid").agg(F.min(F.struct("_level", "_n")).alias("_m"))
+    start = asked.join(narrowest.select("_qid", F.col("_m._level").alias("_m"), "_m._n"), "_qid", "left")
+    w = width_of("_m")
+    corner, volume = F.lit(0.0), F.lit(1.0)
+    for i, q in enumerate(qf):
+        low = F.lit(lo[i]) + on_level([b[i]], "_m")[0] * w
+        far = F.greatest(F.col(q) - low, low + w - F.lit(tail) - F.col(q))
+        corner = corner + far * far
+        if span[i] > 0:
+            volume = volume * F.least(w, F.lit(span[i] + step))
+    dims = max(len(wide), 1)
+    unit = math.pi ** (dims / 2) / math.gamma(dims / 2 + 1)
+    guess = F.pow(F.lit(AIM * k / unit) * volume / F.col("_n"), F.lit(2.0 / dims))
+    never = F.col("_m").isNull()  # fewer than k rows in all
+    pending = cut_lineage(start.withColumns({
+        "_most": F.when(never, INFINITE).otherwise(corner * (1 + ROOM)),
+        "_r2": F.when(never, INFINITE).otherwise(F.least(guess, corner * (1 + ROOM)))}).drop("_m", "_n"))
+
+    ball = _ball(len(active), MOST_POINTS) if lattice and active else []
+    lengths = [sum(o * o for o in offset) for offset in ball]
+    shells = [sum(n <= s for n in lengths) for s in range(lengths[-1] + 1)] if ball else []
+    block = list(itertools.product((-1, 0, 1), repeat=len(active)))
+
     results: list[DataFrame] = []
-    width = float(cell)
     while True:
-        # A dimension whose whole range fits in one cell has a single cell
-        # (index 0): no neighbours to probe and no face to worry about.
-        active = [i for i in range(d) if span[i] >= width]
-        n_cells = [int(span[i] // width) + 1 for i in range(d)]
-
-        def cell_of(c: Column, i: int) -> Column:
-            return F.floor((c - F.lit(lo[i])) / F.lit(width)).cast("bigint")
-
-        # Collision-free packed cell key (cell index + 1 in mixed radix).
-        radix = [n + 2 for n in n_cells]
-        packed = math.prod(radix) < 2 ** 62
-
-        def key(cells: list[Column]) -> Column:
-            if not packed:
-                return F.array(*cells)
-            out, mult = F.lit(0).cast("bigint"), 1
-            for i, c in enumerate(cells):
-                out = out + (c + 1) * F.lit(mult)
-                mult *= radix[i]
-            return out
-
-        tcells = tw.withColumn("_key", key([cell_of(F.col(f), i) for i, f in enumerate(features)]))
-        # Guaranteed radii: distance from the query to the nearest lower and
-        # upper face of its 3^d block of cells, counting only faces with data
-        # beyond them (both >= width).  A vector outside the block lies
-        # strictly beyond a lower face or at or beyond an upper face.
-        low_faces, high_faces = [], []
-        for i in active:
-            c = cell_of(F.col(qf[i]), i)
-            low_face = F.lit(lo[i]) + (c - 1) * F.lit(width)
-            high_face = F.lit(lo[i]) + (c + 2) * F.lit(width)
-            low_faces.append(F.when(c - 1 < 0, inf).otherwise(F.col(qf[i]) - low_face))
-            high_faces.append(F.when(high_face > F.lit(hi[i]), inf).otherwise(high_face - F.col(qf[i])))
-
-        def least(cols: list[Column]) -> Column:
-            return inf if not cols else (cols[0] if len(cols) == 1 else F.least(*cols))
-        r_lo, r_hi = least(low_faces), least(high_faces)
-        probes = pending.select("_qid", *qf, *[cell_of(F.col(q), i).alias(f"_c{i}") for i, q in enumerate(qf)],
-                                F.least(r_lo, r_hi).alias("_r"))
+        # The narrowest level on which the neighbouring cells hold all that the radius reaches.
+        level = F.lit(top)
+        for n in range(top - 1, 0, -1):
+            level = F.when(F.lit(widths[n] ** 2) >= F.col("_r2"), n).otherwise(level)
+        level = F.when(F.col("_r2") < F.lit(len(shells) if lattice else widths[0] ** 2), 0).otherwise(level)
+        pending = pending.withColumn("_level", level)
+        used = [r["_level"] for r in pending.select("_level").distinct().collect()]  # at most one per level
+        probes = pending.withColumn("_width", width_of("_level")).withColumns(
+            {f"_c{i}": c for i, c in enumerate(on_level(b, "_level"))})
         if active:
-            offs = list(itertools.product((-1, 0, 1), repeat=len(active)))
-            off_arr = F.array(*[F.array(*[F.lit(o) for o in off]) for off in offs])
-            probes = probes.withColumn("_off", F.explode(off_arr))
-            shifted = {i: F.col(f"_c{i}") + F.col("_off")[j] for j, i in enumerate(active)}
-            # Lower bound of the distance from the query to any point of a
-            # neighbour cell; a cell beyond the guaranteed radius cannot hold
-            # one of the k nearest (nor a tie) of a query that settles now.
-            gaps = []
+            around = _literal(block)
+            if lattice:
+                reached = F.element_at(F.array(*[F.lit(n) for n in shells]), F.floor(F.least(F.col("_r2"), F.lit(float(len(shells) - 1)))).cast("int") + 1)
+                points = F.slice(_literal(ball), F.lit(1), reached)
+                around = points if used == [0] else F.when(F.col("_level") == 0, points).otherwise(around)
+            probes = probes.withColumn("_off", F.explode(around))
+            gaps = F.lit(0.0)
+            inside = F.lit(True)
             for j, i in enumerate(active):
-                cell_lo = F.lit(lo[i]) + F.col(f"_c{i}") * F.lit(width)
-                o = F.col("_off")[j]
-                gap = (F.when(o < 0, F.col(qf[i]) - cell_lo)
-                       .when(o > 0, cell_lo + F.lit(width) - F.col(qf[i])).otherwise(F.lit(0.0)))
-                gaps.append(gap * gap)
-            lb2 = sum(gaps[1:], gaps[0])
-            probes = probes.filter((F.col("_r") == inf) | (lb2 <= F.col("_r") * F.col("_r")))
+                o, c, q = F.col("_off")[j], F.col(f"_c{i}"), F.col(qf[i])
+                inside = inside & (c + o >= 0) & (c + o <= F.floor(F.lit(span[i]) / F.col("_width")))
+                edge = F.lit(lo[i]) + (c + o) * F.col("_width")
+                gap = F.when(o < 0, q - (edge + F.col("_width") - F.lit(tail))).when(o > 0, edge - q).otherwise(F.lit(0.0))
+                gap = F.greatest(F.lit(0.0), gap - F.col("_width") * F.lit(ROOM) - F.lit(ROOM * 1e-3 * max(abs(lo[i]), abs(hi[i]))))
+                gaps = gaps + gap * gap
+            probes = probes.filter(inside & (gaps <= F.col("_r2")))
+            shifted = {i: F.col(f"_c{i}") + F.col("_off")[j] for j, i in enumerate(active)}
         else:
             shifted = {}
-        probes = probes.select("_qid", *qf, key([shifted.get(i, F.col(f"_c{i}")) for i in range(d)]).alias("_key"))
-        cand = probes.join(tcells, "_key").drop("_key")
+        probes = probes.select("_qid", *qf, "_level", key([shifted.get(i, F.col(f"_c{i}")) for i in range(d)]).alias("_key"))
+        stored = tw.withColumn("_level", F.explode(F.array(*[F.lit(n) for n in sorted(used)])) if used else F.lit(0))
+        stored = stored.withColumn("_key", key(on_level(b, "_level"))).drop(*b)
+        cand = probes.join(stored, ["_level", "_key"])
         # Doubles before the product: squares of integer differences overflow.
         gap = [F.col(q).cast("double") - F.col(f).cast("double") for f, q in zip(features, qf)]
         cand = cand.withColumn("_d2", sum((g * g for g in gap), F.lit(0.0)))
-        if packed_tie is not None:
-            cand = cand.select("_qid", "_d2", "_tie", label, "_w")
+        cand = cand.select("_qid", "_d2", *(["_tie"] if packed_tie else features), label, "_w")
         # row_number <= k: Spark limits each group per map task before the
         # shuffle (WindowGroupLimit); weights >= 1 so k rows always reach
         # weight k.
-        near = (cand.withColumn("_rn", F.row_number().over(w_rank)).filter(F.col("_rn") <= k)
-                .withColumn("_cum", F.sum("_w").over(w_cum))
+        near = (cand.withColumn("_rn", F.row_number().over(by_query)).filter(F.col("_rn") <= k)
+                .withColumn("_cum", F.sum("_w").over(upto))
                 .withColumn("_take", F.greatest(F.lit(0), F.least(F.col("_w"), F.lit(k) - (F.col("_cum") - F.col("_w")))))
                 .persist(StorageLevel.MEMORY_AND_DISK))
-        stats = near.groupBy("_qid").agg(F.min(F.when(F.col("_cum") >= k, F.col("_d2"))).alias("_kth"))
-        qstats = pending.select("_qid", r_lo.alias("_rlo"), r_hi.alias("_rhi")).join(stats, "_qid", "left")
-        covered = (F.col("_rlo") == inf) & (F.col("_rhi") == inf)
-        inside = (F.col("_kth") <= F.col("_rlo") * F.col("_rlo")) & (F.col("_kth") < F.col("_rhi") * F.col("_rhi"))
-        settled = qstats.filter(covered | inside)
+        stats = near.groupBy("_qid").agg(F.min(F.when(F.col("_cum") >= k, F.col("_d2"))).alias("_kth"), F.max("_cum").alias("_found"))
+        known = pending.join(stats, "_qid", "left")
+        settled = F.coalesce(F.col("_kth") <= F.col("_r2"), F.lit(False)) | (F.col("_level") == top)
         votes = near.filter(F.col("_take") > 0).groupBy("_qid", label).agg(F.sum("_take").alias("_votes"))
-        best = top_k(votes, ["_qid"], [F.desc("_votes"), F.asc(label)], k=1)
-        done = cut_lineage(settled.select("_qid").join(best, "_qid", "left")
-                           .select("_qid", F.col(label).alias("prediction")))
-        results.append(pending.join(done, "_qid").select(*qf, "prediction"))
-        if not active:
-            near.unpersist()
-            break
-        pending = cut_lineage(pending.join(done.select("_qid"), "_qid", "left_anti"))
+        best = top_k(votes, ["_qid"], [F.desc("_votes"), F.asc(label)], k=1).select("_qid", F.col(label).alias("prediction"))
+        known = cut_lineage(known.withColumn("_settled", settled).join(best, "_qid", "left"))
         near.unpersist()
+        results.append(known.filter("_settled").select(*qf, "prediction"))
+        # The k-th row found bounds the k-th distance; without one, the radius that the rows found so far call for.
+        missing = F.pow(F.lit(AIM * k) / F.greatest(F.coalesce(F.col("_found"), F.lit(0)), F.lit(1)), F.lit(2.0 / dims))
+        grown = F.least(F.col("_r2") * F.greatest(F.lit(1.5), missing) + F.lit(tail), F.col("_most"))
+        pending = (known.filter(~F.col("_settled")).withColumn("_r2", F.coalesce("_kth", grown))
+                   .drop("_kth", "_found", "_settled", "prediction", "_level"))
         if pending.isEmpty():
             break
-        # Queries that are still open lie in sparse regions: widen faster from
-        # round to round instead of probing the same empty cells again.
-        width *= growth
-        growth = min(growth * 1.25, 4.0)
     cached.unpersist()
     out = results[0]
     for part in results[1:]:
@@ -216,8 +250,8 @@ def knn_vectors(train: DataFrame, queries: DataFrame, features: Sequence[str], l
 
 
 def knn_predict(train: DataFrame, test: DataFrame, features: Sequence[str], label: str, k: int = 25,
-                cell: float | None = None, growth: float = 1.5) -> DataFrame:
+                cell: float | None = None) -> DataFrame:
     """``test`` rows with a ``prediction`` column (null if a feature is null
     or the training set is empty)."""
-    preds = knn_vectors(train, test, features, label, k, cell, growth)
+    preds = knn_vectors(train, test, features, label, k, cell)
     return test.join(preds, list(features), "left")
