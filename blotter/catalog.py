@@ -559,7 +559,7 @@ def q_label_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("frequency_encode", _INC + "," + _ROWS_SQL + f"""
-, codes AS (SELECT hundred_block AS value, row_number() OVER (ORDER BY count(*) DESC, hundred_block) - 1 AS code FROM rows GROUP BY ALL)
+, codes AS (SELECT hundred_block AS value, row_number() OVER (ORDER BY count(*) DESC, hundred_block) - 1 AS code FROM rows GROUP BY hundred_block)
 SELECT r.id, CAST(c.code AS INTEGER) AS hundred_block_code FROM rows r JOIN codes c ON c.value = r.hundred_block
 """)
 def q_frequency_encode(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,11 +6,10 @@ one before; the pyramid holds, per level, the cells with at least ``k`` rows and
 
 A query finds the narrowest level on which its own cell holds ``k`` rows (one equi-join).  That gives two radii: the corner
 of the cell farthest away, within which ``k`` rows lie for certain, and an estimate from the cell's density, at which the search begins.
-A round gives each query the narrowest level whose cells are at least as wide as its radius, and joins it with the training
-vectors of its own and the neighbouring cells that the radius reaches (whole-number features on the lowest level: with the lattice points
-within the radius).  A query is settled when its k-th nearest row lies within the radius - everything that near was seen, ties included - or
+A round gives each query the narrowest level on which its radius reaches a bounded number of cells, and joins it with the training
+vectors of those cells (whole-number features on the lowest level: the lattice points within the radius).  A query is settled when its k-th nearest row lies within the radius - everything that near was seen, ties included - or
 when the cells covered all data.  Otherwise the distance of the k-th row found is its next radius, which settles it; with fewer than ``k``
-rows found the radius grows by what the count says is missing, up to the certain one.  So a query in a sparse region starts on a
+rows found the radius grows once by what the count says is missing, then to the certain one: three rounds at most.  So a query in a sparse region starts on a
 wide level and probes no empty cells on the way.  Rounds are separated by checkpoints in the shared checkpoint folder.
 
 Order and votes: neighbours are ordered by squared distance, then by the training vector and label (a total order); a vector of
@@ -20,12 +19,12 @@ the smallest label.
 
 from __future__ import annotations
 
-import itertools
 import math
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators.topk import top_k
@@ -36,29 +35,45 @@ from ..session import cut_lineage
 MAX_DIMS = 8
 #: Rows that the first radius is expected to hold, as a multiple of k.
 AIM = 1.3
-#: Lattice points that a query may probe on the lowest level.
-MOST_POINTS = 1500
+#: Cells that a query may probe, if the neighbouring ones are not more.
+MOST_CELLS = 350
 #: Room for rounding in the distance of a cell, as a share of its width.
 ROOM = 1e-9
 INFINITE = float("inf")
 
 
-def _ball(dims: int, most: int) -> list[tuple[int, ...]]:
-    """Whole-number offsets by their squared length, shell by shell, as long as there are at most ``most``."""
-    out: list[tuple[int, ...]] = [(0,) * dims]
-    for squared in itertools.count(1):
-        reach = math.isqrt(squared)
-        shell: list[tuple[int, ...]] = [()]
+def _reach(width: float, tail: float, dims: int, most: int) -> tuple[list[tuple[float, ...]], float]:
+    """Offsets of cells, each with the square of its least distance from any place in the middle cell, nearest first, and the
+    square of a radius below which the list is complete: as far as it has at most ``most`` offsets, and at least the
+    neighbouring cells."""
+    gaps = [0.0, *((n * width + tail) ** 2 for n in range(most))]  # by the size of the offset along one axis
+    bound = dims * gaps[1] + gaps[2]
+    while True:
+        found: list[tuple[float, ...]] = [(0.0,)]
         for _ in range(dims):
-            shell = [s + (o,) for s in shell for o in range(-reach, reach + 1) if sum(x * x for x in s) + o * o <= squared]
-        shell = [s for s in shell if sum(x * x for x in s) == squared]
-        if len(out) + len(shell) > max(most, 2 * dims + 1):
-            return out
-        out += shell
+            found = [(f[0] + gaps[abs(o)], *f[1:], o) for f in found for o in _steps(gaps, bound - f[0])]
+        if len(found) > max(most, 3 ** dims):
+            break
+        bound *= 2
+    found.sort()
+    end = max(most, 3 ** dims)
+    limit = found[end][0]
+    return [f for f in found if f[0] < limit], limit
+
+
+def _steps(gaps: Sequence[float], room: float) -> range:
+    """Offsets along one axis whose least distance squared is within ``room``."""
+    n = 0
+    while n + 1 < len(gaps) and gaps[n + 1] <= room:
+        n += 1
+    return range(-n, n + 1)
 
 
-def _literal(offsets: Sequence[Sequence[int]]) -> Column:
-    return F.array(*[F.array(*[F.lit(o) for o in offset]) for offset in offsets])
+def _local(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A small local table, handed to the JVM as one Arrow table (no Python worker starts for it)."""
+    kinds = {"int": pa.int32(), "bigint": pa.int64(), "double": pa.float64()}
+    fields = [f.split() for f in schema.split(", ")]
+    return spark.createDataFrame(pa.table([pa.array(c, kinds[k]) for c, (_, k) in zip(zip(*rows), fields)], names=[n for n, _ in fields]))
 
 
 def knn_vectors(train: DataFrame, queries: DataFrame, features: Sequence[str], label: str, k: int = 25,
@@ -71,7 +86,7 @@ def knn_vectors(train: DataFrame, queries: DataFrame, features: Sequence[str], l
     d = len(features)
     if d > MAX_DIMS:
         raise ValueError(f"grid kNN probes 3^d cells; {d} features is beyond the supported {MAX_DIMS}")
-    qf = [f"q_{f}" for f in features]
+    spark, qf = train.sparkSession, [f"q_{f}" for f in features]
     tw = train.select(*features, label).dropna().groupBy(*features, label).agg(F.count(F.lit(1)).alias("_w"))
     tw = cached = tw.persist(StorageLevel.MEMORY_AND_DISK)
     asked = queries.select(*[F.col(f).alias(q) for f, q in zip(features, qf)]).dropna().distinct()
@@ -123,11 +138,14 @@ def knn_vectors(train: DataFrame, queries: DataFrame, features: Sequence[str], l
     top = len(widths) - 1
     # In a cell of whole width and whole numbers, nothing lies within the last unit.
     tail = 1.0 if integral and widths[0] == int(widths[0]) else 0.0
-    lattice = tail == 1.0 and widths[0] == 1.0
-    active = [i for i in range(d) if span[i] >= widths[0]]
     n_cells = [int(span[i] // widths[0]) + 1 for i in range(d)]
     radix = [n + 2 for n in n_cells]
     packed = math.prod(radix) < 2 ** 62
+    mults = [math.prod(radix[:i]) for i in range(d)]
+
+    def room(i: int, level: int) -> float:
+        """What a distance along an axis may be off by."""
+        return ROOM * (widths[level] + 1e-3 * max(abs(lo[i]), abs(hi[i])))
 
     def base_cell(name: str, i: int) -> Column:
         return F.floor((F.col(name) - F.lit(lo[i])) / F.lit(widths[0])).cast("bigint")
@@ -136,17 +154,13 @@ def knn_vectors(train: DataFrame, queries: DataFrame, features: Sequence[str], l
         """Collision-free key of a cell within its level."""
         if not packed:
             return F.array(*cells)
-        out, mult = F.lit(0).cast("bigint"), 1
-        for c, r in zip(cells, radix):
-            out, mult = out + (c + 1) * F.lit(mult), mult * r
-        return out
+        return sum(((c + 1) * F.lit(m) for c, m in zip(cells, mults)), F.lit(0).cast("bigint"))
 
     def on_level(names: Sequence[str], level: str) -> list[Column]:
         """Cell numbers on the level in column ``level``, from those on the lowest."""
         return [F.expr(f"shiftright({n}, {level})") for n in names]
 
-    def width_of(level: str) -> Column:
-        return F.element_at(F.array(*[F.lit(w) for w in widths]), F.col(level) + 1)
+    level_widths = F.broadcast(_local(spark, list(enumerate(widths)), "_level int, _width double"))  # one row a level
 
     b = [f"_b{i}" for i in range(d)]
     every = F.explode(F.array(*[F.lit(n) for n in range(top + 1)]))
@@ -159,11 +173,11 @@ def knn_vectors(train: DataFrame, queries: DataFrame, features: Sequence[str], l
              .filter(F.col("_n") >= k))
     own = asked.select("_qid", *b, every.alias("_level")).select("_qid", "_level", key(on_level(b, "_level")).alias("_key"))
     narrowest = own.join(cells, ["_level", "_key"]).groupBy("_qid").agg(F.min(F.struct("_level", "_n")).alias("_m"))
-    start = asked.join(narrowest.select("_qid", F.col("_m._level").alias("_m"), "_m._n"), "_qid", "left")
-    w = width_of("_m")
+    start = asked.join(narrowest.select("_qid", F.col("_m._level").alias("_level"), "_m._n"), "_qid", "left").join(level_widths, "_level", "left")
+    w = F.col("_width")
     corner, volume = F.lit(0.0), F.lit(1.0)
     for i, q in enumerate(qf):
-        low = F.lit(lo[i]) + on_level([b[i]], "_m")[0] * w
+        low = F.lit(lo[i]) + on_level([b[i]], "_level")[0] * w
         far = F.greatest(F.col(q) - low, low + w - F.lit(tail) - F.col(q))
         corner = corner + far * far
         if span[i] > 0:
@@ -171,48 +185,57 @@ def knn_vectors(train: DataFrame, queries: DataFrame, features: Sequence[str], l
     dims = max(len(wide), 1)
     unit = math.pi ** (dims / 2) / math.gamma(dims / 2 + 1)
     guess = F.pow(F.lit(AIM * k / unit) * volume / F.col("_n"), F.lit(2.0 / dims))
-    never = F.col("_m").isNull()  # fewer than k rows in all
+    never = F.col("_level").isNull()  # fewer than k rows in all
     pending = cut_lineage(start.withColumns({
         "_most": F.when(never, INFINITE).otherwise(corner * (1 + ROOM)),
-        "_r2": F.when(never, INFINITE).otherwise(F.least(guess, corner * (1 + ROOM)))}).drop("_m", "_n"))
+        "_r2": F.when(never, INFINITE).otherwise(F.least(guess, corner * (1 + ROOM)))}).drop("_level", "_width", "_n"))
 
-    ball = _ball(len(active), MOST_POINTS) if lattice and active else []
-    lengths = [sum(o * o for o in offset) for offset in ball]
-    shells = [sum(n <= s for n in lengths) for s in range(lengths[-1] + 1)] if ball else []
-    block = list(itertools.product((-1, 0, 1), repeat=len(active)))
+    # Per level the cells around one, by distance, and the radius up to which they do.
+    open_dims = [[i for i in range(d) if span[i] >= w] for w in widths]
+    around = [_reach(w, tail, len(dims_), MOST_CELLS) if dims_ else ([(0.0,)], INFINITE) for w, dims_ in zip(widths, open_dims)]
 
     results: list[DataFrame] = []
-    while True:
-        # The narrowest level on which the neighbouring cells hold all that the radius reaches.
+    waiting = pending.count()
+    while waiting:
+        # The narrowest level on which the listed cells hold all that the radius reaches.
         level = F.lit(top)
-        for n in range(top - 1, 0, -1):
-            level = F.when(F.lit(widths[n] ** 2) >= F.col("_r2"), n).otherwise(level)
-        level = F.when(F.col("_r2") < F.lit(len(shells) if lattice else widths[0] ** 2), 0).otherwise(level)
+        for n in range(top - 1, -1, -1):
+            level = F.when(F.col("_r2") < F.lit(around[n][1]), n).otherwise(level)
         pending = pending.withColumn("_level", level)
+        spread = min(int(spark.conf.get("spark.sql.shuffle.partitions")), max(spark.sparkContext.defaultParallelism, waiting // 4096))
+        pending = pending.repartition(spread, "_qid")
         used = [r["_level"] for r in pending.select("_level").distinct().collect()]  # at most one per level
-        probes = pending.withColumn("_width", width_of("_level")).withColumns(
-            {f"_c{i}": c for i, c in enumerate(on_level(b, "_level"))})
-        if active:
-            around = _literal(block)
-            if lattice:
-                reached = F.element_at(F.array(*[F.lit(n) for n in shells]), F.floor(F.least(F.col("_r2"), F.lit(float(len(shells) - 1)))).cast("int") + 1)
-                points = F.slice(_literal(ball), F.lit(1), reached)
-                around = points if used == [0] else F.when(F.col("_level") == 0, points).otherwise(around)
-            probes = probes.withColumn("_off", F.explode(around))
-            gaps = F.lit(0.0)
-            inside = F.lit(True)
-            for j, i in enumerate(active):
-                o, c, q = F.col("_off")[j], F.col(f"_c{i}"), F.col(qf[i])
-                inside = inside & (c + o >= 0) & (c + o <= F.floor(F.lit(span[i]) / F.col("_width")))
-                edge = F.lit(lo[i]) + (c + o) * F.col("_width")
-                gap = F.when(o < 0, q - (edge + F.col("_width") - F.lit(tail))).when(o > 0, edge - q).otherwise(F.lit(0.0))
-                gap = F.greatest(F.lit(0.0), gap - F.col("_width") * F.lit(ROOM) - F.lit(ROOM * 1e-3 * max(abs(lo[i]), abs(hi[i]))))
-                gaps = gaps + gap * gap
-            probes = probes.filter(inside & (gaps <= F.col("_r2")))
-            shifted = {i: F.col(f"_c{i}") + F.col("_off")[j] for j, i in enumerate(active)}
-        else:
-            shifted = {}
-        probes = probes.select("_qid", *qf, "_level", key([shifted.get(i, F.col(f"_c{i}")) for i in range(d)]).alias("_key"))
+        # Offsets of a level (at most MOST_CELLS, or 3^d) with what they add to the key and, per axis, the sign and the constant of
+        # the distance between the query's place in its cell and the other cell.
+        axes, listed = open_dims[0], []
+        for n in used:
+            for least, *steps in around[n][0]:
+                offset = [0] * d
+                for i, o in zip(open_dims[n], steps):
+                    offset[i] = o
+                move = sum(o * m for o, m in zip(offset, mults)) if packed else 0
+                near_by = [(offset[i], float((offset[i] > 0) - (offset[i] < 0)),
+                            (offset[i] if offset[i] > 0 else abs(offset[i]) - 1) * widths[n] * 1.0 + (tail if offset[i] < 0 else 0.0)
+                            - room(i, n) if offset[i] else 0.0) for i in axes]
+                listed.append((n, least, move, *(x for one in near_by for x in one)))
+        offsets = _local(spark, listed, "_level int, _least double, _move bigint" + "".join(
+            f", _o{i} int, _s{i} double, _t{i} double" for i in axes))
+        at = pending.join(level_widths, "_level").withColumns({f"_c{i}": c for i, c in enumerate(on_level(b, "_level"))})
+        at = at.select("_qid", *qf, "_level", "_r2", *([] if packed else [f"_c{i}" for i in range(d)]),
+                       key([F.col(f"_c{i}") for i in range(d)]).alias("_own"),
+                       *[F.col(f"_c{i}").alias(f"_n{i}") for i in axes],
+                       *[(F.floor(F.lit(span[i]) / F.col("_width")) - F.col(f"_c{i}")).alias(f"_m{i}") for i in axes],
+                       *[(F.col(qf[i]) - F.lit(lo[i]) - F.col(f"_c{i}") * F.col("_width")).alias(f"_p{i}") for i in axes])
+        probes = at.join(F.broadcast(offsets), (at["_level"] == offsets["_level"]) & (F.col("_least") <= F.col("_r2"))).drop(offsets["_level"])
+        inside, gaps = F.lit(True), F.lit(0.0)
+        for i in axes:
+            inside = inside & (F.col(f"_o{i}") + F.col(f"_n{i}") >= 0) & (F.col(f"_o{i}") <= F.col(f"_m{i}"))
+            gap = F.col(f"_t{i}") - F.col(f"_s{i}") * F.col(f"_p{i}")
+            gaps = gaps + gap * gap
+        probes = probes.filter(inside & (gaps <= F.col("_r2")))
+        there = F.col("_own") + F.col("_move") if packed else F.array(*[
+            F.col(f"_c{i}") + F.col(f"_o{i}") if i in axes else F.col(f"_c{i}") for i in range(d)])
+        probes = probes.select("_qid", *qf, "_level", there.alias("_key"))
         stored = tw.withColumn("_level", F.explode(F.array(*[F.lit(n) for n in sorted(used)])) if used else F.lit(0))
         stored = stored.withColumn("_key", key(on_level(b, "_level"))).drop(*b)
         cand = probes.join(stored, ["_level", "_key"])
@@ -235,14 +258,17 @@ def knn_vectors(train: DataFrame, queries: DataFrame, features: Sequence[str], l
         known = cut_lineage(known.withColumn("_settled", settled).join(best, "_qid", "left"))
         near.unpersist()
         results.append(known.filter("_settled").select(*qf, "prediction"))
-        # The k-th row found bounds the k-th distance; without one, the radius that the rows found so far call for.
+        # The k-th row found bounds the k-th distance.  Without one: once halfway (by ratio) to the certain radius or as far as the
+        # rows found so far call for, then to the certain one.
         missing = F.pow(F.lit(AIM * k) / F.greatest(F.coalesce(F.col("_found"), F.lit(0)), F.lit(1)), F.lit(2.0 / dims))
-        grown = F.least(F.col("_r2") * F.greatest(F.lit(1.5), missing) + F.lit(tail), F.col("_most"))
+        halfway = F.greatest(F.sqrt(F.col("_r2") * F.col("_most")), F.col("_r2") * missing + F.lit(tail))
+        grown = F.least(halfway, F.col("_most")) if len(results) == 1 else F.col("_most")
         pending = (known.filter(~F.col("_settled")).withColumn("_r2", F.coalesce("_kth", grown))
                    .drop("_kth", "_found", "_settled", "prediction", "_level"))
-        if pending.isEmpty():
-            break
+        waiting = pending.count()
     cached.unpersist()
+    if not results:
+        return asked.select(*[F.col(q).alias(f) for f, q in zip(features, qf)], F.lit(None).cast("int").alias("prediction"))
     out = results[0]
     for part in results[1:]:
         out = out.unionByName(part)
