@@ -12,7 +12,9 @@ wrong the bucket is sorted again with the other hash family.
 Cutting the sort.  Equal strings of ``width`` bytes have the same lowest-hashing ``GRAM``-byte substring (their
 anchor) at the same place.  Tasks send one 64-bit key per run of strings with a common anchor; only runs whose anchor
 occurs twice send their text, dealt out by anchor, to the task that sorts their suffixes.  Runs with equal texts
-are sorted once.  An anchor with very many different texts around it is dealt out again by longer parts of its strings.
+are sorted once.  An anchor with very many different texts around it is dealt out again by longer parts of its strings,
+and a part that still has many different texts (the edge of a popular passage, with private bytes beside it) string by string: then
+equal texts are equal strings, which collapse to one, however many there are.
 """
 
 from __future__ import annotations
@@ -38,7 +40,7 @@ ROWS = 1000
 RUNS = 1 << 18
 #: Suffixes sorted at once.
 SUFFIXES = 1 << 18
-#: Different texts around an anchor beyond which they are dealt out again, in parts of this many strings.
+#: Different texts around an anchor beyond which they are dealt out again, first in parts of this many strings, then string by string.
 CROWD, PART = 4096, 8
 _AT = np.uint64((1 << 24) - 1)
 
@@ -331,8 +333,9 @@ def _collapse(own: Segments):
     return own.take(np.sort(first))
 
 
-def _sort_bucket(width: int, n: int, most: int | None) -> Callable:
-    """Decide on the strings of a bucket; more than ``most`` different texts around an anchor are dealt out again (None: never)."""
+def _sort_bucket(width: int, n: int, most: int | None, part: int = PART) -> Callable:
+    """Decide on the strings of a bucket; more than ``most`` different texts around an anchor are dealt out again in parts of
+    ``part`` strings (None: never)."""
 
     def run(raws: list[bytes]) -> Iterator:
         own = yield from _collapse(Segments.unpack(raws))
@@ -340,7 +343,8 @@ def _sort_bucket(width: int, n: int, most: int | None) -> Callable:
         several = around[at] > 1
         crowd = np.flatnonzero(around[at] > most) if most else np.zeros(0, np.int64)
         for lo in range(0, len(crowd), CROWD):
-            yield _parts(own.take(crowd[lo:lo + CROWD]), width).rows(n)
+            again = yield from _collapse(_parts(own.take(crowd[lo:lo + CROWD]), width, part))
+            yield again.rows(n)
         several[crowd] = False
         own = own.take(np.flatnonzero(several))
         if not len(own.docs):
@@ -375,18 +379,18 @@ def _shares(data: np.ndarray, start: np.ndarray) -> Iterator[np.ndarray]:
         yield np.flatnonzero(share[lead] == k)
 
 
-def _parts(own: Segments, width: int) -> Segments:
-    """Texts cut into parts of at most ``PART`` strings by the distance of a string to the anchor, so that equal strings fall
+def _parts(own: Segments, width: int, part: int = PART) -> Segments:
+    """Texts cut into parts of at most ``part`` strings by the distance of a string to the anchor, so that equal strings fall
     into corresponding parts; a part's key is the hash of the bytes that all strings of such a part have in common."""
     far, near = own.lead, own.lead - (own.sizes - width)  # distances of the first and the last string
-    low, high = near // PART, far // PART
+    low, high = near // part, far // part
     count = high - low + 1
     seg = np.repeat(np.arange(len(count)), count)
     block = high[seg] - (np.arange(len(seg)) - np.repeat(np.cumsum(count) - count, count))
-    top = np.minimum(far[seg], block * PART + PART - 1)
-    bottom = np.maximum(near[seg], block * PART)
+    top = np.minimum(far[seg], block * part + part - 1)
+    bottom = np.maximum(near[seg], block * part)
     anchor = own.begin[seg] + far[seg]
-    common = anchor - block * PART, anchor - block * PART - PART + 1 + width
+    common = anchor - block * part, anchor - block * part - part + 1 + width
     key = tx.mix(tx.range_hash(tx.byte_prefix(own.data), *common) + block.astype(np.uint64))
     return own.cut(seg, far[seg] - top, top - bottom + width, key)
 
@@ -401,8 +405,8 @@ def repeated_spans(df: DataFrame, width: int = WIDTH, gram: int = GRAM, crowd: i
     listed = ex.per_document(ex.compare(keys, _seen_twice, n), _as_places)
     packed = ex.pack_texts(source)
     texts = packed.join(listed, ["key", "twin"]).select("key", "twin", "packed", "spans").mapInArrow(_emit_texts(width, gram, wide, n), ex.PLACES)
-    for most in (crowd, None):
-        texts = ex.compare_rows(texts, _sort_bucket(width, wide, most), n)
+    for most, part in ((crowd, PART), (crowd, 1), (None, 1)):
+        texts = ex.compare_rows(texts, _sort_bucket(width, wide, most, part), n)
     return ex.per_document(texts, ex.merge_spans), packed
 
 

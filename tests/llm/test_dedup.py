@@ -217,3 +217,48 @@ def test_bytes_of_rows_without_an_id_of_their_own(spark, crowd):
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     got = Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in suffix_dedup.dedup_bytes(df, 100, 30, crowd).collect())
     assert got == Counter((r[0], *want[named[r], r[1]]) for r in rows)
+
+
+def _dealt(batches):
+    """Rows dealt out, by bucket, and the places decided on."""
+    parts, decided = {}, []
+    for out in batches:
+        if isinstance(out, tuple):
+            docs, starts, ends, _ = out
+            decided += list(zip(docs.tolist(), starts.tolist(), ends.tolist()))
+        else:
+            for part, _, raw in zip(*(out.column(i).to_pylist() for i in range(3))):
+                parts.setdefault(part, []).append(raw)
+    return parts, decided
+
+
+def test_crowded_passage_is_dealt_out_until_groups_are_small():
+    rng, width, n_docs, crowd, buckets = random.Random(5), 100, 3000, 64, 64
+    passage = bytes(rng.randrange(97, 123) for _ in range(width + 20))
+    texts = [bytes(rng.randrange(97, 123) for _ in range(25)) + passage + bytes(rng.randrange(97, 123) for _ in range(25)) for _ in range(n_docs)]
+    np = suffix_dedup.np
+    sizes = np.full(n_docs, len(texts[0]), np.int64)
+    twins = np.arange(n_docs, dtype=np.int64)
+    # All texts around one anchor, in the passage.
+    own = suffix_dedup.Segments(np.arange(n_docs), np.zeros(n_docs, np.int64), np.full(n_docs, 7, np.uint64), np.full(n_docs, 70, np.int64), sizes,
+                                np.frombuffer(b"".join(texts), np.uint8), (np.arange(n_docs, dtype=np.int64), twins))
+    parts, decided = {0: [own.pack()]}, []
+    for most, part in ((crowd, suffix_dedup.PART), (crowd, 1), (None, 1)):
+        judge, dealt = suffix_dedup._sort_bucket(width, buckets, most, part), {}
+        for raws in parts.values():
+            if most is None:  # what is left for one key: equal strings only
+                left = suffix_dedup.Segments.unpack(raws)
+                _, first = left.same_texts()
+                assert max(Counter(left.keys[first].tolist()).values()) == 1
+            again, found = _dealt(judge(raws))
+            decided += found
+            for k, v in again.items():
+                dealt.setdefault(k, []).extend(v)
+        parts = dealt
+    assert not parts
+    covered = {d: set() for d in range(n_docs)}
+    for d, a, b in decided:
+        covered[d].update(range(a, b))
+    seen = Counter(t[a:a + width] for t in texts for a in range(len(t) - width + 1))
+    for d, t in enumerate(texts):
+        assert covered[d] == {x for a in range(len(t) - width + 1) if seen[t[a:a + width]] > 1 for x in range(a, a + width)}
