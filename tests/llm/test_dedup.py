@@ -224,8 +224,8 @@ def _dealt(batches):
     parts, decided = {}, []
     for out in batches:
         if isinstance(out, tuple):
-            docs, starts, ends, _ = out
-            decided += list(zip(docs.tolist(), starts.tolist(), ends.tolist()))
+            docs, starts, ends, names = out
+            decided += list(zip(names[0][docs].tolist(), starts.tolist(), ends.tolist()))
         else:
             for part, _, raw in zip(*(out.column(i).to_pylist() for i in range(3))):
                 parts.setdefault(part, []).append(raw)
