@@ -198,9 +198,14 @@ def gather(raws: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray | None
     return docs, np.concatenate([g[1] for g in got]), keys, names
 
 
-def compare_rows(emitted: DataFrame, judge: Callable, n: int) -> DataFrame:
+def _nothing() -> Iterator:
+    return iter(())
+
+
+def compare_rows(emitted: DataFrame, judge: Callable, n: int, last: Callable = _nothing) -> DataFrame:
     """Deal emitted rows out by bucket and let ``judge(payloads)`` give the places it decides on, or rows to be dealt
-    out again (see :func:`settle`); rows already decided pass through.  Result: rows by document group."""
+    out again (see :func:`settle`), and ``last()`` what is left behind a task's buckets; rows already decided pass through.  Result: rows by
+    document group."""
 
     def items(batches: Iterator[pa.RecordBatch]) -> Iterator:
         for part, kind, raws in parts(batches):
@@ -208,6 +213,7 @@ def compare_rows(emitted: DataFrame, judge: Callable, n: int) -> DataFrame:
                 yield row_batch([(part, DECIDED, r) for r in raws])
             else:
                 yield from judge(raws)
+        yield from last()
 
     dealt = emitted.repartition("part").sortWithinPartitions("part", "kind")
     return dealt.mapInArrow(lambda batches: settle(items(batches), n), PLACES)

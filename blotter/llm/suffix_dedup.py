@@ -34,6 +34,8 @@ from . import _text as tx
 WIDTH, GRAM = 200, 50
 #: Bytes of a longer document handled at once, and bytes of text a task holds before it sends it.
 SLICE, HELD = 1 << 20, 2 << 20
+#: Bytes of text that a task gathers before it deals them out again.
+AGAIN = 16 << 20
 #: Rows unpacked at once.
 ROWS = 1000
 #: Runs a task holds before it sends their keys.
@@ -165,6 +167,11 @@ class Segments:
         numbered, table = ex.join_names(docs, names)
         return Segments(numbered, *(np.concatenate(x) for x in zip(*columns)), table)
 
+    @staticmethod
+    def join(parts: list["Segments"]) -> "Segments":
+        numbered, table = ex.join_names([p.docs for p in parts], [p.names for p in parts])
+        return Segments(numbered, *(np.concatenate(x) for x in zip(*((p.starts, p.keys, p.lead, p.sizes, p.data) for p in parts))), table)
+
     def rows(self, n: int) -> pa.RecordBatch:
         """Rows that deal the texts out by key."""
         part = (self.keys % np.uint64(n)).astype(np.int64)
@@ -333,18 +340,18 @@ def _collapse(own: Segments):
     return own.take(np.sort(first))
 
 
-def _sort_bucket(width: int, n: int, most: int | None, part: int = PART) -> Callable:
-    """Decide on the strings of a bucket; more than ``most`` different texts around an anchor are dealt out again in parts of
-    ``part`` strings (None: never)."""
+def _sort_bucket(width: int, n: int, most: int | None, part: int = PART) -> tuple[Callable, Callable]:
+    """Decide on the strings of a task's buckets; more than ``most`` different texts around an anchor are dealt out again in
+    parts of ``part`` strings (None: never), gathered over the buckets so that a target gets few rows from a task (the second
+    function returned gives what is left at its end)."""
 
-    def run(raws: list[bytes]) -> Iterator:
+    def decide(raws: list[bytes]) -> Iterator:
         own = yield from _collapse(Segments.unpack(raws))
         _, at, around = np.unique(own.keys, return_inverse=True, return_counts=True)
         several = around[at] > 1
         crowd = np.flatnonzero(around[at] > most) if most else np.zeros(0, np.int64)
         for lo in range(0, len(crowd), CROWD):
-            again = yield from _collapse(_parts(own.take(crowd[lo:lo + CROWD]), width, part))
-            yield again.rows(n)
+            yield (yield from _collapse(_parts(own.take(crowd[lo:lo + CROWD]), width, part)))
         several[crowd] = False
         own = own.take(np.flatnonzero(several))
         if not len(own.docs):
@@ -364,7 +371,23 @@ def _sort_bucket(width: int, n: int, most: int | None, part: int = PART) -> Call
             b = hit[np.append(np.flatnonzero(new)[1:], len(hit)) - 1]
             yield own.docs[seg[a]], own.starts[seg[a]] + within[a], (own.starts[seg[b]] + within[b] + width).astype(np.uint64), own.names
 
-    return run
+    held: list[Segments] = []  # of one task: it is unpickled for each
+
+    def flush() -> Iterator:
+        if held:
+            yield Segments.join(held).rows(n)
+            held.clear()
+
+    def run(raws: list[bytes]) -> Iterator:
+        for item in decide(raws):
+            if not isinstance(item, Segments):
+                yield item
+                continue
+            held.append(item)
+            if sum(len(h.data) for h in held) >= AGAIN:
+                yield from flush()
+
+    return run, flush
 
 
 def _shares(data: np.ndarray, start: np.ndarray) -> Iterator[np.ndarray]:
@@ -406,7 +429,8 @@ def repeated_spans(df: DataFrame, width: int = WIDTH, gram: int = GRAM, crowd: i
     packed = ex.pack_texts(source)
     texts = packed.join(listed, ["key", "twin"]).select("key", "twin", "packed", "spans").mapInArrow(_emit_texts(width, gram, wide, n), ex.PLACES)
     for most, part in ((crowd, PART), (crowd, 1), (None, 1)):
-        texts = ex.compare_rows(texts, _sort_bucket(width, wide, most, part), n)
+        judge, rest = _sort_bucket(width, wide, most, part)
+        texts = ex.compare_rows(texts, judge, n, rest)
     return ex.per_document(texts, ex.merge_spans), packed
 
 

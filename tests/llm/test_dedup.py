@@ -244,13 +244,13 @@ def test_crowded_passage_is_dealt_out_until_groups_are_small():
                                 np.frombuffer(b"".join(texts), np.uint8), (np.arange(n_docs, dtype=np.int64), twins))
     parts, decided = {0: [own.pack()]}, []
     for most, part in ((crowd, suffix_dedup.PART), (crowd, 1), (None, 1)):
-        judge, dealt = suffix_dedup._sort_bucket(width, buckets, most, part), {}
+        (judge, rest), dealt = suffix_dedup._sort_bucket(width, buckets, most, part), {}
         for raws in parts.values():
             if most is None:  # what is left for one key: equal strings only
                 left = suffix_dedup.Segments.unpack(raws)
                 _, first = left.same_texts()
                 assert max(Counter(left.keys[first].tolist()).values()) == 1
-            again, found = _dealt(judge(raws))
+            again, found = _dealt([*judge(raws), *rest()])
             decided += found
             for k, v in again.items():
                 dealt.setdefault(k, []).extend(v)
