@@ -1,8 +1,8 @@
 """URL block and allow lists by host-suffix and path-prefix expressions.
 
-Every URL is expanded into pairs of a host suffix (cut at dots) and a path prefix, for
-the numbers of labels and the path lengths that rules have: no other expression can match.
-Rules and expressions are joined on a short prefix of their SHA-256 digests; full
+Every URL is expanded into host suffixes (cut at dots) of the numbers of labels that rules have; those that are the host of a rule, into
+pairs with the path prefixes of the lengths that rules of this host have: no other expression can match.
+Both times expressions and rules are joined on a short prefix of their SHA-256 digests; full
 digests confirm a match, and the longest confirmed rule decides.
 """
 
@@ -23,8 +23,8 @@ RULES = (
 PREFIX = 8
 #: Rules that are broadcast at most; more are joined by a shuffle.
 BROADCAST_RULES = 100_000
-#: Different lengths of paths, or numbers of labels of hosts, that a rule set has at most.
-MOST_SHAPES = 10_000
+#: Shares into which rows without a host are spread.
+SPREAD = 4096
 
 
 def rules_table(spark, rules=RULES) -> DataFrame:
@@ -48,18 +48,17 @@ def _host_suffixes(host: Column, counts: list[int]) -> Column:
     return F.transform(fits, lambda n: F.array_join(F.slice(labels, F.size(labels) - n + 1, n), "."))
 
 
-def _path_prefixes(path: Column, lengths: list[int]) -> Column:
+def _path_prefixes(path: Column, lengths: Column) -> Column:
     """The first n characters of a path, for each n of ``lengths`` that it has."""
-    fits = F.filter(F.array(*map(F.lit, lengths)), lambda n: n <= F.length(path))
-    return F.transform(fits, lambda n: F.substring(path, F.lit(1), n))
+    return F.transform(F.filter(lengths, lambda n: n <= F.length(path)), lambda n: F.substring(path, F.lit(1), n))
 
 
-def _shapes(rules: DataFrame, shape: Column) -> list[int]:
-    """The distinct values of a measure of the rules."""
-    found = sorted(r.n for r in rules.select(shape.alias("n")).distinct().limit(MOST_SHAPES + 1).collect())
-    if len(found) > MOST_SHAPES:
-        raise ValueError(f"hosts or paths of the rules have more than {MOST_SHAPES} different lengths")
-    return found
+def _digest(*parts: Column) -> Column:
+    return F.sha2(F.concat_ws("\0", *parts).cast("binary"), 256)
+
+
+def _bounded(table: DataFrame) -> DataFrame:
+    return F.broadcast(table) if table.limit(BROADCAST_RULES + 1).count() <= BROADCAST_RULES else table
 
 
 def judge_urls(df: DataFrame, rules: DataFrame, default: str = "allow", id_col: str = "page_id", url_col: str = "url") -> DataFrame:
@@ -70,25 +69,28 @@ def judge_urls(df: DataFrame, rules: DataFrame, default: str = "allow", id_col:
     fits: the verdict is then ``default``.  A null URL or one without ``://`` has empty host and path and fits no rule;
     ids are only carried along, repeated rows each get their row, and an empty table gives an empty result."""
     own = rules.select("verdict", F.lower("host").alias("host"), F.coalesce("path", F.lit("")).alias("path")).filter(F.col("host") != "").distinct()
-    counts = _shapes(own, F.size(F.split("host", r"\.")))
-    lengths = _shapes(own, F.length("path"))
-    digest = lambda host, path: F.sha2(F.concat(host, F.lit("\0"), path).cast("binary"), 256)
+    counts = [r.n for r in own.select(F.size(F.split("host", r"\.")).alias("n")).distinct().collect()]  # labels of a host: a few numbers
     rank = F.struct((F.length("host") + F.length("path")).alias("size"), F.length("host").alias("host_size"), F.col("verdict").alias("verdict"),
                     F.concat("host", "path").alias("rule"))
-    table = own.select(digest(F.col("host"), F.col("path")).alias("full"), rank.alias("hit"))
-    table = table.groupBy("full").agg(F.max("hit").alias("hit")).withColumn("short", F.substring("full", 1, PREFIX))
-    if table.limit(BROADCAST_RULES + 1).count() <= BROADCAST_RULES:
-        table = F.broadcast(table)
+    short = lambda c: F.substring(c, 1, PREFIX)
+    table = own.select(_digest(F.col("host"), F.col("path")).alias("full"), rank.alias("hit"))
+    table = _bounded(table.groupBy("full").agg(F.max("hit").alias("hit")).withColumn("short", short("full")))
+    # Per host of a rule the lengths of its paths (at most as many as a path has characters).
+    hosts = own.groupBy(_digest(F.col("host")).alias("host_full")).agg(F.collect_set(F.length("path")).alias("lengths"))
+    hosts = _bounded(hosts.withColumn("host_short", short("host_full")))
     pages = df.select(F.col(id_col).cast("long").alias("page_id"), F.coalesce(host_of(F.col(url_col)), F.lit("")).alias("host"),
                       F.coalesce(path_of(F.col(url_col)), F.lit("")).alias("path"))
     places = pages.select("host", "path").filter(F.col("host") != "").distinct()
-    tried = places.select("host", "path", F.explode(_host_suffixes(F.col("host"), counts)).alias("suffix")).select(
-        "host", "path", "suffix", F.explode(_path_prefixes(F.col("path"), lengths)).alias("prefix"))
-    hashed = tried.select("host", "path", digest(F.col("suffix"), F.col("prefix")).alias("digest"))
-    hashed = hashed.withColumn("short", F.substring("digest", 1, PREFIX))
+    tried = places.select("host", "path", F.explode(_host_suffixes(F.col("host"), counts)).alias("suffix"))
+    tried = tried.withColumn("host_digest", _digest(F.col("suffix"))).withColumn("host_short", short("host_digest"))
+    ruled = tried.join(hosts, "host_short").filter(F.col("host_digest") == F.col("host_full"))
+    paths = ruled.select("host", "path", "suffix", F.explode(_path_prefixes(F.col("path"), F.col("lengths"))).alias("prefix"))
+    hashed = paths.select("host", "path", _digest(F.col("suffix"), F.col("prefix")).alias("digest")).withColumn("short", short("digest"))
     hits = hashed.join(table, "short").filter(F.col("digest") == F.col("full"))
-    best = hits.groupBy("host", "path").agg(F.max("hit").alias("hit"))
-    return pages.join(best, ["host", "path"], "left").select(
+    best = hits.groupBy("host", "path").agg(F.max("hit").alias("hit")).withColumn("_share", F.lit(0))
+    # Rows without a host (null URLs, too) have no rule: they are spread over shares that no rule has.
+    share = F.when(F.col("host") == "", F.pmod(F.xxhash64("page_id"), F.lit(SPREAD)) + 1).otherwise(0).cast("int")
+    return pages.withColumn("_share", share).join(best, ["host", "path", "_share"], "left").select(
         "page_id", "host", "path", F.col("hit.rule").alias("rule"), F.coalesce(F.col("hit.verdict"), F.lit(default)).alias("verdict"))
 
 

@@ -373,7 +373,8 @@ def _verdict(url, rules, default="allow"):
     return host, path, best and best[3], best[2] if best else default
 
 
-@pytest.mark.parametrize("rules", [url_filter.RULES, (("block", "com", ""), ("allow", "example.com", "/e"), ("block", "b.example.com", "/en"), ("block", "com", "/a/a/"), ("allow", "com", "/a/a/"))])
+@pytest.mark.parametrize("rules", [url_filter.RULES, (("block", "com", ""), ("allow", "example.com", "/e"), ("block", "b.example.com", "/en"), ("block", "com", "/a/a/"), ("allow", "com", "/a/a/")),
+                                   tuple(("block" if n % 2 else "allow", host, "/en/"[:4 - n % 3] + "a" * n) for n in range(60) for host in ("com", "example.com", "a.b.c.d"))])
 def test_url_rules(spark, rules):
     rows = [(i, u, "x") for i, u in enumerate(URLS)] + [(3, URLS[5], "x"), (None, URLS[4], "x"), (3, URLS[5], "x")]
     df = spark.createDataFrame(rows, "page_id long, url string, host string")
