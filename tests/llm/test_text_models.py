@@ -5,6 +5,7 @@ import math
 import random
 import re
 from collections import Counter, defaultdict
+from decimal import Decimal
 from itertools import product
 
 import numpy as np
@@ -138,9 +139,43 @@ def test_forward_sums_all_segmentations(words, seed):
             assert math.isclose(math.exp(row[lang]), _segmentations("▁" + word, prob[:, lang], index), rel_tol=1e-9)
 
 
+@pytest.mark.parametrize("block", [1 << 15, 700, 3])
+def test_long_words_sum_all_segmentations(monkeypatch, block):
+    """Words of any length, against the sum over segmentations in numbers that do not underflow."""
+    monkeypatch.setattr(langid, "BLOCK", block)
+    rng = random.Random(block)
+    prob = np.random.default_rng(5).random((len(PIECES) + 1, 2)) * 1e-4 + 1e-6
+    words = ["".join(rng.choice("abz") for _ in range(n)) for n in (41, 500, 39, 3000, 1200, 40, 1)]
+    got = langid.Lattice(PIECES).forward(words, prob)
+    index = {p: i for i, p in enumerate(PIECES)}
+    for row, word in zip(got, words):
+        text = "▁" + word
+        for lang in (0, 1):
+            sums = [Decimal(1)]
+            for end in range(1, len(text) + 1):
+                total = Decimal(0)
+                for size in range(1, min(4, end + 1)):
+                    piece = text[end - size:end]
+                    if piece in index:
+                        total += sums[end - size] * Decimal(prob[index[piece], lang])
+                    elif size == 1:
+                        total += sums[end - 1] * Decimal(prob[-1, lang])
+                sums.append(total)
+            assert math.isclose(row[lang], float(sums[-1].ln()), rel_tol=1e-9)
+
+
+def test_sample_of_rows_is_bounded(spark):
+    """A third of the rows share one id, another third are copies of one row: neither fills the sample."""
+    rows = [(7, f"word number {i} of a shared id", "en") for i in range(300)] + [(8, "the same row", "en")] * 300 + [
+        (100 + i, f"other row {i}", "en") for i in range(300)]
+    taken = langid.sample_rows(spark.createDataFrame(rows, "id long, text string, lang string").repartition(5), 64).collect()
+    texts = Counter(r.text for r in taken)
+    assert 0 < len(taken) <= 64 and max(texts.values()) == 1
+
+
 def test_expected_uses_sum_to_the_letters():
     lattice = langid.Lattice(PIECES)
-    words, counts = ["abab", "zab", "b", "a" * 40], np.array([2.0, 1.0, 5.0, 1.0])
+    words, counts = ["abab", "zab", "b", "a" * 40, "ab" * 400, "abz" * 30], np.array([2.0, 1.0, 5.0, 1.0, 3.0, 2.0])
     use = lattice.expected(words, counts, np.full(len(PIECES) + 1, 0.1))
     letters = sum(n * (len(w) + 1) for w, n in zip(words, counts))
     assert math.isclose(float((use * lattice.size).sum()), letters, rel_tol=1e-9)
