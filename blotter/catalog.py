@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .functions import geo, text, timefn
-from .operators import cleaning, dims, holidays, hotspots, metrics, rollups, sketches
+from .operators import cleaning, dims, holidays, hotspots, metrics, rollups, sketches, topk
 from .plans import classify, dashboard, forest, knn
 from .session import cut_lineage
 from .sources import testdata as td
@@ -1069,3 +1069,52 @@ def q_top_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     early = F.col("year") <= TEST_YEARS[0]
     parts = [sketches.bucket_counts(inc.filter(p), "hundred_block") for p in (early, ~early)]
     return sketches.top_values(inc, "hundred_block", TOP_BLOCKS, counts=sketches.merged_counts(parts))
+
+
+# ------------------------------------------- readers, maps and single files
+_INFERRED = {"type": "string", "year": "int", "month": "int", "day": "int", "hour": "int", "minute": "int", "neighbourhood": "string",
+             "x": "double", "y": "double"}
+
+
+@register("inferred_csv", td.with_ctes(td.RAW_SQL) + " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, count({c}) AS non_null, '{t}' AS data_type FROM raw" for c, t in _INFERRED.items()))
+def q_inferred_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw rows as a plain CSV with a header, read back with inferred types: the types found and the values that are there."""
+    from .sources import files
+    path = _scratch(spark, "plain-csv")
+    td.raw_incidents(spark, sf_dir).select(*_INFERRED).write.option("header", True).csv(path)
+    return rollups.table_summary(files.read_csv_inferred(spark, path))
+
+
+@register("label_map_round_trip", REGISTRY["label_encode"][1])
+def q_label_map_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The label map of the neighbourhoods stored and loaded again."""
+    path = _scratch(spark, "labels")
+    classify.save_label_table(q_label_encode(spark, sf_dir), path)
+    return classify.load_label_table(spark, path)
+
+
+@register("single_file", _INC + """
+SELECT year, count(*) AS count, 1 AS files FROM incidents GROUP BY year
+""")
+def q_single_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Incidents per year in one CSV file, read back with the number of files they came from."""
+    from .sources import files
+    path = _scratch(spark, "one-file")
+    files.write_csv(rollups.count_by(td.incidents(spark, sf_dir), ["year"]), path, single_file=True)
+    back = spark.read.schema("year int, count bigint").option("header", True).options(**files.LOSSLESS).csv(path)
+    n_files = back.select(F.input_file_name().alias("f")).distinct().count()
+    return back.withColumn("files", F.lit(n_files))
+
+
+@register("unpredicted_by_hour", _INC + """
+, c AS (SELECT hour, type, count(*) AS n FROM incidents GROUP BY hour, type)
+, top AS (SELECT hour, type FROM c QUALIFY row_number() OVER (PARTITION BY hour ORDER BY n DESC, type) = 1)
+SELECT DISTINCT type AS label FROM incidents WHERE type NOT IN (SELECT type FROM top)
+""")
+def q_unpredicted_by_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Categories that the most frequent category of an hour never is."""
+    inc = td.incidents(spark, sf_dir).select("hour", "type")
+    guess = topk.top_k(rollups.count_by(inc, ["hour", "type"]), ["hour"], [F.desc("count"), F.asc("type")]).select(
+        "hour", F.col("type").alias("predicted"))
+    return metrics.unpredicted_classes(inc.join(dims.broadcast_checked(guess), "hour"), "type", "predicted")

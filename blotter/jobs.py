@@ -14,6 +14,10 @@ csv``) and writing each result table to parquet, CSV or a JDBC table.
     python -m blotter.jobs train out/clean out/model
     python -m blotter.jobs score out/model requests.csv out/scored
     python -m blotter.jobs knn out/clean out/knn
+    python -m blotter.jobs clean-new raw_dir out/clean --points points.csv --checkpoint shared/clean
+    python -m blotter.jobs rollup-new clean_dir out/rollup_base --checkpoint shared/rollup
+    python -m blotter.jobs top-blocks out/clean out/top --k 20
+    python -m blotter.jobs save-table out/clean incidents --buckets 512
 
 On a cluster: ``spark-submit --py-files blotter.zip run_job.py <job> ...``.
 JDBC sinks take ``--format jdbc --jdbc-url URL --jdbc-table TABLE`` and
@@ -30,10 +34,13 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .operators import cleaning, dims, holidays, hotspots, metrics, rollups
-from .plans import classify, knn
+from .operators import cleaning, dims, holidays, hotspots, metrics, rollups, sketches
+from .plans import classify, forest, knn
 from .session import apply_cluster_conf
 from .sources import files, jdbc
+from .sources import tables as catalog_tables
+from .streaming import cleaning as cleaning_stream
+from .streaming import rollups as rollup_stream
 
 
 def _props(args: argparse.Namespace) -> dict[str, str]:
@@ -133,7 +140,8 @@ def run(argv: Sequence[str], spark: SparkSession | None = None) -> None:
     p = sub.add_parser("train")
     p.add_argument("clean")
     p.add_argument("model")
-    p.add_argument("--classifier", choices=["rf", "nb"], default="rf")
+    p.add_argument("--classifier", choices=["rf", "nb", "table"], default="rf", help="table: a forest grown by group-bys, kept as tables")
+    p.add_argument("--depth", type=int, default=5, help="of the table forest")
     p.add_argument("--targets", nargs="+", default=list(classify.REFERENCE_TARGETS))
     p.add_argument("--exclude", nargs="*", help="train on all categories but these instead (default list if empty)")
     p.add_argument("--trees", type=int, default=10)
@@ -144,7 +152,33 @@ def run(argv: Sequence[str], spark: SparkSession | None = None) -> None:
     p.add_argument("--partitions", type=int, default=classify.TRAIN_PARTITIONS)
     p.add_argument("--metrics-out", help="folder for metrics, per-class report and confusion table (CSV)")
 
+    p = sub.add_parser("clean-new", help="clean the raw files that arrived since the last start and append what is new")
+    p.add_argument("raw", help="folder of raw files")
+    p.add_argument("out")
+    p.add_argument("--points", required=True, help="CSV neighbourhood,lat,lon (header)")
+    p.add_argument("--checkpoint", required=True, help="folder in shared storage; the same at every start")
+    p.add_argument("--strict", action="store_true")
+    p.add_argument("--partition-by-year", action="store_true")
+    p.add_argument("--raw-format", choices=["csv", "parquet"], default="csv")
+
+    p = sub.add_parser("rollup-new", help="add the clean files that arrived since the last start to the stored base rollup")
+    p.add_argument("clean", help="folder of clean files")
+    p.add_argument("out")
+    p.add_argument("--checkpoint", required=True, help="folder in shared storage; the same at every start")
+
+    p = sub.add_parser("top-blocks", help="the most frequent blocks")
+    p.add_argument("clean")
+    p.add_argument("out")
+    p.add_argument("--k", type=int, default=20)
+
+    p = sub.add_parser("save-table", help="the clean table as a catalog table bucketed by block")
+    p.add_argument("clean")
+    p.add_argument("name")
+    p.add_argument("--buckets", type=int, default=512)
+    p.add_argument("--path", help="folder of the table's files; default: the warehouse")
+
     p = sub.add_parser("score")
+    p.add_argument("--classifier", choices=["rf", "nb", "table"], default="rf")
     p.add_argument("model")
     p.add_argument("requests", help="CSV request_id,year,month,hour,neighbourhood,hundred_block (header)")
     p.add_argument("out")
@@ -180,11 +214,24 @@ def _dispatch(spark: SparkSession, args: argparse.Namespace) -> None:
         else:
             jdbc.write_table(clean, args.jdbc_url, args.jdbc_table, _props(args), mode=mode, batch_size=args.batch_size)
         return
+    if job == "clean-new":
+        points, _ = _points(spark, args.points)
+        cleaning_stream.clean_stream(spark, args.raw, args.out, args.checkpoint, points, fmt=args.raw_format,
+                                     coordinate_filter="strict" if args.strict else "loose",
+                                     partition_by_year=args.partition_by_year).awaitTermination()
+        return
+    if job == "rollup-new":
+        rollup_stream.rollup_merge_stream(spark, args.clean, args.out, args.checkpoint, fmt=args.input_format,
+                                          available_now=True).awaitTermination()
+        return
     if job == "score":
-        model = classify.load(args.model)
         requests = spark.read.schema("request_id string, year int, month int, hour int, neighbourhood string, "
                                      "hundred_block string").option("header", True).csv(args.requests)
-        _sink(classify.score_requests(model, requests), args.out, args)
+        if args.classifier == "table":
+            scored = forest.score_requests(forest.load(spark, args.model), requests)
+        else:
+            scored = classify.score_requests(classify.load(args.model), requests)
+        _sink(scored, args.out, args)
         return
 
     inc = _clean(spark, args)
@@ -225,6 +272,18 @@ def _dispatch(spark: SparkSession, args: argparse.Namespace) -> None:
             rows = classify.training_rows(inc, include=args.targets)
         else:
             rows = classify.training_rows(inc, include=None, exclude=args.exclude or classify.REFERENCE_EXCLUDED)
+        if args.classifier == "table":
+            made = forest.train(rows, trees=args.trees, depth=args.depth, train_percent=args.train_percent)
+            forest.save(made, args.model)
+            if args.metrics_out:
+                tested = rows.filter(classify.split_bucket("id") >= args.train_percent)
+                pred = forest.predict(made, tested).select("target", "predicted").persist()
+                for name, table in {"metrics": metrics.accuracy(pred, "target", "predicted"),
+                                    "report": metrics.classification_report(pred, "target", "predicted"),
+                                    "confusion": metrics.confusion(pred, "target", "predicted")}.items():
+                    files.write_csv(table, f"{args.metrics_out.rstrip('/')}/{name}", mode="overwrite", single_file=True)
+                pred.unpersist()
+            return
         trained = classify.train_category_model(
             rows, classifier=args.classifier, num_trees=args.trees, max_bins=args.max_bins,
             train_percent=args.train_percent, seed=args.seed, smoothing=args.smoothing, partitions=args.partitions)
@@ -237,6 +296,10 @@ def _dispatch(spark: SparkSession, args: argparse.Namespace) -> None:
             for name, table in tables.items():
                 files.write_csv(table, f"{args.metrics_out.rstrip('/')}/{name}", mode="overwrite", single_file=True)
             pred.unpersist()
+    elif job == "top-blocks":
+        _sink(sketches.top_values(inc, "hundred_block", args.k), args.out, args)
+    elif job == "save-table":
+        catalog_tables.save_bucketed(inc, args.name, args.buckets, path=args.path)
     elif job == "knn":
         rows = classify.training_rows(inc, include=None, exclude=classify.REFERENCE_EXCLUDED)
         tables = classify.label_tables(rows, ["target", "neighbourhood", "hundred_block"])

@@ -6,11 +6,12 @@ one before; the pyramid holds, per level, the cells with at least ``k`` rows and
 
 A query finds the narrowest level on which its own cell holds ``k`` rows (one equi-join).  That gives two radii: the corner
 of the cell farthest away, within which ``k`` rows lie for certain, and an estimate from the cell's density, at which the search begins.
-A round gives each query the narrowest level on which its radius reaches a bounded number of cells, and joins it with the training
-vectors of those cells (whole-number features on the lowest level: the lattice points within the radius).  A query is settled when its k-th nearest row lies within the radius - everything that near was seen, ties included - or
-when the cells covered all data.  Otherwise the distance of the k-th row found is its next radius, which settles it; with fewer than ``k``
-rows found the radius grows once by what the count says is missing, then to the certain one: three rounds at most.  So a query in a sparse region starts on a
-wide level and probes no empty cells on the way.  Rounds are separated by checkpoints in the shared checkpoint folder.
+A round gives each query the narrowest level on which its radius reaches a bounded number of cells, and joins it with the
+training vectors of those cells (whole-number features on the lowest level: the lattice points within the radius).  A query is settled
+when its k-th nearest row lies within the radius - everything that near was seen, ties included - or when the cells covered all
+data.  Otherwise the distance of the k-th row found is its next radius, which settles it; with fewer than ``k`` rows found the
+radius grows once by what the count says is missing, then to the certain one: three rounds at most.  So a query in a sparse region
+starts on a wide level and probes no empty cells on the way.  Rounds are separated by checkpoints in the shared checkpoint folder.
 
 Order and votes: neighbours are ordered by squared distance, then by the training vector and label (a total order); a vector of
 weight ``n`` counts as ``n`` rows and the k-th row may take part of its weight.  The predicted label has the most votes; ties go to

@@ -1,10 +1,14 @@
 """The command-line jobs end to end on a small raw CSV."""
+import uuid
+
 import pytest
 from pyspark.sql import functions as F
 
 from blotter import jobs
+from blotter.operators import cleaning, rollups
 from blotter.sources import files
 from blotter.sources import testdata as td
+from blotter.streaming.rollups import stored_rollup
 from tests.conftest import SF_SMALL
 
 
@@ -81,3 +85,32 @@ def test_jdbc_arguments(spark, monkeypatch):
                   "rollups", "incidents", "out"], spark=spark)
     assert asked == {"url": "jdbc:x", "table": "incidents", "props": {"user": "me"}, "partition_column": "year", "lower_bound": "2003",
                      "upper_bound": "2022", "num_partitions": 8}
+
+
+def test_incremental_and_table_jobs(spark, tmp_path):
+    raw = td.raw_incidents(spark, SF_SMALL).cache()
+    pts, drops, clean = str(tmp_path / "points"), str(tmp_path / "drops"), str(tmp_path / "clean")
+    files.write_csv(td.point_dim(spark, SF_SMALL), pts, single_file=True)
+    base = str(tmp_path / "base")
+    for step, part in enumerate(("month <= 6", "month >= 5")):
+        files.write_parquet(raw.filter(part), f"{drops}/{step}")
+        jobs.run(["clean-new", f"{drops}/*", clean, "--points", pts, "--checkpoint", str(tmp_path / "c1"), "--raw-format", "parquet"], spark=spark)
+        jobs.run(["rollup-new", clean, base, "--checkpoint", str(tmp_path / "c2")], spark=spark)
+    inc = files.read_clean_incidents(spark, clean)
+    want = cleaning.clean_incidents(raw, td.point_dim(spark, SF_SMALL))
+    assert inc.count() == want.count() == inc.select("id").distinct().count()
+    assert sorted(map(tuple, stored_rollup(spark, base).collect())) == sorted(map(tuple, rollups.rollup_base(want).collect()))
+    jobs.run(["top-blocks", clean, str(tmp_path / "top"), "--k", "5"], spark=spark)
+    top = spark.read.parquet(str(tmp_path / "top")).orderBy(F.desc("count"), "value").collect()
+    assert [tuple(r) for r in top] == [tuple(r) for r in rollups.value_counts(want, "hundred_block").limit(5).collect()]
+    name = f"incidents_{uuid.uuid4().hex}"
+    jobs.run(["save-table", clean, name, "--buckets", "4", "--path", str(tmp_path / "t")], spark=spark)
+    assert spark.read.table(name).count() == inc.count()
+    spark.sql(f"DROP TABLE {name}")
+    model, req = str(tmp_path / "m"), tmp_path / "req.csv"
+    jobs.run(["train", clean, model, "--classifier", "table", "--targets", "1-urgent", "2-high", "--trees", "2", "--depth", "2", "--metrics-out",
+              str(tmp_path / "metrics")], spark=spark)
+    req.write_text("request_id,year,month,hour,neighbourhood,hundred_block\nr1,1996,5,3,nation_1,no such\n")
+    jobs.run(["score", "--classifier", "table", model, str(req), str(tmp_path / "scored")], spark=spark)
+    assert spark.read.parquet(str(tmp_path / "scored")).first()["status"] == "unknown_input"
+    assert spark.read.option("header", True).csv(str(tmp_path / "metrics" / "metrics")).count() == 1
