@@ -196,16 +196,18 @@ def knn_vectors(train: DataFrame, queries: DataFrame, features: Sequence[str], l
     around = [_reach(w, tail, len(dims_), MOST_CELLS) if dims_ else ([(0.0,)], INFINITE) for w, dims_ in zip(widths, open_dims)]
 
     results: list[DataFrame] = []
-    waiting = pending.count()
-    while waiting:
+    while True:
         # The narrowest level on which the listed cells hold all that the radius reaches.
         level = F.lit(top)
         for n in range(top - 1, -1, -1):
             level = F.when(F.col("_r2") < F.lit(around[n][1]), n).otherwise(level)
         pending = pending.withColumn("_level", level)
-        spread = min(int(spark.conf.get("spark.sql.shuffle.partitions")), max(spark.sparkContext.defaultParallelism, waiting // 4096))
-        pending = pending.repartition(spread, "_qid")
-        used = [r["_level"] for r in pending.select("_level").distinct().collect()]  # at most one per level
+        # Queries that wait, by level: at most one row per level.
+        waiting = {r["_level"]: r["count"] for r in pending.groupBy("_level").count().collect()}
+        if not waiting:
+            break
+        spread = min(int(spark.conf.get("spark.sql.shuffle.partitions")), max(spark.sparkContext.defaultParallelism, sum(waiting.values()) // 4096))
+        pending, used = pending.repartition(spread, "_qid"), sorted(waiting)
         # Offsets of a level (at most MOST_CELLS, or 3^d) with what they add to the key and, per axis, the sign and the constant of
         # the distance between the query's place in its cell and the other cell.
         axes, listed = open_dims[0], []
@@ -237,7 +239,7 @@ def knn_vectors(train: DataFrame, queries: DataFrame, features: Sequence[str], l
         there = F.col("_own") + F.col("_move") if packed else F.array(*[
             F.col(f"_c{i}") + F.col(f"_o{i}") if i in axes else F.col(f"_c{i}") for i in range(d)])
         probes = probes.select("_qid", *qf, "_level", there.alias("_key"))
-        stored = tw.withColumn("_level", F.explode(F.array(*[F.lit(n) for n in sorted(used)])) if used else F.lit(0))
+        stored = tw.withColumn("_level", F.explode(F.array(*[F.lit(n) for n in used])))
         stored = stored.withColumn("_key", key(on_level(b, "_level"))).drop(*b)
         cand = probes.join(stored, ["_level", "_key"])
         # Doubles before the product: squares of integer differences overflow.
@@ -266,7 +268,6 @@ def knn_vectors(train: DataFrame, queries: DataFrame, features: Sequence[str], l
         grown = F.least(halfway, F.col("_most")) if len(results) == 1 else F.col("_most")
         pending = (known.filter(~F.col("_settled")).withColumn("_r2", F.coalesce("_kth", grown))
                    .drop("_kth", "_found", "_settled", "prediction", "_level"))
-        waiting = pending.count()
     cached.unpersist()
     if not results:
         return asked.select(*[F.col(q).alias(f) for f, q in zip(features, qf)], F.lit(None).cast("int").alias("prediction"))
