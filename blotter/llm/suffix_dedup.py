@@ -424,13 +424,14 @@ def repeated_spans(df: DataFrame, width: int = WIDTH, gram: int = GRAM, crowd: i
     source = ex.named(df, id_col, text_col)
     n = ex.n_buckets(source)
     wide = 2 * n  # smaller buckets where texts are sorted
+    groups = max(32, n // 2)  # of documents: every pass over the texts deals its decided places out to them, a row per task and group
     keys = source.mapInArrow(_emit_keys(width, gram, n), ex.PLACES)
     listed = ex.per_document(ex.compare(keys, _seen_twice, n), _as_places)
     packed = ex.pack_texts(source)
-    texts = packed.join(listed, ["key", "twin"]).select("key", "twin", "packed", "spans").mapInArrow(_emit_texts(width, gram, wide, n), ex.PLACES)
+    texts = packed.join(listed, ["key", "twin"]).select("key", "twin", "packed", "spans").mapInArrow(_emit_texts(width, gram, wide, groups), ex.PLACES)
     for most, part in ((crowd, PART), (crowd, 1), (None, 1)):
         judge, rest = _sort_bucket(width, wide, most, part)
-        texts = ex.compare_rows(texts, judge, n, rest)
+        texts = ex.compare_rows(texts, judge, groups, rest)
     return ex.per_document(texts, ex.merge_spans), packed
 
 
