@@ -1,119 +1,180 @@
 """Quality rules: text statistics and language-model perplexity bands.
 
-The language model is a modified Kneser-Ney character model per language.  Spark
-counts the n-grams of every document; the model is kept in arrays sorted by the hash
-of the n-gram and looked up by binary search.  A document whose perplexity lies
-outside the band of its language and length, on either side, is rejected.
-
-Characters are folded into a fixed alphabet of 64 symbols, so the number of
-n-grams, and with it the size of the model, is bounded whatever the corpus:
-64 + 64**2 + 64**3 entries a language at most.
+The language model is a modified Kneser-Ney character model per language, over the
+characters as they are: an n-gram is packed without loss, so no two share an entry, and
+the model grows with the n-grams of the corpus.  Spark counts the n-grams of every
+document and derives the model with groupings and joins, a row per n-gram; nothing of it
+passes through the driver.  Tasks cut the documents into blocks and name the different
+n-grams of each; Spark joins these with the model, and a block meets its documents
+again with the probabilities in arrays sorted by n-gram, looked up by binary search.  A
+document whose perplexity lies outside the band of its language and length, on either
+side, is rejected.
 """
 
 from __future__ import annotations
 
-import pickle
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import cut_lineage, ensure_checkpoint_dir
 from . import _text as tx
 
-ORDER, SYMBOLS = 3, 64
-#: Symbol 0 is every other character and the context before a text.
-_OTHER, _SPACE, _DIGIT, _STOP, _UPPER, _LETTERS = 0, 1, 2, 3, 4, 8
-#: Languages whose models are sent to the tasks in one pass over the documents (under 110 MB even if full); more take several passes.
-LANGUAGES = 32
+#: A symbol is a code point plus one; symbol 0 is the context before a text.  Three of them fit 63 bits.
+ORDER, SYMBOLS = 3, 0x110001
+#: Bytes of text per block (a longer text is a block of its own) and per packed row, characters handled at a time.
+BLOCK_BYTES, ROW_BYTES, SLICE = 16 << 20, 1 << 20, 1 << 20
+#: Kind of a dealt row: an n-gram of a block, or documents of a block.
+_GRAM, _TEXTS = 0, 1
 #: Perplexity bands: quartiles of the log-perplexity of documents of a length, widened by this many interquartile ranges.
 BAND = 3.0
 _SYMBOL_CHARS = b"#*$%&|<>"
+_LETTERS: list[np.ndarray] = []
 
 
-def _fold_table() -> np.ndarray:
-    """Symbol of every code point below U+10000: a-z, then other lower-case letters spread over the remaining symbols."""
-    table = np.zeros(1 << 16, np.uint8)
-    for c in range(1 << 16):
-        ch = chr(c)
-        if ch.isspace():
-            table[c] = _SPACE
-        elif ch.isdigit():
-            table[c] = _DIGIT
-        elif ch in ".,;:'\"-()?!":
-            table[c] = _STOP
-        elif ch.isalpha():
-            if "a" <= ch <= "z":
-                table[c] = _LETTERS + ord(ch) - 97
-            elif ch.isupper():
-                table[c] = _UPPER
-            else:
-                table[c] = _LETTERS + 26 + c % (SYMBOLS - _LETTERS - 26)
-    return table
+def _letters(s: np.ndarray) -> np.ndarray:
+    """Which symbols are letters."""
+    if not _LETTERS:
+        _LETTERS.append(np.fromiter((c > 0 and chr(c - 1).isalpha() for c in range(SYMBOLS)), bool, SYMBOLS))
+    return _LETTERS[0][s]
 
 
-_FOLD: list[np.ndarray] = []
+def symbols(text: str) -> np.ndarray:
+    """A text as symbols, one per code point; every code point has its own."""
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64) + 1
 
 
-def symbols(text: str) -> np.ndarray:
-    """A text as symbols; runs of capitals stay capitals, so shouting does not look like prose."""
-    if not _FOLD:
-        _FOLD.append(_fold_table())
-    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
-    return np.where(points < 1 << 16, _FOLD[0][np.minimum(points, (1 << 16) - 1)], _OTHER).astype(np.int64)
+def _pack(s: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The n-grams whose last symbols stand at ``ends``, packed."""
+    packed = np.zeros(len(ends), np.int64)
+    for k in range(ORDER - 1, -1, -1):
+        packed = packed * SYMBOLS + s[ends - k]
+    return packed
 
 
 def _grams(text: str) -> np.ndarray:
     """The n-gram that ends at each character, packed; places before the text are symbol 0."""
     s = np.concatenate((np.zeros(ORDER - 1, np.int64), symbols(text)))
-    n = len(s) - ORDER + 1
-    packed = np.zeros(n, np.int64)
-    for k in range(ORDER):
-        packed = packed * SYMBOLS + s[k:k + n]
-    return packed
+    return _pack(s, np.arange(ORDER - 1, len(s)))
+
+
+def _chunk_grams(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """N-grams of the documents of a chunk and, per document, where its n-grams begin (one more entry than documents); a
+    document that stands alone comes in slices."""
+    docs, pad = len(offsets) - 1, ORDER - 1
+    text = data.tobytes().decode()
+    if docs == 1:
+        for at in range(0, len(text), SLICE):
+            before = text[max(0, at - pad):at]
+            s = np.concatenate((np.zeros(pad - len(before), np.int64), symbols(before + text[at:at + SLICE])))
+            yield _pack(s, np.arange(pad, len(s))), np.array([0, len(s) - pad])
+        return
+    bounds = np.concatenate(([0], np.cumsum((data & 0xC0) != 0x80)))[offsets]
+    s = np.zeros(len(text) + pad * docs, np.int64)
+    ends = np.arange(len(text)) + pad * np.repeat(np.arange(1, docs + 1), np.diff(bounds))
+    s[ends] = symbols(text)
+    yield _pack(s, ends), bounds
+
+
+def _by_language(langs: pa.Array, bounds: np.ndarray) -> Iterator[tuple[str, np.ndarray]]:
+    """Languages of the documents of a chunk and the places of their n-grams, ascending."""
+    coded = langs.dictionary_encode()
+    names = coded.dictionary.to_pylist()
+    if len(names) == 1:
+        yield names[0], np.arange(bounds[-1])
+        return
+    lang = np.repeat(coded.indices.to_numpy().astype(np.uint16 if len(names) < 1 << 16 else np.uint32), np.diff(bounds))
+    order = np.argsort(lang, kind="stable")
+    edges = np.cumsum(np.bincount(lang, minlength=len(names)))
+    for k, name in enumerate(names):
+        yield name, order[edges[k - 1] if k else 0:edges[k]]
+
+
+def _merge(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Different n-grams, ascending, and their counts added up."""
+    gram, n = (np.concatenate(x) for x in zip(*parts))
+    order = np.argsort(gram)
+    gram = gram[order]
+    first = np.flatnonzero(np.concatenate(([True], gram[1:] != gram[:-1])))
+    return gram[first], np.add.reduceat(n[order], first, dtype=np.int64)
+
+
+_DEALT = pa.schema([("block", pa.int64()), ("kind", pa.int8()), ("lang", pa.string()), ("gram", pa.int64()), ("n", pa.int64()), ("payload", pa.binary())])
+
+
+def _deal(df: DataFrame, id_col: str | None, text_col: str, lang_col: str) -> DataFrame:
+    """Blocks of documents: ``block, kind, lang, gram, n`` for every different n-gram of a block and language, and (with
+    ``id_col``) ``block, kind, payload`` with the rows themselves, compressed.  A null language is the empty one."""
+
+    def grams(block: int, held: dict[str, list[tuple[np.ndarray, np.ndarray]]]) -> Iterator[pa.RecordBatch]:
+        if not held:
+            return
+        found = [_merge(parts) for parts in held.values()]
+        sizes = [len(gram) for gram, _ in found]
+        gram, n = (np.concatenate(x) for x in zip(*found))
+        lang = pa.DictionaryArray.from_arrays(np.repeat(np.arange(len(sizes), dtype=np.int32), sizes), pa.array(list(held), pa.string()))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.full(len(gram), block)), pa.array(np.full(len(gram), _GRAM, np.int8)), lang.cast(pa.string()), pa.array(gram), pa.array(n),
+             pa.nulls(len(gram), pa.binary())], schema=_DEALT)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, size, held = TaskContext.get().partitionId() << 32, 0, {}
+        packing = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 6))
+        for batch in batches:
+            for i, j, data, offsets in tx.text_chunks(batch.column(2), ROW_BYTES):
+                if size and size + len(data) > BLOCK_BYTES:
+                    yield from grams(block, held)
+                    block, size, held = block + 1, 0, {}
+                size += len(data)
+                rows = batch.slice(i, j - i)
+                for packed, bounds in _chunk_grams(data, offsets):
+                    for lang, at in _by_language(rows.column(1), bounds):
+                        if len(at):
+                            held.setdefault(lang, []).append(np.unique(packed[at], return_counts=True))
+                if id_col is not None:
+                    sink = pa.BufferOutputStream()
+                    with pa.ipc.new_stream(sink, rows.schema, options=packing) as writer:
+                        writer.write_batch(rows)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([block]), pa.array([_TEXTS], pa.int8()), *(pa.nulls(1, _DEALT.field(k).type) for k in (2, 3, 4)),
+                         pa.array([sink.getvalue().to_pybytes()], pa.binary())], schema=_DEALT)
+        yield from grams(block, held)
+
+    rows = df.select((F.lit(None) if id_col is None else F.col(id_col)).cast("long").alias("doc_id"),
+                     F.coalesce(F.col(lang_col).cast("string"), F.lit("")).alias("lang"), F.col(text_col).cast("string").alias("text"))
+    return rows.mapInArrow(run, "block long, kind byte, lang string, gram long, n long, payload binary")
+
+
+def _add_up(dealt: DataFrame) -> DataFrame:
+    return dealt.filter(F.col("kind") == _GRAM).groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
 def ngram_counts(df: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """``lang, gram, n`` over every whole text: each task counts its n-grams per language, Spark adds them up."""
+    """``lang, gram, n`` over every whole text: each task counts its n-grams per block and language, Spark adds them up."""
+    return _add_up(_deal(df, None, text_col, lang_col))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            total: dict[str, np.ndarray] = {}
-            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                grams = _grams(text.as_py())
-                if lang not in total:
-                    total[lang] = np.zeros(SYMBOLS**ORDER, np.int64)
-                for at in range(0, len(grams), 1 << 18):
-                    part = grams[at:at + (1 << 18)]
-                    if len(part) > 4096:
-                        total[lang] += np.bincount(part, minlength=SYMBOLS**ORDER)
-                    else:
-                        np.add.at(total[lang], part, 1)
-            for lang, counts in total.items():
-                seen = np.flatnonzero(counts)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(seen), pa.string()), pa.array(seen, pa.int64()), pa.array(counts[seen])], names=["lang", "gram", "n"])
-
-    rows = df.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).filter(F.col("text") != "")
-    return rows.mapInArrow(run, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+
+def _cuts(t: list[int]) -> list[float]:
+    if t[0] == 0 or t[1] == 0:
+        return [0.5, 0.75, 0.9]
+    y = t[0] / (t[0] + 2 * t[1])
+    raw = [k - (k + 1) * y * t[k] / t[k - 1] if t[k - 1] else 0.5 for k in (1, 2, 3)]
+    return [min(max(d, 0.05), k - 0.05) for k, d in zip((1, 2, 3), raw)]
 
 
 def discounts(sizes: np.ndarray) -> np.ndarray:
     """Discounts of modified Kneser-Ney for counts of one, two, and three or more, from the numbers of
     n-grams seen once to four times."""
-    t = [int((sizes == k).sum()) for k in range(1, 5)]
-    if t[0] == 0 or t[1] == 0:
-        return np.array([0.5, 0.75, 0.9])
-    y = t[0] / (t[0] + 2 * t[1])
-    raw = [k - (k + 1) * y * t[k] / t[k - 1] if t[k - 1] else 0.5 for k in (1, 2, 3)]
-    return np.array([min(max(d, 0.05), k - 0.05) for k, d in zip((1, 2, 3), raw)])
+    return np.array(_cuts([int((sizes == k).sum()) for k in range(1, 5)]))
 
 
 def kneser_ney(grams: np.ndarray, counts: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Per order, lowest first: sorted n-gram codes, their discounted probability, and the back-off weight of the n-gram as a
+    """The model of one language in arrays.  Per order, lowest first: sorted n-gram codes, their discounted probability, and the back-off weight of the n-gram as a
     context for the next order.  The highest order uses counts, lower ones the number of different symbols before an n-gram."""
     levels = [(grams, counts)]
     for k in range(ORDER - 1, 0, -1):
@@ -171,22 +232,71 @@ def log_perplexity(model: list[tuple], text: str) -> float:
     """Log-perplexity of a whole text per letter.  What is no letter costs without counting: regular strings of marks do not
     make a text look likely."""
     grams = _grams(text)
-    letters = int((grams % SYMBOLS >= _UPPER).sum())
+    letters = int(_letters(grams % SYMBOLS).sum())
     return float(-log_probabilities(model, grams).sum() / max(letters, 1))
 
 
-def fit(df: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """``lang, model``: one packed model per language from the n-grams of every document of ``df`` (rows of no language are one more
-    language), made in Spark."""
+def _stored(df: DataFrame, folder: str, name: str) -> DataFrame:
+    df.write.parquet(f"{folder}/{name}")
+    return df.sparkSession.read.parquet(f"{folder}/{name}")
+
+
+def _folder(df: DataFrame) -> str:
+    return f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/quality-{uuid.uuid4().hex}"
+
+
+def _context() -> Column:
+    return F.expr(f"gram div {SYMBOLS}L")
+
+
+def _model(counts: DataFrame, folder: str) -> DataFrame:
+    """``lang, size, gram, p, back`` from ``lang, gram, n``: per language and n-gram seen of each size its interpolated probability, and
+    its weight as a context of the next size (null where it was none; a context that is no n-gram of its size has no ``p``).  Size 0
+    is the empty n-gram.  The same model as :func:`kneser_ney`, made by Spark."""
+    levels = {ORDER: _stored(counts, folder, "counts")}
+    for k in range(ORDER - 1, 0, -1):  # the number of different symbols before an n-gram
+        levels[k] = _stored(levels[k + 1].groupBy("lang", (F.col("gram") % SYMBOLS**k).alias("gram")).agg(F.count("*").alias("n")), folder, f"level-{k}")
+    cuts = F.udf(lambda t: _cuts(t), "array<double>")
+    below = levels[1].select("lang", F.lit(0).cast("long").alias("gram"), F.lit(1.0 / SYMBOLS).alias("p")).distinct()
+    made = []
+    for k in range(1, ORDER + 1):
+        seen = levels[k].groupBy("lang").agg(*[F.count_if(F.col("n") == t).alias(f"t{t}") for t in (1, 2, 3, 4)])
+        cut = seen.select("lang", cuts(F.array("t1", "t2", "t3", "t4")).alias("cut"))
+        sums = levels[k].groupBy("lang", _context().alias("context")).agg(
+            F.sum("n").alias("total"), *[F.count_if(F.least("n", F.lit(3)) == t).alias(f"t{t}") for t in (1, 2, 3)]).join(cut, "lang")
+        off = sum(F.col("cut")[t - 1] * F.col(f"t{t}") for t in (1, 2, 3))
+        contexts = _stored(sums.select("lang", "context", "total", "cut", (off / F.col("total")).alias("weight")), folder, f"contexts-{k}")
+        backs = contexts.select("lang", F.col("context").alias("gram"), F.col("weight").alias("back"))
+        made.append(below.join(backs, ["lang", "gram"], "full").select("lang", F.lit(k - 1).alias("size"), "gram", "p", "back"))
+        rows = levels[k].withColumns({"context": _context(), "rest": F.col("gram") % SYMBOLS ** (k - 1)}).join(contexts, ["lang", "context"])
+        rows = rows.join(below.select("lang", F.col("gram").alias("rest"), F.col("p").alias("lower")), ["lang", "rest"])
+        kept = F.col("n") - F.get("cut", (F.least("n", F.lit(3)) - 1).cast("int"))
+        below = _stored(rows.select("lang", "gram", (kept / F.col("total") + F.col("weight") * F.col("lower")).alias("p")), folder, f"p-{k}")
+    made.append(below.select("lang", F.lit(ORDER).alias("size"), "gram", "p", F.lit(None).cast("double").alias("back")))
+    out = made[0]
+    for more in made[1:]:
+        out = out.union(more)
+    return _stored(out, folder, "model")
 
-    def build(table: pd.DataFrame) -> pd.DataFrame:
-        table = table.sort_values("gram")
-        model = kneser_ney(table["gram"].to_numpy(), table["n"].to_numpy())
-        return pd.DataFrame({"lang": table["lang"].iloc[:1].to_list(), "model": [pickle.dumps(model)]})
 
-    lang = F.coalesce(F.col(lang_col).cast("string"), F.lit(""))
-    counts = ngram_counts(df.select(lang.alias("lang"), F.col(text_col).alias("text")), "text", "lang")
-    return cut_lineage(counts.groupBy("lang").applyInPandas(build, "lang string, model binary"))
+def fit(df: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """``lang, size, gram, p, back``: the model (see :func:`_model`) from the n-grams of every document of ``df`` (rows of no language
+    are one more language), a table under the checkpoint folder."""
+    return _model(ngram_counts(df, text_col, lang_col), _folder(df))
+
+
+def probabilities(grams: DataFrame, model: DataFrame) -> DataFrame:
+    """``lang, gram, p`` of different n-grams of size ``ORDER``: that of the model, or where it has not seen one that of the shorter
+    n-gram times the weight of the context, and so on; null in a language the model does not know."""
+    entry = lambda size, key, name, value: model.filter(F.col("size") == size).filter(F.col(value).isNotNull()).select(
+        "lang", F.col("gram").alias(key), F.col(value).alias(name))
+    out = grams.select("lang", "gram", F.lit(0).cast("long").alias("rest")).join(entry(0, "rest", "p", "p"), ["lang", "rest"], "left").drop("rest")
+    for k in range(1, ORDER + 1):
+        part = F.col("gram") % SYMBOLS**k
+        out = out.withColumns({"part": part, "context": F.expr(f"(gram % {SYMBOLS**k}L) div {SYMBOLS}L")})
+        out = out.join(entry(k, "part", "seen", "p"), ["lang", "part"], "left").join(entry(k - 1, "context", "weight", "back"), ["lang", "context"], "left")
+        out = out.select("lang", "gram", F.coalesce("seen", F.coalesce("weight", F.lit(1.0)) * F.col("p")).alias("p"))
+    return out
 
 
 def _statistics(data: np.ndarray, offsets: np.ndarray, texts: list[str | None]) -> list[np.ndarray]:
@@ -222,37 +332,65 @@ def _statistics(data: np.ndarray, offsets: np.ndarray, texts: list[str | None])
 _COLUMNS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
 
-def measure(df: DataFrame, models: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+_MEASURED = ["doc_id", "lang", "log_ppl", *_COLUMNS]
+
+
+def _score_rows(rows: pa.RecordBatch, tables: dict[str, tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+    """Packed documents with their statistics and log-perplexity: per letter, of the whole text.  What is no letter costs without
+    counting: regular strings of marks do not make a text look likely."""
+    data, offsets = tx.string_buffers(rows.column(2))
+    cost, letters = np.zeros(rows.num_rows), np.zeros(rows.num_rows, np.int64)
+    for grams, bounds in _chunk_grams(data, offsets):
+        log_p = np.zeros(len(grams))
+        for lang, at in _by_language(rows.column(1), bounds):
+            if len(at):
+                known, values = tables[lang]
+                log_p[at] = values[np.searchsorted(known, grams[at])]  # a block has all its n-grams
+        full = np.flatnonzero(np.diff(bounds))
+        cost[full] -= np.add.reduceat(log_p, bounds[full])
+        letters[full] += np.add.reduceat(_letters(grams % SYMBOLS), bounds[full], dtype=np.int64)
+    ppl = cost / np.maximum(letters, 1)
+    return pa.RecordBatch.from_arrays(
+        [rows.column(0), rows.column(1), pa.array(ppl, pa.float64(), mask=(np.diff(offsets) == 0) | np.isnan(ppl)),
+         *[pa.array(c, pa.int64()) for c in _statistics(data, offsets, rows.column(2).to_pylist())]], names=_MEASURED)
+
+
+def _score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by block: first the block's n-grams with their ``log_p``, by language and n-gram, then its documents."""
+    now, held, tables = None, {}, None
+    for batch in batches:
+        block, kind = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+        turn = np.flatnonzero((block[1:] != block[:-1]) | (kind[1:] != kind[:-1])) + 1
+        for a, b in zip([0, *turn], [*turn, len(block)]):
+            if a == b:
+                continue
+            if block[a] != now:
+                now, held, tables = block[a], {}, None
+            part = batch.slice(a, b - a)
+            if kind[a] == _GRAM:
+                gram, log_p = part.column(3).to_numpy(), part.column(4).to_numpy(zero_copy_only=False)
+                for lang, at in _by_language(part.column(2), np.arange(b - a + 1)):
+                    held.setdefault(lang, []).append((gram[at], log_p[at]))  # in order: the rows are sorted
+                continue
+            if tables is None:
+                tables = {lang: tuple(np.concatenate(x) for x in zip(*parts)) for lang, parts in held.items()}
+            for raw in part.column(5):
+                yield from (_score_rows(rows, tables) for rows in pa.ipc.open_stream(raw.as_buffer()))
+
+
+def _measure(dealt: DataFrame, model: DataFrame) -> DataFrame:
+    grams = dealt.filter(F.col("kind") == _GRAM).select("block", "kind", "lang", "gram")
+    found = probabilities(grams.select("lang", "gram").distinct(), model).select("lang", "gram", F.log("p").alias("log_p"))
+    needed = grams.join(found, ["lang", "gram"]).select("block", "kind", "lang", "gram", "log_p", F.lit(None).cast("binary").alias("payload"))
+    texts = dealt.filter(F.col("kind") == _TEXTS).select("block", "kind", "lang", "gram", F.lit(None).cast("double").alias("log_p"), "payload")
+    met = needed.union(texts).repartition("block").sortWithinPartitions("block", "kind", "lang", "gram")
+    return met.mapInArrow(_score, "doc_id long, lang string, log_ppl double, " + ", ".join(f"{c} long" for c in _COLUMNS))
+
+
+def measure(df: DataFrame, model: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """``doc_id, lang``, the statistics of the whole text and ``log_ppl``: its log-perplexity
-    under the model of its language (null without a character).  Each pass takes ``LANGUAGES`` languages."""
-
-    def under(shared):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            known = shared.value
-            for batch in batches:
-                for i, j, data, offsets in tx.text_chunks(batch.column(2)):
-                    texts, langs = batch.column(2).slice(i, j - i).to_pylist(), batch.column(1).slice(i, j - i).to_pylist()
-                    ppl = [None if not t else log_perplexity(known[lang], t) for t, lang in zip(texts, langs)]
-                    yield pa.RecordBatch.from_arrays(
-                        [batch.column(0).slice(i, j - i), batch.column(1).slice(i, j - i), pa.array(ppl, pa.float64()),
-                         *[pa.array(c, pa.int64()) for c in _statistics(data, offsets, texts)]], names=["doc_id", "lang", "log_ppl", *_COLUMNS])
-
-        return run
-
-    source = df.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(lang_col).cast("string"), F.lit("")).alias("lang"),
-                       F.col(text_col).cast("string").alias("text"))
-    languages = sorted(r.lang for r in models.select("lang").collect())
-    out = None
-    for at in range(0, max(1, len(languages)), LANGUAGES):
-        names = languages[at:at + LANGUAGES]
-        shared = df.sparkSession.sparkContext.broadcast({r.lang: pickle.loads(r.model) for r in models.filter(F.col("lang").isin(names)).collect()})
-        rows = source
-        if len(languages) > LANGUAGES:  # rows without a character need no model: the first pass has them
-            blank = F.coalesce(F.col("text"), F.lit("")) == ""
-            rows = source.filter(blank | F.col("lang").isin(names) if at == 0 else ~blank & F.col("lang").isin(names))
-        part = rows.mapInArrow(under(shared), "doc_id long, lang string, log_ppl double, " + ", ".join(f"{c} long" for c in _COLUMNS))
-        out = part if out is None else out.union(part)
-    return out
+    under the model of its language (null without a character, or in a language the model does not know)."""
+    return _measure(_stored(_deal(df, id_col, text_col, lang_col), _folder(df), "dealt"), model)
 
 
 def bands(measured: DataFrame, width: float = BAND) -> DataFrame:
@@ -286,7 +424,9 @@ def judge(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     rules pass and ``log_ppl`` lies in the band (see :func:`bands`).  Null and empty
     texts have zero counts and fail the base rule; a null language is a language; ids are carried along; repeated rows each
     get their row (and count twice in the model); an empty table gives an empty result."""
-    measured = measure(df, fit(df, text_col, lang_col), id_col, text_col, lang_col)
+    folder = _folder(df)
+    dealt = _stored(_deal(df, id_col, text_col, lang_col), folder, "dealt")
+    measured = _measure(dealt, _model(_add_up(dealt), folder))
     failed = (F.col("n_words") < least_words) | (100 * F.col("n_repeat_words") > most_repeated * F.col("n_words"))
     out = bands(cut_lineage(measured.withColumn("base_failed", failed)))
     inside = F.coalesce(F.col("log_ppl").between(F.col("low"), F.col("high")), F.lit(True))

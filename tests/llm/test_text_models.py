@@ -336,3 +336,71 @@ def test_bands_reject_low_quality_documents(spark):
     judged = quality.op8_quality_rules(spark, SF_CHECK).filter("not base_failed").join(spark.read.parquet(f"{SF_CHECK}/labels.parquet"), "doc_id")
     counts = Counter((r.quality, r.kept) for r in judged.collect())
     assert counts[0, True] == 0 < counts[0, False] and counts[1, True] >= 0.97 * (counts[1, True] + counts[1, False]), counts
+
+
+def test_every_code_point_is_a_symbol_of_its_own(spark):
+    points = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    assert len(set(quality.symbols("".join(map(chr, points))).tolist())) == len(points)
+    texts = ["ab", "Ab", "aB", "\u0430\u0431", "\u044e\u0431", "\U0001f642\U0001f643", "\U0001f643\U0001f642", "\x00ab", "\x00\x00ab"]
+    rows = [(i, t, f"l{i}") for i, t in enumerate(texts)]
+    got = defaultdict(set)
+    for r in quality.ngram_counts(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect():
+        got[r.lang].add((r.gram, r.n))
+    assert len({frozenset(x) for x in got.values()}) == len(texts)
+
+
+def test_characters_that_shared_a_symbol_are_told_apart(spark):
+    """Words whose letters are swapped at random for letters 30 code points on are noise."""
+    rng = random.Random(13)
+    letters = [chr(c) for c in range(0x430, 0x440)]
+    vocabulary = ["".join(rng.choice(letters) for _ in range(rng.randint(2, 9))) for _ in range(200)]
+    rows = [(i, _clean(rng, rng.randint(60, 500), vocabulary), "ru") for i in range(150)]
+    noisy = lambda text: "".join(c if c == " " or rng.random() < 0.5 else chr(ord(c) + 30) for c in text)
+    rows += [(1000 + i, noisy(_clean(rng, 150 * n, vocabulary)), "ru") for i, n in enumerate((1, 2, 4))]
+    kept = {r.doc_id: r.kept for r in quality.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert not any(kept[1000 + i] for i in range(3)) and sum(kept[i] for i in range(150)) >= 147
+
+
+@pytest.fixture
+def small_blocks(monkeypatch):
+    """Few bytes per block, row and slice, so that a small corpus has many of each."""
+    for name, value in (("BLOCK_BYTES", 3000), ("ROW_BYTES", 700), ("SLICE", 100)):
+        monkeypatch.setattr(quality, name, value)
+
+
+def _models(rows):
+    grams = defaultdict(list)
+    for _, text, lang, *_ in rows:
+        if text:
+            grams[lang or ""].append(quality._grams(text))
+    return {lang: quality.kneser_ney(*np.unique(np.concatenate(g), return_counts=True)) for lang, g in grams.items()}
+
+
+def test_log_perplexity_against_one_model_per_language(spark):
+    rows = corpus.documents(seed=7) + [(903, "Ж日\U0001f642 \x00 é" * 400, "xx", "s", 1, 1, 1, "", ""), (904, "Ä", "yy", "s", 1, 1, 1, "", "")]
+    known = _models(rows)
+    want = Counter((r[0], r[2] or "", None if not r[1] else round(quality.log_perplexity(known[r[2] or ""], r[1]), 9)) for r in rows)
+    got = quality.judge(corpus.frame(spark, rows)).collect()
+    assert Counter((r.doc_id, r.lang, None if r.log_ppl is None else round(r.log_ppl, 9)) for r in got) == want
+
+
+def test_blocks_and_slices_change_nothing(spark, small_blocks):
+    rows = corpus.documents(seed=8)
+    dealt = list(quality._chunk_grams(np.frombuffer("aé日 b".encode() * 90, np.uint8), np.array([0, 8 * 90])))
+    assert len(dealt) == 5 and np.array_equal(np.concatenate([g for g, _ in dealt]), quality._grams("aé日 b" * 90))
+    assert quality._deal(corpus.frame(spark, rows, 1), "doc_id", "text", "lang").select("block").distinct().count() > 5
+    known = _models(rows)
+    measured = quality.measure(corpus.frame(spark, rows, 1), quality.fit(corpus.frame(spark, rows)))
+    want = Counter((r[0], None if not r[1] else round(quality.log_perplexity(known[r[2] or ""], r[1]), 9), *_statistics(r[1])) for r in rows)
+    assert Counter((r.doc_id, None if r.log_ppl is None else round(r.log_ppl, 9), *r[3:]) for r in measured.collect()) == want
+
+
+def test_other_texts_back_off_and_unknown_languages_have_no_perplexity(spark):
+    train = [(1, "the cat sat on the mat, the cat ate the rat; 77 cats sat!", "en"), (2, "the hat", "en"), (3, "der Hut", "de")]
+    other = [(4, "zebra the % rat catt\u0436e", "en"), (5, "the cat", "de"), (6, "the cat", "xx"), (7, "", "en")]
+    frame = lambda rows: spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    known = _models(train)
+    got = {r.doc_id: r.log_ppl for r in quality.measure(frame(other), quality.fit(frame(train))).collect()}
+    for i, text, lang in other[:2]:
+        assert math.isclose(got[i], quality.log_perplexity(known[lang], text), rel_tol=1e-9)
+    assert got[6] is None and got[7] is None
